@@ -113,3 +113,13 @@ def runs_from_events(events: DataFrame) -> DataFrame:
         n.alias("num_sentences"),
         F.when(cache_on, n).otherwise(0).alias("cache_hits"),
     )
+
+
+def reverse_words(c) -> "F.Column":
+    """Column twin of ``ReverseWordsPredictor`` (words of a line reversed)."""
+    return F.array_join(F.reverse(F.split(c, " ")), " ")
+
+
+def sentences_with_lang(documents: DataFrame) -> DataFrame:
+    return documents.select("doc_id", "lang",
+                            F.posexplode(split_sentences("text")).alias("pos", "sentence"))

@@ -15,8 +15,16 @@ from pyspark.sql import functions as F
 from ..functions.text import token_count
 from ..operators.clean import clean_audit, clean_pairs
 from ..operators.split import keep_pair, normalize_pairs, preprocess_audit, split_pairs
+from ..operators.bleu import align_lines, corpus_bleu, evaluate_systems
+from ..operators.glossary import mapping_text, protect_terms, restore_terms
+from ..operators.memory import cache_hits, memory_lookup, memory_upsert, pending_sentences
+from ..operators.runs import (best_rows, cache_compare, highlights, metrics_rows, model_compare,
+                              repeat_rows, run_series, throughput)
+from ..operators.translate import ReverseWordsPredictor
+from ..operators.vocab import build_vocab
 from . import fixtures as fx
 from .corpus import prepare_corpus, split_summary
+from .documents import reassemble, translate_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +83,155 @@ def q_conversation_corpus(spark, d):
     return prepare_corpus(pairs)
 
 
+def _sentences(spark, d):
+    return fx.sentences_from_documents(_docs(spark, d))
+
+
+def _memory(spark, d):
+    return fx.memory_from_benchmark(fx.load_table(spark, d, "benchmark"))
+
+
+def _glossary(spark):
+    return fx.glossary_df(spark)
+
+
+def q_vocab_src(spark, d):
+    train = prepare_corpus(_pairs(spark, d)).filter(F.col("split") == "train")
+    return build_vocab(train, "source")
+
+
+def q_vocab_tgt(spark, d):
+    train = prepare_corpus(_pairs(spark, d)).filter(F.col("split") == "train")
+    return build_vocab(train, "target")
+
+
+def q_sentences(spark, d):
+    return _sentences(spark, d)
+
+
+def q_glossary_protect(spark, d):
+    p = protect_terms(_sentences(spark, d), "sentence", _glossary(spark))
+    return p.select("doc_id", "pos", "protected", mapping_text("term_map").alias("terms"))
+
+
+def q_glossary_restore(spark, d):
+    p = protect_terms(_sentences(spark, d), "sentence", _glossary(spark))
+    return p.select("doc_id", "pos", restore_terms("protected", "term_map").alias("restored"))
+
+
+def q_memory_lookup(spark, d):
+    return memory_lookup(_sentences(spark, d), _memory(spark, d))
+
+
+def q_memory_pending(spark, d):
+    return pending_sentences(_sentences(spark, d), _memory(spark, d))
+
+
+def q_cache_hits(spark, d):
+    return cache_hits(_sentences(spark, d), _memory(spark, d))
+
+
+def q_memory_upsert(spark, d):
+    pending = pending_sentences(_sentences(spark, d), _memory(spark, d))
+    new = pending.select(F.col("sentence").alias("source"),
+                         fx.reverse_words("sentence").alias("translation"))
+    return memory_upsert(_memory(spark, d), new)
+
+
+def _translate(spark, d, **kw):
+    return translate_documents(_sentences(spark, d), ReverseWordsPredictor(),
+                               glossary=_glossary(spark), memory=_memory(spark, d), **kw)
+
+
+def q_translate_docs(spark, d):
+    return _translate(spark, d).translations
+
+
+def q_translate_stats(spark, d):
+    return _translate(spark, d).stats
+
+
+def q_translate_memory(spark, d):
+    return _translate(spark, d).memory
+
+
+def q_translate_nocache(spark, d):
+    return _translate(spark, d, cache_enabled=False, glossary_enabled=False).translations
+
+
+def q_translated_documents(spark, d):
+    return reassemble(_translate(spark, d).translations)
+
+
+def _systems(spark, d):
+    s = fx.sentences_with_lang(_docs(spark, d))
+    base = s.select("doc_id", "pos", "lang", F.lit("baseline").alias("system"),
+                    fx.reverse_words("sentence").alias("hypothesis"),
+                    F.col("sentence").alias("reference"))
+    p = protect_terms(s, "sentence", _glossary(spark))
+    fine = p.select("doc_id", "pos", "lang", F.lit("finetuned").alias("system"),
+                    restore_terms("protected", "term_map").alias("hypothesis"),
+                    F.col("sentence").alias("reference"))
+    return base.unionByName(fine)
+
+
+def q_bleu_by_lang(spark, d):
+    return corpus_bleu(_systems(spark, d), id_cols=("doc_id", "pos"),
+                       group_cols=("system", "lang"), digits=6)
+
+
+def q_evaluate_systems(spark, d):
+    return evaluate_systems(_systems(spark, d), id_cols=("doc_id", "pos"), digits=6)
+
+
+def q_align_lines(spark, d):
+    p = _pairs(spark, d)
+    hyp = p.select("line_no", fx.reverse_words("source").alias("hypothesis"))
+    ref = p.select("line_no", F.col("target").alias("reference"))
+    return align_lines(hyp, ref)
+
+
+def _runs(spark, d):
+    return throughput(fx.runs_from_events(fx.load_table(spark, d, "events")))
+
+
+def q_throughput(spark, d):
+    return _runs(spark, d).select("row_no", "mode", "model_type", "elapsed_time", "num_sentences",
+                                  "sent_per_sec")
+
+
+def q_best_run(spark, d):
+    return best_rows(_runs(spark, d), "sent_per_sec").select(
+        "mode", "row_no", "model_type", "batch_size", "beam_size", "sent_per_sec")
+
+
+def q_model_compare(spark, d):
+    return model_compare(_runs(spark, d))
+
+
+def q_cache_compare(spark, d):
+    return cache_compare(_runs(spark, d))
+
+
+def q_metrics_rows(spark, d):
+    bleu = evaluate_systems(_systems(spark, d), id_cols=("doc_id", "pos"))
+    pair = bleu.agg(F.max(F.when(F.col("system") == "baseline", F.col("bleu"))).alias("baseline_bleu"),
+                    F.max(F.when(F.col("system") == "finetuned", F.col("bleu"))).alias("finetuned_bleu"))
+    return metrics_rows(pair, _runs(spark, d))
+
+
+def q_run_series(spark, d):
+    return run_series(_runs(spark, d), "batch_compare", "batch_size")
+
+
+def q_highlights(spark, d):
+    return highlights(_runs(spark, d))
+
+
+def q_repeat_rows(spark, d):
+    return repeat_rows(_sentences(spark, d), 6)
+
+
 QUERIES: dict[str, Query] = {
     "pairs_clean": q_pairs_clean,
     "clean_audit": q_clean_audit,
@@ -86,4 +243,29 @@ QUERIES: dict[str, Query] = {
     "prepare_corpus": q_prepare_corpus,
     "corpus_summary": q_corpus_summary,
     "conversation_corpus": q_conversation_corpus,
+    "vocab_src": q_vocab_src,
+    "vocab_tgt": q_vocab_tgt,
+    "sentences": q_sentences,
+    "glossary_protect": q_glossary_protect,
+    "glossary_restore": q_glossary_restore,
+    "memory_lookup": q_memory_lookup,
+    "memory_pending": q_memory_pending,
+    "cache_hits": q_cache_hits,
+    "memory_upsert": q_memory_upsert,
+    "translate_docs": q_translate_docs,
+    "translate_stats": q_translate_stats,
+    "translate_memory": q_translate_memory,
+    "translate_nocache": q_translate_nocache,
+    "translated_documents": q_translated_documents,
+    "bleu_by_lang": q_bleu_by_lang,
+    "evaluate_systems": q_evaluate_systems,
+    "align_lines": q_align_lines,
+    "throughput": q_throughput,
+    "best_run": q_best_run,
+    "model_compare": q_model_compare,
+    "cache_compare": q_cache_compare,
+    "metrics_rows": q_metrics_rows,
+    "run_series": q_run_series,
+    "highlights": q_highlights,
+    "repeat_rows": q_repeat_rows,
 }
