@@ -50,12 +50,13 @@ def bleu_stats(df: DataFrame, hyp_col: str = "hypothesis", ref_col: str = "refer
     toks = df.select(*group_cols, *id_cols, tokenize_13a(hyp_col).alias("_h"),
                      tokenize_13a(ref_col).alias("_r"))
 
+    def tag(n: int, h: int):
+        # One-argument lambda: ``transform`` passes the index to two-argument ones.
+        return lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"),
+                                  F.lit(h).alias("hc"), F.lit(1 - h).alias("rc"))
+
     def tagged(col: str, h: int) -> Column:
-        parts = [F.transform(ngrams(col, n), lambda g, n=n: F.struct(F.lit(n).alias("n"), g.alias("gram"),
-                                                                      F.lit(h).alias("hc"),
-                                                                      F.lit(1 - h).alias("rc")))
-                 for n in range(1, MAX_ORDER + 1)]
-        return F.concat(*parts)
+        return F.concat(*[F.transform(ngrams(col, n), tag(n, h)) for n in range(1, MAX_ORDER + 1)])
 
     grams = toks.select(*group_cols, *id_cols,
                         F.inline(F.concat(tagged("_h", 1), tagged("_r", 0))))

@@ -159,3 +159,311 @@ FROM split GROUP BY split"""
 
 ORACLES["conversation_corpus"] = _with(CONV_PAIRS, CLEANED, PREPARED, _exact_split("prepared_in")) + """
 SELECT * FROM split"""
+
+
+# --- sentences, glossary, memory, translation --------------------------------
+
+def _segment(src: str, text: str, keep: str) -> str:
+    """Rows ``(keep..., pos, sentence)`` of ``src``: split after . ! ? + spaces
+    or on line breaks, trim, drop empties."""
+    return f"""
+  SELECT {keep}, unnest(range(len(parts)))::INTEGER AS pos, unnest(parts) AS sentence
+  FROM (SELECT {keep},
+               list_filter(list_transform(
+                 regexp_split_to_array(regexp_replace(trim({text}), '([.!?])\\s+', '\\1' || chr(10), 'g'),
+                                       '\\r?\\n+'),
+                 lambda x: trim(x)), lambda x: x <> '') AS parts
+        FROM {src})"""
+
+
+SENTENCES = f"\nsentences AS ({_segment('documents', 'text', 'doc_id, lang')}\n)"
+MEMORY = f"""
+bench_sent AS ({_segment('benchmark', 'text', 'item_id')}
+),
+memory AS (SELECT DISTINCT sentence AS source, '[tm] ' || sentence AS translation FROM bench_sent)"""
+
+
+def _re2_escape(term: str) -> str:
+    return "".join("\\" + ch if ch in ".^$*+?()[]{}|\\" else ch for ch in term)
+
+
+def _sorted_glossary():
+    items = sorted(DEMO_GLOSSARY, key=lambda r: r[0])
+    items.sort(key=lambda r: -len(r[1]))
+    return [(s, t) for _, s, t in items]
+
+
+GLOSSARY = _sorted_glossary()
+
+
+def _protect_ctes(src: str, text: str, keys: str) -> str:
+    """CTEs p0..pN; pN has ``keys, t`` (protected text) and flags m0..m(N-1)."""
+    ctes = [f"\np0 AS (SELECT {keys}, {text} AS t FROM {src})"]
+    flags: list[str] = []
+    for i, (term, _t) in enumerate(GLOSSARY):
+        pat = _re2_escape(term).replace("'", "''")
+        prev = ", ".join(flags)
+        carry = (prev + ", ") if prev else ""
+        ctes.append(f"\np{i + 1} AS (SELECT {keys}, {carry}regexp_matches(t, '{pat}', 'i') AS m{i}, "
+                    f"regexp_replace(t, '{pat}', '__TERM_{i}__', 'gi') AS t FROM p{i})")
+        flags.append(f"m{i}")
+    return ",".join(ctes)
+
+
+def _restore(expr: str) -> str:
+    for i, (_s, target) in enumerate(GLOSSARY):
+        expr = f"replace({expr}, '__TERM_{i}__', '{target}')"
+    return expr
+
+
+def _terms_text() -> str:
+    parts = [f"CASE WHEN m{i} THEN '__TERM_{i}__={t}' END" for i, (_s, t) in enumerate(GLOSSARY)]
+    return "concat_ws('|', " + ", ".join(parts) + ")"
+
+
+def _reverse(x: str) -> str:
+    return f"array_to_string(list_reverse(string_split({x}, ' ')), ' ')"
+
+
+PN = f"p{len(GLOSSARY)}"
+
+ORACLES["sentences"] = _with(SENTENCES) + """
+SELECT doc_id, pos, sentence FROM sentences"""
+
+ORACLES["glossary_protect"] = _with(SENTENCES, _protect_ctes("sentences", "sentence", "doc_id, pos")) + f"""
+SELECT doc_id, pos, t AS protected, {_terms_text()} AS terms FROM {PN}"""
+
+ORACLES["glossary_restore"] = _with(SENTENCES, _protect_ctes("sentences", "sentence", "doc_id, pos")) + f"""
+SELECT doc_id, pos, {_restore('t')} AS restored FROM {PN}"""
+
+ORACLES["memory_lookup"] = _with(SENTENCES, MEMORY) + """
+SELECT s.doc_id, s.pos, s.sentence, m.translation AS memory_translation, m.source IS NOT NULL AS hit
+FROM sentences s LEFT JOIN memory m ON m.source = s.sentence"""
+
+PENDING = """
+pending AS (SELECT DISTINCT sentence FROM sentences s
+            WHERE NOT EXISTS (SELECT 1 FROM memory m WHERE m.source = s.sentence))"""
+
+ORACLES["memory_pending"] = _with(SENTENCES, MEMORY, PENDING) + """
+SELECT sentence FROM pending"""
+
+STATS_SQL = """
+SELECT (SELECT count(*) FROM sentences)::BIGINT AS positions,
+       ((SELECT count(*) FROM sentences) - (SELECT count(*) FROM pending))::BIGINT AS hits,
+       (SELECT count(*) FROM pending)::BIGINT AS pending"""
+
+ORACLES["cache_hits"] = _with(SENTENCES, MEMORY, PENDING) + STATS_SQL
+
+ORACLES["memory_upsert"] = _with(SENTENCES, MEMORY, PENDING) + f"""
+SELECT source, translation FROM memory
+UNION ALL SELECT sentence, {_reverse('sentence')} FROM pending"""
+
+FRESH = ",".join([_protect_ctes("pending", "sentence", "sentence"),
+                  f"\nfresh AS (SELECT sentence, {_restore(_reverse('t'))} AS translation FROM {PN})"])
+
+ORACLES["translate_docs"] = _with(SENTENCES, MEMORY, PENDING, FRESH) + """
+SELECT s.doc_id, s.pos, s.sentence,
+       CASE WHEN m.source IS NOT NULL THEN m.translation ELSE f.translation END AS translation,
+       m.source IS NOT NULL AS hit
+FROM sentences s LEFT JOIN memory m ON m.source = s.sentence
+LEFT JOIN fresh f ON f.sentence = s.sentence"""
+
+ORACLES["translate_stats"] = _with(SENTENCES, MEMORY, PENDING) + STATS_SQL
+
+ORACLES["translate_memory"] = _with(SENTENCES, MEMORY, PENDING, FRESH) + """
+SELECT source, translation FROM memory
+UNION ALL SELECT sentence AS source, translation FROM fresh"""
+
+ORACLES["translate_nocache"] = _with(SENTENCES) + f"""
+SELECT doc_id, pos, sentence, {_reverse('sentence')} AS translation, false AS hit FROM sentences"""
+
+ORACLES["translated_documents"] = _with(SENTENCES, MEMORY, PENDING, FRESH) + """
+SELECT doc_id, string_agg(coalesce(translation, ''), chr(10) ORDER BY pos) AS translation
+FROM (SELECT s.doc_id, s.pos,
+             CASE WHEN m.source IS NOT NULL THEN m.translation ELSE f.translation END AS translation
+      FROM sentences s LEFT JOIN memory m ON m.source = s.sentence
+      LEFT JOIN fresh f ON f.sentence = s.sentence)
+GROUP BY doc_id"""
+
+# --- BLEU -----------------------------------------------------------------------
+
+def _tok13a(x: str) -> str:
+    e = x
+    for a, b in (("<skipped>", ""), ("-' || chr(10) || '", ""), ("' || chr(10) || '", " ")):
+        e = f"replace({e}, '{a}', '{b}')"
+    for a, b in (("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):
+        e = f"replace({e}, '{a}', '{b}')"
+    e = f"(' ' || {e} || ' ')"
+    rules = ((r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", r" \1 "), (r"([^0-9])([\.,])", r"\1 \2 "),
+             (r"([\.,])([^0-9])", r" \1 \2"), (r"([0-9])(-)", r"\1 \2 "))
+    for pat, rep in rules:
+        e = f"regexp_replace({e}, '{pat}', '{rep}', 'g')"
+    return (f"(CASE WHEN trim({e}) = '' THEN []::VARCHAR[] "
+            f"ELSE regexp_split_to_array(trim({e}), '\\s+') END)")
+
+
+SYSTEMS = ",".join([
+    SENTENCES,
+    _protect_ctes("sentences", "sentence", "doc_id, pos, lang, sentence"),
+    f"""
+systems AS (
+  SELECT doc_id, pos, lang, 'baseline' AS system, {_reverse('sentence')} AS hyp, sentence AS ref FROM sentences
+  UNION ALL
+  SELECT doc_id, pos, lang, 'finetuned', {_restore('t')}, sentence FROM {PN}
+),
+toks AS (SELECT doc_id, pos, lang, system, {_tok13a('hyp')} AS h, {_tok13a('ref')} AS r FROM systems),
+orders AS (SELECT unnest([1, 2, 3, 4]) AS n),
+grams AS (
+  SELECT system, lang, doc_id, pos, n, 1 AS hc, 0 AS rc,
+         unnest(list_transform(range(1, len(h) - n + 2), lambda i: array_to_string(h[i:i + n - 1], ' '))) AS gram
+  FROM toks, orders WHERE len(h) >= n
+  UNION ALL
+  SELECT system, lang, doc_id, pos, n, 0, 1,
+         unnest(list_transform(range(1, len(r) - n + 2), lambda i: array_to_string(r[i:i + n - 1], ' ')))
+  FROM toks, orders WHERE len(r) >= n
+),
+per_gram AS (SELECT system, lang, doc_id, pos, n, gram, sum(hc) AS h, sum(rc) AS r
+             FROM grams GROUP BY ALL)"""])
+
+
+def _stats_select(group: str) -> str:
+    cols = []
+    for n in range(1, 5):
+        cols.append(f"coalesce(sum(least(h, r)) FILTER (WHERE n = {n}), 0)::BIGINT AS correct_{n}")
+    for n in range(1, 5):
+        cols.append(f"coalesce(sum(h) FILTER (WHERE n = {n}), 0)::BIGINT AS total_{n}")
+    cols.append("coalesce(sum(h) FILTER (WHERE n = 1), 0)::BIGINT AS sys_len")
+    cols.append("coalesce(sum(r) FILTER (WHERE n = 1), 0)::BIGINT AS ref_len")
+    return f"SELECT {group}, " + ", ".join(cols) + f" FROM per_gram GROUP BY {group}"
+
+
+def _bleu_expr() -> str:
+    zs, logs = [], []
+    for n in range(1, 5):
+        zs.append(f"(correct_{n} = 0)::INTEGER")
+        z = " + ".join(zs)
+        logs.append(f"ln(CASE WHEN correct_{n} = 0 THEN 100.0 / (pow(2.0, {z}) * total_{n}) "
+                    f"ELSE 100.0 * correct_{n} / total_{n} END)")
+    bp = "(CASE WHEN sys_len >= ref_len THEN 1.0 ELSE exp(1.0 - ref_len::DOUBLE / sys_len::DOUBLE) END)"
+    return (f"(CASE WHEN total_4 = 0 OR sys_len = 0 THEN 0.0 "
+            f"ELSE {bp} * exp(({' + '.join(logs)}) / 4.0) END)")
+
+
+ORACLES["bleu_by_lang"] = _with(SYSTEMS) + f"""
+SELECT *, round({_bleu_expr()}, 6) AS bleu FROM ({_stats_select('system, lang')})"""
+
+ORACLES["evaluate_systems"] = _with(SYSTEMS) + f"""
+SELECT *, round({_bleu_expr()}, 6) AS bleu FROM ({_stats_select('system')})"""
+
+ORACLES["align_lines"] = _with(RAW_PAIRS) + f"""
+SELECT line_no, {_reverse('source')} AS hypothesis, target AS reference FROM raw_pairs"""
+
+# --- runs and reports ------------------------------------------------------------
+
+_MODE_CASE = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in EVENT_MODES.items()) + " END"
+
+RUNS = f"""
+runs AS (
+  SELECT event_id AS row_no, {_MODE_CASE} AS mode,
+         CASE WHEN user_id % 2 = 0 THEN 'baseline' ELSE 'finetuned' END AS model_type,
+         [1, 4, 8][event_id % 3 + 1]::INTEGER AS batch_size,
+         [1, 3, 5][event_id % 3 + 1]::INTEGER AS beam_size,
+         event_id % 2 = 0 AS glossary_enabled, user_id % 2 = 1 AS cache_enabled,
+         round(value, 6) AS elapsed_time, (event_id % 50 + 1)::INTEGER AS num_sentences,
+         CASE WHEN value > 0 THEN round((event_id % 50 + 1) / value, 4) ELSE 0.0 END AS sent_per_sec,
+         (CASE WHEN user_id % 2 = 1 THEN event_id % 50 + 1 ELSE 0 END)::INTEGER AS cache_hits
+  FROM events
+)"""
+
+ORACLES["throughput"] = _with(RUNS) + """
+SELECT row_no, mode, model_type, elapsed_time, num_sentences, sent_per_sec FROM runs"""
+
+BEST = """
+best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY mode ORDER BY {m} DESC, row_no) AS rn FROM runs)
+  WHERE rn = 1
+)"""
+
+ORACLES["best_run"] = _with(RUNS, BEST.format(m="sent_per_sec")) + """
+SELECT mode, row_no, model_type, batch_size, beam_size, sent_per_sec FROM best"""
+
+MODEL_CMP = """
+mc AS (
+  SELECT b.sent_per_sec AS baseline_sent_per_sec, f.sent_per_sec AS finetuned_sent_per_sec,
+         CASE WHEN b.sent_per_sec = 0 THEN 0.0 ELSE (f.sent_per_sec - b.sent_per_sec) / b.sent_per_sec * 100.0 END AS speed_change_pct,
+         b.elapsed_time AS baseline_elapsed_time, f.elapsed_time AS finetuned_elapsed_time,
+         CASE WHEN b.elapsed_time = 0 THEN 0.0 ELSE (f.elapsed_time - b.elapsed_time) / b.elapsed_time * 100.0 END AS latency_change_pct
+  FROM (SELECT * FROM runs WHERE mode = 'model_compare' AND model_type = 'baseline' ORDER BY row_no LIMIT 1) b,
+       (SELECT * FROM runs WHERE mode = 'model_compare' AND model_type = 'finetuned' ORDER BY row_no LIMIT 1) f
+)"""
+
+CACHE_CMP = """
+cc AS (
+  SELECT o.sent_per_sec AS cache_off_sent_per_sec, n.sent_per_sec AS cache_on_sent_per_sec,
+         CASE WHEN o.sent_per_sec = 0 THEN 0.0 ELSE (n.sent_per_sec - o.sent_per_sec) / o.sent_per_sec * 100.0 END AS cache_speedup_pct,
+         o.elapsed_time AS cache_off_elapsed_time, n.elapsed_time AS cache_on_elapsed_time,
+         CASE WHEN o.elapsed_time = 0 THEN 0.0 ELSE (o.elapsed_time - n.elapsed_time) / o.elapsed_time * 100.0 END AS cache_latency_reduction_pct,
+         n.cache_hits::DOUBLE AS cache_hits
+  FROM (SELECT * FROM runs WHERE mode = 'cache_compare' AND NOT cache_enabled ORDER BY row_no LIMIT 1) o,
+       (SELECT * FROM runs WHERE mode = 'cache_compare' AND cache_enabled ORDER BY row_no LIMIT 1) n
+)"""
+
+ORACLES["model_compare"] = _with(RUNS, MODEL_CMP) + "\nSELECT * FROM mc"
+ORACLES["cache_compare"] = _with(RUNS, CACHE_CMP) + "\nSELECT * FROM cc"
+
+ORACLES["metrics_rows"] = _with(SYSTEMS, RUNS, MODEL_CMP, CACHE_CMP, f"""
+sys_bleu AS (SELECT system, {_bleu_expr()} AS bleu FROM ({_stats_select('system')})),
+bp AS (SELECT max(bleu) FILTER (WHERE system = 'baseline') AS baseline_bleu,
+              max(bleu) FILTER (WHERE system = 'finetuned') AS finetuned_bleu FROM sys_bleu)""") + """
+SELECT 'bleu' AS category, 'baseline_bleu' AS metric, round(baseline_bleu, 4) AS value, 'test set' AS notes FROM bp
+UNION ALL SELECT 'bleu', 'finetuned_bleu', round(finetuned_bleu, 4), 'test set' FROM bp
+UNION ALL SELECT 'bleu', 'bleu_improvement_pct',
+  round(CASE WHEN baseline_bleu = 0 THEN 0.0 ELSE (finetuned_bleu - baseline_bleu) / baseline_bleu * 100.0 END, 2),
+  '(finetuned-baseline)/baseline*100' FROM bp
+UNION ALL SELECT 'throughput', 'model_compare_speed_change_pct', round(speed_change_pct, 2), 'finetuned vs baseline sent_per_sec' FROM mc
+UNION ALL SELECT 'latency', 'model_compare_latency_change_pct', round(latency_change_pct, 2), 'finetuned vs baseline elapsed_time' FROM mc
+UNION ALL SELECT 'cache', 'cache_speedup_pct', round(cache_speedup_pct, 2), 'cache_on vs cache_off sent_per_sec' FROM cc
+UNION ALL SELECT 'cache', 'cache_latency_reduction_pct', round(cache_latency_reduction_pct, 2), '(off-on)/off*100' FROM cc
+UNION ALL SELECT 'cache', 'cache_hits', round(cache_hits, 0), 'cache_compare, cache_enabled=True' FROM cc"""
+
+ORACLES["run_series"] = _with(RUNS) + """
+SELECT model_type, batch_size AS x, elapsed_time, row_no FROM runs WHERE mode = 'batch_compare'"""
+
+
+def _best_label(mode: str, metric: str, key: str, label: str) -> str:
+    return (f"SELECT '{label}' AS label, '{key}' AS key, CAST({key} AS VARCHAR) AS key_value, "
+            f"{metric}::DOUBLE AS value FROM (SELECT * FROM runs WHERE mode = '{mode}' "
+            f"ORDER BY {metric} DESC, row_no LIMIT 1)")
+
+
+ORACLES["highlights"] = _with(RUNS, MODEL_CMP, CACHE_CMP) + "\n" + "\nUNION ALL ".join([
+    _best_label("model_compare", "sent_per_sec", "model_type", "fastest_model"),
+    _best_label("batch_compare", "sent_per_sec", "batch_size", "best_batch_throughput"),
+    _best_label("beam_compare", "sent_per_sec", "beam_size", "fastest_beam"),
+    _best_label("cache_compare", "cache_hits", "cache_enabled", "highest_cache_hits"),
+    "SELECT 'throughput_change_pct', 'model_compare', 'finetuned_vs_baseline', speed_change_pct FROM mc",
+    "SELECT 'cache_speedup_pct', 'cache_compare', 'on_vs_off', cache_speedup_pct FROM cc",
+])
+
+ORACLES["repeat_rows"] = _with(SENTENCES) + """
+SELECT doc_id, pos, sentence, c::INTEGER AS copy FROM sentences, range(6) t(c)"""
+
+# --- vocabulary --------------------------------------------------------------------
+
+
+def _vocab(side: str) -> str:
+    return ORACLE_PREP + f""",
+lines AS (SELECT line_no, string_split({side}, ' ') AS l FROM split WHERE split = 'train' AND {side} <> ''),
+occ AS (SELECT line_no, unnest(range(len(l))) AS p, unnest(l) AS token FROM lines),
+occ2 AS (SELECT * FROM occ WHERE token NOT IN ('<blank>', '<s>', '</s>', '<unk>')),
+firstl AS (SELECT token, count(*) AS cnt, min(line_no) AS fl FROM occ2 GROUP BY token),
+firstp AS (SELECT o.token, min(o.p) AS fp FROM occ2 o JOIN firstl f ON f.token = o.token AND o.line_no = f.fl
+           GROUP BY o.token)
+SELECT token, cnt AS count, (row_number() OVER (ORDER BY cnt DESC, fl, fp) + 4)::BIGINT AS rank
+FROM firstl JOIN firstp USING (token)
+UNION ALL SELECT * FROM (VALUES ('<blank>', 1000000, 1), ('<s>', 1000000, 2), ('</s>', 1000000, 3),
+                                ('<unk>', 1000000, 4)) v(token, count, rank)"""
+
+
+ORACLES["vocab_src"] = _vocab("source")
+ORACLES["vocab_tgt"] = _vocab("target")
