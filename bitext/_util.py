@@ -16,3 +16,18 @@ def require_columns(df, *names: str) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:
         raise ValueError(f"missing column(s) {missing}; got {df.columns}")
+
+
+def explode_rows(df, keep: list, array_col, names: tuple, with_pos: bool = False):
+    """Rows of ``array_col`` (with ``keep`` columns), empty arrays giving none.
+
+    Uses the *outer* generator and drops its NULL row afterwards: a plain
+    ``explode`` makes the optimizer infer ``size(array) > 0`` below the
+    generator, which re-evaluates an expensive array expression (regex
+    splits, n-grams) in the pushed-down filter.
+    """
+    if with_pos:
+        gen = F.posexplode_outer(array_col).alias(*names)
+    else:
+        gen = F.explode_outer(array_col).alias(*names)
+    return df.select(*keep, gen).filter(F.col(names[-1]).isNotNull())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .._util import as_col
@@ -17,8 +17,10 @@ UNESCAPES = (("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"))
 #  2. split period and comma unless preceded by a digit
 #  3. split period and comma unless followed by a digit
 #  4. split a dash preceded by a digit
+# (Rule 1's class also lists the space itself; padding a space with spaces
+# cannot change the tokens, so it is left out here.)
 RULES_13A = (
-    (r"([{-~\[-` -&(-+:-@/])", " $1 "),
+    (r"([{-~\[-`!-&(-+:-@/])", " $1 "),
     (r"([^0-9])([.,])", "$1 $2 "),
     (r"([.,])([^0-9])", " $1 $2"),
     (r"([0-9])(-)", "$1 $2 "),
@@ -27,8 +29,8 @@ MAX_ORDER = 4
 # ---------------------------------------------------------------------------
 
 
-def tokenize_13a(c) -> Column:
-    """Array of BLEU tokens for one line."""
+def normalize_13a(c) -> Column:
+    """The 13a rules as one string expression; tokens are its space-separated words."""
     line = F.coalesce(as_col(c), F.lit(""))
     line = F.replace(line, F.lit("<skipped>"), F.lit(""))
     line = F.replace(line, F.lit("-\n"), F.lit(""))
@@ -38,17 +40,46 @@ def tokenize_13a(c) -> Column:
     line = F.concat(F.lit(" "), line, F.lit(" "))
     for pattern, repl in RULES_13A:
         line = F.regexp_replace(line, pattern, repl)
-    line = F.regexp_replace(line, r"^" + WS_RUN + r"|" + WS_RUN + r"$", "")
-    return F.when(line == "", F.array().cast("array<string>")).otherwise(F.split(line, WS_RUN))
+    return line
+
+
+def split_ws(line) -> Column:
+    """Whitespace split; leading/trailing blanks give empty strings, removed."""
+    return F.array_remove(F.split(as_col(line), WS_RUN), "")
+
+
+def tokenize_13a(c) -> Column:
+    """Array of BLEU tokens for one line."""
+    return split_ws(normalize_13a(c))
 
 
 def ngrams(tokens, n: int) -> Column:
-    """All contiguous n-grams of a token array, joined by a space.
+    """All contiguous n-grams of a token array, joined by a space (column form).
 
-    Guarded: ``sequence(0, size-n)`` would count *down* on short rows.
+    Guarded: ``sequence(0, size-n)`` would count *down* on short rows. For
+    whole DataFrames ``with_ngrams`` uses the JVM n-gram transformer instead
+    of this interpreted lambda.
     """
     t = as_col(tokens)
     return F.when(F.size(t) >= n, F.transform(
         F.sequence(F.lit(0), F.size(t) - n),
         lambda i: F.array_join(F.slice(t, i + 1, n), " "),
     )).otherwise(F.array().cast("array<string>"))
+
+
+def with_ngrams(df: DataFrame, tokens_col: str, out_col: str, max_order: int = MAX_ORDER) -> DataFrame:
+    """Add ``out_col`` = all 1..max_order-grams of ``tokens_col`` (space-joined).
+
+    Orders 2..n come from Spark ML's ``NGram`` transformer (JVM side, no
+    per-element lambda); rows shorter than n give no n-grams.
+    """
+    from pyspark.ml.feature import NGram
+
+    parts = [F.col(tokens_col)]
+    tmp = []
+    for n in range(2, max_order + 1):
+        col = f"_{out_col}_{n}"
+        df = NGram(n=n, inputCol=tokens_col, outputCol=col).transform(df)
+        parts.append(F.col(col))
+        tmp.append(col)
+    return df.withColumn(out_col, F.concat(*parts)).drop(*tmp)

@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .._util import require_columns
-from ..functions.bleu_tokenize import MAX_ORDER, ngrams, tokenize_13a
+from pyspark.ml.feature import NGram
+
+from ..functions.bleu_tokenize import MAX_ORDER, normalize_13a, split_ws
 from ..functions.text import pct_change
 
 STAT_COLS = ([f"correct_{n}" for n in range(1, MAX_ORDER + 1)]
@@ -38,37 +40,63 @@ def bleu_stats(df: DataFrame, hyp_col: str = "hypothesis", ref_col: str = "refer
                id_cols=("line_no",), group_cols=()) -> DataFrame:
     """Sufficient statistics per group: ``correct_n``, ``total_n``, ``sys_len``, ``ref_len``.
 
-    Both sides are tokenised and exploded into tagged n-grams; one hash
-    aggregate by ``(group, id, n, gram)`` gives hypothesis and reference
-    counts (clipped match = least of the two), a second, tiny one sums per
-    group. Totals and lengths fall out of the same counts (hypothesis
-    unigrams = sys_len), so there is no join. The key includes the sentence
-    id and the gram, so no group is hot.
+    Per sentence and order n, the clipped match count is
+    ``sum_g min(count_hyp(g), count_ref(g))``. When either side's n-grams are
+    all distinct this equals ``size(array_intersect(hyp, ref))`` - a codegen
+    set operation on the row, no explode. Only (sentence, n) cases where
+    *both* sides repeat an n-gram are exploded and counted by a hash
+    aggregate keyed by ``(group, id, n, gram)``. Sentence rows are
+    hash-partitioned by ``(group, id)`` once, which already satisfies that
+    aggregate, so n-gram rows are never shuffled. Row-level counts travel on
+    one carrier row per sentence through the same aggregate, so the text is
+    tokenised once. The final per-group sum is a partial + tiny final step.
     """
     group_cols, id_cols = list(group_cols), list(id_cols)
     require_columns(df, hyp_col, ref_col, *id_cols, *group_cols)
-    toks = df.select(*group_cols, *id_cols, tokenize_13a(hyp_col).alias("_h"),
-                     tokenize_13a(ref_col).alias("_r"))
-
-    def tag(n: int, h: int):
-        # One-argument lambda: ``transform`` passes the index to two-argument ones.
-        return lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"),
-                                  F.lit(h).alias("hc"), F.lit(1 - h).alias("rc"))
-
-    def tagged(col: str, h: int) -> Column:
-        return F.concat(*[F.transform(ngrams(col, n), tag(n, h)) for n in range(1, MAX_ORDER + 1)])
-
-    grams = toks.select(*group_cols, *id_cols,
-                        F.inline(F.concat(tagged("_h", 1), tagged("_r", 0))))
-    per_gram = grams.groupBy(*group_cols, *id_cols, "n", "gram").agg(
-        F.sum("hc").alias("h"), F.sum("rc").alias("r"))
+    keys = group_cols + id_cols
+    # Staged projections: each 13a chain is evaluated once per side.
+    lines = df.select(*keys, normalize_13a(hyp_col).alias("_hl"), normalize_13a(ref_col).alias("_rl"))
+    toks = lines.select(*keys, split_ws("_hl").alias("_h1"), split_ws("_rl").alias("_r1"))
+    toks = toks.repartition(*[F.col(c) for c in keys])
+    for n in range(2, MAX_ORDER + 1):
+        toks = NGram(n=n, inputCol="_h1", outputCol=f"_h{n}").transform(toks)
+        toks = NGram(n=n, inputCol="_r1", outputCol=f"_r{n}").transform(toks)
+
+    empty = F.array().cast("array<string>")
+    row_stats, slow_h, slow_r = {}, [], []
+    for n in range(1, MAX_ORDER + 1):
+        h, r = F.col(f"_h{n}"), F.col(f"_r{n}")
+        both_dup = ((F.size(F.array_distinct(h)) < F.size(h))
+                    & (F.size(F.array_distinct(r)) < F.size(r)))
+        row_stats[f"_fast_{n}"] = F.when(both_dup, F.lit(0)).otherwise(F.size(F.array_intersect(h, r)))
+        row_stats[f"_tot_{n}"] = F.greatest(F.size("_h1") - (n - 1), F.lit(0))
+        slow_h.append(F.when(both_dup, h).otherwise(empty))
+        slow_r.append(F.when(both_dup, r).otherwise(empty))
+    row_stats["_sys"] = F.size("_h1")
+    row_stats["_ref"] = F.size("_r1")
+    staged = toks.select(*keys, *[v.alias(k) for k, v in row_stats.items()],
+                         F.concat(*slow_h).alias("_sh"), F.concat(*slow_r).alias("_sr"))
+    # Element 0 is the carrier (NULL gram); then hypothesis, then reference n-grams.
+    all_grams = F.concat(F.array(F.lit(None).cast("string")), F.col("_sh"), F.col("_sr"))
+    gen = staged.select(*keys, *row_stats.keys(), F.size("_sh").alias("_nh"),
+                        F.posexplode(all_grams).alias("_i", "gram"))
+    carrier = F.col("_i") == 0
+    is_h = ((F.col("_i") >= 1) & (F.col("_i") <= F.col("_nh"))).cast("int")
+    n_of = F.length("gram") - F.length(F.replace("gram", F.lit(" "), F.lit(""))) + 1
+    gen = gen.select(*keys, "gram", F.when(carrier, F.lit(0)).otherwise(n_of).alias("n"),
+                     is_h.alias("hc"), (F.lit(1) - is_h - carrier.cast("int")).alias("rc"),
+                     *[F.when(carrier, F.col(k)).otherwise(F.lit(0)).alias(k) for k in row_stats])
+    per_gram = gen.groupBy(*keys, "n", "gram").agg(
+        F.sum("hc").alias("h"), F.sum("rc").alias("r"),
+        *[F.sum(k).alias(k) for k in row_stats])
     aggs = []
     for n in range(1, MAX_ORDER + 1):
-        aggs.append(F.sum(F.when(F.col("n") == n, F.least("h", "r")).otherwise(0)).cast("long").alias(f"correct_{n}"))
+        slow = F.when(F.col("n") == n, F.least("h", "r")).otherwise(0)
+        aggs.append(F.sum(slow + F.col(f"_fast_{n}")).cast("long").alias(f"correct_{n}"))
     for n in range(1, MAX_ORDER + 1):
-        aggs.append(F.sum(F.when(F.col("n") == n, F.col("h")).otherwise(0)).cast("long").alias(f"total_{n}"))
-    aggs.append(F.sum(F.when(F.col("n") == 1, F.col("h")).otherwise(0)).cast("long").alias("sys_len"))
-    aggs.append(F.sum(F.when(F.col("n") == 1, F.col("r")).otherwise(0)).cast("long").alias("ref_len"))
+        aggs.append(F.sum(f"_tot_{n}").cast("long").alias(f"total_{n}"))
+    aggs.append(F.sum("_sys").cast("long").alias("sys_len"))
+    aggs.append(F.sum("_ref").cast("long").alias("ref_len"))
     if group_cols:
         return per_gram.groupBy(*group_cols).agg(*aggs)
     return per_gram.agg(*aggs)

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .._util import require_columns
+from .._util import explode_rows, require_columns
 from ..functions.text import pct_change, safe_float
 
 RUNS_SCHEMA = ("mode string, model_type string, batch_size int, beam_size int, "
@@ -41,8 +41,8 @@ def repeat_rows(df: DataFrame, k: int, copy_col: str = "copy") -> DataFrame:
     """Every row ``k`` times, numbered 0..k-1 (D3). A generator, not a join."""
     if k < 0:
         raise ValueError("k must be >= 0")
-    copies = F.posexplode(F.array_repeat(F.lit(True), int(k))).alias(copy_col, "_copy_flag")
-    return df.select("*", copies).drop("_copy_flag")
+    return explode_rows(df, ["*"], F.array_repeat(F.lit(True), int(k)),
+                        (copy_col, "_copy_flag"), True).drop("_copy_flag")
 
 
 def concat_runs(*frames: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .._util import require_columns
+from .._util import explode_rows, require_columns
 from ..functions.text import tokens
 
 # --- fixed values: reserved entries written first, each with this count -----
@@ -26,11 +26,11 @@ def token_counts(df: DataFrame, text_col: str, order_col: str = "line_no",
     """
     require_columns(df, text_col, order_col)
     toks = tokens(text_col)
-    counts = (df.select(F.explode(toks).alias("token"))
+    counts = (explode_rows(df, [], toks, ("token",))
                 .filter(~F.col("token").isin(*specials))
                 .groupBy("token").agg(F.count(F.lit(1)).alias("count")))
-    firsts = (df.select(F.col(order_col).alias("_line"),
-                        F.posexplode(F.array_distinct(toks)).alias("_pos", "token"))
+    firsts = (explode_rows(df, [F.col(order_col).alias("_line")], F.array_distinct(toks),
+                           ("_pos", "token"), True)
                 .filter(~F.col("token").isin(*specials))
                 .groupBy("token").agg(F.min("_line").alias("first_line"),
                                       F.min_by("_pos", "_line").alias("first_pos")))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .._util import require_columns
+from .._util import explode_rows, require_columns
 from ..functions.text import split_sentences
 from ..operators.glossary import MAPPING_TYPE, protect_terms, restore_terms
 from ..operators.memory import distinct_sentences, memory_upsert
@@ -25,7 +25,7 @@ class TranslationResult:
 def segment_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``(doc_id, pos, sentence)`` rows (P8 + W2)."""
     require_columns(docs, id_col, text_col)
-    return docs.select(id_col, F.posexplode(split_sentences(text_col)).alias("pos", "sentence"))
+    return explode_rows(docs, [id_col], split_sentences(text_col), ("pos", "sentence"), True)
 
 
 def translate_documents(sentences: DataFrame, predictor, glossary=None,

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import split_sentences
+from ..sources.layout import spread
+from .._util import explode_rows
 
 LINE_STRIDE = 1_000_000
 
@@ -48,7 +50,8 @@ BEAM_SIZES = (1, 3, 5)
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one driver table, spread over all cores if it arrives in few splits."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def pairs_from_documents(documents: DataFrame) -> DataFrame:
@@ -60,7 +63,8 @@ def pairs_from_documents(documents: DataFrame) -> DataFrame:
         lambda k: F.struct((k * 2 + 1).alias("i"),
                            F.element_at(lines, k * 2 + 1).alias("source"),
                            F.element_at(lines, k * 2 + 2).alias("target"))))
-    exploded = documents.select("doc_id", F.inline(pairs))
+    # inline_outer: a plain generator would re-split every text in an inferred filter.
+    exploded = documents.select("doc_id", F.inline_outer(pairs)).filter(F.col("i").isNotNull())
     return exploded.select(
         (F.col("doc_id") * LINE_STRIDE + F.col("i")).cast("long").alias("line_no"),
         F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit("_"), "source")).otherwise(F.col("source")).alias("source"),
@@ -81,12 +85,12 @@ def pairs_from_conversations(conversations: DataFrame) -> DataFrame:
 
 def sentences_from_documents(documents: DataFrame) -> DataFrame:
     """``(doc_id, pos, sentence)``; generator, no shuffle."""
-    return documents.select("doc_id", F.posexplode(split_sentences("text")).alias("pos", "sentence"))
+    return explode_rows(documents, ["doc_id"], split_sentences("text"), ("pos", "sentence"), True)
 
 
 def memory_from_benchmark(benchmark: DataFrame) -> DataFrame:
     """Translation memory ``(source, translation)`` with a unique key."""
-    sent = benchmark.select(F.explode(split_sentences("text")).alias("source"))
+    sent = explode_rows(benchmark, [], split_sentences("text"), ("source",))
     return sent.distinct().select("source", F.concat(F.lit("[tm] "), "source").alias("translation"))
 
 
@@ -121,5 +125,4 @@ def reverse_words(c) -> "F.Column":
 
 
 def sentences_with_lang(documents: DataFrame) -> DataFrame:
-    return documents.select("doc_id", "lang",
-                            F.posexplode(split_sentences("text")).alias("pos", "sentence"))
+    return explode_rows(documents, ["doc_id", "lang"], split_sentences("text"), ("pos", "sentence"), True)

@@ -6,6 +6,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+LOCAL_DRIVER_MEMORY = "16g"
+
 # Configs that hold at any scale. Shuffle partition counts are left to the
 # caller/cluster: AQE coalesces small ones and splits skewed ones at runtime.
 _DEFAULTS = {
@@ -29,6 +31,9 @@ def build_session(master: str | None = None, app_name: str = "bitext",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # Local mode: the driver JVM is the only executor.
+            builder = builder.config("spark.driver.memory", LOCAL_DRIVER_MEMORY)
     for key, value in _DEFAULTS.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
