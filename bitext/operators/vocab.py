@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .._util import explode_rows, require_columns
 from ..functions.text import tokens
+from ..session import reliable_checkpoint
 
 # --- fixed values: reserved entries written first, each with this count -----
 SPECIALS = ("<blank>", "<s>", "</s>", "<unk>")
@@ -63,15 +64,19 @@ def rank_tokens(counts: DataFrame, offset: int = 0, line_bucket: int = 1 << 24)
 
 def build_vocab(df: DataFrame, text_col: str, order_col: str = "line_no",
                 specials=SPECIALS, max_size: int | None = None,
-                line_bucket: int = 1 << 24) -> DataFrame:
+                line_bucket: int = 1 << 24, materialize: bool = True) -> DataFrame:
     """``(token, count, rank)``: specials first (count 1,000,000), then tokens by
     descending count, ties in first-seen order; specials found in the data are
     not counted again. ``max_size`` keeps the first ``max_size`` non-special
     entries (a top-k by rank, no extra sort).
     """
     spark: SparkSession = df.sparkSession
-    ranked = rank_tokens(token_counts(df, text_col, order_col, specials),
-                         offset=len(specials), line_bucket=line_bucket)
+    # Ranking reads the counts three times: checkpoint the (vocabulary-sized)
+    # table once rather than re-running the explode and both aggregates.
+    counts = token_counts(df, text_col, order_col, specials)
+    if materialize:
+        counts = reliable_checkpoint(counts)
+    ranked = rank_tokens(counts, offset=len(specials), line_bucket=line_bucket)
     if max_size is not None:
         ranked = ranked.filter(F.col("rank") <= len(specials) + int(max_size))
     head = spark.createDataFrame(

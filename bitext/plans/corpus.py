@@ -9,6 +9,7 @@ from .._util import require_columns
 from ..functions.text import normalize_space
 from ..operators.clean import clean_columns
 from ..operators.split import check_ratios, filter_and_split, keep_pair, split_pairs
+from ..session import reliable_checkpoint
 
 
 def prepare_corpus(pairs: DataFrame, seed: int = 42, train_ratio: float = 0.7,
@@ -16,7 +17,8 @@ def prepare_corpus(pairs: DataFrame, seed: int = 42, train_ratio: float = 0.7,
                    max_tokens: int = 80, max_length_ratio: float = 3.0,
                    mode: str = "exact", clean: bool = True,
                    source: str = "source", target: str = "target",
-                   order_col: str = "line_no", min_pairs: int = 10) -> DataFrame:
+                   order_col: str = "line_no", min_pairs: int = 10,
+                   materialize: bool = True) -> DataFrame:
     """Split-labelled pairs ``(line_no, source, target, split_key, split)``.
 
     One lazy plan with one row shuffle. Cleaning is a chain of projections;
@@ -24,7 +26,10 @@ def prepare_corpus(pairs: DataFrame, seed: int = 42, train_ratio: float = 0.7,
     depend only on the cleaned pair, so both ride through the de-duplication
     aggregate as ``max(flag)`` and are filtered on its output: each cleaning
     step runs once per row and no predicate drags the cleaning chain along.
-    The exact split then adds only a bounded per-key-prefix count.
+    The exact split then adds only a bounded per-key-prefix count; with
+    ``materialize`` (default) the de-duplicated pairs are checkpointed to the
+    shared checkpoint folder first (an eager job), so its two passes do not
+    repeat the cleaning.
     ``clean=False`` skips cleaning and de-duplication, as the reference allows.
     """
     check_ratios(train_ratio, valid_ratio)
@@ -44,6 +49,11 @@ def prepare_corpus(pairs: DataFrame, seed: int = 42, train_ratio: float = 0.7,
                    .filter("_valid AND _keep")
                    .select(order_col, normalize_space(source).alias(source),
                            normalize_space(target).alias(target)))
+    if mode == "exact" and materialize:
+        # The exact split reads its input twice (prefix counts, then labels):
+        # write the de-duplicated pairs once instead of re-running scan,
+        # cleaning and the de-duplication shuffle for each pass.
+        kept = reliable_checkpoint(kept)
     return split_pairs(kept, seed, train_ratio, valid_ratio, mode, source, target,
                        order_col, min_pairs)
 

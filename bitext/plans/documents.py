@@ -37,7 +37,8 @@ def translate_documents(sentences: DataFrame, predictor, glossary=None,
     Plan: distinct sentences (one map-side-combined aggregate) -> left join
     with memory on the distinct set -> protect -> model (Arrow batches) ->
     restore -> [checkpoint: the model runs once] -> one fan-out join back to
-    every position. The large side is shuffled once; the memory join and the
+    every position. The distinct set is checkpointed too (read by the model
+    step and the fan-out). The large side is shuffled once; the memory join and the
     model see distinct text only. Every position of a repeated sentence is
     filled (the reference leaves earlier copies empty with the cache off; not
     reproduced) and ``hits`` is 0 when the cache is off.
@@ -51,6 +52,9 @@ def translate_documents(sentences: DataFrame, predictor, glossary=None,
         d = d.join(mem, "sentence", "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
     else:
         d = d.withColumns({"_mem_t": F.lit(None).cast("string"), "hit": F.lit(False)})
+    if checkpoint:
+        # Both the model input and the fan-out read the distinct set.
+        d = reliable_checkpoint(d)
 
     pending = d.filter(~F.col("hit")).select("sentence")
     if glossary_enabled and glossary is not None:
