@@ -69,6 +69,24 @@ def _first_where(cond: str, cols: list[str]) -> Column:
     return F.expr(f"min_by(struct({fields}), row_no) FILTER (WHERE {cond})")
 
 
+def compare_runs(runs: DataFrame, mode: str, key: str, a, b,
+                 metrics=("sent_per_sec", "elapsed_time")) -> DataFrame:
+    """First run with ``key = a`` against the first with ``key = b`` in one
+    mode (J6): ``a_<m>``, ``b_<m>`` and ``<m>_change_pct`` (b vs a) per metric;
+    empty when either run is missing. One aggregate, no self-join."""
+    require_columns(runs, "mode", "row_no", key, *metrics)
+    r = runs_for_mode(runs, mode)
+    row = F.struct(*[F.col(m) for m in metrics])
+    pick = lambda v: F.min_by(F.when(F.col(key) == F.lit(v), row),
+                              F.when(F.col(key) == F.lit(v), F.col("row_no")))
+    p = r.agg(pick(a).alias("a"), pick(b).alias("b")).filter(F.col("a").isNotNull() & F.col("b").isNotNull())
+    cols = []
+    for m in metrics:
+        cols += [F.col(f"a.{m}").alias(f"a_{m}"), F.col(f"b.{m}").alias(f"b_{m}"),
+                 pct_change(f"b.{m}", f"a.{m}").alias(f"{m}_change_pct")]
+    return p.select(*cols)
+
+
 def model_compare(runs: DataFrame) -> DataFrame:
     """First baseline vs first finetuned ``model_compare`` run.
 

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from bitext.operators.bleu import align_lines, corpus_bleu, evaluate_systems
-from bitext.operators.runs import (best_rows, cache_compare, concat_runs, metrics_rows, model_compare,
+from bitext.operators.runs import (best_rows, cache_compare, compare_runs, concat_runs, metrics_rows,
+                                   model_compare,
                                    repeat_rows, run_series, throughput)
 
 _R = [(re.compile(r"([\{-\~\[-\` -\&\(-\+\:-\@\/])"), r" \1 "), (re.compile(r"([^0-9])([\.,])"), r"\1 \2 "),
@@ -114,6 +115,11 @@ def test_reports(spark):
     c = cache_compare(runs).first()
     assert round(c.cache_speedup_pct, 2) == 55449681.41
     assert c.cache_latency_reduction_pct == pytest.approx((2.606132 - 5e-06) / 2.606132 * 100)
+    g = compare_runs(runs, "model_compare", "model_type", "baseline", "finetuned").first()
+    assert (g.a_sent_per_sec, g.b_sent_per_sec) == (1.4237, 1.4304)
+    assert g.sent_per_sec_change_pct == m.speed_change_pct
+    assert compare_runs(runs, "cache_compare", "cache_enabled", False, True).first().b_sent_per_sec == 3829805.5027
+    assert compare_runs(runs, "beam_compare", "model_type", "baseline", "finetuned").count() == 0
     best = {r.mode: r.batch_size for r in best_rows(runs, "sent_per_sec").collect()}
     assert best["batch_compare"] == 8
     bp = spark.createDataFrame([(20.97, 21.03)], "baseline_bleu double, finetuned_bleu double")
