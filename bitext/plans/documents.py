@@ -22,6 +22,13 @@ class TranslationResult:
     stats: DataFrame          # one row (positions, hits, pending)
 
 
+def _parallelism(df: DataFrame) -> int:
+    try:
+        return df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - remote session
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def segment_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``(doc_id, pos, sentence)`` rows (P8 + W2)."""
     require_columns(docs, id_col, text_col)
@@ -31,7 +38,7 @@ def segment_documents(docs: DataFrame, text_col: str = "text", id_col: str = "do
 def translate_documents(sentences: DataFrame, predictor, glossary=None,
                         memory: DataFrame | None = None, glossary_enabled: bool = True,
                         cache_enabled: bool = True, batch_size: int = 4,
-                        checkpoint: bool = True) -> TranslationResult:
+                        checkpoint: bool = True, model_partitions: int | None = None) -> TranslationResult:
     """Segmented sentences -> translations, with glossary and translation memory.
 
     Plan: distinct sentences (one map-side-combined aggregate) -> left join
@@ -56,7 +63,10 @@ def translate_documents(sentences: DataFrame, predictor, glossary=None,
         # Both the model input and the fan-out read the distinct set.
         d = reliable_checkpoint(d)
 
-    pending = d.filter(~F.col("hit")).select("sentence")
+    # Model calls are CPU-bound on little data: size partitions by work, not
+    # bytes (AQE would pack the small distinct set into a few tasks).
+    parts = model_partitions or 4 * _parallelism(sentences)
+    pending = d.filter(~F.col("hit")).select("sentence").repartition(parts, "sentence")
     if glossary_enabled and glossary is not None:
         pending = protect_terms(pending, "sentence", glossary, "_in", "_map")
     else:

@@ -14,8 +14,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     has at least ``defaultParallelism`` partitions (any large input) this is
     a no-op and adds no shuffle.
     """
-    n = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= n:
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= n:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
         return df
     cols = [F.col(k) for k in keys] or [F.col(df.columns[0])]
     return df.repartition(n, *cols)
