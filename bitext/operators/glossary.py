@@ -63,7 +63,20 @@ def glossary_terms(glossary: DataFrame | list, max_terms: int = MAX_TERMS) -> li
                 items.append((i, s, t))
     items.sort(key=lambda x: x[0])
     items.sort(key=lambda x: -len(x[1]))
-    return [(s, t) for _, s, t in items]
+    terms = [(s, t) for _, s, t in items]
+    _warn_placeholder_overlap(terms)
+    return terms
+
+
+def _warn_placeholder_overlap(terms) -> None:
+    """Terms apply sequentially, so a later term can match inside an earlier
+    placeholder (e.g. the term ``term``); that is kept, but flagged."""
+    import warnings
+
+    phs = [placeholder(i).lower() for i in range(len(terms))]
+    for i, (s, _t) in enumerate(terms):
+        if any(s.lower() in ph for ph in phs[:i]):
+            warnings.warn(f"glossary term {s!r} can match inside an earlier placeholder", stacklevel=3)
 
 
 def protect_terms(df: DataFrame, text_col: str, glossary, out_col: str = "protected",

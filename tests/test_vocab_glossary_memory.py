@@ -112,3 +112,11 @@ def test_predictor_count_mismatch(spark):
     df = spark.createDataFrame([("a",), ("b",)], "s string")
     with pytest.raises(Exception):
         translate_batch(df, "s", lambda batch: []).collect()
+
+
+def test_placeholder_overlap_warns():
+    import warnings
+    with warnings.catch_warnings(record=True) as w:
+        warnings.simplefilter("always")
+        glossary_terms([("machine", "maquina"), ("term", "termino")])
+    assert any("placeholder" in str(x.message) for x in w)
