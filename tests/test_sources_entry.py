@@ -88,3 +88,29 @@ def test_entry_and_registry(spark):
 def test_queries_run_on_small_tables(spark, name):
     import __spark_entry__ as E
     assert E.queries()[name](spark, SF_SMALL).count() > 0
+
+
+def test_split_writers(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from bitext.operators.split import split_pairs
+    from bitext.sources.writers import write_split_text, write_splits
+    df = spark.range(200).select(F.col("id").alias("line_no"),
+                                 F.concat(F.lit("s"), F.col("id").cast("string")).alias("source"),
+                                 F.concat(F.lit("t"), F.col("id").cast("string")).alias("target"))
+    sp = split_pairs(df)
+    write_splits(sp, str(tmp_path / "parq"))
+    back = spark.read.parquet(str(tmp_path / "parq"))
+    assert {r.split: r["count"] for r in back.groupBy("split").count().collect()} == \
+        {"train": 140, "valid": 30, "test": 30}
+    for side in ("source", "target"):
+        write_split_text(sp, str(tmp_path / side), side)
+
+    def lines(side, split):
+        d = tmp_path / side / f"split={split}"
+        return [ln for f in sorted(os.listdir(d)) if f.startswith("part-")
+                for ln in open(d / f, encoding="utf-8").read().splitlines()]
+    src, tgt = lines("source", "test"), lines("target", "test")
+    assert len(src) == 30 and [s[1:] for s in src] == [t[1:] for t in tgt]
+    expect = [r.source for r in sorted(sp.filter("split = 'test'").collect(), key=lambda r: r.split_key)]
+    assert src == expect
