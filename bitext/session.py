@@ -18,6 +18,8 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Remove checkpoint files once the DataFrames referencing them are gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
