@@ -30,8 +30,15 @@ MAX_ORDER = 4
 
 
 def normalize_13a(c) -> Column:
-    """The 13a rules as one string expression; tokens are its space-separated words."""
-    line = F.coalesce(as_col(c), F.lit(""))
+    """The 13a rules as one string expression; tokens are its space-separated words.
+
+    The segment is right-stripped first, as the BLEU tool does before
+    tokenising (so a trailing ``-\n`` is not joined). The regex only runs when
+    the last character is whitespace.
+    """
+    raw = F.coalesce(as_col(c), F.lit(""))
+    ends_ws = F.substring(raw, -1, 1).rlike("^" + WS_RUN + "$")
+    line = F.when(ends_ws, F.regexp_replace(raw, WS_RUN + "$", "")).otherwise(raw)
     line = F.replace(line, F.lit("<skipped>"), F.lit(""))
     line = F.replace(line, F.lit("-\n"), F.lit(""))
     line = F.replace(line, F.lit("\n"), F.lit(" "))

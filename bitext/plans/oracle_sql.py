@@ -288,7 +288,7 @@ GROUP BY doc_id"""
 # --- BLEU -----------------------------------------------------------------------
 
 def _tok13a(x: str) -> str:
-    e = x
+    e = f"regexp_replace({x}, '\\s+$', '')"
     for a, b in (("<skipped>", ""), ("-' || chr(10) || '", ""), ("' || chr(10) || '", " ")):
         e = f"replace({e}, '{a}', '{b}')"
     for a, b in (("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):

@@ -17,7 +17,7 @@ _R = [(re.compile(r"([\{-\~\[-\` -\&\(-\+\:-\@\/])"), r" \1 "), (re.compile(r"([
 
 
 def tok(line):
-    line = line.replace("<skipped>", "").replace("-\n", "").replace("\n", " ")
+    line = line.rstrip().replace("<skipped>", "").replace("-\n", "").replace("\n", " ")
     for a, b in (("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):
         line = line.replace(a, b)
     line = f" {line} "
@@ -56,6 +56,7 @@ CASES = [
      ["the cat sat on a mat.", "a b c e", "Hello, world!", "1-2 3.5 x. y", "& fish <3"]),
     (["the the the the", "x y"], ["the cat the", "x y"]),
     (["short"], ["a much longer reference sentence here"]),
+    (["well-\nknown fact-\n", "trailing space  \t"], ["well-known fact-", "trailing space"]),
 ]
 
 
