@@ -467,3 +467,6 @@ UNION ALL SELECT * FROM (VALUES ('<blank>', 1000000, 1), ('<s>', 1000000, 2), ('
 
 ORACLES["vocab_src"] = _vocab("source")
 ORACLES["vocab_tgt"] = _vocab("target")
+
+ORACLES["pairs_csv_roundtrip"] = _with(RAW_PAIRS, CLEANED) + """
+SELECT source, target FROM cleaned WHERE valid GROUP BY source, target"""

@@ -228,6 +228,19 @@ def q_highlights(spark, d):
     return highlights(_runs(spark, d))
 
 
+def q_pairs_csv_roundtrip(spark, d):
+    """K1 -> S1: cleaned pairs written as CSV to a fresh folder under the shared
+    checkpoint directory (an eager write), then read back."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..sources.readers import read_pairs_csv
+    from ..sources.writers import write_pairs
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/roundtrip-{uuid.uuid4().hex}"
+    write_pairs(clean_pairs(_pairs(spark, d)), path, fmt="csv")
+    return read_pairs_csv(spark, path).select("source", "target")
+
+
 def q_repeat_rows(spark, d):
     return repeat_rows(_sentences(spark, d), 6)
 
@@ -268,4 +281,5 @@ QUERIES: dict[str, Query] = {
     "run_series": q_run_series,
     "highlights": q_highlights,
     "repeat_rows": q_repeat_rows,
+    "pairs_csv_roundtrip": q_pairs_csv_roundtrip,
 }
