@@ -470,3 +470,18 @@ ORACLES["vocab_tgt"] = _vocab("target")
 
 ORACLES["pairs_csv_roundtrip"] = _with(RAW_PAIRS, CLEANED) + """
 SELECT source, target FROM cleaned WHERE valid GROUP BY source, target"""
+
+ORACLES["compare_beams"] = _with(RUNS) + """
+SELECT a.sent_per_sec AS a_sent_per_sec, b.sent_per_sec AS b_sent_per_sec,
+       CASE WHEN a.sent_per_sec = 0 THEN 0.0 ELSE (b.sent_per_sec - a.sent_per_sec) / a.sent_per_sec * 100.0 END
+         AS sent_per_sec_change_pct,
+       a.elapsed_time AS a_elapsed_time, b.elapsed_time AS b_elapsed_time,
+       CASE WHEN a.elapsed_time = 0 THEN 0.0 ELSE (b.elapsed_time - a.elapsed_time) / a.elapsed_time * 100.0 END
+         AS elapsed_time_change_pct
+FROM (SELECT * FROM runs WHERE mode = 'beam_compare' AND beam_size = 1 ORDER BY row_no LIMIT 1) a,
+     (SELECT * FROM runs WHERE mode = 'beam_compare' AND beam_size = 5 ORDER BY row_no LIMIT 1) b"""
+
+ORACLES["fan_out"] = _with(SENTENCES, MEMORY, PENDING) + f"""
+SELECT s.doc_id, s.pos, s.sentence, p.translation
+FROM sentences s LEFT JOIN (SELECT sentence, {_reverse('sentence')} AS translation FROM pending) p
+  ON p.sentence = s.sentence"""

@@ -17,8 +17,8 @@ from ..operators.clean import clean_audit, clean_pairs
 from ..operators.split import keep_pair, normalize_pairs, preprocess_audit, split_pairs
 from ..operators.bleu import align_lines, corpus_bleu, evaluate_systems
 from ..operators.glossary import mapping_text, protect_terms, restore_terms
-from ..operators.memory import cache_hits, memory_lookup, memory_upsert, pending_sentences
-from ..operators.runs import (best_rows, cache_compare, highlights, metrics_rows, model_compare,
+from ..operators.memory import cache_hits, fan_out, memory_lookup, memory_upsert, pending_sentences
+from ..operators.runs import (best_rows, cache_compare, compare_runs, highlights, metrics_rows, model_compare,
                               repeat_rows, run_series, throughput)
 from ..operators.translate import ReverseWordsPredictor
 from ..operators.vocab import build_vocab
@@ -241,6 +241,16 @@ def q_pairs_csv_roundtrip(spark, d):
     return read_pairs_csv(spark, path).select("source", "target")
 
 
+def q_compare_beams(spark, d):
+    return compare_runs(_runs(spark, d), "beam_compare", "beam_size", 1, 5)
+
+
+def q_fan_out(spark, d):
+    pending = pending_sentences(_sentences(spark, d), _memory(spark, d))
+    results = pending.select("sentence", fx.reverse_words("sentence").alias("translation"))
+    return fan_out(_sentences(spark, d), results)
+
+
 def q_repeat_rows(spark, d):
     return repeat_rows(_sentences(spark, d), 6)
 
@@ -282,4 +292,6 @@ QUERIES: dict[str, Query] = {
     "highlights": q_highlights,
     "repeat_rows": q_repeat_rows,
     "pairs_csv_roundtrip": q_pairs_csv_roundtrip,
+    "compare_beams": q_compare_beams,
+    "fan_out": q_fan_out,
 }
