@@ -51,7 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     The cluster names a shared folder there; it is read from the session and
-    only set here when nothing is configured (local tests).
+    only set here when nothing is configured in local mode (tests). On a
+    cluster an unset folder is an error, never a machine-local fallback.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -62,6 +63,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not configured:
+        if not sc.master.startswith("local"):
+            # Executors can be lost; a machine-local folder would not survive it.
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/object storage)")
         configured = tempfile.mkdtemp(prefix="bitext-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
