@@ -58,6 +58,51 @@ def prepare_corpus(pairs: DataFrame, seed: int = 42, train_ratio: float = 0.7,
                        order_col, min_pairs)
 
 
+def prepare_corpus_with_audit(pairs: DataFrame, seed: int = 42, train_ratio: float = 0.7,
+                              valid_ratio: float = 0.15, min_tokens: int = 2,
+                              max_tokens: int = 80, max_length_ratio: float = 3.0,
+                              mode: str = "exact", source: str = "source",
+                              target: str = "target", order_col: str = "line_no",
+                              min_pairs: int = 10) -> tuple[DataFrame, DataFrame]:
+    """``(split pairs, audit)`` from one pass over the raw pairs (U3 + A1 + A2).
+
+    The cleaned rows are grouped once per cleaned pair, keeping the copy count,
+    the modified count and the validity / non-empty / length flags, and that
+    group table is checkpointed (eager). The split and a one-row audit
+    (``input_rows output_rows modified_rows dropped_invalid dropped_dup loaded
+    dropped_by_filter``) are both derived from it, so the raw data is scanned
+    and cleaned once, like the reference's single pass with counters.
+    """
+    check_ratios(train_ratio, valid_ratio)
+    require_columns(pairs, source, target, order_col)
+    cleaned = clean_columns(pairs, source, target)
+    ns, nt = normalize_space(source), normalize_space(target)
+    cleaned = cleaned.withColumns({
+        "_nonempty": (ns != "") & (nt != ""),
+        "_keep": (ns != "") & (nt != "")
+        & keep_pair(ns, nt, min_tokens, max_tokens, max_length_ratio, normalized=True)})
+    groups = cleaned.groupBy(source, target).agg(
+        F.min(order_col).alias(order_col), F.count(F.lit(1)).alias("_n"),
+        F.count_if("modified").alias("_n_mod"), F.max("valid").alias("_valid"),
+        F.max("_nonempty").alias("_nonempty"), F.max("_keep").alias("_keep"))
+    groups = reliable_checkpoint(groups)
+    valid = F.col("_valid")
+    audit = groups.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("input_rows"),
+        F.count_if(valid).cast("long").alias("output_rows"),
+        F.coalesce(F.sum("_n_mod"), F.lit(0)).cast("long").alias("modified_rows"),
+        F.coalesce(F.sum(F.when(~valid, F.col("_n"))), F.lit(0)).cast("long").alias("dropped_invalid"),
+        F.coalesce(F.sum(F.when(valid, F.col("_n") - 1)), F.lit(0)).cast("long").alias("dropped_dup"),
+        F.count_if(valid & F.col("_nonempty")).cast("long").alias("loaded"),
+        F.count_if(valid & F.col("_nonempty") & ~F.col("_keep")).cast("long").alias("dropped_by_filter"))
+    kept = (groups.filter(valid & F.col("_keep"))
+                  .select(order_col, normalize_space(source).alias(source),
+                          normalize_space(target).alias(target)))
+    split = split_pairs(kept, seed, train_ratio, valid_ratio, mode, source, target,
+                        order_col, min_pairs)
+    return split, audit
+
+
 def split_summary(split: DataFrame, source: str = "source", target: str = "target") -> DataFrame:
     """Per split: pairs and token totals (sides are normalised, so tokens = spaces + 1)."""
     ntok = lambda c: F.size(F.split(F.col(c), " "))

@@ -485,3 +485,21 @@ ORACLES["fan_out"] = _with(SENTENCES, MEMORY, PENDING) + f"""
 SELECT s.doc_id, s.pos, s.sentence, p.translation
 FROM sentences s LEFT JOIN (SELECT sentence, {_reverse('sentence')} AS translation FROM pending) p
   ON p.sentence = s.sentence"""
+
+ORACLES["corpus_audit"] = _with(RAW_PAIRS, CLEANED) + f"""
+SELECT coalesce(sum(n), 0)::BIGINT AS input_rows,
+       (count(*) FILTER (WHERE valid))::BIGINT AS output_rows,
+       coalesce(sum(n_modified), 0)::BIGINT AS modified_rows,
+       coalesce(sum(n) FILTER (WHERE NOT valid), 0)::BIGINT AS dropped_invalid,
+       coalesce(sum(n - 1) FILTER (WHERE valid), 0)::BIGINT AS dropped_dup,
+       (count(*) FILTER (WHERE valid AND nonempty))::BIGINT AS loaded,
+       (count(*) FILTER (WHERE valid AND nonempty AND NOT keep))::BIGINT AS dropped_by_filter
+FROM (SELECT source, target, count(*) AS n, count(*) FILTER (WHERE modified) AS n_modified,
+             bool_or(valid) AS valid,
+             bool_or({_norm('source')} <> '' AND {_norm('target')} <> '') AS nonempty,
+             bool_or({_norm('source')} <> '' AND {_norm('target')} <> ''
+                     AND {_keep(_norm('source'), _norm('target'))}) AS keep
+      FROM cleaned GROUP BY source, target)"""
+
+ORACLES["corpus_audited_split"] = ORACLE_PREP + """
+SELECT * FROM split"""

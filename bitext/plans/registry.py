@@ -23,7 +23,7 @@ from ..operators.runs import (best_rows, cache_compare, compare_runs, highlights
 from ..operators.translate import ReverseWordsPredictor
 from ..operators.vocab import build_vocab
 from . import fixtures as fx
-from .corpus import prepare_corpus, split_summary
+from .corpus import prepare_corpus, prepare_corpus_with_audit, split_summary
 from .documents import reassemble, translate_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -241,6 +241,14 @@ def q_pairs_csv_roundtrip(spark, d):
     return read_pairs_csv(spark, path).select("source", "target")
 
 
+def q_corpus_audit(spark, d):
+    return prepare_corpus_with_audit(_pairs(spark, d))[1]
+
+
+def q_corpus_audited_split(spark, d):
+    return prepare_corpus_with_audit(_pairs(spark, d))[0]
+
+
 def q_compare_beams(spark, d):
     return compare_runs(_runs(spark, d), "beam_compare", "beam_size", 1, 5)
 
@@ -293,5 +301,7 @@ QUERIES: dict[str, Query] = {
     "repeat_rows": q_repeat_rows,
     "pairs_csv_roundtrip": q_pairs_csv_roundtrip,
     "compare_beams": q_compare_beams,
+    "corpus_audit": q_corpus_audit,
+    "corpus_audited_split": q_corpus_audited_split,
     "fan_out": q_fan_out,
 }

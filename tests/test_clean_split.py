@@ -86,3 +86,14 @@ def test_prepare_corpus_end_to_end(spark):
     got = {r.split: r["count"] for r in out.groupBy("split").count().collect()}
     assert got == {"train": 28, "valid": 6, "test": 6}
     assert out.filter(F.col("source").contains("_")).count() == 0
+
+
+def test_prepare_corpus_with_audit(spark):
+    from bitext.plans.corpus import prepare_corpus_with_audit
+    rows = ([(f"_word{i} and more", f"palabra{i} y mas") for i in range(40)] + [("x", "y")] * 5
+            + [("one", "uno dos tres cuatro cinco seis siete ocho nueve diez")] * 2)
+    split, audit = prepare_corpus_with_audit(pairs(spark, rows))
+    a = audit.first().asDict()
+    assert a == {"input_rows": 47, "output_rows": 41, "modified_rows": 40, "dropped_invalid": 5,
+                 "dropped_dup": 1, "loaded": 41, "dropped_by_filter": 1}
+    assert split.count() == 40
