@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .._util import as_col
@@ -63,30 +63,12 @@ def tokenize_13a(c) -> Column:
 def ngrams(tokens, n: int) -> Column:
     """All contiguous n-grams of a token array, joined by a space (column form).
 
-    Guarded: ``sequence(0, size-n)`` would count *down* on short rows. For
-    whole DataFrames ``with_ngrams`` uses the JVM n-gram transformer instead
-    of this interpreted lambda.
+    Guarded: ``sequence(0, size-n)`` would count *down* on short rows. The
+    corpus BLEU statistics use Spark ML's JVM ``NGram`` transformer instead of
+    this interpreted lambda.
     """
     t = as_col(tokens)
     return F.when(F.size(t) >= n, F.transform(
         F.sequence(F.lit(0), F.size(t) - n),
         lambda i: F.array_join(F.slice(t, i + 1, n), " "),
     )).otherwise(F.array().cast("array<string>"))
-
-
-def with_ngrams(df: DataFrame, tokens_col: str, out_col: str, max_order: int = MAX_ORDER) -> DataFrame:
-    """Add ``out_col`` = all 1..max_order-grams of ``tokens_col`` (space-joined).
-
-    Orders 2..n come from Spark ML's ``NGram`` transformer (JVM side, no
-    per-element lambda); rows shorter than n give no n-grams.
-    """
-    from pyspark.ml.feature import NGram
-
-    parts = [F.col(tokens_col)]
-    tmp = []
-    for n in range(2, max_order + 1):
-        col = f"_{out_col}_{n}"
-        df = NGram(n=n, inputCol=tokens_col, outputCol=col).transform(df)
-        parts.append(F.col(col))
-        tmp.append(col)
-    return df.withColumn(out_col, F.concat(*parts)).drop(*tmp)

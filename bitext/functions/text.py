@@ -25,7 +25,8 @@ WS_RUN = r"(?U)" + WS_CLASS + "+"
 NON_WS_RUN = r"(?U)[^\s\x{1c}-\x{1f}]+"
 # Code points below 32 except TAB.
 CONTROL_CLASS = r"[\x{00}-\x{08}\x{0A}-\x{1F}]"
-# Sentence boundary: whitespace after . ! ? or a run of (CR)LF line breaks.
+# Sentence boundary: whitespace after . ! ? or a run of (CR)LF line breaks
+# (the reference's pattern); the split uses the widened form below.
 SENTENCE_BOUNDARY = r"(?U)(?<=[.!?])" + WS_CLASS + r"+|\r?\n+"
 SENTENCE_BOUNDARY_WIDE = (r"(?U)" + WS_CLASS + r"*(?:(?<=[.!?])" + WS_CLASS + r"+|\r?\n+)"
                           + WS_CLASS + r"*")

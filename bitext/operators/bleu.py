@@ -16,6 +16,7 @@ from pyspark.ml.feature import NGram
 from ..functions.bleu_tokenize import MAX_ORDER, normalize_13a, split_ws
 from ..functions.text import pct_change
 
+# Output columns of ``bleu_stats``.
 STAT_COLS = ([f"correct_{n}" for n in range(1, MAX_ORDER + 1)]
              + [f"total_{n}" for n in range(1, MAX_ORDER + 1)] + ["sys_len", "ref_len"])
 
