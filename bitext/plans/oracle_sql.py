@@ -503,3 +503,9 @@ FROM (SELECT source, target, count(*) AS n, count(*) FILTER (WHERE modified) AS
 
 ORACLES["corpus_audited_split"] = ORACLE_PREP + """
 SELECT * FROM split"""
+
+ORACLES["stream_clean"] = _with(RAW_PAIRS, CLEANED) + f"""
+SELECT line_no, {_norm('source')} AS source, {_norm('target')} AS target
+FROM cleaned
+WHERE valid AND {_norm('source')} <> '' AND {_norm('target')} <> ''
+  AND {_keep(_norm('source'), _norm('target'))}"""

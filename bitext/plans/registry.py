@@ -249,6 +249,23 @@ def q_corpus_audited_split(spark, d):
     return prepare_corpus_with_audit(_pairs(spark, d))[0]
 
 
+def q_stream_clean(spark, d):
+    """Streaming cleaning (available-now trigger) of the derived pairs, landed
+    as files under the shared checkpoint folder and read back as a table."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..streaming.cleaning import clean_pairs_stream, start_parquet_sink
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    pairs = _pairs(spark, d)
+    pairs.write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(pairs.schema).parquet(f"{base}/in")
+    q = start_parquet_sink(clean_pairs_stream(stream), f"{base}/out", name=f"clean_{uuid.uuid4().hex[:8]}",
+                           checkpoint=f"{base}/progress")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("line_no", "source", "target")
+
+
 def q_compare_beams(spark, d):
     return compare_runs(_runs(spark, d), "beam_compare", "beam_size", 1, 5)
 
@@ -303,5 +320,6 @@ QUERIES: dict[str, Query] = {
     "compare_beams": q_compare_beams,
     "corpus_audit": q_corpus_audit,
     "corpus_audited_split": q_corpus_audited_split,
+    "stream_clean": q_stream_clean,
     "fan_out": q_fan_out,
 }

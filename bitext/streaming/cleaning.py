@@ -28,11 +28,20 @@ def clean_pairs_stream(stream: DataFrame, source: str = "source", target: str =
     each other are dropped (bounded state); without it no cross-batch
     de-duplication is done.
     """
-    out = clean_columns(stream, source, target).filter("valid").drop("valid", "modified")
+    out = clean_columns(stream, source, target).drop("modified")
+    ok = F.col("valid")
     if length_filter:
         out = out.withColumns({source: normalize_space(source), target: normalize_space(target)})
-        out = out.filter((F.col(source) != "") & (F.col(target) != "")
-                         & keep_pair(source, target, normalized=True))
+        ok = ok & (F.col(source) != "") & (F.col(target) != "") & keep_pair(source, target, normalized=True)
+    # Keep rows through an outer generator instead of a plain filter: a filter
+    # on the cleaned columns would be pushed back through the cleaning
+    # projections (re-running them, and the Python step, in the predicate),
+    # while a filter on a generator's output stays above it.
+    cols = [c for c in out.columns if c != "valid"]
+    out = out.withColumn("_ok", ok)
+    row = F.array(F.struct(*[F.col(c) for c in cols]))
+    out = (out.select(F.inline_outer(F.when(F.col("_ok"), row)))
+              .filter(F.col(source).isNotNull()))  # cleaned text is never NULL
     if event_time is not None:
         out = out.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark([source, target])
     return out
