@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate
+from . import bpe, decontaminate, similarity_join, substring_dedup
 
 QUERIES = {
+    "op5_similarity_join": similarity_join.op5_similarity_join,
     "op6_decontaminate": decontaminate.op6_decontaminate,
+    "op7_substring_dedup": substring_dedup.op7_substring_dedup,
     "op8_bpe": bpe.op8_bpe,
 }
 
 ORACLES = {
+    "op5_similarity_join": similarity_join.ORACLE,
     "op6_decontaminate": decontaminate.ORACLE,
+    "op7_substring_dedup": substring_dedup.ORACLE,
 }
