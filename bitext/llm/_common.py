@@ -15,6 +15,17 @@ from pyspark.sql import types as T
 SLICE_ROWS = 512
 
 
+def worker_cache() -> dict:
+    """Objects a Python worker keeps between its tasks (vocabularies, memos).
+
+    The package travels inside the pickled functions, so its module globals are
+    new in every task; the interpreter itself is not.
+    """
+    import sys
+
+    return sys.__dict__.setdefault("_bitext_llm_cache", {})
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -77,12 +88,12 @@ _BASE = int(_rng.integers(0, 2**63 - 1)) * 2 + 1
 _INVERSE = pow(_BASE, -1, 2**64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
-def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
-    have = len(_powers["up"])
-    if have < n:
+def power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers of the base and of its inverse."""
+    powers = worker_cache().setdefault("powers", {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)})
+    if len(powers["up"]) < n:
         size = 1 << (n - 1).bit_length()
         for name, base in (("up", _BASE), ("down", _INVERSE)):
             table = np.empty(size, np.uint64)
@@ -91,8 +102,8 @@ def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
                 step = np.uint64(pow(base, filled, 2**64))
                 table[filled:2 * filled] = table[:filled] * step
                 filled *= 2
-            _powers[name] = table
-    return _powers["up"], _powers["down"]
+            powers[name] = table
+    return powers["up"], powers["down"]
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -114,7 +125,7 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inside = ~_SPACE[raw]
     edge = np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    up, down = _power_table(len(raw))
+    up, down = power_table(len(raw))
     total = np.empty(len(raw) + 1, np.uint64)
     total[0] = 0
     np.cumsum(_BYTE_CODE[raw] * up[:len(raw)], out=total[1:])

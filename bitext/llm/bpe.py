@@ -28,7 +28,7 @@ import json
 import numpy as np
 from pyspark.sql import DataFrame
 
-from ._common import load_table, map_rows
+from ._common import load_table, map_rows, worker_cache
 
 VOCABULARY = "byte_bpe_50k.json"
 MEMO_ENTRIES = 400_000
@@ -36,9 +36,6 @@ MEMO_ENTRIES = 400_000
 LEAF_BYTES = 256
 FIRST_WINDOW = 4
 
-_codecs: dict = {}
-
-
 def byte_alphabet() -> list[str]:
     """The byte-level alphabet: visible latin-1 characters stand for themselves,
     the other bytes for the code points from 256 on, in byte order."""
@@ -155,10 +152,10 @@ class TreeBpe:
 
 def codec(path: str) -> TreeBpe:
     """The worker's codec of a vocabulary file; kept between tasks."""
-    if path not in _codecs:
-        _codecs.clear()
-        _codecs[path] = TreeBpe(path)
-    return _codecs[path]
+    cache = worker_cache()
+    if ("bpe", path) not in cache:
+        cache["bpe", path] = TreeBpe(path)
+    return cache["bpe", path]
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:

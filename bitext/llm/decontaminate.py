@@ -32,7 +32,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import map_rows
+from ._common import load_table, map_rows, worker_cache
 
 WINDOW = 13
 BLOCK_CHARS = 4_000_000
@@ -44,9 +44,6 @@ _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 or 4
 _WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 _HITS = "word_ranges array<struct<first:int,last:int>>, item_ids array<string>"
 
-_automata: dict = {}
-
-
 def normal_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_TABLE).split() if text else []
 
@@ -115,10 +112,11 @@ def _block(spark, items, window):
 
 def worker_automaton(key: str, shared, window: int):
     """The worker's automaton of a block; built once, one at a time."""
-    if key not in _automata:
-        _automata.clear()
-        _automata[key] = build_automaton(shared.value, window)
-    return _automata[key]
+    held = worker_cache().setdefault("automaton", {})
+    if key not in held:
+        held.clear()
+        held[key] = build_automaton(shared.value, window)
+    return held[key]
 
 
 def _hits(documents: DataFrame, automaton, keep_all: bool) -> DataFrame:
@@ -194,8 +192,6 @@ def _merge(found: DataFrame) -> DataFrame:
 
 
 def op6_decontaminate(spark, sf_dir):
-    from ._common import load_table
-
     hits = decontaminate(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "benchmark"))
     return hits.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),

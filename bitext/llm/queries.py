@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, similarity_join, substring_dedup
+from . import bpe, decontaminate, fingerprints, similarity_join, substring_dedup, token_files
 
 QUERIES = {
+    "op1_fingerprints": fingerprints.op1_fingerprints,
+    "op2_token_files": token_files.op2_token_files,
     "op5_similarity_join": similarity_join.op5_similarity_join,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_substring_dedup": substring_dedup.op7_substring_dedup,

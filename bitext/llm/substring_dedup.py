@@ -46,8 +46,8 @@ from pyspark.sql import functions as F
 
 from bitext.session import reliable_checkpoint
 
-from ._common import (gram_hashes, load_table, map_rows, mix64, record_batch, to_arrow_schema, word_hashes,
-                      _power_table)
+from ._common import (gram_hashes, load_table, map_rows, mix64, power_table, record_batch, to_arrow_schema,
+                      word_hashes)
 from .idfilter import only_ids, split_by_ids
 
 WINDOW = 50
@@ -84,7 +84,7 @@ def slices_of(words: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR_WORD
 
 def range_digests(words: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Digests of ``words[first:first + count]``."""
-    up, down = _power_table(len(words) + 1)
+    up, down = power_table(len(words) + 1)
     total = np.empty(len(words) + 1, np.uint64)
     total[0] = 0
     np.cumsum(words * up[:len(words)], out=total[1:])
