@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, fingerprints, similarity_join, substring_dedup, token_files
+from . import (bpe, decontaminate, fingerprints, lang_id, quality, similarity_join, substring_dedup,
+               token_files)
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
     "op2_token_files": token_files.op2_token_files,
+    "op3_quality": quality.op3_quality,
     "op5_similarity_join": similarity_join.op5_similarity_join,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_substring_dedup": substring_dedup.op7_substring_dedup,
     "op8_bpe": bpe.op8_bpe,
+    "op9_language_id": lang_id.op9_language_id,
 }
 
 ORACLES = {
