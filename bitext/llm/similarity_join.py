@@ -19,10 +19,11 @@ Method
 4. A document with no more than ``t`` filled segments also gives keys of a
    finer sketch, and so on; two documents meet on the finest level that both
    have, where at least one of them has enough segments. No link is lost.
-5. Keys are sorted by value. Every member of a key is verified against the key's
-   smallest member (exact set comparison); the links' components are found; only
-   where a key still joins different components are the remaining pairs across
-   components verified. A group of copies costs its size, not its square.
+5. Keys are sorted by value. Every member of a key is paired with the key's first
+   member; a pair whose sizes or whole sketches are too far apart is out, the
+   others are compared exactly. The links' components are found; only where a key
+   still joins different components do the remaining pairs across components
+   follow the same way. A group of copies costs its size, not its square.
 
 Defined results
 * NULL, empty or wordless text: empty set, linked with nothing.
@@ -58,6 +59,8 @@ COMMON_SHARE = 4096
 #: Shingles counted together in a task, and the least count there worth reporting.
 COUNT_BLOCK = 2_000_000
 COUNT_LEAST = 6
+#: Sets a task remembers so as to give the keys of a repeated set once.
+GIVEN_SETS = 1_000_000
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -131,8 +134,32 @@ def join_keys(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
+def parity_sketch(shingles: np.ndarray) -> bytes:
+    """Parity bits of the whole set; a power of two at least as many as shingles."""
+    size = max(64, 1 << max(0, len(shingles) - 1).bit_length())
+    bits = np.zeros(size, np.uint8)
+    place, count = np.unique(mix64(shingles + np.uint64(11)) % np.uint64(size), return_counts=True)
+    bits[place.astype(np.int64)] = count & 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def sketch_distance(a: bytes, b: bytes) -> int:
+    """Hamming distance; the longer sketch is folded to the shorter one's length.
+    Never more than the sets' symmetric difference."""
+    x, y = sorted((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)), key=len)
+    return int(np.bitwise_count(np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0) ^ x).sum())
+
+
+def _digest(shingles: np.ndarray) -> tuple[int, int]:
+    """Two signed 64-bit digests of a set."""
+    if not len(shingles):
+        return 0, 0
+    return (int(mix64(shingles).sum(dtype=np.uint64).view(np.int64)),
+            int(np.bitwise_xor.reduce(mix64(shingles + np.uint64(7))).view(np.int64)))
+
+
 def _summaries(documents: DataFrame) -> DataFrame:
-    """One pass: a row per document (size and set digest) and, marked by
+    """One pass: a row per document (size, set digest, sketch) and, marked by
     ``kind = 1``, the shingles frequent within a block of the pass."""
     def make():
         held: list[np.ndarray] = []
@@ -146,16 +173,15 @@ def _summaries(documents: DataFrame) -> DataFrame:
             value, count = value[count >= COUNT_LEAST], count[count >= COUNT_LEAST]
             k = len(value)
             return {"kind": [1] * k, "doc_id": [None] * k, "n": count.tolist(),
-                    "d1": value.view(np.int64).tolist(), "d2": [0] * k}
+                    "d1": value.view(np.int64).tolist(), "d2": [0] * k, "sketch": [None] * k}
 
         def work(doc_ids, texts):
             nonlocal size
             sets = [shingle_set(t) for t in texts]
-            with np.errstate(over="ignore"):
-                d1 = [int(mix64(s).sum(dtype=np.uint64).view(np.int64)) for s in sets]
-                d2 = [int(np.bitwise_xor.reduce(mix64(s + np.uint64(7))).view(np.int64)) if len(s) else 0
-                      for s in sets]
-            yield {"kind": [0] * len(sets), "doc_id": doc_ids, "n": [len(s) for s in sets], "d1": d1, "d2": d2}
+            digests = [_digest(s) for s in sets]
+            yield {"kind": [0] * len(sets), "doc_id": doc_ids, "n": [len(s) for s in sets],
+                   "d1": [d[0] for d in digests], "d2": [d[1] for d in digests],
+                   "sketch": [parity_sketch(s) if len(s) > 3 else None for s in sets]}
             held.extend(sets)
             size += sum(map(len, sets))
             if size >= COUNT_BLOCK:
@@ -165,62 +191,97 @@ def _summaries(documents: DataFrame) -> DataFrame:
         return work
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return map_rows(documents, ["doc_id", "text"], f"kind int, doc_id {kind}, n long, d1 long, d2 long", make)
+    return map_rows(documents, ["doc_id", "text"], f"kind int, doc_id {kind}, n long, d1 long, d2 long, sketch binary",
+                    make)
 
 
-def _candidate_groups(documents: DataFrame, nodes: DataFrame, common: np.ndarray) -> DataFrame:
-    """``(key, doc_id, leader)`` of keys with two documents or more."""
-    spark = documents.sparkSession
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    shared = spark.sparkContext.broadcast(common)
+def _candidate_groups(documents: DataFrame, common: np.ndarray) -> DataFrame:
+    """``(key, d1, leader)``: sets (by digest) that share a join key, and the
+    key's smallest digest; keys with one set are left out."""
+    shared = documents.sparkSession.sparkContext.broadcast(common)
 
     def make():
-        def work(doc_ids, texts):
-            keys = [join_keys(shingle_set(t), shared.value).view(np.int64).tolist() for t in texts]
-            yield {"doc_id": doc_ids, "keys": keys}
+        given: set[int] = set()  # sets this task has given keys of
+
+        def work(texts):
+            keys, digests = [], []
+            for text in texts:
+                shingles = shingle_set(text)
+                d1 = _digest(shingles)[0]
+                if d1 not in given:
+                    if len(given) >= GIVEN_SETS:
+                        given.clear()
+                    given.add(d1)
+                    own = join_keys(shingles, shared.value)
+                    keys.append(own)
+                    digests.append(np.full(len(own), d1))
+            if keys:
+                yield {"key": np.concatenate(keys).view(np.int64), "d1": np.concatenate(digests)}
 
         return work
 
-    keyed = map_rows(documents.where("doc_id IS NOT NULL"), ["doc_id", "text"],
-                     f"doc_id {kind}, keys array<long>", make)
-    keyed = keyed.join(nodes, "doc_id", "left_semi").select(F.explode("keys").alias("key"), "doc_id")
-    return _runs(keyed.repartition("key").sortWithinPartitions("key", "doc_id"), kind)
+    keyed = map_rows(documents.where("doc_id IS NOT NULL AND text IS NOT NULL"), ["text"], "key long, d1 long", make)
+    return _runs(keyed.repartition("key").sortWithinPartitions("key", "d1"))
 
 
-def _runs(ordered: DataFrame, kind: str) -> DataFrame:
-    """Runs of equal keys of two rows or more, with their first document.
-    Streams over the sorted rows; only the open run's first row is carried."""
+def _runs(ordered: DataFrame) -> DataFrame:
+    """Runs of equal keys with two sets or more, each set once, with the first.
+    Streams over the sorted rows; only the last row's state is carried."""
     import pyarrow as pa
 
     from ._common import record_batch, to_arrow_schema
 
-    schema = f"key long, doc_id {kind}, leader {kind}"
+    schema = "key long, d1 long, leader long"
     out = to_arrow_schema(schema)
 
     def run(batches):
-        carry = None  # key, leader, whether the leader's row was given out
+        carry = None  # key, leader, last set, whether the leader's row was given out
         for batch in batches:
-            if not batch.num_rows:
+            key, d1 = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            if not len(key):
+                continue
+            fresh = np.r_[carry is None or carry[0] != key[0] or carry[2] != d1[0],
+                          (key[1:] != key[:-1]) | (d1[1:] != d1[:-1])]
+            last = key[-1], d1[-1]
+            key, d1 = key[fresh], d1[fresh]
+            if not len(key):
                 continue
-            key = batch.column(0).to_numpy(zero_copy_only=False)
-            doc = batch.column(1).to_numpy(zero_copy_only=False)
             told = False
             if carry is not None and carry[0] == key[0]:
-                key, doc, told = np.r_[carry[0], key], np.r_[carry[1], doc], carry[2]
+                key, d1, told = np.r_[carry[0], key], np.r_[carry[1], d1], carry[3]
             first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             size = np.diff(np.r_[first, len(key)])
-            leader = np.repeat(doc[first], size)
+            leader = np.repeat(d1[first], size)
             keep = np.repeat(size >= 2, size)
-            carry = (key[-1], leader[-1], bool(size[-1] >= 2))
+            carry = (last[0], leader[-1], last[1], bool(size[-1] >= 2))
             if told:
                 keep[0] = False
             if keep.any():
-                yield record_batch({"key": pa.array(key[keep]), "doc_id": pa.array(doc[keep], out.field(1).type),
-                                    "leader": pa.array(leader[keep], out.field(2).type)}, out)
+                yield record_batch({"key": pa.array(key[keep]), "d1": pa.array(d1[keep]),
+                                    "leader": pa.array(leader[keep])}, out)
 
     return ordered.mapInArrow(run, schema)
 
 
+def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(a, b)`` node ids of the set pairs ``(x, y)`` whose sizes and sketches
+    allow a link."""
+    kind = classes.schema["node"].dataType.simpleString()
+    side = [classes.select(F.col("d1").alias(d), F.col("node").alias(n), F.col("n_shingles").alias(f"n_{n}"),
+                           F.col("sketch").alias(f"s_{n}")) for d, n in (("x", "a"), ("y", "b"))]
+    both = pairs.join(side[0], "x").join(side[1], "y").where(
+        "least(n_a, n_b) * 100 >= greatest(n_a, n_b) * 80 AND s_a IS NOT NULL AND s_b IS NOT NULL")
+
+    def make():
+        def work(a, b, n_a, n_b, s_a, s_b):
+            kept = [i for i in range(len(a)) if 9 * sketch_distance(s_a[i], s_b[i]) <= n_a[i] + n_b[i]]
+            yield {"a": [a[i] for i in kept], "b": [b[i] for i in kept]}
+
+        return work
+
+    return map_rows(both, ["a", "b", "n_a", "n_b", "s_a", "s_b"], f"a {kind}, b {kind}", make)
+
+
 def verify_pairs(documents: DataFrame, pairs: DataFrame) -> DataFrame:
     """The linked ones of ``pairs(a, b)``."""
     kind = documents.schema["doc_id"].dataType.simpleString()
@@ -251,45 +312,47 @@ def verify_pairs(documents: DataFrame, pairs: DataFrame) -> DataFrame:
 def similar_components(documents: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row of ``documents``."""
     summary = reliable_checkpoint(_summaries(documents))
-    rows = summary.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "d1", "d2")
+    rows = summary.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "d1", "d2", "sketch")
     total = rows.count()
     least = max(COMMON_LEAST, total // COMMON_SHARE)
     common = np.array(sorted(r[0] & (2**64 - 1) for r in summary.where("kind = 1").groupBy("d1").agg(
         F.sum("n").alias("n")).where(F.col("n") > least).select("d1").toLocalIterator()), np.uint64)
 
-    classes = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("n_shingles", "d1", "d2").agg(
-        F.min("doc_id").alias("node"))
-    placed = reliable_checkpoint(rows.join(classes, ["n_shingles", "d1", "d2"], "left").drop("d1", "d2"))
-    nodes = placed.where("doc_id = node").select("doc_id").distinct()
+    classes = reliable_checkpoint(rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(
+        "n_shingles", "d1", "d2").agg(F.min("doc_id").alias("node"), F.first("sketch").alias("sketch")))
+    placed = rows.drop("sketch").join(classes.drop("sketch"), ["n_shingles", "d1", "d2"], "left").drop("d1", "d2")
     # Rows of one doc_id with different sets (none where doc_id is a key).
-    twins = placed.where("doc_id <> node").join(nodes, "doc_id", "left_semi").select(
-        F.col("node").alias("a"), F.col("doc_id").alias("b"))
-    groups = reliable_checkpoint(_candidate_groups(documents, nodes, common))
+    twins = placed.where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b")).join(
+        classes.select(F.col("node").alias("b")), "b", "left_semi")
 
-    stars = reliable_checkpoint(groups.where("doc_id <> leader").select(
-        F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct())
-    links = reliable_checkpoint(verify_pairs(documents, stars).unionByName(twins))
-    components = reliable_checkpoint(connected_components(links))
+    groups = reliable_checkpoint(_candidate_groups(documents, common))
+    stars = groups.where("d1 <> leader").select(F.col("leader").alias("x"), F.col("d1").alias("y")).distinct()
+    links = reliable_checkpoint(verify_pairs(documents, reliable_checkpoint(_near(stars, classes))).unionByName(
+        twins.distinct()))
+    components = connected_components(links)
 
-    rest = reliable_checkpoint(_open_pairs(groups, components).join(stars, ["a", "b"], "left_anti"))
+    rest = reliable_checkpoint(_near(_open_pairs(groups, classes, components), classes))
     if not rest.isEmpty():
         links = links.unionByName(verify_pairs(documents, rest))
-        components = reliable_checkpoint(connected_components(links))
+        components = connected_components(links)
     return placed.join(components, "node", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")).alias("component_id"))
 
 
-def _open_pairs(groups: DataFrame, components: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)``, a < b, of one key whose components differ."""
-    placed = groups.join(components, groups["doc_id"] == components["node"], "left").select(
-        "key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(
+def _open_pairs(groups: DataFrame, classes: DataFrame, components: DataFrame) -> DataFrame:
+    """Pairs ``(x, y)`` of sets that share a key, are in different components, and
+    of which neither is the key's leader (those pairs were verified)."""
+    component = classes.join(components, "node", "left").select(
+        "d1", F.coalesce("component", "node").alias("component")).groupBy("d1").agg(
+        F.min("component").alias("component"))
+    followers = groups.where("d1 <> leader").select("key", "d1").join(component, "d1")
+    mixed = followers.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(
         "lo < hi").select("key")
-    open_rows = reliable_checkpoint(placed.join(mixed, "key", "left_semi"))
-    other = open_rows.select("key", F.col("doc_id").alias("b"), F.col("component").alias("component_b"))
-    return open_rows.withColumnRenamed("doc_id", "a").join(other, "key").where(
-        "a < b AND component <> component_b").select("a", "b").distinct()
+    rows = reliable_checkpoint(followers.join(mixed, "key", "left_semi"))
+    other = rows.select("key", F.col("d1").alias("y"), F.col("component").alias("component_y"))
+    return rows.withColumnRenamed("d1", "x").join(other, "key").where(
+        "x < y AND component <> component_y").select("x", "y").distinct()
 
 
 def op5_similarity_join(spark, sf_dir):
