@@ -179,12 +179,12 @@ def fit(x: np.ndarray, y: np.ndarray) -> AdditiveModel:
 
 
 # --- jobs --------------------------------------------------------------------------
-def labelled_ids(labels: DataFrame, label: str, modulus: int, held_out: int, rows: int) -> DataFrame:
-    """``doc_id, label`` of at most ``rows`` training documents."""
-    return (labels.select("doc_id", F.col(label).cast("double").alias("label"))
-            .where("doc_id IS NOT NULL AND label IS NOT NULL").where(crc_mod("doc_id", modulus) != held_out)
-            .groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
-            .orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(rows))
+def labelled_ids(labels: DataFrame, label: str, modulus: int, held_out: int, rows: int | None = None) -> DataFrame:
+    """``doc_id, label`` of the training documents; of at most ``rows`` if given."""
+    found = (labels.select("doc_id", F.col(label).cast("double").alias("label"))
+             .where("doc_id IS NOT NULL AND label IS NOT NULL").where(crc_mod("doc_id", modulus) != held_out)
+             .groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("int").alias("label")))
+    return found if rows is None else found.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(rows)
 
 
 def train(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> AdditiveModel:

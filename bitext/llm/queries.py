@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (bpe, decontaminate, fingerprints, lang_id, quality, similarity_join, substring_dedup,
-               token_files)
+               token_files, toxicity)
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_substring_dedup": substring_dedup.op7_substring_dedup,
     "op8_bpe": bpe.op8_bpe,
     "op9_language_id": lang_id.op9_language_id,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLES = {

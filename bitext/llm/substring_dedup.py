@@ -38,7 +38,7 @@ repeated text needs.
 from __future__ import annotations
 
 import hashlib
-import re
+import itertools
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -52,11 +52,11 @@ from .idfilter import only_ids, split_by_ids
 
 WINDOW = 50
 ANCHOR_WORDS = 12
-SHARD_WORDS = 400_000
+SHARD_WORDS = 200_000
 #: An anchor with more different slices than this is dealt window by window.
-HOT_SLICES = 2_000
-
-_WORD = re.compile("[^\x20\x09-\x0d]+")
+HOT_SLICES = 3_000
+#: Rows of slices that a task gives out at a time.
+OUT_ROWS = 2_000
 
 
 # --- slices -------------------------------------------------------------------
@@ -121,7 +121,8 @@ def _contents(documents: DataFrame, slices: DataFrame, shards: int, window: int,
 
     def make():
         def work(doc_ids, texts, asked):
-            out = {k: [] for k in ("shard", "anchor", "digest", "part", "owner", "last_doc", "words")}
+            names = ("shard", "anchor", "digest", "part", "owner", "last_doc", "words")
+            out = {k: [] for k in names}
 
             def give(shard, a, part, owner, words):
                 for k, v in (("shard", shard), ("anchor", a["anchor"]), ("digest", a["digest"]), ("part", part),
@@ -143,6 +144,9 @@ def _contents(documents: DataFrame, slices: DataFrame, shards: int, window: int,
                     keys = range_digests(words[lo:lo + n], each, np.full(len(each), window))
                     for j, key in zip(each.tolist(), (keys % np.uint64(shards)).tolist()):
                         give(key, a, j, doc, data[starts[lo + j]:ends[lo + j + window - 1]])
+                if len(out["shard"]) >= OUT_ROWS:
+                    yield out
+                    out = {k: [] for k in names}
             yield out
 
         return work
@@ -196,22 +200,26 @@ def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffix array by prefix doubling, and for each rank but the first whether
     it shares its first ``depth`` symbols with the rank before."""
     n = len(text)
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    have, shared, order = 1, None, None
+
+    def later(rank, by):
+        return np.concatenate([rank[by:] + 1, np.zeros(min(by, n), np.int64)])
+
+    key, have, shared = text, 1, None
+    if int(text.max()) < 1 << 20:  # three symbols fit one number
+        key, have = (text + 1 << 42) + (later(text, 1) << 21) + later(text, 2), 3
     while True:
-        if shared is None and 2 * have > depth:
-            gap = depth - have
-            shared = rank, np.r_[rank[gap:], np.full(gap, -1)] if gap else rank
-        if order is not None and rank[order[-1]] == n - 1:
-            break
-        key = rank * (n + 1) + np.r_[rank[have:] + 1, np.zeros(min(have, n), np.int64)][:n]
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.r_[0, ordered[1:] != ordered[:-1]])
+        done = rank[order[-1]] == n - 1
+        if shared is None and (done or 2 * have >= depth):
+            # equal on `depth` symbols: equal on `have` at both ends of them
+            shared = rank, later(rank, max(0, depth - have))
+        if done:
+            break
+        key = rank * (n + 1) + later(rank, have)
         have *= 2
-        if have >= n and rank[order[-1]] == n - 1 and shared is None:
-            shared = rank, rank
     a, b = shared
     same = (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1])
     return order, same
@@ -325,29 +333,33 @@ def repeated_ranges(documents: DataFrame, window: int = WINDOW, shard_words: int
     return copies.groupBy("doc_id").agg(F.collect_list("range").alias("ranges"))
 
 
-def _kept(text: str | None, ranges) -> tuple[int, int, str]:
-    """Words, removed words and the kept words joined by one space."""
-    found = _WORD.findall(text) if text else []
+def _kept(text: str | None, ranges) -> tuple[int, int, bytes]:
+    """Words, removed words and the kept words joined by one space (UTF-8).
+    Blanks of bytes.split() are exactly those that end a word here."""
+    data = (text or "").encode("utf-8", "surrogatepass")
+    found = data.split()
+    if not ranges or not found:
+        return len(found), 0, b" ".join(found)
+    words = word_hashes(data)[2]
+    lo = np.array([r["slice_first"] for r in ranges])
+    n = np.array([r["slice_words"] for r in ranges])
+    inside = lo + n <= len(words)  # else it is a range of another row of this doc_id
+    digests = range_digests(words, np.where(inside, lo, 0), np.where(inside, n, 0)).view(np.int64)
     gone = np.zeros(len(found) + 1, np.int64)
-    if ranges and found:
-        words = word_hashes(text.encode("utf-8", "surrogatepass"))[2]
-        for r in ranges:
-            lo, n = r["slice_first"], r["slice_words"]
-            if lo + n <= len(words) and int(range_digests(words[lo:lo + n], np.zeros(1, np.int64), np.array(
-                    [n]))[0].view(np.int64)) == r["digest"]:
-                gone[r["first"]] += 1
-                gone[r["first"] + r["count"]] -= 1
-        removed = np.cumsum(gone)[:-1] > 0
-        kept = [w for w, x in zip(found, removed.tolist()) if not x]
-        return len(found), int(removed.sum()), " ".join(kept)
-    return len(found), 0, " ".join(found)
+    for r, own in zip(ranges, (inside & (digests == [r["digest"] for r in ranges])).tolist()):
+        if own:
+            gone[r["first"]] += 1
+            gone[r["first"] + r["count"]] -= 1
+    removed = np.cumsum(gone)[:-1] > 0
+    return len(found), int(removed.sum()), b" ".join(itertools.compress(found, (~removed).tolist()))
 
 
 def remove_repeats(documents: DataFrame, window: int = WINDOW, columns: list[str] = (), make_row=None,
                    schema: str = "kept string", **sizes) -> DataFrame:
     """Per document ``doc_id, <columns>, n_words, n_removed`` and the columns that
-    ``make_row(text, n_removed, kept)`` derives (default: the kept text)."""
-    make_row = make_row or (lambda text, n_removed, kept: (kept,))
+    ``make_row(text, n_removed, kept)`` derives, ``kept`` as UTF-8 (default: the
+    kept text)."""
+    make_row = make_row or (lambda text, n_removed, kept: (kept.decode("utf-8", "surrogatepass"),))
     ranges = reliable_checkpoint(repeated_ranges(documents, window, **sizes))
     maybe, other = split_by_ids(documents.select("doc_id", "text", *columns), ranges.select("doc_id"))
     fields = documents.select("doc_id", *columns).schema
@@ -375,7 +387,7 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, columns: list[str
 def op7_substring_dedup(spark, sf_dir):
     return remove_repeats(
         load_table(spark, sf_dir, "documents"), schema="kept_sha256 string",
-        make_row=lambda text, n_removed, kept: (hashlib.sha256(kept.encode()).hexdigest(),))
+        make_row=lambda text, n_removed, kept: (hashlib.sha256(kept).hexdigest(),))
 
 
 ORACLE = r"""
