@@ -27,6 +27,7 @@ import json
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ._common import load_table, map_rows, worker_cache
 
@@ -88,27 +89,28 @@ class TreeBpe:
         if not text:
             return b""
         if "  " in text:  # runs of blanks: cut only where the pre-tokenizer does
-            return b"".join(map(self._piece, self.pretoken.findall(text)))
+            return self._piece(text)
         head, *rest = text.split(" ")
-        get, known = self.memo.get, []
-        if head:
-            known.append(self._piece(head))
-        for piece in rest:
-            piece = " " + piece
-            known.append(get(piece) or self._piece(piece))
-        return b"".join(known)
+        ids = list(map(self.memo.get, rest))
+        if None in ids:
+            ids = [self._spaced(p) if x is None else x for p, x in zip(rest, ids)]
+        return self._piece(head) + b"".join(ids)
 
-    def _piece(self, piece: str) -> bytes:
-        """Ids of a piece that starts and ends at cuts of the pre-tokenizer."""
+    def _spaced(self, piece: str) -> bytes:
+        """Ids of a blank and ``piece``, remembered by the piece."""
         ids = self.memo.get(piece)
         if ids is None:
-            ids = b"".join(map(self._run, self.pretoken.findall(piece)))
+            ids = self._piece(" " + piece)
             if len(piece) <= self.leaf_bytes:
                 if len(self.memo) >= self.memo_entries:
                     self.memo.clear()
                 self.memo[piece] = ids
         return ids
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece that starts and ends at cuts of the pre-tokenizer."""
+        return b"".join(map(self._run, self.pretoken.findall(piece)))
+
     def _run(self, run: str) -> bytes:
         symbols = run.encode("utf-8").decode("latin-1").translate(self.letters)
         if len(symbols) <= self.leaf_bytes:
@@ -164,30 +166,33 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return str(public_tokenizers.path(name))
 
 
-def encode_documents(documents: DataFrame, vocabulary: str | None = None, text: bool = True) -> DataFrame:
+def encode_documents(documents: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """``doc_id, ids`` (binary, little-endian unsigned 32-bit) ``, decoded``."""
-    return _run(documents, vocabulary, lambda ids, decoded: {"ids": ids, "decoded": decoded},
+    return _run(documents, vocabulary, (), lambda ids, decoded: {"ids": ids, "decoded": decoded},
                 "ids binary, decoded string")
 
 
-def _run(documents, vocabulary, columns, schema):
+def _run(documents, vocabulary, columns, make_columns, schema):
+    fields = documents.select("doc_id", *columns).schema
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+
     def make():
         c = codec(vocabulary or vocabulary_path())
 
-        def work(doc_ids, texts):
+        def work(texts, doc_ids, *rest):
             ids = [c.encode(t or "") for t in texts]
-            yield {"doc_id": doc_ids} | columns(ids, [c.decode(x) for x in ids])
+            yield {"doc_id": doc_ids} | dict(zip(columns, rest)) | make_columns(ids, [c.decode(x) for x in ids])
 
         return work
 
-    return map_rows(documents, ["doc_id", "text"],
-                    f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, {schema}", make)
+    return map_rows(documents, [F.col("text").alias("_text"), "doc_id", *columns], f"{ddl}, {schema}", make)
 
 
-def bpe_round_trip(documents: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """Per document the token count and the digests of ids and decoded text."""
+def bpe_round_trip(documents: DataFrame, vocabulary: str | None = None, columns: list[str] = ()) -> DataFrame:
+    """Per document ``doc_id, <columns>``, the token count and the digests of ids
+    and decoded text."""
     return _run(
-        documents, vocabulary,
+        documents, vocabulary, columns,
         lambda ids, decoded: {"n_tokens": [len(x) // 4 for x in ids],
                               "ids_sha256": [hashlib.sha256(x).hexdigest() for x in ids],
                               "decoded_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in decoded]},

@@ -119,18 +119,20 @@ def worker_automaton(key: str, shared, window: int):
     return held[key]
 
 
-def _hits(documents: DataFrame, automaton, keep_all: bool) -> DataFrame:
+def _hits(documents: DataFrame, automaton, keep_all: bool, columns=()) -> DataFrame:
     """Rows with hits, or all of them. ``text_key`` tells rows of one doc_id apart."""
+    fields = documents.select("doc_id", *columns).schema
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
     def make():
         a = automaton()
 
-        def work(doc_ids, texts):
+        def work(texts, doc_ids, *rest):
             rows = [(i, t, *scan(a, t)) for i, t in zip(doc_ids, texts)]
             rows = rows if keep_all else [r for r in rows if r[3]]
-            yield {"doc_id": [r[0] for r in rows],
-                   "text_key": [hashlib.blake2b((r[1] or "").encode(), digest_size=16).digest() for r in rows],
-                   "base": [keep_all] * len(rows),
+            yield dict(zip(columns, rest)) | {
+                   "doc_id": [r[0] for r in rows],
+                   "text_key": [hashlib.md5((r[1] or "").encode()).digest() for r in rows],
                    "n_words": [r[2] for r in rows],
                    "word_ranges": [[{"first": x, "last": y} for x, y in r[3]] for r in rows],
                    "spans": [[{"start": x, "end": y} for x, y in original_spans(r[1], r[3])] if r[3] else []
@@ -139,40 +141,39 @@ def _hits(documents: DataFrame, automaton, keep_all: bool) -> DataFrame:
 
         return work
 
-    return map_rows(documents, ["doc_id", "text"],
-                    f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, text_key binary, base boolean, "
-                    f"n_words long, {_HITS}, "
+    return map_rows(documents, [F.col("text").alias("_text"), "doc_id", *columns],
+                    f"{ddl}, text_key binary, n_words long, {_HITS}, "
                     "spans array<struct<start:int,end:int>>", make)
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                  block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Per document: ``doc_id, n_words, word_ranges, spans, item_ids, n_hit,
-    contaminated``. ``spans`` are character offsets in the original text."""
+                  block_chars: int = BLOCK_CHARS, columns: list[str] = ()) -> DataFrame:
+    """Per document: ``doc_id, <columns>, n_words, word_ranges, spans, item_ids,
+    n_hit, contaminated``. ``spans`` are character offsets in the original text."""
     spark = documents.sparkSession
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where(
         "item_id IS NOT NULL AND text IS NOT NULL AND text <> ''").distinct()
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-chars // block_chars))
     if blocks == 1:
-        hits = _hits(documents, _block(spark, [tuple(r) for r in items.collect()], window), True).drop(
-            "text_key", "base")
+        hits = _hits(documents, _block(spark, [tuple(r) for r in items.collect()], window), True, columns).drop(
+            "text_key")
     else:
         found = None
         for b in range(blocks):
             own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
+            # the first block's rows include documents without hits
             keyed = _hits(documents, _block(spark, [tuple(r) for r in own.collect()], window), b == 0)
             found = keyed if found is None else found.unionByName(keyed)
-        hits = _merge(found)
+        hits = _merge(documents, found, columns)
     n_hit = F.aggregate("word_ranges", F.lit(0).cast("long"), lambda a, r: a + r["last"] - r["first"] + 1)
     return hits.withColumn("n_hit", n_hit).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * CONTAMINATED_SHARE >= F.col("n_words")))
 
 
-def _merge(found: DataFrame) -> DataFrame:
-    """Union of the blocks' hits per document; repeated rows stay repeated."""
-    merged = found.groupBy("doc_id", "text_key", "n_words").agg(
-        F.count_if("base").cast("int").alias("_rows"),
+def _merge(documents: DataFrame, found: DataFrame, columns) -> DataFrame:
+    """Union of the blocks' hits, joined to each row of the documents."""
+    merged = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "n_words").agg(
         F.flatten(F.collect_list("word_ranges")).alias("_r"), F.flatten(F.collect_list("spans")).alias("_s"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"))
 
@@ -186,9 +187,12 @@ def _merge(found: DataFrame) -> DataFrame:
                     F.greatest(F.element_at(acc, -1)[hi], r[hi]).alias(hi))))).otherwise(
                 F.concat(acc, F.array(r))))
 
-    merged = merged.select("doc_id", "n_words", join_ranges("_r", "first", "last", 1).alias("word_ranges"),
-                           join_ranges("_s", "start", "end", 0).alias("spans"), "item_ids", "_rows")
-    return merged.withColumn("_row", F.explode(F.array_repeat(F.lit(1), F.col("_rows")))).drop("_row", "_rows")
+    merged = merged.select("_id", "_key", "n_words", join_ranges("_r", "first", "last", 1).alias("word_ranges"),
+                           join_ranges("_s", "start", "end", 0).alias("spans"), "item_ids")
+    key = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("_text_key")
+    return documents.select("doc_id", *columns, key).join(
+        merged, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))).drop(
+        "_id", "_key", "_text_key")
 
 
 def op6_decontaminate(spark, sf_dir):

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import (bpe, decontaminate, fingerprints, lang_id, quality, similarity_join, substring_dedup,
+from . import (bpe, decontaminate, fingerprints, html_extract, lang_id, quality, similarity_join, substring_dedup,
                token_files, toxicity)
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
     "op2_token_files": token_files.op2_token_files,
     "op3_quality": quality.op3_quality,
+    "op4_html_text": html_extract.op4_html_text,
     "op5_similarity_join": similarity_join.op5_similarity_join,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_substring_dedup": substring_dedup.op7_substring_dedup,
