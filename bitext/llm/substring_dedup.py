@@ -205,7 +205,7 @@ def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         return np.concatenate([rank[by:] + 1, np.zeros(min(by, n), np.int64)])
 
     key, have, shared = text, 1, None
-    if int(text.max()) < 1 << 20:  # three symbols fit one number
+    if depth >= 3 and int(text.max()) < 1 << 20:  # three symbols fit one number
         key, have = (text + 1 << 42) + (later(text, 1) << 21) + later(text, 2), 3
     while True:
         order = np.argsort(key)
