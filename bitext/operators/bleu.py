@@ -14,7 +14,6 @@ from .._util import require_columns
 from pyspark.ml.feature import NGram
 
 from ..functions.bleu_tokenize import MAX_ORDER, normalize_13a, split_ws
-from ..functions.text import pct_change
 
 # Output columns of ``bleu_stats``.
 STAT_COLS = ([f"correct_{n}" for n in range(1, MAX_ORDER + 1)]
@@ -30,11 +29,16 @@ def align_lines(hyp: DataFrame, ref: DataFrame, key: str = "line_no",
     """
     require_columns(hyp, key, hyp_col)
     require_columns(ref, key, ref_col)
-    j = hyp.select(key, hyp_col).join(ref.select(key, ref_col), key, "full_outer")
-    missing = F.col(hyp_col).isNull() | F.col(ref_col).isNull()
-    checked = F.when(missing, F.raise_error(F.concat(F.lit("line count mismatch at "),
-                                                     F.col(key).cast("string"))))
-    return j.select(key, F.coalesce(checked.cast("string"), F.col(hyp_col)).alias(hyp_col), ref_col)
+    return zip_lines(hyp.select(key, hyp_col), ref.select(key, ref_col), key)
+
+
+def zip_lines(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Full outer join on a line key that fails on a key of one side only. The
+    check is a filter, so no choice of columns (not even a count) skips it."""
+    joined = left.withColumn("_left", F.lit(True)).join(right.withColumn("_right", F.lit(True)), key, "full_outer")
+    alone = F.col("_left").isNull() | F.col("_right").isNull()
+    complaint = F.raise_error(F.concat(F.lit("no partner for line "), F.col(key).cast("string")))
+    return joined.filter(F.when(alone, complaint.cast("boolean")).otherwise(F.lit(True))).drop("_left", "_right")
 
 
 def bleu_stats(df: DataFrame, hyp_col: str = "hypothesis", ref_col: str = "reference",
@@ -117,7 +121,9 @@ def bleu_score(stats_prefix: str = "") -> Column:
     sys_len, ref_len = c("sys_len"), c("ref_len")
     bp = F.when(sys_len >= ref_len, F.lit(1.0)).otherwise(F.exp(F.lit(1.0) - ref_len / sys_len))
     mean_log = sum(logs[1:], logs[0]) / F.lit(float(MAX_ORDER))
-    return F.when((c(f"total_{MAX_ORDER}") == 0) | (sys_len == 0), F.lit(0.0)).otherwise(bp * F.exp(mean_log))
+    # Smoothing is for some orders without a match, not for a text without any.
+    matches = sum((c(f"correct_{n}") for n in range(2, MAX_ORDER + 1)), c("correct_1"))
+    return F.when((c(f"total_{MAX_ORDER}") == 0) | (sys_len == 0) | (matches == 0), F.lit(0.0)).otherwise(bp * F.exp(mean_log))
 
 
 def corpus_bleu(df: DataFrame, hyp_col: str = "hypothesis", ref_col: str = "reference",
@@ -135,10 +141,3 @@ def evaluate_systems(df: DataFrame, system_col: str = "system", hyp_col: str = "
     """BLEU of several systems on the same references (U4): rows stacked with
     a ``system`` column, one grouped aggregate."""
     return corpus_bleu(df, hyp_col, ref_col, id_cols, [system_col], digits)
-
-
-def improvement(systems: DataFrame, new: str, old: str, system_col: str = "system") -> DataFrame:
-    """One row: BLEU of ``old`` and ``new`` and the % improvement."""
-    piv = systems.agg(F.max(F.when(F.col(system_col) == old, F.col("bleu"))).alias("old_bleu"),
-                      F.max(F.when(F.col(system_col) == new, F.col("bleu"))).alias("new_bleu"))
-    return piv.withColumn("improvement_pct", pct_change("new_bleu", "old_bleu"))

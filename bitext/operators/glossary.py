@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .._util import as_col, require_columns
+from ..functions.text import strip_ws
 
 # Above this many terms the fold runs as one higher-order expression instead
 # of one projection per term (same result; the per-term form compiles each
@@ -31,8 +32,8 @@ def normalize_glossary(df: DataFrame, source_col: str = "source_term",
     """Trim, drop empty terms; a repeated source term keeps its first position
     and its last target (dictionary semantics). Case-sensitive keys."""
     require_columns(df, source_col, target_col, ord_col)
-    g = df.select(F.col(ord_col).alias("ord"), F.trim(source_col).alias("source_term"),
-                  F.trim(target_col).alias("target_term"))
+    g = df.select(F.col(ord_col).alias("ord"), strip_ws(source_col).alias("source_term"),
+                  strip_ws(target_col).alias("target_term"))
     g = g.filter((F.col("source_term") != "") & (F.col("target_term") != ""))
     return g.groupBy("source_term").agg(F.min("ord").alias("ord"),
                                         F.max_by("target_term", "ord").alias("target_term"))

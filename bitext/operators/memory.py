@@ -14,13 +14,13 @@ def memory_lookup(sentences: DataFrame, memory: DataFrame, text_col: str = "sent
     ``hit`` is *presence* of the key: a memory entry whose translation is
     ``""`` (or NULL) is still a hit. Shuffle join on the text; AQE turns it
     into a broadcast when the memory turns out small at runtime and splits
-    skewed (very frequent) sentences.
+    skewed (very frequent) sentences. A key that the memory holds more than once
+    (``read_memory_json`` never gives one) counts once, with its largest translation.
     """
     require_columns(sentences, text_col)
     require_columns(memory, "source", "translation")
-    mem = memory.select(F.col("source").alias(text_col),
-                        F.col("translation").alias("memory_translation"),
-                        F.lit(True).alias("hit"))
+    mem = memory.groupBy(F.col("source").alias(text_col)).agg(
+        F.max("translation").alias("memory_translation"), F.lit(True).alias("hit"))
     return (sentences.join(mem, text_col, "left")
                      .withColumn("hit", F.coalesce(F.col("hit"), F.lit(False))))
 
@@ -53,8 +53,19 @@ def memory_upsert(memory: DataFrame, new: DataFrame) -> DataFrame:
     the caller (a path being read is never overwritten).
     """
     require_columns(new, "source", "translation")
-    new = new.select("source", "translation")
-    return memory.select("source", "translation").join(new, "source", "left_anti").unionByName(new)
+    new = new.select("source", F.col("translation").alias("_new"), F.lit(True).alias("_is_new"))
+    both = memory.select("source", "translation").join(new, "source", "full_outer")  # ``new`` is read once
+    return both.select("source", F.when(F.col("_is_new"), F.col("_new")).otherwise(F.col("translation"))
+                       .alias("translation"))
+
+
+def memory_keys(df: DataFrame, *settings: str, text_col: str = "sentence") -> DataFrame:
+    """``df`` with the memory key of each sentence in ``text_col`` (Q8): the text
+    and the named setting columns (model, beam, glossary, ...) joined by U+001F, so
+    that a hit never comes from other settings. Without settings the text itself."""
+    require_columns(df, text_col, *settings)
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in settings]
+    return df.withColumn(text_col, F.concat_ws("\u001f", F.col(text_col), *parts)) if parts else df
 
 
 def cache_hits(sentences: DataFrame, memory: DataFrame | None, text_col: str = "sentence") -> DataFrame:
@@ -66,7 +77,7 @@ def cache_hits(sentences: DataFrame, memory: DataFrame | None, text_col: str = "
     """
     d = distinct_sentences(sentences, text_col)
     if memory is not None:
-        d = d.join(memory.select(F.col("source").alias(text_col), F.lit(True).alias("_in_mem")),
+        d = d.join(memory.select(F.col("source").alias(text_col)).distinct().withColumn("_in_mem", F.lit(True)),
                    text_col, "left")
     else:
         d = d.withColumn("_in_mem", F.lit(None).cast("boolean"))

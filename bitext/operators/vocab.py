@@ -38,45 +38,39 @@ def token_counts(df: DataFrame, text_col: str, order_col: str = "line_no",
     return counts.join(firsts, "token")
 
 
-def rank_tokens(counts: DataFrame, offset: int = 0, line_bucket: int = 1 << 24) -> DataFrame:
+def rank_tokens(counts: DataFrame, offset: int = 0) -> DataFrame:
     """Add ``rank`` = 1-based position in (count desc, first_line, first_pos) + offset.
 
-    No single-partition window over the vocabulary: tokens are bucketed by
-    ``(count, first_line div line_bucket)``; a histogram over distinct counts
-    (at most sqrt(2 x total tokens) rows) gives each count's offset, a window
-    partitioned by count gives each bucket's offset inside its count, and
-    ``row_number`` runs inside each bucket only.
+    A range sort by all three columns deals even the many tokens of one count to
+    all tasks. The sorted rows are checkpointed (their partitions stay as they
+    are); a row's rank is its index in its partition plus the sizes of the
+    partitions before, one number per partition.
     """
-    b = counts.withColumn("_lb", F.floor(F.col("first_line") / F.lit(line_bucket)).cast("long"))
-    per_bucket = b.groupBy("count", "_lb").agg(F.count(F.lit(1)).alias("_nb"))
-    per_count = per_bucket.groupBy("count").agg(F.sum("_nb").alias("_nc"))
-    desc_counts = Window.orderBy(F.col("count").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    per_count = per_count.withColumn("_count_off", F.coalesce(F.sum("_nc").over(desc_counts), F.lit(0)))
-    in_count = Window.partitionBy("count").orderBy("_lb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (per_bucket.withColumn("_bucket_off", F.coalesce(F.sum("_nb").over(in_count), F.lit(0)))
-                         .join(per_count.select("count", "_count_off"), "count"))
-    inside = Window.partitionBy("count", "_lb").orderBy("first_line", "first_pos")
-    ranked = (b.join(offsets.select("count", "_lb", "_count_off", "_bucket_off"), ["count", "_lb"])
-               .withColumn("rank", (F.col("_count_off") + F.col("_bucket_off")
-                                    + F.row_number().over(inside) + F.lit(offset)).cast("long")))
-    return ranked.drop("_lb", "_count_off", "_bucket_off")
+    ordered = reliable_checkpoint(counts.orderBy(F.desc("count"), "first_line", "first_pos"))
+    placed = ordered.withColumn("_part", F.spark_partition_id()).withColumn(
+        "_index", F.monotonically_increasing_id() - F.shiftleft(F.col("_part").cast("long"), 33))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    return placed.join(sizes.select("_part", "_before"), "_part").withColumn(
+        "rank", (F.col("_before") + F.col("_index") + 1 + offset).cast("long")).drop("_part", "_index", "_before")
 
 
 def build_vocab(df: DataFrame, text_col: str, order_col: str = "line_no",
                 specials=SPECIALS, max_size: int | None = None,
-                line_bucket: int = 1 << 24, materialize: bool = True) -> DataFrame:
+                materialize: bool = True) -> DataFrame:
     """``(token, count, rank)``: specials first (count 1,000,000), then tokens by
     descending count, ties in first-seen order; specials found in the data are
     not counted again. ``max_size`` keeps the first ``max_size`` non-special
     entries (a top-k by rank, no extra sort).
     """
     spark: SparkSession = df.sparkSession
-    # Ranking reads the counts three times: checkpoint the (vocabulary-sized)
+    # The range sort samples its input first: checkpoint the (vocabulary-sized)
     # table once rather than re-running the explode and both aggregates.
     counts = token_counts(df, text_col, order_col, specials)
     if materialize:
         counts = reliable_checkpoint(counts)
-    ranked = rank_tokens(counts, offset=len(specials), line_bucket=line_bucket)
+    ranked = rank_tokens(counts, offset=len(specials))
     if max_size is not None:
         ranked = ranked.filter(F.col("rank") <= len(specials) + int(max_size))
     head = spark.createDataFrame(

@@ -4,8 +4,9 @@ The driver tables are generic (documents, conversations, events). These
 functions turn them into the shapes the bitext operators consume, so every
 query's work grows with the tables:
 
-* pairs      - documents split on newline; odd line i is the source, line
-               i+1 the target; ``line_no = doc_id * 1_000_000 + i``. Two
+* pairs      - documents split on newline; every line i is a source, line i+1
+               its target (the last line's target is empty, so that F1/F3 drop
+               it and A1 counts it); ``line_no = doc_id * 2**31 + i``. Two
                deterministic defects are injected so cleaning has work:
                ``_`` before the source when ``doc_id % 7 = 0`` and a CR after
                the target when ``doc_id % 5 = 0``.
@@ -25,7 +26,8 @@ from ..functions.text import split_sentences
 from ..sources.layout import spread
 from .._util import explode_rows
 
-LINE_STRIDE = 1_000_000
+#: A text has fewer lines than this (a value holds less than 2**31 characters).
+LINE_STRIDE = 1 << 31
 
 # --- fixed values of the fixtures -------------------------------------------
 # (ord, source_term, target_term); "the" is nested inside "and the".
@@ -50,19 +52,20 @@ BEAM_SIZES = (1, 3, 5)
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table, spread over all cores if it arrives in few splits."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    """Read one driver table. With ``spark.bitext.spreadSmallInputs`` (off by
+    default, for benchmarks on tiny files) few splits are dealt to all cores."""
+    table = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(table) if spark.conf.get("spark.bitext.spreadSmallInputs", "false") == "true" else table
 
 
 def pairs_from_documents(documents: DataFrame) -> DataFrame:
-    """``(line_no, source, target)`` per consecutive line pair. No shuffle."""
+    """``(line_no, source, target)`` of every line and the one after it. No shuffle."""
     lines = F.split(F.col("text"), "\n")
     n = F.size(lines)
-    pairs = F.when(n >= 2, F.transform(
-        F.sequence(F.lit(0), (n / 2).cast("int") - 1),
-        lambda k: F.struct((k * 2 + 1).alias("i"),
-                           F.element_at(lines, k * 2 + 1).alias("source"),
-                           F.element_at(lines, k * 2 + 2).alias("target"))))
+    pairs = F.when(n >= 1, F.transform(
+        F.sequence(F.lit(1), n),
+        lambda i: F.struct(i.alias("i"), F.element_at(lines, i).alias("source"),
+                           F.when(i < n, F.element_at(lines, F.least(i + 1, n))).otherwise("").alias("target"))))
     # inline_outer: a plain generator would re-split every text in an inferred filter.
     exploded = documents.select("doc_id", F.inline_outer(pairs)).filter(F.col("i").isNotNull())
     return exploded.select(
@@ -73,14 +76,13 @@ def pairs_from_documents(documents: DataFrame) -> DataFrame:
 
 
 def pairs_from_conversations(conversations: DataFrame) -> DataFrame:
-    """User turn n paired with the assistant turn n+1 of the same conversation."""
-    user = conversations.filter(F.col("role") == "user").select(
-        "conv_id", "turn", F.col("text").alias("source"))
-    assistant = conversations.filter(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("target"))
-    return user.join(assistant, ["conv_id", "turn"]).select(
+    """Every turn paired with the next turn of its conversation; the last one, or
+    one before a gap, with an empty target."""
+    turns = conversations.select("conv_id", "turn", F.col("text").alias("source"))
+    following = conversations.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("target"))
+    return turns.join(following, ["conv_id", "turn"], "left").select(
         (F.col("conv_id") * LINE_STRIDE + F.col("turn")).cast("long").alias("line_no"),
-        "source", "target")
+        "source", F.coalesce("target", F.lit("")).alias("target"))
 
 
 def sentences_from_documents(documents: DataFrame) -> DataFrame:

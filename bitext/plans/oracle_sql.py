@@ -30,17 +30,16 @@ RAW_PAIRS = f"""
 raw_pairs AS (
   SELECT doc_id * {LINE_STRIDE} + i AS line_no,
          CASE WHEN doc_id % 7 = 0 THEN '_' || lines[i] ELSE lines[i] END AS source,
-         CASE WHEN doc_id % 5 = 0 THEN lines[i + 1] || chr(13) ELSE lines[i + 1] END AS target
-  FROM (SELECT doc_id, lines, unnest(range(1, len(lines), 2)) AS i
+         coalesce(lines[i + 1], '') || CASE WHEN doc_id % 5 = 0 THEN chr(13) ELSE '' END AS target
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i
         FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents))
 )"""
 
 CONV_PAIRS = f"""
 raw_pairs AS (
-  SELECT u.conv_id * {LINE_STRIDE} + u.turn AS line_no, u.text AS source, a.text AS target
-  FROM conversations u JOIN conversations a
+  SELECT u.conv_id * {LINE_STRIDE} + u.turn AS line_no, u.text AS source, coalesce(a.text, '') AS target
+  FROM conversations u LEFT JOIN conversations a
     ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
-  WHERE u.role = 'user' AND a.role = 'assistant'
 )"""
 
 
@@ -345,7 +344,8 @@ def _bleu_expr() -> str:
         logs.append(f"ln(CASE WHEN correct_{n} = 0 THEN 100.0 / (pow(2.0, {z}) * total_{n}) "
                     f"ELSE 100.0 * correct_{n} / total_{n} END)")
     bp = "(CASE WHEN sys_len >= ref_len THEN 1.0 ELSE exp(1.0 - ref_len::DOUBLE / sys_len::DOUBLE) END)"
-    return (f"(CASE WHEN total_4 = 0 OR sys_len = 0 THEN 0.0 "
+    return (f"(CASE WHEN total_4 = 0 OR sys_len = 0 "
+            f"OR correct_1 + correct_2 + correct_3 + correct_4 = 0 THEN 0.0 "
             f"ELSE {bp} * exp(({' + '.join(logs)}) / 4.0) END)")
 
 

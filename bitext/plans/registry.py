@@ -80,7 +80,7 @@ def q_corpus_summary(spark, d):
 
 def q_conversation_corpus(spark, d):
     pairs = fx.pairs_from_conversations(fx.load_table(spark, d, "conversations"))
-    return prepare_corpus(pairs)
+    return prepare_corpus(pairs, min_pairs=1)  # the smallest tables hold few long enough pairs
 
 
 def _sentences(spark, d):

@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import normalize_space, strip_ws
+from ..operators.bleu import zip_lines
 from ..operators.runs import RUNS_SCHEMA
 
 _BOM = "\ufeff"
 
 
-def _csv(spark: SparkSession, path: str, header: bool = True):
-    # RFC-4180 style: doubled quotes inside quoted cells, cells may span lines.
-    return (spark.read.option("header", header).option("multiLine", True)
+def _csv(spark: SparkSession, path: str, header: bool = True, multi_line: bool = False):
+    # RFC-4180 style: doubled quotes inside quoted cells. Cells that span lines
+    # need ``multi_line``, which makes each file one task.
+    return (spark.read.option("header", header).option("multiLine", multi_line)
             .option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
             .option("inferSchema", False).csv(path))
 
@@ -28,43 +30,48 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _file_order(df: DataFrame) -> DataFrame:
-    """``line_no``: position of each row in file order (0-based, per input).
+    """``df`` with ``line_no``: the position of each row over all files of the
+    input in name order (0-based), and ``_file_start``: it is its file's first row.
 
     Rows keep their order inside a file split and every split knows its byte
-    offset (``_metadata.file_block_start``). Rows are counted per split (one
-    small aggregate, one row per split), offsets are a running sum over the
-    splits of each file (bounded by the number of splits, broadcast), and a
-    row's number is its split's offset plus its index within the split. No
-    single-task pass over the data.
+    offset (``_metadata.file_block_start``). Rows are counted per split (one small
+    aggregate); a split's offset is the running count over the splits in (file
+    name, offset) order, one row per split. A row's number is its split's offset
+    plus its index within the split, however splits are packed into tasks.
     """
     base = (df.withColumn("_file", F.col("_metadata.file_path"))
               .withColumn("_block", F.col("_metadata.file_block_start"))
               .withColumn("_mid", F.monotonically_increasing_id()))
     blocks = base.groupBy("_file", "_block").agg(F.min("_mid").alias("_first"),
                                                  F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    out = base.join(F.broadcast(blocks.select("_file", "_block", "_first", "_off")), ["_file", "_block"])
-    out = out.withColumn("line_no", (F.col("_off") + F.col("_mid") - F.col("_first")).cast("long"))
-    return out.drop("_block", "_mid", "_first", "_off")
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    in_file = Window.partitionBy("_file").orderBy("_block")
+    blocks = blocks.withColumns({"_off": F.coalesce(F.sum("_n").over(before), F.lit(0)),
+                                 "_head": F.row_number().over(in_file) == 1})
+    out = base.join(blocks.select("_file", "_block", "_first", "_off", "_head"), ["_file", "_block"])
+    index = F.col("_mid") - F.col("_first")
+    return out.withColumns({"line_no": (F.col("_off") + index).cast("long"),
+                            "_file_start": F.col("_head") & (index == 0)}).drop(
+        "_file", "_block", "_mid", "_first", "_off", "_head")
 
 
 def read_pairs_csv(spark: SparkSession, path: str, source_col: str = "source",
-                   target_col: str = "target", normalize: bool = False) -> DataFrame:
+                   target_col: str = "target", normalize: bool = False, multi_line: bool = False) -> DataFrame:
     """``(line_no, source, target)`` from a header CSV.
 
-    BOM-safe, doubled-quote escaping, cells spanning lines; a missing column
-    fails before any job. Short rows give NULL cells (treated as ``""``
+    BOM-safe, doubled-quote escaping; ``multi_line`` allows cells that span lines
+    (one task per file). Rows are numbered in (file name, position) order. A missing
+    column fails before any job. Short rows give NULL cells (treated as ``""``
     downstream). ``normalize=True`` whitespace-normalises both sides and
     drops rows with an empty side (the preprocessing loader).
     """
-    raw = _csv(spark, path)
-    cols = [c.lstrip(_BOM) for c in raw.columns]
-    raw = raw.toDF(*cols)
-    if source_col not in cols or target_col not in cols:
-        raise ValueError(f"CSV columns mismatch. Expected '{source_col}' and '{target_col}', got {cols}.")
-    df = raw.select(F.col(source_col).alias("source"), F.col(target_col).alias("target"))
-    df = df.withColumn("line_no", F.monotonically_increasing_id()).select("line_no", "source", "target")
+    raw = _csv(spark, path, multi_line=multi_line)
+    names = {c.lstrip(_BOM): c for c in raw.columns}
+    absent = [c for c in (source_col, target_col) if c not in names]
+    if absent:
+        raise ValueError(f"no column {absent} in the CSV header {list(names)}")
+    df = _file_order(raw).select("line_no", F.col(f"`{names[source_col]}`").alias("source"),
+                                 F.col(f"`{names[target_col]}`").alias("target"))
     if normalize:
         df = df.withColumns({"source": normalize_space("source"), "target": normalize_space("target")})
         df = df.filter((F.col("source") != "") & (F.col("target") != ""))
@@ -72,24 +79,21 @@ def read_pairs_csv(spark: SparkSession, path: str, source_col: str = "source",
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``(line_no, line)`` of a text file in file order; BOM removed from line 0."""
-    df = _file_order(spark.read.text(path)).drop("_file")
-    line = F.when(F.col("line_no") == 0, F.regexp_replace("value", "^" + _BOM, "")).otherwise(F.col("value"))
-    return df.select("line_no", line.alias("line"))
+    """``(line_no, line)`` of a text file, or of the parts of a folder in name
+    order; a BOM at the start of a file is removed."""
+    line = F.when(F.col("_file_start"), F.regexp_replace("value", "^" + _BOM, "")).otherwise(F.col("value"))
+    return _file_order(spark.read.text(path)).select("line_no", line.alias("line"))
 
 
 def read_bitext(spark: SparkSession, src_path: str, tgt_path: str) -> DataFrame:
-    """Line-aligned parallel files -> ``(line_no, source, target)``.
+    """Line-aligned parallel files or folders -> ``(line_no, source, target)``.
 
-    Line i of one file pairs with line i of the other (equi-join on the line
-    number); unequal line counts fail the job.
+    Line i of one side pairs with line i of the other (equi-join on the line
+    number); unequal line counts fail the job, whatever columns are asked for.
     """
     s = read_lines(spark, src_path).withColumnRenamed("line", "source")
     t = read_lines(spark, tgt_path).withColumnRenamed("line", "target")
-    j = s.join(t, "line_no", "full_outer")
-    bad = F.col("source").isNull() | F.col("target").isNull()
-    check = F.when(bad, F.raise_error(F.lit("line count mismatch between the two files")))
-    return j.select("line_no", F.coalesce(check.cast("string"), F.col("source")).alias("source"), "target")
+    return zip_lines(s, t, "line_no").select("line_no", "source", "target")
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -107,22 +111,25 @@ def read_glossary(spark: SparkSession, path: str) -> DataFrame:
     if len(raw.columns) < 2:
         return spark.createDataFrame([], "ord long, source_term string, target_term string")
     c0, c1 = raw.columns[:2]
-    return raw.select(F.monotonically_increasing_id().alias("ord"),
-                      F.col(f"`{c0}`").alias("source_term"), F.col(f"`{c1}`").alias("target_term"))
+    return _file_order(raw).select(
+        F.col("line_no").alias("ord"), F.col(f"`{c0}`").alias("source_term"), F.col(f"`{c1}`").alias("target_term"))
 
 
 def read_memory_json(spark: SparkSession, path: str) -> DataFrame:
     """``(source, translation)`` from one JSON object per file.
 
     Missing file, bad JSON or a non-object give no rows. JSON ``null``
-    becomes NULL (still a hit: presence of the key counts).
+    becomes NULL (still a hit: presence of the key counts). A repeated key keeps
+    its last value (over files: of the last file by name).
     """
     schema = "source string, translation string"
     if not _path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    df = spark.read.text(path, wholetext=True)
+    df = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("_file"))
     m = F.from_json(F.col("value"), T.MapType(T.StringType(), T.StringType()))
-    return df.select(F.explode(m).alias("source", "translation"))
+    entries = df.select("_file", F.posexplode(F.map_entries(m)).alias("_at", "_e"))
+    return entries.groupBy(F.col("_e.key").alias("source")).agg(
+        F.max_by("_e.value", F.struct("_file", "_at")).alias("translation"))
 
 
 def read_runs_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -132,4 +139,5 @@ def read_runs_csv(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], RUNS_SCHEMA + ", row_no long")
     df = (spark.read.schema(RUNS_SCHEMA).option("header", True).option("encoding", "UTF-8")
           .option("quote", '"').option("escape", '"').csv(path))
-    return df.withColumn("row_no", F.monotonically_increasing_id())
+    columns = df.columns
+    return _file_order(df).select(*columns, F.col("line_no").alias("row_no"))

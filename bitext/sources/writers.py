@@ -20,7 +20,8 @@ def snapshot_path(base: str, ts: str | None = None) -> str:
 
 def _csv_writer(df: DataFrame, mode: str):
     return (df.write.mode(mode).option("header", True).option("quote", '"')
-              .option("escape", '"').option("encoding", "UTF-8"))
+              .option("escape", '"').option("encoding", "UTF-8")
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
 
 
 def write_pairs(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
@@ -67,9 +68,10 @@ def write_memory(memory: DataFrame, base: str, ts: str | None = None) -> str:
 
 
 def write_translations(docs: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
-    """One row per document with its newline-joined translation (K5)."""
+    """One row per document with its newline-joined translation (K5). As text:
+    one folder ``doc_id=<id>`` per document that holds its lines."""
     if fmt == "text":
-        docs.select("translation").write.mode(mode).text(path)
+        docs.select("doc_id", "translation").write.mode(mode).partitionBy("doc_id").text(path)
     else:
         docs.write.mode(mode).parquet(path)
 

@@ -57,7 +57,7 @@ def test_exact_split_sizes(spark, n):
     df = spark.range(n).select(F.col("id").alias("line_no"),
                                F.concat(F.lit("src "), F.col("id").cast("string")).alias("source"),
                                F.concat(F.lit("tgt "), F.col("id").cast("string")).alias("target"))
-    out = split_pairs(df, prefix_len=2)
+    out = split_pairs(df)
     counts = {r.split: r["count"] for r in out.groupBy("split").count().collect()}
     te = max(1, int(n * 0.7))
     ve = max(te + 1, int(n * (0.7 + 0.15)))

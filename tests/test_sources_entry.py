@@ -16,9 +16,9 @@ from tests.conftest import SF_SMALL
 def test_pairs_csv(spark, tmp_path):
     p = tmp_path / "pairs.csv"
     p.write_text('﻿source,target,extra\n"Open ""file""",Abrir\n"two\nlines",dos\nshort\n', encoding="utf-8")
-    rows = sorted((r.line_no, r.source, r.target) for r in read_pairs_csv(spark, str(p)).collect())
+    rows = sorted((r.line_no, r.source, r.target) for r in read_pairs_csv(spark, str(p), multi_line=True).collect())
     assert [(s, t) for _, s, t in rows] == [('Open "file"', "Abrir"), ("two\nlines", "dos"), ("short", None)]
-    norm = read_pairs_csv(spark, str(p), normalize=True).collect()
+    norm = read_pairs_csv(spark, str(p), normalize=True, multi_line=True).collect()
     assert sorted(r.source for r in norm) == ['Open "file"', "two lines"]
     with pytest.raises(ValueError):
         read_pairs_csv(spark, str(p), source_col="en")

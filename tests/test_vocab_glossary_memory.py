@@ -26,7 +26,7 @@ def test_vocab_rank_matches_sort(spark):
     words = [f"w{i}" for i in range(60)]
     rows = [(i, " ".join(random.choice(words[: 5 + i % 50]) for _ in range(8))) for i in range(300)]
     df = spark.createDataFrame(rows, "line_no long, text string")
-    got = [(r.token, r["count"]) for r in build_vocab(df, "text", line_bucket=16).orderBy("rank").collect()][4:]
+    got = [(r.token, r["count"]) for r in build_vocab(df, "text").orderBy("rank").collect()][4:]
     counts, first = {}, {}
     for ln, t in rows:
         for p, w in enumerate(t.split()):
