@@ -35,7 +35,9 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(f"local[{cpus}]", app_name="bitext-bench", shuffle_partitions=cpus)
+    spark = build_session(f"local[{cpus}]", app_name="bitext-bench", shuffle_partitions=cpus,
+                          # the tables are files of one row group: deal them to all cores
+                          extra={"spark.bitext.spreadSmallInputs": "true"})
     spark.sparkContext.setLogLevel("ERROR")
     warm_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
     if not os.path.isdir(warm_dir):
