@@ -89,13 +89,19 @@ class WordEncoder:
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.special) or self._ODD.search(text):
             return self._library(text)
-        get = self.pieces.get
-        return b"".join([get(p) if p in self.pieces else self._piece(p) for p in text.split()])
+        pieces = text.split()
+        ids = list(map(self.pieces.get, pieces))
+        if None in ids:
+            ids = [self._piece(p) if x is None else x for p, x in zip(pieces, ids)]
+        return b"".join(ids)
 
     def _library(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.type).tobytes()
 
     def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is not None:
+            return ids
         if self._SIMPLE.fullmatch(piece):
             ids = b"".join(map(self._part, self._PARTS.findall(piece.lower())))
         else:
