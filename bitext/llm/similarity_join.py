@@ -13,17 +13,21 @@ Method
    size band (sizes within a factor of ``BAND_GROWTH``).
 3. Pigeonhole: ``t`` differing shingles spoil at most ``t`` segments. So of the
    filled segments, in one global order, the first ``t + 1`` of each side must
-   share one (the prefix principle). Those are the join keys. Very common
-   shingles have segments of their own, last in that order, so a passage shared
-   by many documents becomes a key only where a text has little else.
+   share one (the prefix principle). Those are the join keys. Shared shingles, and
+   common ones, have segments of their own, last in that order, so a passage of
+   several documents becomes a key only where a text has little else.
 4. A document with no more than ``t`` filled segments also gives keys of a
    finer sketch, and so on; two documents meet on the finest level that both
    have, where at least one of them has enough segments. No link is lost.
 5. Keys are sorted by value. Every member of a key is paired with the key's first
    member; a pair whose sizes or whole sketches are too far apart is out, the
-   others are compared exactly. The links' components are found; only where a key
-   still joins different components do the remaining pairs across components
-   follow the same way. A group of copies costs its size, not its square.
+   others are compared exactly, and the links' components are found. Where a key
+   still joins different components, each of a few other members (other ones each
+   round) meets the members outside its component, so a family of near copies
+   grows together at the cost of its size.
+6. What then still joins different components is compared in full across them:
+   sketch against sketch in blocks of ``BLOCK_SETS`` members, inside tasks; only
+   pairs whose sketches allow a link become rows and are compared exactly.
 
 Defined results
 * NULL, empty or wordless text: empty set, linked with nothing.
@@ -32,10 +36,12 @@ Defined results
 * NULL doc_id: its size is reported, component NULL, and it links with nothing.
 * Extra columns are not read.
 
-Scale: text is never shuffled except that of documents in candidate pairs. The
-broadcast list of common shingles is bounded by its frequency threshold (at
-most ``COMMON_SHARE`` times the mean set size entries), the filter of candidate
-ids by its fixed number of slots.
+Scale: text is never shuffled except that of documents in candidate pairs. Which
+shingles are shared is counted over all documents, from sorted and packed 32-bit
+hashes, and kept in two Bloom filters of ``FILTER_BITS`` bits; neither they nor
+the slot filter of candidate ids grow with the data. A shingle wrongly taken for
+a shared one only moves to the end of the order: that costs time, never a link.
+(Past some 2 ** 32 shingles chance makes most hashes shared and the order fades.)
 """
 
 from __future__ import annotations
@@ -51,14 +57,20 @@ from .graph import connected_components
 from .idfilter import only_ids
 
 SHINGLE_WORDS = 5
-BAND_GROWTH = 1.5
-SEGMENT_BITS = 256
-#: A shingle is common if found in more than max(COMMON_LEAST, documents / COMMON_SHARE) documents.
-COMMON_LEAST = 64
-COMMON_SHARE = 4096
-#: Shingles counted together in a task, and the least count there worth reporting.
+BAND_GROWTH = 3
+#: Places of a segment; it is only ever held as a digest, so that many cost nothing.
+SEGMENT_BITS = 1 << 32
+#: A shingle is shared from two documents on, common above this many.
+COMMON_DOCUMENTS = 8
+#: Bits of each of the two fixed-size filters of shared and of common shingles.
+FILTER_BITS = 1 << 26
+#: Shingles that a task counts together, and documents per part of the slots.
 COUNT_BLOCK = 2_000_000
-COUNT_LEAST = 6
+DOCUMENTS_PER_PART = 4_096
+#: Rounds of pairing with single members before the full comparison, members that
+#: a key offers in a round, and block size of the full comparison.
+STAR_ROUNDS, STAR_LEADERS = 2, 6
+BLOCK_SETS = 2_048
 #: Sets a task remembers so as to give the keys of a repeated set once.
 GIVEN_SETS = 1_000_000
 
@@ -97,17 +109,13 @@ def _bands(largest: int) -> list[tuple[int, int, int]]:
 _ALL_BANDS = _bands(2**40)
 
 
-def join_keys(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """64-bit join keys of a set; ``common`` is the sorted list of common shingles."""
+def join_keys(shingles: np.ndarray, common: tuple) -> np.ndarray:
+    """64-bit join keys of a set; ``common`` holds the two filters (``shared_filters``)."""
     n = len(shingles)
     differ = (n + 5 * n // 4) // 9
     if not differ:  # only an equal set can be linked
         return np.empty(0, np.uint64)
-    if len(common):
-        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
-        frequent = (common[at] == shingles).astype(np.uint64)
-    else:
-        frequent = np.zeros(n, np.uint64)
+    frequent = frequency_class(shingles, common)
     out = []
     for band, (lo, hi, cap) in enumerate(_ALL_BANDS):
         if lo > n:
@@ -128,15 +136,15 @@ def join_keys(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
             digest = np.bitwise_xor.reduceat(mix64(place + np.uint64(1))[order], first)
             segment, digest = segment[first][digest != 0], digest[digest != 0]
             key = mix64(digest ^ mix64(segment * np.uint64(4096) + np.uint64(salt)))
-            out.append(key[np.lexsort((key, segment >= count))][:differ + 1])
+            out.append(key[np.lexsort((key, segment // np.uint64(count)))][:differ + 1])
             if len(key) > differ:
                 break
     return np.concatenate(out)
 
 
 def parity_sketch(shingles: np.ndarray) -> bytes:
-    """Parity bits of the whole set; a power of two at least as many as shingles."""
-    size = max(64, 1 << max(0, len(shingles) - 1).bit_length())
+    """Parity bits of the whole set; a power of two, four to eight times the shingles."""
+    size = 4 * max(64, 1 << max(0, len(shingles) - 1).bit_length())
     bits = np.zeros(size, np.uint8)
     place, count = np.unique(mix64(shingles + np.uint64(11)) % np.uint64(size), return_counts=True)
     bits[place.astype(np.int64)] = count & 1
@@ -158,22 +166,35 @@ def _digest(shingles: np.ndarray) -> tuple[int, int]:
             int(np.bitwise_xor.reduce(mix64(shingles + np.uint64(7))).view(np.int64)))
 
 
-def _summaries(documents: DataFrame) -> DataFrame:
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Sorted unsigned 32-bit numbers as gaps, in byte planes so that they compress."""
+    gaps = np.diff(values, prepend=values.dtype.type(0)).astype("<u4")
+    return gaps.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
+
+
+def _summaries(documents: DataFrame, parts: int) -> DataFrame:
     """One pass: a row per document (size, set digest, sketch) and, marked by
-    ``kind = 1``, the shingles frequent within a block of the pass."""
+    ``kind = 1``, the hashes of a block of shingles per part ``n`` of the slots."""
     def make():
         held: list[np.ndarray] = []
         size = 0
 
-        def counted():
+        def packed():
             nonlocal held, size
-            value, count = np.unique(np.concatenate(held), return_counts=True) if held else (
-                np.empty(0, np.uint64), np.empty(0, np.int64))
+            hashes = np.sort((np.concatenate(held) >> np.uint64(32)).astype(np.uint32)) if held else np.empty(
+                0, np.uint32)
             held, size = [], 0
-            value, count = value[count >= COUNT_LEAST], count[count >= COUNT_LEAST]
-            k = len(value)
-            return {"kind": [1] * k, "doc_id": [None] * k, "n": count.tolist(),
-                    "d1": value.view(np.int64).tolist(), "d2": [0] * k, "sketch": [None] * k}
+            width = (1 << 32) // parts
+            cuts = np.searchsorted(hashes, np.arange(1, parts, dtype=np.int64) * width)
+            found = [(i, p) for i, p in enumerate(np.split(hashes, cuts)) if len(p)]
+            k = len(found)
+            return {"kind": [1] * k, "doc_id": [None] * k, "n": [i for i, _ in found], "d1": [0] * k, "d2": [0] * k,
+                    "sketch": [pack_sorted(p - np.uint32(i * width)) for i, p in found]}
 
         def work(doc_ids, texts):
             nonlocal size
@@ -185,9 +206,9 @@ def _summaries(documents: DataFrame) -> DataFrame:
             held.extend(sets)
             size += sum(map(len, sets))
             if size >= COUNT_BLOCK:
-                yield counted()
+                yield packed()
 
-        work.flush = lambda: [counted()]
+        work.flush = lambda: [packed()]
         return work
 
     kind = documents.schema["doc_id"].dataType.simpleString()
@@ -195,7 +216,52 @@ def _summaries(documents: DataFrame) -> DataFrame:
                     make)
 
 
-def _candidate_groups(documents: DataFrame, common: np.ndarray) -> DataFrame:
+def _places(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two filter bits of 32-bit hashes; both are in the hash's part."""
+    part_bits = FILTER_BITS // parts
+    first = hashes.astype(np.uint64) >> np.uint64(6)
+    other = mix64(hashes.astype(np.uint64) + np.uint64(1)) & np.uint64(part_bits - 1)
+    return first.astype(np.int64), ((first & ~np.uint64(part_bits - 1)) | other).astype(np.int64)
+
+
+def frequency_class(shingles: np.ndarray, filters: tuple[int, np.ndarray, np.ndarray]) -> np.ndarray:
+    """0 for a shingle of one document, 1 for a shared one, 2 for a common one."""
+    parts, *bitmaps = filters
+    places = _places((shingles >> np.uint64(32)).astype(np.uint32), parts)
+    return sum(np.logical_and(*[(bits[p >> 3] >> (p & 7).astype(np.uint8) & 1) > 0 for p in places]).astype(np.uint64)
+               for bits in bitmaps)
+
+
+def shared_filters(packed: DataFrame, parts: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of parts, and the filters of shared and of common shingles."""
+    part_bits = FILTER_BITS // parts
+
+    def count(key, table):
+        import pyarrow as pa
+
+        part = key[0].as_py()
+        hashes = np.sort(np.concatenate([unpack_sorted(x.as_py()) for x in table.column("sketch")]))
+        first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
+        times = np.diff(np.r_[first, len(hashes)])
+        bits = []
+        for least in (2, COMMON_DOCUMENTS + 1):
+            own = np.zeros(part_bits, bool)
+            found = hashes[first[times >= least]] + np.uint32(part * ((1 << 32) // parts))
+            for place in _places(found, parts):
+                own[place - part * part_bits] = True
+            bits.append(np.packbits(own, bitorder="little").tobytes())
+        return pa.table({"n": pa.array([part], pa.int64()), "shared": pa.array(bits[:1], pa.binary()),
+                         "common": pa.array(bits[1:], pa.binary())})
+
+    out = [np.zeros(FILTER_BITS // 8, np.uint8) for _ in range(2)]
+    counted = packed.select("n", "sketch").groupBy("n").applyInArrow(count, "n long, shared binary, common binary")
+    for n, *bits in counted.toLocalIterator():
+        for whole, part in zip(out, bits):
+            whole[n * part_bits // 8:(n + 1) * part_bits // 8] = np.frombuffer(part, np.uint8)
+    return parts, *out
+
+
+def _candidate_groups(documents: DataFrame, common: tuple) -> DataFrame:
     """``(key, d1, leader)``: sets (by digest) that share a join key, and the
     key's smallest digest; keys with one set are left out."""
     shared = documents.sparkSession.sparkContext.broadcast(common)
@@ -311,12 +377,10 @@ def verify_pairs(documents: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def similar_components(documents: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row of ``documents``."""
-    summary = reliable_checkpoint(_summaries(documents))
+    parts = min(1 << 16, max(16, 1 << (documents.count() // DOCUMENTS_PER_PART).bit_length()))
+    summary = reliable_checkpoint(_summaries(documents, parts))
     rows = summary.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "d1", "d2", "sketch")
-    total = rows.count()
-    least = max(COMMON_LEAST, total // COMMON_SHARE)
-    common = np.array(sorted(r[0] & (2**64 - 1) for r in summary.where("kind = 1").groupBy("d1").agg(
-        F.sum("n").alias("n")).where(F.col("n") > least).select("d1").toLocalIterator()), np.uint64)
+    common = shared_filters(summary.where("kind = 1"), parts)
 
     classes = reliable_checkpoint(rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(
         "n_shingles", "d1", "d2").agg(F.min("doc_id").alias("node"), F.first("sketch").alias("sketch")))
@@ -326,33 +390,104 @@ def similar_components(documents: DataFrame) -> DataFrame:
         classes.select(F.col("node").alias("b")), "b", "left_semi")
 
     groups = reliable_checkpoint(_candidate_groups(documents, common))
-    stars = groups.where("d1 <> leader").select(F.col("leader").alias("x"), F.col("d1").alias("y")).distinct()
-    links = reliable_checkpoint(verify_pairs(documents, reliable_checkpoint(_near(stars, classes))).unionByName(
-        twins.distinct()))
+    pairs = groups.where("d1 <> leader").select(F.col("leader").alias("x"), F.col("d1").alias("y"))
+    links = reliable_checkpoint(_verified(documents, pairs, classes).unionByName(twins.distinct()))
     components = connected_components(links)
-
-    rest = reliable_checkpoint(_near(_open_pairs(groups, classes, components), classes))
-    if not rest.isEmpty():
-        links = links.unionByName(verify_pairs(documents, rest))
+    mixed = _mixed_members(groups, classes, components)
+    for turn in range(STAR_ROUNDS):
+        found = reliable_checkpoint(_verified(documents, _star_pairs(mixed, turn), classes))
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
         components = connected_components(links)
+        mixed = _mixed_members(mixed.select("key", "d1"), classes, components)
+    found = reliable_checkpoint(_verified(documents, _block_pairs(mixed, classes), classes))
+    if not found.isEmpty():
+        components = connected_components(links.unionByName(found))
     return placed.join(components, "node", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")).alias("component_id"))
 
 
-def _open_pairs(groups: DataFrame, classes: DataFrame, components: DataFrame) -> DataFrame:
-    """Pairs ``(x, y)`` of sets that share a key, are in different components, and
-    of which neither is the key's leader (those pairs were verified)."""
+def _verified(documents: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links among set pairs ``(x, y)``."""
+    near = reliable_checkpoint(_near(pairs.distinct(), classes))
+    return near if near.isEmpty() else verify_pairs(documents, near)
+
+
+def _mixed_members(groups: DataFrame, classes: DataFrame, components: DataFrame) -> DataFrame:
+    """``(key, d1, component)`` of the keys that join different components."""
     component = classes.join(components, "node", "left").select(
         "d1", F.coalesce("component", "node").alias("component")).groupBy("d1").agg(
         F.min("component").alias("component"))
-    followers = groups.where("d1 <> leader").select("key", "d1").join(component, "d1")
-    mixed = followers.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(
-        "lo < hi").select("key")
-    rows = reliable_checkpoint(followers.join(mixed, "key", "left_semi"))
-    other = rows.select("key", F.col("d1").alias("y"), F.col("component").alias("component_y"))
-    return rows.withColumnRenamed("d1", "x").join(other, "key").where(
-        "x < y AND component <> component_y").select("x", "y").distinct()
+    members = groups.select("key", "d1").join(component, "d1")
+    mixed = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    return reliable_checkpoint(members.join(mixed.select("key"), "key", "left_semi"))
+
+
+def _star_pairs(mixed: DataFrame, turn: int) -> DataFrame:
+    """``STAR_LEADERS`` members of each key, the first in as many hash orders, each
+    with the members outside its component."""
+    orders = [F.xxhash64("d1", F.lit(turn * STAR_LEADERS + k)) for k in range(STAR_LEADERS)]
+    first = mixed.groupBy("key").agg(*[F.min_by(c, order).alias(f"{c}_{k}") for k, order in enumerate(orders)
+                                       for c in ("d1", "component")])
+    leaders = F.array_distinct(F.array(*[F.struct(F.col(f"d1_{k}").alias("x"), F.col(f"component_{k}").alias("c"))
+                                         for k in range(STAR_LEADERS)]))
+    met = mixed.join(first.select("key", leaders.alias("leaders")), "key").select(
+        "d1", "component", F.inline("leaders"))
+    return met.where("component <> c").select("x", F.col("d1").alias("y"))
+
+
+def _block_pairs(mixed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs ``(x, y)`` of members of a key in different components whose sizes and
+    sketches allow a link. A key of k blocks is k * (k + 1) / 2 independent pieces."""
+    blocks = mixed.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("d1", F.lit(99)), F.col("blocks")).cast("int")
+    dealt = mixed.join(blocks, "key").withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "d1", "component")
+    sketches = classes.groupBy("d1").agg(F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n"))
+    rows = dealt.join(sketches.where("sketch IS NOT NULL"), "d1")
+
+    def compare(key, table):
+        import pyarrow as pa
+
+        if key[1].as_py() != key[2].as_py():
+            side = np.array(table.column("own")) == key[1].as_py()
+        else:
+            side = None
+        found = cross_pairs(np.array(table.column("component").to_pylist()), np.array(table.column("n")),
+                            table.column("sketch").to_pylist(), side)
+        d1 = np.array(table.column("d1"))
+        return pa.table({"x": pa.array(d1[found[:, 0]], pa.int64()), "y": pa.array(d1[found[:, 1]], pa.int64())})
+
+    pairs = rows.select("key", "i", "j", "own", "d1", "component", "n", "sketch").groupBy("key", "i", "j").applyInArrow(
+        compare, "x long, y long")
+    return pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+
+
+def cross_pairs(component: np.ndarray, sizes: np.ndarray, sketches: list[bytes], side: np.ndarray | None) -> np.ndarray:
+    """Index pairs of different components (and different sides, if given) whose
+    sizes and sketches allow a link."""
+    out = []
+    lengths = np.array([len(k) for k in sketches])
+    for length in np.unique(lengths):
+        own = np.flatnonzero(lengths == length)
+        others = np.flatnonzero((lengths == length) | (lengths == 2 * length))
+        folded = np.stack([np.bitwise_xor.reduce(np.frombuffer(sketches[i], np.uint64).reshape(-1, length // 8), axis=0)
+                           for i in others])
+        for a in own:
+            fits = (component[others] != component[a]) & ((lengths[others] > length) | (others > a))
+            fits &= (100 * np.minimum(sizes[others], sizes[a]) >= 80 * np.maximum(sizes[others], sizes[a]))
+            if side is not None:
+                fits &= side[others] != side[a]
+            fits = np.flatnonzero(fits)
+            if len(fits):
+                mine = folded[np.searchsorted(others, a)]
+                near = np.bitwise_count(folded[fits] ^ mine).sum(axis=1, dtype=np.int64)
+                found = others[fits[9 * near <= sizes[others[fits]] + sizes[a]]]
+                out.append(np.stack([np.full(len(found), a), found], axis=1))
+    return np.concatenate(out) if out else np.empty((0, 2), np.int64)
 
 
 def op5_similarity_join(spark, sf_dir):

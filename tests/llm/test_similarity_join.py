@@ -73,6 +73,38 @@ def test_every_link_shares_a_key():
                 assert sj.sketch_distance(sj.parity_sketch(a), sj.parity_sketch(b)) <= len(np.setxor1d(a, b))
 
 
+def test_cross_pairs_keep_every_link():
+    rnd = random.Random(3)
+    base = [rnd.getrandbits(64) for _ in range(300)]
+    sets = [np.unique(np.array([rnd.getrandbits(64) if rnd.random() < 0.04 * (k % 6) else x
+                                for x in base[:rnd.randrange(200, 300)]], np.uint64)) for k in range(60)]
+    component = np.array([k % 7 for k in range(60)])
+    sizes, sketches = np.array([len(x) for x in sets]), [sj.parity_sketch(x) for x in sets]
+    for side in (None, np.array([k % 2 == 0 for k in range(60)])):
+        found = {tuple(sorted(p)) for p in sj.cross_pairs(component, sizes, sketches, side).tolist()}
+        for i in range(60):
+            for j in range(i):
+                fits = component[i] != component[j] and (side is None or side[i] != side[j])
+                assert ((j, i) in found) >= (fits and sj.linked(sets[i], sets[j]))
+                assert ((j, i) not in found) or fits
+
+
+@pytest.mark.parametrize("rounds, block", [(0, 7), (2, 2048)])
+def test_near_threshold_family(spark, monkeypatch, rounds, block):
+    monkeypatch.setattr(sj, "STAR_ROUNDS", rounds)
+    monkeypatch.setattr(sj, "BLOCK_SETS", block)
+    rnd = random.Random(12)
+    base = [f"w{i}" for i in range(150)]
+    docs = []
+    for i in range(120):
+        copy = list(base)
+        for _ in range(rnd.randrange(1, 8)):
+            copy[rnd.randrange(150)] = f"z{i}"
+        docs.append((i, " ".join(copy)))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(map(tuple, sj.similar_components(table).collect()), key=str) == brute(docs)
+
+
 def test_packed_numbers():
     for values in ([], [0], [5, 5, 9, 2**32 - 1]):
         v = np.array(values, np.uint32)
