@@ -48,6 +48,7 @@ from pyspark.sql import functions as F
 from bitext.session import reliable_checkpoint
 
 from ._common import crc_mod, load_table, map_rows, worker_cache
+from .idfilter import split_by_ids
 from .quality import labelled_ids
 
 ORDER = 5
@@ -81,7 +82,10 @@ def letter_runs(word: str) -> list[str]:
 def count_words(documents: DataFrame, classes: DataFrame) -> DataFrame:
     """``word, toxic, ordinary, whole``: counts over all documents; the classes'
     counts come from the documents in ``classes(doc_id, label)``."""
-    marked = documents.select("doc_id", "text").join(classes, "doc_id", "left")
+    # Only texts that may have a label are moved to it.
+    maybe, other = split_by_ids(documents.select("doc_id", "text"), classes.select("doc_id"))
+    marked = maybe.join(classes, "doc_id", "left").unionByName(
+        other.withColumn("label", F.lit(None).cast(classes.schema["label"].dataType)))
 
     def make():
         held = [Counter(), Counter(), Counter()]  # pieces: ordinary, toxic, unlabelled
