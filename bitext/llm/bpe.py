@@ -1,7 +1,8 @@
 """Byte-level BPE encoding and decoding by tree concatenation.
 
-Text is cut where the tokenizer always cuts it (before a space that follows a
-word), and each piece is encoded once per worker through a bounded memo. A
+Text is cut where the tokenizer always cuts it (at a blank between two characters
+that are not white space), and each piece is encoded once per worker through a
+bounded memo; a run of mixed white space stays whole, with its neighbours. A
 piece that stays long without a cut (a run of letters, signs or blanks) is
 encoded as a tree: its halves are encoded down to short leaves, all leaves of a
 batch in one parallel library call, and joined level by level. A join
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -36,6 +38,9 @@ MEMO_ENTRIES = 400_000
 #: Unsplit runs of more bytes than this are encoded as a tree.
 LEAF_BYTES = 256
 FIRST_WINDOW = 4
+#: The pre-tokenizer cuts before every such blank: its white space is a part of Python's.
+CUT = re.compile(r"(?<=\S) (?=\S)")
+
 
 def byte_alphabet() -> list[str]:
     """The byte-level alphabet: visible latin-1 characters stand for themselves,
@@ -88,9 +93,7 @@ class TreeBpe:
     def _encode_plain(self, text: str) -> bytes:
         if not text:
             return b""
-        if "  " in text:  # runs of blanks: cut only where the pre-tokenizer does
-            return self._piece(text)
-        head, *rest = text.split(" ")
+        head, *rest = CUT.split(text)
         ids = list(map(self.memo.get, rest))
         if None in ids:
             ids = [self._spaced(p) if x is None else x for p, x in zip(rest, ids)]

@@ -29,6 +29,20 @@ def test_equals_library(text):
     same(text)
 
 
+@pytest.mark.parametrize("text", [
+    "x \u00a0 \u00a0 y", "Price: \u00a0 \u00a0 \u00a0 10", "end \u00a0 \u00a0", " \u00a0 \u00a0start", "a \u00a0b\u00a0 c",
+    "a \n \u00a0 \t b c  d", "a" + " \u00a0" * 300 + " b", "a \x1c b \x85 c \u3000 d",
+])
+def test_equals_library_on_mixed_white_space(text):
+    same(text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab \u00a0\n\u3000!", max_size=60))
+def test_equals_library_on_any_white_space(text):
+    same(text)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from("ab th's.,!0 \n\té日"), st.characters(codec="utf-8")), max_size=120))
 def test_equals_library_on_any_text(text):
