@@ -25,11 +25,10 @@ Defined results
 * NULL doc_id: not held out; its text counts only for the shared orders.
 * Extra columns are not read.
 
-Scale: words are counted per task before the shuffle. Words (of a class) below
-``LEAST_SHARE`` of its words, and letter runs found in less than
-``LEAST_SHARE`` of the different words, are left to the shared orders, so the
-broadcast tables are bounded whatever the corpus: at most 2 / ``LEAST_SHARE``
-words.
+Scale: words are counted per task before the shuffle. The shared orders are tables
+of all letter runs, joined to the runs of the words that have a class count. Words
+(of a class) below ``LEAST_SHARE`` of its words are left to the shared orders, so the
+broadcast table is bounded whatever the corpus: at most 2 / ``LEAST_SHARE`` words.
 """
 
 from __future__ import annotations
@@ -113,18 +112,59 @@ def count_words(documents: DataFrame, classes: DataFrame) -> DataFrame:
     return counts.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("toxic", "ordinary", "whole")])
 
 
-def count_runs(words: DataFrame) -> DataFrame:
-    """``run, n``: in how many different words a letter run is."""
+def letter_grams(words: DataFrame) -> DataFrame:
+    """``gram, p``: the shared letter model (``SharedLetters``, of all runs of all
+    words): the probability of each gram's last symbol after the others, for every
+    gram of ``ORDER - 1`` symbols."""
     def make():
         def work(words):
-            found = Counter()
-            for w in words:
-                found.update(set(letter_runs(w)))
-            yield {"run": list(found), "n": list(found.values())}
+            yield {"gram": list({r for w in words for r in letter_runs(w)})}
 
         return work
 
-    return map_rows(words, ["word"], "run string, n long", make).groupBy("run").agg(F.sum("n").alias("n"))
+    longer, levels = map_rows(words, ["word"], "gram string", make).distinct(), []
+    for size in range(ORDER - 1, 0, -1):
+        longer = reliable_checkpoint(  # different runs that end in the gram
+            longer.groupBy(F.substring("gram", 2, size).alias("gram")).agg(F.count("*").alias("n")))
+        levels.insert(0, longer)
+    found = None
+    for size, level in enumerate(levels, 1):
+        symbols, ones, twos = level.agg(F.count("*"), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
+        d = discount(ones, twos)
+        level = level.withColumn("context", F.substring("gram", 1, size - 1))
+        contexts = level.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("types"))
+        if found is None:  # one context, the empty one
+            level = level.join(F.broadcast(contexts), "context").withColumn("low", F.lit(1 / (max(1, symbols) + 1)))
+        else:
+            level = (level.join(contexts, "context").withColumn("shorter", F.substring("gram", 2, size - 1))
+                     .join(found.toDF("shorter", "low"), "shorter"))
+        found = level.select("gram", (
+            (F.greatest(F.col("n") - d, F.lit(0.0)) + F.lit(d) * F.col("types") * F.col("low")) / F.col("total")).alias("p"))
+    return found
+
+
+def word_evidence(counts: DataFrame, totals: list[tuple[int, int, int, int]]) -> DataFrame:
+    """``word, toxic, ordinary, whole, value``: the log-likelihood difference (as
+    ``evidence_table``) of each word with a class count; the letters' part is summed
+    over a word's runs, joined to ``letter_grams`` of all words."""
+    def make():
+        def work(words, *rest):
+            runs = [[r[1:] for r in letter_runs(w)] for w in words]
+            yield {"gram": [g for own in runs for g in own]} | {
+                name: [x for x, own in zip(column, runs) for _ in own] for name, column in zip(keys, (words, *rest))}
+
+        return work
+
+    keys = ["word", "toxic", "ordinary", "whole"]
+    letters = map_rows(counts.where("toxic > 0 OR ordinary > 0"), keys,
+                       "word string, toxic long, ordinary long, whole long, gram string", make)
+    low = letters.join(letter_grams(counts), "gram").groupBy(*keys).agg(
+        F.exp(F.greatest(F.sum(F.log("p")), F.lit(-700.0))).alias("low"))
+    logs = []
+    for name, (n, types, ones, twos) in zip(("toxic", "ordinary"), totals):
+        d = discount(ones, twos)
+        logs.append(F.log(F.greatest(F.col(name) - d, F.lit(0.0)) / n + F.lit(d * types / n) * F.col("low")))
+    return low.select(*keys, (logs[0] - logs[1]).alias("value"))
 
 
 # --- models ----------------------------------------------------------------------
@@ -185,6 +225,12 @@ def evidence_table(rows: list[tuple[str, int, int]], totals: list[tuple[int, int
     return table, math.log(back[0]) - math.log(back[1])
 
 
+def other_evidence(totals: list[tuple[int, int, int, int]]) -> float:
+    """Evidence of a word without class counts."""
+    back = [discount(ones, twos) * types / n for n, types, ones, twos in totals]
+    return math.log(back[0]) - math.log(back[1])
+
+
 class Evidence:
     """Evidence of texts; pieces are remembered, up to a bound."""
 
@@ -258,11 +304,11 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_
         F.sum, lambda x: F.count_if(x > 0), lambda x: F.count_if(x == 1), lambda x: F.count_if(x == 2))]).first()
     totals = [tuple(x or 0 for x in totals[i:i + 4]) for i in (0, 4, 8)]
     least = [max(LEAST_COUNT, math.ceil(t[0] * LEAST_SHARE)) for t in totals[:2]]
-    rows = [tuple(r) for r in counts.where((F.col("toxic") >= least[0]) | (F.col("ordinary") >= least[1]))
-            .select("word", "toxic", "ordinary").toLocalIterator()]
-    runs = [r[0] for r in count_runs(counts).where(F.col("n") >= max(2, math.ceil(totals[2][1] * LEAST_SHARE)))
-            .select("run").toLocalIterator()]
-    shared, key = spark.sparkContext.broadcast(evidence_table(rows, totals[:2], runs)), uuid.uuid4().hex
+    table, other = {}, 0.0
+    if all(t[0] for t in totals[:2]):
+        frequent = word_evidence(counts, totals[:2]).where((F.col("toxic") >= least[0]) | (F.col("ordinary") >= least[1]))
+        table, other = {r.word: r.value for r in frequent.select("word", "value").collect()}, other_evidence(totals[:2])
+    shared, key = spark.sparkContext.broadcast((table, other)), uuid.uuid4().hex
 
     def evidence():
         return worker_evidence(key, shared)

@@ -115,3 +115,18 @@ def test_toxic_words_have_evidence():
     table, other = toxicity.evidence_table([("good", 5, 500), ("vile", counts["vile"], 0)],
                                            [(1000, 300, 200, 50), (9000, 900, 500, 150)], ["good ", "vile "])
     assert table["vile"] > 3 > 0 > table["good"] and abs(other) < 2
+
+
+def test_letter_runs_of_all_words_count(spark):
+    counts = {"vile": (7, 1, 9), "evil": (0, 6, 6), "live": (1, 0, 1), "zebra": (0, 1, 4), "été": (2, 2, 5), "only": (0, 0, 1)}
+    totals = [tuple(f(c[k] for c in counts.values()) for f in (
+        sum, lambda x: sum(v > 0 for v in x), lambda x: sum(v == 1 for v in x), lambda x: sum(v == 2 for v in x)))
+        for k in (0, 1)]
+    words = spark.createDataFrame([(w, *c) for w, c in counts.items()], "word string, toxic long, ordinary long, whole long")
+    runs = {r for w in counts for r in toxicity.letter_runs(w)}  # also those of one word only
+    letters = toxicity.SharedLetters(runs)
+    grams = {r.gram: r.p for r in toxicity.letter_grams(words).collect()}
+    assert grams == pytest.approx({r[1:]: np.exp(letters.letter(r)) for r in runs})
+    expected, other = toxicity.evidence_table([(w, *c[:2]) for w, c in counts.items() if any(c[:2])], totals, runs)
+    got = {r.word: r.value for r in toxicity.word_evidence(words, totals).collect()}
+    assert got == pytest.approx(expected) and toxicity.other_evidence(totals) == pytest.approx(other)
