@@ -6,7 +6,9 @@ the discounted mass goes to lower orders that both classes share: a Kneser-Ney
 model of the word's letters, with continuation counts (in how many different
 longer letter runs a run ends) from all documents, labelled or not. A word rare
 in a class is thus smoothed by what the whole corpus knows, equally for both. A word's
-evidence is the difference of its two log-likelihoods.
+evidence is the difference of its two log-likelihoods. Its distance from the
+evidence of a word without class counts is weighted by n / (n + ``RELIABLE``), n
+its documents in both classes: one document says little, but never nothing.
 
 A text's evidence is length-normalised: the mean over its words, and the mean over
 its ``STRONGEST`` strongest different words (a few insults in a long text). A
@@ -26,9 +28,11 @@ Defined results
 * Extra columns are not read.
 
 Scale: words are counted per task before the shuffle. The shared orders are tables
-of all letter runs, joined to the runs of the words that have a class count. Words
-(of a class) below ``LEAST_SHARE`` of its words are left to the shared orders, so the
-broadcast table is bounded whatever the corpus: at most 2 / ``LEAST_SHARE`` words.
+of all letter runs, joined to the runs of the words that have a class count; every
+such word has its own evidence, in a table. The evidence of the ``HOT_WORDS`` most
+frequent words at most is broadcast. The other words of a text, each rarer than
+those, are joined to the table by word; no text is shuffled for that. How many words
+are broadcast does not change a result.
 """
 
 from __future__ import annotations
@@ -52,10 +56,11 @@ from .quality import labelled_ids
 
 ORDER = 5
 STRONGEST = 3
-#: Fewer documents than this, or less than this share of a class's counts, and a
-#: word is rare: only the shared orders speak for it.
-LEAST_COUNT, LEAST_SHARE = 5, 5e-7
 FIT_ROWS = 8_000
+#: A word's evidence counts n / (n + RELIABLE), n its documents in both classes.
+RELIABLE = 10
+#: Words whose evidence a worker holds; that of all others is joined.
+HOT_WORDS = 200_000
 COUNT_ENTRIES = 200_000
 MEMO_ENTRIES = 300_000
 
@@ -232,27 +237,38 @@ def other_evidence(totals: list[tuple[int, int, int, int]]) -> float:
 
 
 class Evidence:
-    """Evidence of texts; pieces are remembered, up to a bound."""
+    """Evidence of texts from the words a worker holds; pieces are remembered, up to
+    a bound."""
 
-    def __init__(self, table: dict, other: float):
-        self.table, self.other, self.memo = table, other, {}
+    def __init__(self, table: dict):
+        self.table, self.memo = table, {}
 
-    def piece(self, piece: str) -> float:
-        value = sum(self.table.get(w, self.other) for w in words_of(piece))
+    def piece(self, piece: str) -> float | None:
+        """Evidence of a piece; None if a word of it is not held."""
+        values = [self.table.get(w) for w in words_of(piece)]
+        value = None if None in values else sum(values, 0.0)
         if len(self.memo) >= MEMO_ENTRIES:
             self.memo.clear()
         self.memo[piece] = value
         return value
 
-    def text(self, text: str | None) -> tuple[float, float]:
-        """Mean evidence of the pieces, and of the strongest different ones."""
+    def open_piece(self, piece: str, times: int) -> dict:
+        """A piece with words that are not held: its known part and those words."""
+        words = words_of(piece)
+        return {"known": sum((self.table[w] for w in words if w in self.table), 0.0), "times": times,
+                "words": [w for w in words if w not in self.table]}
+
+    def text(self, text: str | None) -> tuple[int, float, list[float], list[dict]]:
+        """Number of pieces; sum and strongest different values of the pieces that
+        are known here; the open pieces."""
         pieces = Counter(pieces_of(text))
-        if not pieces:
-            return 0.0, 0.0
-        memo = self.memo
-        values = [memo[w] if w in memo else self.piece(w) for w in pieces]
-        strongest = heapq.nlargest(STRONGEST, values)
-        return sum(map(operator.mul, values, pieces.values())) / pieces.total(), sum(strongest) / len(strongest)
+        memo, rest = self.memo, []
+        values, times = [memo[w] if w in memo else self.piece(w) for w in pieces], list(pieces.values())
+        if None in values:
+            rest = [self.open_piece(w, n) for (w, n), v in zip(pieces.items(), values) if v is None]
+            known = [(v, n) for v, n in zip(values, times) if v is not None]
+            values, times = [v for v, _ in known], [n for _, n in known]
+        return pieces.total(), sum(map(operator.mul, values, times), 0.0), heapq.nlargest(STRONGEST, values), rest
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -272,50 +288,91 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[np.
 
 
 # --- jobs --------------------------------------------------------------------------
-def _measured(documents: DataFrame, evidence, columns, schema: str) -> DataFrame:
-    def make():
-        own = evidence()
-
-        def work(texts, *rest):
-            found = [own.text(t) for t in texts]
-            yield {"mean": [f[0] for f in found], "peak": [f[1] for f in found]} | dict(
-                zip([c.split()[0] for c in schema.split(", ")], rest))
-
-        return work
-
-    return map_rows(documents, ["text", *columns], f"mean double, peak double, {schema}", make)
-
-
 def worker_evidence(key: str, shared) -> Evidence:
     held = worker_cache().setdefault("evidence", {})
     if key not in held:
         held.clear()
-        held[key] = Evidence(*shared.value)
+        held[key] = Evidence(shared.value)
     return held[key]
 
 
-def score_toxicity(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """``doc_id, held_out, score, predicted, evidence, peak_evidence`` per row."""
+def _held_words(counts: DataFrame, table: DataFrame | None, other: float, most: int) -> dict[str, float]:
+    """Evidence of the most frequent words, ``most`` at most: whole classes of
+    frequency (steps of 2^(1/8))."""
+    step = F.floor(F.log2("whole") * 8)
+    least, left = None, most
+    for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect():
+        left -= r.n
+        if left < 0:
+            break
+        least = r.step
+    if least is None:
+        return {}
+    held = {r.word: other for r in counts.where(step >= least).select("word").collect()}
+    if table is not None:
+        held |= {r.word: r.value for r in table.where(step >= least).select("word", "value").collect()}
+    return held
+
+
+def measure_texts(documents: DataFrame, columns: list, schema: str, counts: DataFrame, table: DataFrame | None,
+                  other: float, hot_words: int) -> DataFrame:
+    """The columns with ``mean`` and ``peak`` evidence. The words a worker does not
+    hold are joined to ``table``; without a row there, a word's evidence is ``other``."""
     spark = documents.sparkSession
+    shared, key = spark.sparkContext.broadcast(_held_words(counts, table, other, hot_words)), uuid.uuid4().hex
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def make():
+        own = worker_evidence(key, shared)
+
+        def work(texts, *rest):
+            n, total, strongest, open_pieces = zip(*map(own.text, texts))
+            yield {"n": n, "total": total, "strongest": strongest, "open": open_pieces} | dict(zip(names, rest))
+
+        return work
+
+    texts = reliable_checkpoint(map_rows(
+        documents, ["text", *columns], "n long, total double, strongest array<double>, "
+        f"open array<struct<known: double, times: long, words: array<string>>>, {schema}", make)
+        .withColumn("row", F.monotonically_increasing_id()))
+    words = (texts.where(F.size("open") > 0).select("row", F.posexplode("open").alias("at", "piece"))
+             .select("row", "at", "piece.known", "piece.times", F.explode("piece.words").alias("word")))
+    value = F.lit(other)
+    if table is not None:
+        words, value = words.join(table.select("word", "value"), "word", "left"), F.coalesce("value", F.lit(other))
+    pieces = words.repartition("row").groupBy("row", "at").agg(
+        (F.first("known") + F.sum(value)).alias("value"), F.first("times").alias("times"))
+    opened = pieces.groupBy("row").agg(
+        F.sum(F.col("value") * F.col("times")).alias("opened"), F.collect_list("value").alias("others"))
+    strongest = F.slice(F.sort_array(F.concat("strongest", F.coalesce("others", F.array().cast("array<double>"))),
+                                     asc=False), 1, STRONGEST)
+    return (texts.drop("open").join(opened, "row", "left").withColumn("strongest", strongest).select(
+        *names, F.when(F.col("n") > 0, (F.col("total") + F.coalesce("opened", F.lit(0.0))) / F.col("n"))
+        .otherwise(0.0).alias("mean"),
+        F.when(F.col("n") > 0, F.aggregate("strongest", F.lit(0.0), lambda a, x: a + x) / F.size("strongest"))
+        .otherwise(0.0).alias("peak")))
+
+
+def score_toxicity(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS,
+                   hot_words: int = HOT_WORDS) -> DataFrame:
+    """``doc_id, held_out, score, predicted, evidence, peak_evidence`` per row."""
     trained = labelled_ids(labels, "toxic", 5, 0)
     fold = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(5))
     counts = reliable_checkpoint(count_words(documents, trained.where(fold != 0)))
-    totals = counts.agg(*[f(F.col(c)) for c in ("toxic", "ordinary", "whole") for f in (
+    totals = counts.agg(*[f(F.col(c)) for c in ("toxic", "ordinary") for f in (
         F.sum, lambda x: F.count_if(x > 0), lambda x: F.count_if(x == 1), lambda x: F.count_if(x == 2))]).first()
-    totals = [tuple(x or 0 for x in totals[i:i + 4]) for i in (0, 4, 8)]
-    least = [max(LEAST_COUNT, math.ceil(t[0] * LEAST_SHARE)) for t in totals[:2]]
-    table, other = {}, 0.0
-    if all(t[0] for t in totals[:2]):
-        frequent = word_evidence(counts, totals[:2]).where((F.col("toxic") >= least[0]) | (F.col("ordinary") >= least[1]))
-        table, other = {r.word: r.value for r in frequent.select("word", "value").collect()}, other_evidence(totals[:2])
-    shared, key = spark.sparkContext.broadcast((table, other)), uuid.uuid4().hex
-
-    def evidence():
-        return worker_evidence(key, shared)
-
+    totals = [tuple(x or 0 for x in totals[i:i + 4]) for i in (0, 4)]
+    table, other = None, 0.0  # one class only: no evidence
+    if all(t[0] for t in totals):
+        other, n = other_evidence(totals), F.col("toxic") + F.col("ordinary")
+        table = reliable_checkpoint(word_evidence(counts, totals).select(
+            "word", "whole", (other + (F.col("value") - other) * n / (n + RELIABLE)).alias("value")))
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    measured = reliable_checkpoint(measure_texts(
+        documents, ["doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out")],
+        f"doc_id {kind}, held_out boolean", counts, table, other, hot_words))
     chosen = trained.where(fold == 0).orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(fit_rows)
-    fitted = _measured(documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), evidence, ["label"],
-                       "label int").collect()
+    fitted = measured.join(F.broadcast(chosen), "doc_id").select("mean", "peak", "label").collect()
     fitted = sorted(tuple(r) for r in fitted)
     x, y = np.array([r[:2] for r in fitted]).reshape(-1, 2), np.array([r[2] for r in fitted], float)
     if len(y) and y.min() < y.max():
@@ -323,10 +380,6 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_
     else:
         share = float(y.mean()) if len(y) else 0.0
         weights, mean, scale = np.array([0, 0, math.log((share + 1e-6) / (1 - share + 1e-6))]), np.zeros(2), np.ones(2)
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    measured = _measured(documents, evidence,
-                         ["doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out")],
-                         f"doc_id {kind}, held_out boolean")
     z = sum((F.lit(float(w)) * (F.col(c) - float(m)) / float(s) for c, w, m, s in
              zip(("mean", "peak"), weights, mean, scale)), F.lit(float(weights[-1])))
     score = 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))

@@ -130,3 +130,20 @@ def test_letter_runs_of_all_words_count(spark):
     expected, other = toxicity.evidence_table([(w, *c[:2]) for w, c in counts.items() if any(c[:2])], totals, runs)
     got = {r.word: r.value for r in toxicity.word_evidence(words, totals).collect()}
     assert got == pytest.approx(expected) and toxicity.other_evidence(totals) == pytest.approx(other)
+
+
+def test_rare_words_have_their_own_evidence(spark):
+    texts = [(i, f"all of us said w{chr(97 + i % 26)}x{chr(97 + i // 26)}q " * 2 + "vile" * (i % 2), "en") for i in range(200)]
+    marks = [(i, 0, i % 2, "") for i in range(200)]
+    counted = [i for i in range(200) if i % 2 and zlib.crc32(str(i).encode()) % 5]
+    texts += [(500 + i, texts[i][1].split()[4], "en") for i in counted] + [(900, "unseen", "en"), (901, "the-wax-vile of-x", "en")]
+    frames = [toxicity.score_toxicity(docs(spark, texts), labels(spark, marks), hot_words=n) for n in (10**6, 30, 0)]
+    whole, some, none = [{r.doc_id: r for r in f.collect()} for f in frames]
+    # Each of these words is in one training document at most; four fifths of those documents give counts.
+    own = [whole[500 + i].evidence - whole[900].evidence for i in counted]
+    assert sum(d > 0.1 for d in own) > 0.6 * len(own)
+    assert len(whole) == len(texts)
+    for i, r in whole.items():  # what is broadcast and what is joined does not matter
+        for other in (some[i], none[i]):
+            assert (other.evidence, other.peak_evidence, other.score) == pytest.approx(
+                (r.evidence, r.peak_evidence, r.score), abs=1e-9)
