@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (bpe, decontaminate, fingerprints, html_extract, lang_id, quality, similarity_join, substring_dedup,
-               token_files, toxicity)
+from . import (bpe, decontaminate, fingerprints, html_extract, lang_id, quality, similarity_join, spelling,
+               substring_dedup, token_files, toxicity)
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
@@ -16,10 +16,12 @@ QUERIES = {
     "op8_bpe": bpe.op8_bpe,
     "op9_language_id": lang_id.op9_language_id,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
 }
 
 ORACLES = {
     "op5_similarity_join": similarity_join.ORACLE,
     "op6_decontaminate": decontaminate.ORACLE,
     "op7_substring_dedup": substring_dedup.ORACLE,
+    "op11_spelling_variants": spelling.ORACLE,
 }
