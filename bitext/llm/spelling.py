@@ -108,7 +108,7 @@ def near_pairs(words: DataFrame, hot_key: int = HOT_KEY) -> DataFrame:
     shared = left.select(*KEY).unionAll(right.select(*KEY)).groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"))
     hot = reliable_checkpoint(shared.where(F.col("_n") > hot_key).select(*KEY))
     usual = left.join(hot, KEY, "left_anti").join(right.join(hot, KEY, "left_anti"), KEY).where(
-        _ordered()).where(F.levenshtein("a", "b", 2) == 1)
+        _ordered()).where(F.levenshtein("a", "b", 2) == 1).drop("chunk")
     crowded = _by_deletion(left.join(hot, KEY, "left_semi"), right.join(hot, KEY, "left_semi"))
     return usual.unionByName(crowded).where(_first_chunk()).select("a", "a_n", "b", "b_n")
 
@@ -125,21 +125,28 @@ def _first_chunk() -> Column:
 
 
 def _by_deletion(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Near pairs within the same key, joined by what one deletion leaves."""
-    def rest(word, at):
-        return F.xxhash64(F.concat(F.col(word).substr(F.lit(1), at - 1), F.col(word).substr(at + 1, F.length(word))))
-
+    """Near pairs within the same key, joined by what one deletion leaves. Key, place
+    and rest travel as one number; what it brings together is compared again."""
     at = F.col("_at")
+
+    def with_rest(rows, word, place, without):
+        rest = F.col(word) if not without else F.concat(
+            F.col(word).substr(F.lit(1), at - 1), F.col(word).substr(at + 1, F.length(word)))
+        return rows.withColumn("_rest", F.xxhash64(*KEY, place, rest)).drop("_at", "chunk")
+
     places = lambda word: F.explode(F.sequence(F.lit(1), F.length(word))).alias("_at")
     # One code point replaced: the same place is left out of both words.
-    replaced_a = left.select("*", places("a")).withColumn("_rest", rest("a", at))
-    replaced_b = right.where(F.length("b") == F.col("size")).select("*", places("b")).withColumn("_rest", rest("b", at))
+    replaced_a = with_rest(left.select("*", places("a")), "a", at, True)
+    replaced_b = with_rest(right.where(F.length("b") == F.col("size")).select("*", places("b")), "b", at, True)
     # One code point more: the longer word without some place is the shorter word.
-    added_a = left.select("*", F.lit(0).alias("_at"), F.xxhash64("a").alias("_rest"))
-    added_b = right.where(F.length("b") > F.col("size")).select("*", places("b")).withColumn(
-        "_rest", rest("b", at)).withColumn("_at", F.lit(0)).distinct()
-    joined = replaced_a.unionAll(added_a).join(replaced_b.unionAll(added_b), [*KEY, "_at", "_rest"])
-    return joined.where(_ordered()).where(F.levenshtein("a", "b", 2) == 1).drop("_at", "_rest")
+    added_a = with_rest(left, "a", F.lit(0), False)
+    added_b = with_rest(right.where(F.length("b") > F.col("size")).select("*", places("b")), "b", F.lit(0), True)
+    joined = replaced_a.unionByName(added_a).join(
+        replaced_b.unionByName(added_b.distinct()), ["size", "end", "_rest"]).drop("_rest")
+    half = F.floor(F.col("size") / 2).cast("int")
+    chunk = lambda word: F.when(F.col("end") == 0, F.col(word).substr(F.lit(1), half)).otherwise(
+        F.col(word).substr(F.length(word) - half + 1, half))
+    return joined.where(_ordered()).where((chunk("a") == chunk("b")) & (F.levenshtein("a", "b", 2) == 1))
 
 
 def spelling_forms(words: DataFrame, factor: int = FACTOR) -> DataFrame:
