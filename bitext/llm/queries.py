@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (bpe, decontaminate, fingerprints, html_extract, lang_id, quality, similarity_join, spelling,
-               substring_dedup, token_files, toxicity)
+from . import (alignment, bpe, decontaminate, fingerprints, html_extract, lang_id, quality, similarity_join,
+               spelling, substring_dedup, token_files, toxicity, vector_search)
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
@@ -17,6 +17,8 @@ QUERIES = {
     "op9_language_id": lang_id.op9_language_id,
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_token_alignment": alignment.op12_token_alignment,
+    "op13_nearest_vectors": vector_search.op13_nearest_vectors,
 }
 
 ORACLES = {
