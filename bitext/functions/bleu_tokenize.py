@@ -1,4 +1,4 @@
-"""BLEU tokenisation (mteval-v13a rules) and n-gram extraction as columns."""
+"""BLEU tokenisation (mteval-v13a rules) as columns."""
 
 from __future__ import annotations
 
@@ -58,17 +58,3 @@ def split_ws(line) -> Column:
 def tokenize_13a(c) -> Column:
     """Array of BLEU tokens for one line."""
     return split_ws(normalize_13a(c))
-
-
-def ngrams(tokens, n: int) -> Column:
-    """All contiguous n-grams of a token array, joined by a space (column form).
-
-    Guarded: ``sequence(0, size-n)`` would count *down* on short rows. The
-    corpus BLEU statistics use Spark ML's JVM ``NGram`` transformer instead of
-    this interpreted lambda.
-    """
-    t = as_col(tokens)
-    return F.when(F.size(t) >= n, F.transform(
-        F.sequence(F.lit(0), F.size(t) - n),
-        lambda i: F.array_join(F.slice(t, i + 1, n), " "),
-    )).otherwise(F.array().cast("array<string>"))

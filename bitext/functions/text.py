@@ -1,4 +1,4 @@
-"""Scalar column functions over text (all JVM-side except the GBK repair).
+"""Scalar column functions over text (all JVM-side).
 
 Every function takes and returns a ``Column`` so it composes into one
 ``select`` and stays inside whole-stage codegen. Regular expressions are Java
@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .._util import as_col
 
@@ -31,6 +30,10 @@ SENTENCE_BOUNDARY = r"(?U)(?<=[.!?])" + WS_CLASS + r"+|\r?\n+"
 SENTENCE_BOUNDARY_WIDE = (r"(?U)" + WS_CLASS + r"*(?:(?<=[.!?])" + WS_CLASS + r"+|\r?\n+)"
                           + WS_CLASS + r"*")
 CJK_CLASS = r"[\x{4e00}-\x{9fff}]"
+# Where the JVM's GBK table differs from the repair's: characters only the JVM has (euro
+# sign, earth sign, private use), and the circled plus, which it codes as the earth sign.
+GBK_JVM_ONLY = r"[\x{20ac}\x{2641}\x{e000}-\x{f8ff}]"
+GBK_JVM_OTHER = ("\u2295", "\u2641")
 FLOAT_IN_TEXT = r"[-+]?\d*\.?\d+"
 # ---------------------------------------------------------------------------
 
@@ -92,41 +95,40 @@ def fix_mojibake_latin1(c) -> Column:
     return accept_latin1(c, latin1_candidate(c))
 
 
-def _gbk_repair_series(texts):
-    import re
+def gbk_escapes(c) -> Column:
+    """GBK bytes of ``c`` as percent escapes, or NULL where there is nothing to repair
+    (no CJK character) or a character has no GBK code.
 
-    import pandas as pd
-
-    cjk = re.compile("[\u4e00-\u9fff]")
-
-    def fix(text):
-        if text is None:
-            return None
-        before = len(cjk.findall(text))
-        if before == 0:
-            return text
-        try:
-            fixed = text.encode("gbk").decode("utf-8")
-        except (UnicodeEncodeError, UnicodeDecodeError):
-            return text
-        return fixed if len(cjk.findall(fixed)) < before else text
+    Spark's ``encode`` knows no GBK, the JVM's URL encoder does. It writes ``?`` for a
+    character without a code, which shows as one ``%3F`` more than ``c`` has ``?``.
+    """
+    c = as_col(c)
+    guarded = F.when(c.rlike(CJK_CLASS) & ~c.rlike(GBK_JVM_ONLY), F.translate(c, *GBK_JVM_OTHER))
+    escapes = F.reflect(F.lit("java.net.URLEncoder"), F.lit("encode"), guarded, F.lit("GBK"))
+    return F.when(guarded.isNotNull(), escapes)
 
-    return pd.Series([fix(t) for t in texts], dtype=object)
 
+def accept_gbk(c, escapes) -> Column:
+    """``escapes`` read as UTF-8 if that is valid and leaves fewer CJK characters, else ``c``.
 
-_gbk_udf = F.pandas_udf(_gbk_repair_series, T.StringType())
+    The decoder marks invalid bytes by U+FFFD; text that really holds that character
+    (three bytes of its own) is told apart by looking with a letter in its place.
+    """
+    c, escapes = as_col(c), as_col(escapes)
+    mapped = F.regexp_count(escapes, F.lit("%3F")) == F.regexp_count(c, F.lit(r"\?"))
+    valid = ~F.contains(F.url_decode(F.replace(escapes, F.lit("%EF%BF%BD"), F.lit("x"))), F.lit("\ufffd"))
+    fixed = F.url_decode(escapes)
+    fewer = F.regexp_count(fixed, F.lit(CJK_CLASS)) < F.regexp_count(c, F.lit(CJK_CLASS))
+    return F.when(mapped & valid & fewer, fixed).otherwise(c)
 
 
 def fix_mojibake_gbk(c) -> Column:
     """Undo UTF-8 bytes read as GBK, e.g. ``F谩brica`` -> ``Fábrica`` (P5).
 
-    Spark's ``encode`` has no GBK without a legacy flag, so this is the one
-    Arrow-batched Python step of cleaning. Only rows that contain CJK reach
-    Python with text; every other row crosses as NULL.
+    Runs in the JVM; only text with CJK is encoded at all. Column form for single
+    use; ``clean_columns`` stages the two steps as separate projections.
     """
-    c = as_col(c)
-    has_cjk = c.rlike(CJK_CLASS)
-    return F.when(has_cjk, _gbk_udf(F.when(has_cjk, c))).otherwise(c)
+    return accept_gbk(c, gbk_escapes(c))
 
 
 def fix_mojibake(c) -> Column:

@@ -11,10 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .._util import require_columns
-from pyspark.ml.feature import NGram
-
 from ..functions.bleu_tokenize import MAX_ORDER, normalize_13a, split_ws
 
+_REPEATED = "array<struct<n:int,gram:string,h:int,r:int>>"
 # Output columns of ``bleu_stats``.
 STAT_COLS = ([f"correct_{n}" for n in range(1, MAX_ORDER + 1)]
              + [f"total_{n}" for n in range(1, MAX_ORDER + 1)] + ["sys_len", "ref_len"])
@@ -41,70 +40,82 @@ def zip_lines(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return joined.filter(F.when(alone, complaint.cast("boolean")).otherwise(F.lit(True))).drop("_left", "_right")
 
 
+def _no_words() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _longer(grams: str, words: str, n: int) -> Column:
+    """N-grams of order ``n`` from those of order n-1 and the words (columns)."""
+    count = F.size(words) - (n - 1)
+    pairs = F.zip_with(F.slice(grams, F.lit(1), count), F.slice(words, F.lit(n), count),
+                       lambda gram, word: F.concat(gram, F.lit(" "), word))
+    return F.when(count > 0, pairs).otherwise(_no_words())
+
+
+def _extra(ordered: str) -> Column:
+    """Every n-gram of a sorted column once less often than it occurs: those equal to
+    the one before them."""
+    return F.filter(ordered, lambda x, i: (i > 0) & (x == F.get(ordered, i - 1)))
+
+
 def bleu_stats(df: DataFrame, hyp_col: str = "hypothesis", ref_col: str = "reference",
-               id_cols=("line_no",), group_cols=()) -> DataFrame:
+               group_cols=()) -> DataFrame:
     """Sufficient statistics per group: ``correct_n``, ``total_n``, ``sys_len``, ``ref_len``.
 
-    Per sentence and order n, the clipped match count is
-    ``sum_g min(count_hyp(g), count_ref(g))``. When either side's n-grams are
-    all distinct this equals ``size(array_intersect(hyp, ref))`` - a codegen
-    set operation on the row, no explode. Only (sentence, n) cases where
-    *both* sides repeat an n-gram are exploded and counted by a hash
-    aggregate keyed by ``(group, id, n, gram)``. Sentence rows are
-    hash-partitioned by ``(group, id)`` once, which already satisfies that
-    aggregate, so n-gram rows are never shuffled. Row-level counts travel on
-    one carrier row per sentence through the same aggregate, so the text is
-    tokenised once. The final per-group sum is a partial + tiny final step.
+    Every row is a sentence. The clipped matches of one order are ``sum_g
+    min(h(g), r(g))``, that is the number of different n-grams that both sides have, plus
+    ``sum_g min(h(g) - 1, r(g) - 1)`` over those that both sides *repeat*. The first part
+    is a set intersection on the row. Only for the second are n-grams exploded, keyed by
+    (row, n, gram); most sentences have none. All other numbers of a row travel
+    on one carrier without a row key, so that each task sends one row per group: token
+    arrays are never shuffled and the input is read once. A side without
+    repeated n-grams has no longer repeated ones, so longer orders are then not looked at.
     """
-    group_cols, id_cols = list(group_cols), list(id_cols)
-    require_columns(df, hyp_col, ref_col, *id_cols, *group_cols)
-    keys = group_cols + id_cols
-    # Staged projections: each 13a chain is evaluated once per side.
-    lines = df.select(*keys, normalize_13a(hyp_col).alias("_hl"), normalize_13a(ref_col).alias("_rl"))
-    toks = lines.select(*keys, split_ws("_hl").alias("_h1"), split_ws("_rl").alias("_r1"))
-    toks = toks.repartition(*[F.col(c) for c in keys])
+    group_cols = list(group_cols)
+    require_columns(df, hyp_col, ref_col, *group_cols)
+    # Staged projections: each 13a chain and each order is evaluated once per side.
+    lines = df.select(*group_cols, normalize_13a(hyp_col).alias("_hl"), normalize_13a(ref_col).alias("_rl"))
+    toks = lines.select(*group_cols, split_ws("_hl").alias("_h1"), split_ws("_rl").alias("_r1"))
     for n in range(2, MAX_ORDER + 1):
-        toks = NGram(n=n, inputCol="_h1", outputCol=f"_h{n}").transform(toks)
-        toks = NGram(n=n, inputCol="_r1", outputCol=f"_r{n}").transform(toks)
-
-    empty = F.array().cast("array<string>")
-    row_stats, slow_h, slow_r = {}, [], []
-    for n in range(1, MAX_ORDER + 1):
-        h, r = F.col(f"_h{n}"), F.col(f"_r{n}")
-        both_dup = ((F.size(F.array_distinct(h)) < F.size(h))
-                    & (F.size(F.array_distinct(r)) < F.size(r)))
-        row_stats[f"_fast_{n}"] = F.when(both_dup, F.lit(0)).otherwise(F.size(F.array_intersect(h, r)))
-        row_stats[f"_tot_{n}"] = F.greatest(F.size("_h1") - (n - 1), F.lit(0))
-        slow_h.append(F.when(both_dup, h).otherwise(empty))
-        slow_r.append(F.when(both_dup, r).otherwise(empty))
-    row_stats["_sys"] = F.size("_h1")
-    row_stats["_ref"] = F.size("_r1")
-    staged = toks.select(*keys, *[v.alias(k) for k, v in row_stats.items()],
-                         F.concat(*slow_h).alias("_sh"), F.concat(*slow_r).alias("_sr"))
-    # Element 0 is the carrier (NULL gram); then hypothesis, then reference n-grams.
-    all_grams = F.concat(F.array(F.lit(None).cast("string")), F.col("_sh"), F.col("_sr"))
-    gen = staged.select(*keys, *row_stats.keys(), F.size("_sh").alias("_nh"),
-                        F.posexplode(all_grams).alias("_i", "gram"))
-    carrier = F.col("_i") == 0
-    is_h = ((F.col("_i") >= 1) & (F.col("_i") <= F.col("_nh"))).cast("int")
-    n_of = F.length("gram") - F.length(F.replace("gram", F.lit(" "), F.lit(""))) + 1
-    gen = gen.select(*keys, "gram", F.when(carrier, F.lit(0)).otherwise(n_of).alias("n"),
-                     is_h.alias("hc"), (F.lit(1) - is_h - carrier.cast("int")).alias("rc"),
-                     *[F.when(carrier, F.col(k)).otherwise(F.lit(0)).alias(k) for k in row_stats])
-    per_gram = gen.groupBy(*keys, "n", "gram").agg(
-        F.sum("hc").alias("h"), F.sum("rc").alias("r"),
-        *[F.sum(k).alias(k) for k in row_stats])
-    aggs = []
+        toks = toks.withColumns({f"_{s}{n}": _longer(f"_{s}{n - 1}", f"_{s}1", n) for s in "hr"})
     for n in range(1, MAX_ORDER + 1):
-        slow = F.when(F.col("n") == n, F.least("h", "r")).otherwise(0)
-        aggs.append(F.sum(slow + F.col(f"_fast_{n}")).cast("long").alias(f"correct_{n}"))
+        repeats = {}
+        for s in "hr":
+            here = F.size(F.array_distinct(f"_{s}{n}")) < F.size(f"_{s}{n}")
+            repeats[f"_rep_{s}{n}"] = here if n == 1 else F.when(F.col(f"_rep_{s}{n - 1}"), here).otherwise(False)
+        toks = toks.withColumns(repeats)
+    # Sorted where both sides repeat; a column of its own, or a lambda would sort per element.
+    both = {n: F.col(f"_rep_h{n}") & F.col(f"_rep_r{n}") for n in range(1, MAX_ORDER + 1)}
+    toks = toks.withColumns({f"_sorted_{s}{n}": F.when(both[n], F.sort_array(f"_{s}{n}"))
+                             for n in both for s in "hr"})
+
+    stats, repeated = {}, []
     for n in range(1, MAX_ORDER + 1):
-        aggs.append(F.sum(f"_tot_{n}").cast("long").alias(f"total_{n}"))
-    aggs.append(F.sum("_sys").cast("long").alias("sys_len"))
-    aggs.append(F.sum("_ref").cast("long").alias("ref_len"))
-    if group_cols:
-        return per_gram.groupBy(*group_cols).agg(*aggs)
-    return per_gram.agg(*aggs)
+        h, r = f"_h{n}", f"_r{n}"
+        stats[f"_both_{n}"] = F.size(F.array_intersect(h, r))
+        stats[f"_tot_{n}"] = F.size(h)
+        entry = lambda hc, rc: lambda x: F.struct(F.lit(n).alias("n"), x.alias("gram"), F.lit(hc).alias("h"),
+                                                  F.lit(rc).alias("r"))
+        extra = F.concat(F.transform(_extra(f"_sorted_h{n}"), entry(1, 0)),
+                         F.transform(_extra(f"_sorted_r{n}"), entry(0, 1)))
+        repeated.append(F.when(both[n], extra).otherwise(F.array().cast(_REPEATED)))
+    stats["_sys"], stats["_ref"] = F.size("_h1"), F.size("_r1")
+    rows = toks.select(*group_cols, F.monotonically_increasing_id().alias("_row"),
+                       *[v.cast("long").alias(k) for k, v in stats.items()], F.concat(*repeated).alias("_repeated"))
+    gen = rows.select(*group_cols, "_row", *stats, F.inline_outer(F.concat(
+        F.array(F.struct(F.lit(0).alias("n"), F.lit("").alias("gram"), F.lit(0).alias("h"), F.lit(0).alias("r"))),
+        "_repeated")))
+    is_carrier = F.col("n") == 0
+    gen = gen.select(*group_cols, F.when(~is_carrier, F.col("_row")).alias("_row"), "n", "gram", "h", "r",
+                     *[F.when(is_carrier, F.col(k)).otherwise(0).alias(k) for k in stats])
+    per_gram = gen.groupBy(*group_cols, "_row", "n", "gram").agg(
+        F.sum("h").alias("h"), F.sum("r").alias("r"), *[F.sum(k).alias(k) for k in stats])
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    aggs = [total(F.when(F.col("n") == n, F.least("h", "r")).otherwise(0) + F.col(f"_both_{n}")).alias(f"correct_{n}")
+            for n in range(1, MAX_ORDER + 1)]
+    aggs += [total(f"_tot_{n}").alias(f"total_{n}") for n in range(1, MAX_ORDER + 1)]
+    aggs += [total("_sys").alias("sys_len"), total("_ref").alias("ref_len")]
+    return per_gram.groupBy(*group_cols).agg(*aggs)
 
 
 def bleu_score(stats_prefix: str = "") -> Column:
@@ -127,9 +138,9 @@ def bleu_score(stats_prefix: str = "") -> Column:
 
 
 def corpus_bleu(df: DataFrame, hyp_col: str = "hypothesis", ref_col: str = "reference",
-                id_cols=("line_no",), group_cols=(), digits: int | None = None) -> DataFrame:
+                group_cols=(), digits: int | None = None) -> DataFrame:
     """Statistics plus ``bleu`` per group (rounded to ``digits`` if given)."""
-    stats = bleu_stats(df, hyp_col, ref_col, id_cols, group_cols)
+    stats = bleu_stats(df, hyp_col, ref_col, group_cols)
     score = bleu_score()
     if digits is not None:
         score = F.round(score, digits)
@@ -137,7 +148,7 @@ def corpus_bleu(df: DataFrame, hyp_col: str = "hypothesis", ref_col: str = "refe
 
 
 def evaluate_systems(df: DataFrame, system_col: str = "system", hyp_col: str = "hypothesis",
-                     ref_col: str = "reference", id_cols=("line_no",), digits: int | None = None) -> DataFrame:
+                     ref_col: str = "reference", digits: int | None = None) -> DataFrame:
     """BLEU of several systems on the same references (U4): rows stacked with
     a ``system`` column, one grouped aggregate."""
-    return corpus_bleu(df, hyp_col, ref_col, id_cols, [system_col], digits)
+    return corpus_bleu(df, hyp_col, ref_col, [system_col], digits)

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .._util import as_col, require_columns
-from ..functions.text import (DROPPED_EXACT_SOURCES, accept_latin1, finish_side,
-                              fix_mojibake_gbk, latin1_candidate)
+from ..functions.text import (DROPPED_EXACT_SOURCES, accept_gbk, accept_latin1, finish_side, gbk_escapes,
+                              latin1_candidate)
 
 
 def valid_pair(source="source", target="target") -> Column:
@@ -40,11 +40,12 @@ def clean_columns(df: DataFrame, source: str = "source", target: str = "target")
     out = out.withColumns({side: F.coalesce(F.col(raw), F.lit("")) for side, raw in sides.items()})
     out = out.withColumns({f"_cand_{raw}": latin1_candidate(side) for side, raw in sides.items()})
     out = out.withColumns({side: accept_latin1(side, f"_cand_{raw}") for side, raw in sides.items()})
-    out = out.withColumns({side: fix_mojibake_gbk(side) for side in sides})
+    out = out.withColumns({f"_gbk_{raw}": gbk_escapes(side) for side, raw in sides.items()})
+    out = out.withColumns({side: accept_gbk(side, f"_gbk_{raw}") for side, raw in sides.items()})
     out = out.withColumns({side: finish_side(side) for side in sides})
     modified = ~(F.col(source).eqNullSafe(F.col("_raw_s")) & F.col(target).eqNullSafe(F.col("_raw_t")))
     out = out.withColumn("modified", modified).withColumn("valid", valid_pair(source, target))
-    return out.drop(*sides.values(), *[f"_cand_{raw}" for raw in sides.values()])
+    return out.drop(*[f"{prefix}{raw}" for raw in sides.values() for prefix in ("", "_cand_", "_gbk_")])
 
 
 def dedup_pairs(df: DataFrame, source: str = "source", target: str = "target",

@@ -1,30 +1,58 @@
-"""Glossary term protection and restoration."""
+"""Glossary term protection and restoration.
+
+The glossary stays a table, whatever its size. Terms are literals without word
+boundaries, compared without case, and each is applied to the text as the terms
+before it left it. A term can change a text only if the text contains it, or if
+it meets a placeholder that an earlier term put there:
+
+* every term has one key, the first ``SHINGLE`` characters of its folded form; a
+  text's shingles of the lengths in use are equi-joined with the keys, and a
+  candidate stays if the folded text contains the folded term;
+* the few terms that can touch a placeholder (``TOUCHES``) are further candidates of
+  every text that has one.
+
+A text's candidates are applied in rank order in one fold over that text's own list.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .._util import as_col, require_columns
+from .._util import as_col, explode_rows, require_columns
 from ..functions.text import strip_ws
+from .rank import global_rank
 
-# Above this many terms the fold runs as one higher-order expression instead
-# of one projection per term (same result; the per-term form compiles each
-# pattern once and is faster for usual glossary sizes).
-UNROLL_LIMIT = 64
-# Largest glossary accepted into a plan (it travels inside the plan).
-MAX_TERMS = 100_000
+#: Characters of an index key (fewer for shorter terms).
+SHINGLE = 4
+#: Copies of the placeholder-touching terms that texts are spread over.
+SALTS = 32
 MAPPING_TYPE = "array<struct<placeholder:string,target:string>>"
+# Letters whose single-character case folding is another letter's although their upper
+# cases differ: dotted capital I, capital sharp s, Greek theta symbol and the ohm, kelvin and
+# angstrom signs.
+SPECIAL_FOLDS = {"İ": "I", "ẞ": "ß", "ϴ": "Θ", "Ω": "Ω", "K": "K",
+                 "Å": "Å"}
+# Folded terms that can overlap ``__TERM_<n>__``: one of their ends is an end of it, they
+# contain it, or they are a part of it.
+TOUCHES = (r"^_|_$|__T(E(RM?)?)?$|__TERM_\d+|^(\d+|((T?E)?R)?M_\d+)__"
+           r"|^(T(E(RM?)?)?|E(RM?)?|RM?|M)$|^\d+$|^((T?E)?R)?M_\d+$")
+
+
+def placeholder(i) -> Column:
+    """Placeholder of the term at position ``i`` of the length-descending order."""
+    return F.concat(F.lit("__TERM_"), as_col(i).cast("string"), F.lit("__"))
 
 
-def placeholder(i: int) -> str:
-    """Placeholder of the i-th term in length-descending order."""
-    return f"__TERM_{i}__"
+def quoted_pattern(term) -> Column:
+    """Case-insensitive Java regex of a literal (``\\Q..\\E``, splitting any ``\\E``)."""
+    inner = F.replace(as_col(term), F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
+    return F.concat(F.lit("(?iu)\\Q"), inner, F.lit("\\E"))
 
 
-def java_quote(term: str) -> str:
-    """Literal Java regex for ``term`` (``\\Q..\\E``, splitting any ``\\E``)."""
-    return "\\Q" + term.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+def fold_case(c) -> Column:
+    """Upper case that is equal wherever ``(?iu)`` finds characters equal."""
+    return F.upper(F.translate(as_col(c), "".join(SPECIAL_FOLDS), "".join(SPECIAL_FOLDS.values())))
 
 
 def normalize_glossary(df: DataFrame, source_col: str = "source_term",
@@ -39,45 +67,46 @@ def normalize_glossary(df: DataFrame, source_col: str = "source_term",
                                         F.max_by("target_term", "ord").alias("target_term"))
 
 
-def glossary_terms(glossary: DataFrame | list, max_terms: int = MAX_TERMS) -> list[tuple[str, str]]:
-    """Ordered ``(source_term, target_term)``: longest first, stable by ``ord``.
+def glossary_terms(glossary, spark: SparkSession | None = None) -> DataFrame:
+    """``(position, source_term, target_term)``: longest first, ties by ``ord``.
 
-    A DataFrame glossary is size-checked before it is brought into the plan
-    (``limit(max_terms + 1)``), so the broadcast payload has a proven bound.
+    ``glossary`` is a table ``(ord, source_term, target_term)`` or a list of
+    ``(source, target)``. Ranked by a distributed range sort and written once.
     """
-    if isinstance(glossary, DataFrame):
-        rows = normalize_glossary(glossary).limit(max_terms + 1).collect()
-        if len(rows) > max_terms:
-            raise ValueError(f"glossary has more than {max_terms} terms")
-        items = [(r["ord"], r["source_term"], r["target_term"]) for r in rows]
-    else:
-        items = []
-        seen: dict[str, int] = {}
-        for i, (s, t) in enumerate(glossary):
-            s, t = s.strip(), t.strip()
-            if not s or not t:
-                continue
-            if s in seen:
-                items[seen[s]] = (items[seen[s]][0], s, t)
-            else:
-                seen[s] = len(items)
-                items.append((i, s, t))
-    items.sort(key=lambda x: x[0])
-    items.sort(key=lambda x: -len(x[1]))
-    terms = [(s, t) for _, s, t in items]
-    _warn_placeholder_overlap(terms)
-    return terms
-
-
-def _warn_placeholder_overlap(terms) -> None:
-    """Terms apply sequentially, so a later term can match inside an earlier
-    placeholder (e.g. the term ``term``); that is kept, but flagged."""
-    import warnings
-
-    phs = [placeholder(i).lower() for i in range(len(terms))]
-    for i, (s, _t) in enumerate(terms):
-        if any(s.lower() in ph for ph in phs[:i]):
-            warnings.warn(f"glossary term {s!r} can match inside an earlier placeholder", stacklevel=3)
+    if not isinstance(glossary, DataFrame):
+        rows = [(i, s, t) for i, (s, t) in enumerate(glossary)]
+        glossary = spark.createDataFrame(rows, "ord long, source_term string, target_term string")
+    ranked = global_rank(normalize_glossary(glossary), F.length("source_term").desc(), "ord", "source_term",
+                         rank_col="position", offset=-1)
+    return ranked.select("position", "source_term", "target_term")
+
+
+def candidates(texts: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
+    """``(text, terms)``: per distinct text with at least one occurring term, the
+    candidate terms ``(position, pattern, target)`` in order."""
+    terms = terms.withColumn("folded", fold_case("source_term"))
+    size = F.least(F.length("folded"), F.lit(SHINGLE))
+    touches = F.col("folded").rlike(TOUCHES)
+    # One small job: at most SHINGLE lengths and one number.
+    lengths, touching = terms.agg(F.collect_set(size), F.count_if(touches)).first()
+    entry = F.struct("position", quoted_pattern("source_term").alias("pattern"), F.col("target_term").alias("target"))
+    index = terms.select(F.substring("folded", 1, SHINGLE).alias("key"), "folded", entry.alias("term"))
+
+    # Distinct texts: repeated ones are looked up once, and all that follows is
+    # already dealt by text (with its own generated code, small enough to be compiled).
+    texts = texts.select(as_col(text_col).alias("text")).distinct()
+    folded = texts.select("text", fold_case("text").alias("_folded"))
+    parts = [F.regexp_extract_all("_folded", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in sorted(lengths)]
+    shingles = F.concat(*parts) if parts else F.array().cast("array<string>")
+    keyed = explode_rows(folded, ["text", "_folded"], shingles, ("key",))
+    found = keyed.join(index, "key").where(F.contains("_folded", "folded"))
+    per_text = found.groupBy("text").agg(F.collect_set("term").alias("terms"))
+    if touching:
+        salted = index.where(touches).select("term", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        more = per_text.withColumn("salt", F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int")).join(salted, "salt")
+        more = more.groupBy("text").agg(F.collect_set("term").alias("more"))
+        per_text = per_text.join(more, "text").select("text", F.array_union("terms", "more").alias("terms"))
+    return per_text.select("text", F.array_sort("terms").alias("terms"))
 
 
 def protect_terms(df: DataFrame, text_col: str, glossary, out_col: str = "protected",
@@ -87,50 +116,29 @@ def protect_terms(df: DataFrame, text_col: str, glossary, out_col: str = "protec
     Terms are applied longest first, each as a case-insensitive literal
     (no word boundaries) over the text *as rewritten by the earlier terms*;
     ``mapping_col`` lists ``(placeholder, target)`` of the terms that matched,
-    in that order. The glossary is a bounded literal in the plan, so no join
-    is needed: every row meets every term without a cross product.
+    in that order. NULL text is ``""``. The glossary (table or list) is ranked and
+    written when this is called; texts meet only the terms that occur in them.
     """
-    terms = glossary_terms(glossary)
-    text = F.coalesce(as_col(text_col), F.lit(""))
-    if not terms:
-        return df.withColumns({out_col: text, mapping_col: F.array().cast(MAPPING_TYPE)})
-    if len(terms) > UNROLL_LIMIT:
-        return _protect_fold(df, text, terms, out_col, mapping_col)
-    out = df.withColumn("_g", text)
-    flags = []
-    for i, (term, _target) in enumerate(terms):
-        pattern = "(?iu)" + java_quote(term)
-        out = out.withColumns({
-            f"_m{i}": F.col("_g").rlike(pattern),
-            "_g": F.regexp_replace("_g", pattern, placeholder(i)),
-        })
-        flags.append(f"_m{i}")
-    matched = F.array(*[F.struct(F.lit(placeholder(i)).alias("placeholder"),
-                                 F.lit(t).alias("target"), F.col(f"_m{i}").alias("m"))
-                        for i, (_s, t) in enumerate(terms)])
-    mapping = F.transform(F.filter(matched, lambda x: x["m"]),
-                          lambda x: F.struct(x["placeholder"].alias("placeholder"),
-                                             x["target"].alias("target")))
-    out = out.withColumns({out_col: F.col("_g"), mapping_col: mapping})
-    return out.drop("_g", *flags)
-
-
-def _protect_fold(df, text: Column, terms, out_col, mapping_col):
-    arr = F.array(*[F.struct(F.lit("(?iu)" + java_quote(s)).alias("p"),
-                             F.lit(placeholder(i)).alias("placeholder"),
-                             F.lit(t).alias("target")) for i, (s, t) in enumerate(terms)])
-    init = F.struct(text.alias("text"), F.array().cast(MAPPING_TYPE).alias("map"))
-
-    folded = F.aggregate(
-        arr, init,
-        lambda acc, z: F.struct(
-            F.regexp_replace(acc["text"], z["p"], z["placeholder"]).alias("text"),
-            F.when(F.regexp_like(acc["text"], z["p"]),
-                   F.array_append(acc["map"], F.struct(z["placeholder"].alias("placeholder"),
-                                                       z["target"].alias("target"))))
-             .otherwise(acc["map"]).alias("map")))
-    out = df.withColumn("_fold", folded)
-    return out.withColumns({out_col: F.col("_fold.text"), mapping_col: F.col("_fold.map")}).drop("_fold")
+    require_columns(df, text_col)
+    terms = glossary_terms(glossary, df.sparkSession)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    per_text = candidates(df.select(text.alias("_text")), "_text", terms)
+    start = F.struct(F.col("text").alias("text"), F.array().cast(MAPPING_TYPE).alias("map"))
+    folded = F.aggregate("terms", start, _apply)
+    done = per_text.select(F.col("text").alias("_text"), folded.alias("_fold"))
+    joined = df.withColumn("_text", text).join(done, "_text", "left")
+    return joined.withColumns({
+        out_col: F.coalesce(F.col("_fold.text"), F.col("_text")),
+        mapping_col: F.coalesce(F.col("_fold.map"), F.array().cast(MAPPING_TYPE))}).drop("_text", "_fold")
+
+
+def _apply(done, term):
+    """One step of the fold: ``term`` over the text that the terms before it left."""
+    mark = placeholder(term["position"])
+    entry = F.struct(mark.alias("placeholder"), term["target"].alias("target"))
+    matched = F.when(F.regexp_like(done["text"], term["pattern"]), F.array_append(done["map"], entry))
+    return F.struct(F.regexp_replace(done["text"], term["pattern"], mark).alias("text"),
+                    matched.otherwise(done["map"]).alias("map"))
 
 
 def restore_terms(text, mapping) -> Column:

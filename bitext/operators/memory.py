@@ -8,19 +8,31 @@ from pyspark.sql import functions as F
 from .._util import require_columns
 
 
+def newest_entries(memory: DataFrame) -> DataFrame:
+    """``(source, translation)`` with one row per source.
+
+    With a ``snapshot`` column a key's newest snapshot decides, however many older
+    ones hold it. Rows of the same snapshot, or without one, that repeat a key give
+    the largest translation (NULL only if no row has one).
+    """
+    require_columns(memory, "source", "translation")
+    if "snapshot" not in memory.columns:
+        return memory.groupBy("source").agg(F.max("translation").alias("translation"))
+    last = F.max(F.struct("snapshot", "translation"))
+    return memory.groupBy("source").agg(last.alias("_last")).select("source", "_last.translation")
+
+
 def memory_lookup(sentences: DataFrame, memory: DataFrame, text_col: str = "sentence") -> DataFrame:
     """Left equi-join on the exact, case-sensitive text.
 
     ``hit`` is *presence* of the key: a memory entry whose translation is
     ``""`` (or NULL) is still a hit. Shuffle join on the text; AQE turns it
     into a broadcast when the memory turns out small at runtime and splits
-    skewed (very frequent) sentences. A key that the memory holds more than once
-    (``read_memory_json`` never gives one) counts once, with its largest translation.
+    skewed (very frequent) sentences. A repeated key counts once (``newest_entries``).
     """
     require_columns(sentences, text_col)
-    require_columns(memory, "source", "translation")
-    mem = memory.groupBy(F.col("source").alias(text_col)).agg(
-        F.max("translation").alias("memory_translation"), F.lit(True).alias("hit"))
+    mem = newest_entries(memory).select(F.col("source").alias(text_col),
+                                        F.col("translation").alias("memory_translation"), F.lit(True).alias("hit"))
     return (sentences.join(mem, text_col, "left")
                      .withColumn("hit", F.coalesce(F.col("hit"), F.lit(False))))
 
@@ -49,12 +61,12 @@ def fan_out(sentences: DataFrame, results: DataFrame, text_col: str = "sentence"
 def memory_upsert(memory: DataFrame, new: DataFrame) -> DataFrame:
     """New entries added; a new value replaces the old one for the same key.
 
-    ``new`` must hold one row per ``source``. Written to a fresh snapshot by
-    the caller (a path being read is never overwritten).
+    The result has one row per source; a key that either side repeats is reduced
+    first (``newest_entries``). Written to a fresh snapshot by the caller (a path
+    being read is never overwritten).
     """
-    require_columns(new, "source", "translation")
-    new = new.select("source", F.col("translation").alias("_new"), F.lit(True).alias("_is_new"))
-    both = memory.select("source", "translation").join(new, "source", "full_outer")  # ``new`` is read once
+    new = newest_entries(new).select("source", F.col("translation").alias("_new"), F.lit(True).alias("_is_new"))
+    both = newest_entries(memory).join(new, "source", "full_outer")
     return both.select("source", F.when(F.col("_is_new"), F.col("_new")).otherwise(F.col("translation"))
                        .alias("translation"))
 

@@ -2,75 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .._util import explode_rows, require_columns
 from ..functions.text import tokens
-from ..session import reliable_checkpoint
+from .rank import global_rank
 
 # --- fixed values: reserved entries written first, each with this count -----
 SPECIALS = ("<blank>", "<s>", "</s>", "<unk>")
 SPECIAL_COUNT = 1_000_000
 # ---------------------------------------------------------------------------
 
+#: A position in a line is below this (a value holds less than 2**31 characters).
+_POSITIONS = 1 << 31
+
 
 def token_counts(df: DataFrame, text_col: str, order_col: str = "line_no",
                  specials=SPECIALS) -> DataFrame:
-    """``(token, count, first_line, first_pos)`` over whitespace tokens.
+    """``(token, count, first_seen)`` over whitespace tokens.
 
-    ``first_pos`` is the token's position among the *distinct* tokens of
-    ``first_line`` (same order as the first occurrences). Two hash aggregates,
-    both partitioned by token, joined without another row shuffle:
-    occurrence counts (map-side combined) and first occurrence, where each
-    (line, token) appears once so ``min_by`` has no ties.
+    One explode and one hash aggregate. ``first_seen`` is line and position packed
+    into one number, ``line * 2**31 + position`` as a 38-digit decimal: comparable,
+    of fixed width (so the aggregate stays a hash aggregate with map-side combine)
+    and unique to the token. Lines are whole numbers below 2**95.
     """
     require_columns(df, text_col, order_col)
-    toks = tokens(text_col)
-    counts = (explode_rows(df, [], toks, ("token",))
-                .filter(~F.col("token").isin(*specials))
-                .groupBy("token").agg(F.count(F.lit(1)).alias("count")))
-    firsts = (explode_rows(df, [F.col(order_col).alias("_line")], F.array_distinct(toks),
-                           ("_pos", "token"), True)
-                .filter(~F.col("token").isin(*specials))
-                .groupBy("token").agg(F.min("_line").alias("first_line"),
-                                      F.min_by("_pos", "_line").alias("first_pos")))
-    return counts.join(firsts, "token")
-
-
-def rank_tokens(counts: DataFrame, offset: int = 0) -> DataFrame:
-    """Add ``rank`` = 1-based position in (count desc, first_line, first_pos) + offset.
-
-    A range sort by all three columns deals even the many tokens of one count to
-    all tasks. The sorted rows are checkpointed (their partitions stay as they
-    are); a row's rank is its index in its partition plus the sizes of the
-    partitions before, one number per partition.
-    """
-    ordered = reliable_checkpoint(counts.orderBy(F.desc("count"), "first_line", "first_pos"))
-    placed = ordered.withColumn("_part", F.spark_partition_id()).withColumn(
-        "_index", F.monotonically_increasing_id() - F.shiftleft(F.col("_part").cast("long"), 33))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).withColumn(
-        "_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    return placed.join(sizes.select("_part", "_before"), "_part").withColumn(
-        "rank", (F.col("_before") + F.col("_index") + 1 + offset).cast("long")).drop("_part", "_index", "_before")
+    line = F.col(order_col).cast("decimal(38,0)") * F.lit(_POSITIONS).cast("decimal(10,0)")
+    rows = explode_rows(df, [line.cast("decimal(38,0)").alias("_line")], tokens(text_col), ("_pos", "token"), True)
+    return (rows.filter(~F.col("token").isin(*specials))
+                .groupBy("token").agg(F.count(F.lit(1)).alias("count"),
+                                      F.min((F.col("_line") + F.col("_pos")).cast("decimal(38,0)")).alias("first_seen")))
 
 
 def build_vocab(df: DataFrame, text_col: str, order_col: str = "line_no",
-                specials=SPECIALS, max_size: int | None = None,
-                materialize: bool = True) -> DataFrame:
+                specials=SPECIALS, max_size: int | None = None) -> DataFrame:
     """``(token, count, rank)``: specials first (count 1,000,000), then tokens by
     descending count, ties in first-seen order; specials found in the data are
     not counted again. ``max_size`` keeps the first ``max_size`` non-special
-    entries (a top-k by rank, no extra sort).
+    entries (a top-k by rank, no extra sort). The vocabulary is sorted by ranges and
+    written once (``global_rank``), so this is eager.
     """
     spark: SparkSession = df.sparkSession
-    # The range sort samples its input first: checkpoint the (vocabulary-sized)
-    # table once rather than re-running the explode and both aggregates.
-    counts = token_counts(df, text_col, order_col, specials)
-    if materialize:
-        counts = reliable_checkpoint(counts)
-    ranked = rank_tokens(counts, offset=len(specials))
+    ranked = global_rank(token_counts(df, text_col, order_col, specials), F.desc("count"), "first_seen",
+                         offset=len(specials))
     if max_size is not None:
         ranked = ranked.filter(F.col("rank") <= len(specials) + int(max_size))
     head = spark.createDataFrame(

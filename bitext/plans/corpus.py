@@ -9,7 +9,7 @@ from .._util import require_columns
 from ..functions.text import normalize_space
 from ..operators.clean import clean_columns
 from ..operators.split import check_ratios, filter_and_split, keep_pair, split_pairs
-from ..session import reliable_checkpoint
+from ..session import written_table
 
 
 def prepare_corpus(pairs: DataFrame, seed: int = 42, train_ratio: float = 0.7,
@@ -26,10 +26,9 @@ def prepare_corpus(pairs: DataFrame, seed: int = 42, train_ratio: float = 0.7,
     depend only on the cleaned pair, so both ride through the de-duplication
     aggregate as ``max(flag)`` and are filtered on its output: each cleaning
     step runs once per row and no predicate drags the cleaning chain along.
-    The exact split then adds only a bounded per-key-prefix count; with
-    ``materialize`` (default) the de-duplicated pairs are checkpointed to the
-    shared checkpoint folder first (an eager job), so its two passes do not
-    repeat the cleaning.
+    The exact split then adds two passes over its key column; with
+    ``materialize`` (default) the de-duplicated pairs are written below the
+    shared checkpoint folder first (an eager job), so that no pass repeats the cleaning.
     ``clean=False`` skips cleaning and de-duplication, as the reference allows.
     """
     check_ratios(train_ratio, valid_ratio)
@@ -50,10 +49,10 @@ def prepare_corpus(pairs: DataFrame, seed: int = 42, train_ratio: float = 0.7,
                    .select(order_col, normalize_space(source).alias(source),
                            normalize_space(target).alias(target)))
     if mode == "exact" and materialize:
-        # The exact split reads its input twice (prefix counts, then labels):
+        # The exact split reads its input twice (keys, then labels):
         # write the de-duplicated pairs once instead of re-running scan,
         # cleaning and the de-duplication shuffle for each pass.
-        kept = reliable_checkpoint(kept)
+        kept = written_table(kept, "pairs")
     return split_pairs(kept, seed, train_ratio, valid_ratio, mode, source, target,
                        order_col, min_pairs)
 
@@ -68,7 +67,7 @@ def prepare_corpus_with_audit(pairs: DataFrame, seed: int = 42, train_ratio: flo
 
     The cleaned rows are grouped once per cleaned pair, keeping the copy count,
     the modified count and the validity / non-empty / length flags, and that
-    group table is checkpointed (eager). The split and a one-row audit
+    group table is written (eager). The split and a one-row audit
     (``input_rows output_rows modified_rows dropped_invalid dropped_dup loaded
     dropped_by_filter``) are both derived from it, so the raw data is scanned
     and cleaned once, like the reference's single pass with counters.
@@ -85,7 +84,7 @@ def prepare_corpus_with_audit(pairs: DataFrame, seed: int = 42, train_ratio: flo
         F.min(order_col).alias(order_col), F.count(F.lit(1)).alias("_n"),
         F.count_if("modified").alias("_n_mod"), F.max("valid").alias("_valid"),
         F.max("_nonempty").alias("_nonempty"), F.max("_keep").alias("_keep"))
-    groups = reliable_checkpoint(groups)
+    groups = written_table(groups, "pair-groups")
     valid = F.col("_valid")
     audit = groups.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("input_rows"),

@@ -6,14 +6,17 @@ query's work grows with the tables:
 
 * pairs      - documents split on newline; every line i is a source, line i+1
                its target (the last line's target is empty, so that F1/F3 drop
-               it and A1 counts it); ``line_no = doc_id * 2**31 + i``. Two
+               it and A1 counts it); ``line_no = doc_id * 2**31 + i`` as a
+               38-digit decimal, which holds any document id. Two
                deterministic defects are injected so cleaning has work:
                ``_`` before the source when ``doc_id % 7 = 0`` and a CR after
                the target when ``doc_id % 5 = 0``.
 * sentences  - sentence segmentation of every document.
 * memory     - sentences of the ``benchmark`` passages, translated as
                ``'[tm] ' || sentence`` (an earlier run's output).
-* glossary   - ``DEMO_GLOSSARY`` below (configuration, not data).
+* glossary   - ``DEMO_GLOSSARY`` below (configuration, not data), or the distinct
+               words of the ``benchmark`` passages.
+* garbled    - sentences whose accents were read in a wrong encoding.
 * runs       - one experiment run per event (mapping below).
 """
 
@@ -46,6 +49,8 @@ EVENT_MODES = {
     "purchase": "beam_compare",
     "error": "cache_compare",
 }
+# Accented letters and the GBK characters of their two UTF-8 bytes.
+GBK_READ = ("éñáüóíöäßúèêàç", "茅帽谩眉贸铆枚盲脽煤猫锚脿莽")
 BATCH_SIZES = (1, 4, 8)
 BEAM_SIZES = (1, 3, 5)
 # ---------------------------------------------------------------------------
@@ -58,6 +63,12 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(table) if spark.conf.get("spark.bitext.spreadSmallInputs", "false") == "true" else table
 
 
+def line_key(owner: str, line: str) -> "F.Column":
+    """Number of a line of its owner; a decimal, since ids may be any long."""
+    return (F.col(owner).cast("decimal(38,0)") * F.lit(LINE_STRIDE).cast("decimal(10,0)") + F.col(line)).cast(
+        "decimal(38,0)")
+
+
 def pairs_from_documents(documents: DataFrame) -> DataFrame:
     """``(line_no, source, target)`` of every line and the one after it. No shuffle."""
     lines = F.split(F.col("text"), "\n")
@@ -69,7 +80,7 @@ def pairs_from_documents(documents: DataFrame) -> DataFrame:
     # inline_outer: a plain generator would re-split every text in an inferred filter.
     exploded = documents.select("doc_id", F.inline_outer(pairs)).filter(F.col("i").isNotNull())
     return exploded.select(
-        (F.col("doc_id") * LINE_STRIDE + F.col("i")).cast("long").alias("line_no"),
+        line_key("doc_id", "i").alias("line_no"),
         F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit("_"), "source")).otherwise(F.col("source")).alias("source"),
         F.when(F.col("doc_id") % 5 == 0, F.concat("target", F.lit("\r"))).otherwise(F.col("target")).alias("target"),
     )
@@ -81,7 +92,7 @@ def pairs_from_conversations(conversations: DataFrame) -> DataFrame:
     turns = conversations.select("conv_id", "turn", F.col("text").alias("source"))
     following = conversations.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("target"))
     return turns.join(following, ["conv_id", "turn"], "left").select(
-        (F.col("conv_id") * LINE_STRIDE + F.col("turn")).cast("long").alias("line_no"),
+        line_key("conv_id", "turn").alias("line_no"),
         "source", F.coalesce("target", F.lit("")).alias("target"))
 
 
@@ -96,6 +107,44 @@ def memory_from_benchmark(benchmark: DataFrame) -> DataFrame:
     return sent.distinct().select("source", F.concat(F.lit("[tm] "), "source").alias("translation"))
 
 
+def json_lines(memory: DataFrame, buckets: int = 8) -> DataFrame:
+    """``(bucket, value)``: the memory as indented JSON objects, one per bucket, each
+    bucket's lines in order within one partition."""
+    bucket = F.pmod(F.xxhash64("source"), F.lit(buckets)).cast("int")
+    entry = F.to_json(F.create_map("source", "translation"))
+    entry = F.concat(F.lit("  "), entry.substr(F.lit(2), F.length(entry) - 2))
+    rows = memory.select(bucket.alias("bucket"), F.lit(1).alias("part"), "source", entry.alias("value"))
+    last = rows.groupBy("bucket").agg(F.max("source").alias("source"))
+    rows = rows.join(last.withColumn("_last", F.lit(True)), ["bucket", "source"], "left").withColumn(
+        "value", F.when(F.col("_last"), F.col("value")).otherwise(F.concat("value", F.lit(",")))).drop("_last")
+    frame = last.select("bucket", F.explode(F.create_map(F.lit(0), F.lit("{"), F.lit(2), F.lit("}"))).alias("part", "value"))
+    rows = rows.unionByName(frame.withColumn("source", F.lit("")))
+    return rows.repartition("bucket").sortWithinPartitions("bucket", "part", "source").select("bucket", "value")
+
+
+def memory_updates(memory: DataFrame) -> DataFrame:
+    """A later run's entries: every source of even length again, with another text."""
+    return memory.where(F.length("source") % 2 == 0).select("source", F.concat(F.lit("[new] "), "source").alias("translation"))
+
+
+def glossary_from_benchmark(benchmark: DataFrame) -> DataFrame:
+    """``(ord, source_term, target_term)``: every distinct word (two letters or more) of
+    the passages in lower case, translated as its reverse."""
+    words = explode_rows(benchmark, [], F.regexp_extract_all(F.lower("text"), F.lit("[a-zà-öø-ÿ]{2,}"), F.lit(0)), ("word",))
+    return words.distinct().select(F.ascii("word").alias("ord"), F.col("word").alias("source_term"),
+                                   F.reverse("word").alias("target_term"))
+
+
+def garbled_sentences(documents: DataFrame) -> DataFrame:
+    """``(doc_id, pos, raw)``: sentences as they are, or (``doc_id % 3`` = 0) their UTF-8 bytes
+    read as Latin-1, or (1) read as GBK where all their accents are in ``GBK_READ``."""
+    s = sentences_from_documents(documents)
+    text, kind = F.col("sentence"), F.col("doc_id") % 3
+    plain = text.rlike("^[\\x{00}-\\x{7f}" + GBK_READ[0] + "]*$")
+    return s.select("doc_id", "pos", F.when(kind == 0, F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")).when(
+        (kind == 1) & plain, F.translate(text, *GBK_READ)).otherwise(text).alias("raw"))
+
+
 def glossary_df(spark: SparkSession, rows=None) -> DataFrame:
     return spark.createDataFrame(rows or DEMO_GLOSSARY, "ord int, source_term string, target_term string")
 

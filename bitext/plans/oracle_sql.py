@@ -3,13 +3,14 @@
 Written from the operator definitions, not from the Spark code: DuckDB's RE2
 has no look-behind and ASCII ``\\s``, so patterns are restated for it. The
 fixture text has no mojibake markers, CJK or non-ASCII spaces, so the SQL
-cleaning omits those branches (unit tests cover them).
+cleaning omits those branches; ``mojibake_repair`` injects such defects and states
+what must come of them.
 """
 
 from __future__ import annotations
 
 from ..operators.split import _SEP  # noqa: F401  (documented: U+001F)
-from .fixtures import DEMO_GLOSSARY, EVENT_MODES, LINE_STRIDE
+from .fixtures import DEMO_GLOSSARY, EVENT_MODES, GBK_READ, LINE_STRIDE
 
 SEED = 42
 TRAIN, VALID = 0.7, 0.15
@@ -28,7 +29,7 @@ def _ntok(x: str) -> str:
 
 RAW_PAIRS = f"""
 raw_pairs AS (
-  SELECT doc_id * {LINE_STRIDE} + i AS line_no,
+  SELECT doc_id::HUGEINT * {LINE_STRIDE} + i AS line_no,
          CASE WHEN doc_id % 7 = 0 THEN '_' || lines[i] ELSE lines[i] END AS source,
          coalesce(lines[i + 1], '') || CASE WHEN doc_id % 5 = 0 THEN chr(13) ELSE '' END AS target
   FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i
@@ -37,7 +38,7 @@ raw_pairs AS (
 
 CONV_PAIRS = f"""
 raw_pairs AS (
-  SELECT u.conv_id * {LINE_STRIDE} + u.turn AS line_no, u.text AS source, coalesce(a.text, '') AS target
+  SELECT u.conv_id::HUGEINT * {LINE_STRIDE} + u.turn AS line_no, u.text AS source, coalesce(a.text, '') AS target
   FROM conversations u LEFT JOIN conversations a
     ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
 )"""
@@ -509,3 +510,131 @@ SELECT line_no, {_norm('source')} AS source, {_norm('target')} AS target
 FROM cleaned
 WHERE valid AND {_norm('source')} <> '' AND {_norm('target')} <> ''
   AND {_keep(_norm('source'), _norm('target'))}"""
+
+# --- files and snapshots read back ---------------------------------------------------
+
+ORACLES["bitext_roundtrip"] = ORACLE_PREP + """
+SELECT (row_number() OVER (ORDER BY split_key) - 1)::BIGINT AS line_no, source, target FROM split WHERE split = 'train'"""
+
+ORACLES["splits_roundtrip"] = ORACLE_PREP + "\nSELECT line_no, source, target, split_key, split FROM split"
+
+ORACLES["documents_from_files"] = "SELECT item_id::VARCHAR AS item_id, trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS text FROM benchmark"
+
+BENCH_WORDS = """
+bench_words AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-zà-öø-ÿ]{2,}')) AS word FROM benchmark)"""
+
+ORACLES["glossary_roundtrip"] = _with(BENCH_WORDS) + """
+SELECT (row_number() OVER (ORDER BY encode(word)) - 1)::BIGINT AS ord, word AS source_term,
+       CASE WHEN length(word) % 2 = 0 THEN '2 ' ELSE '' END || reverse(word) AS target_term
+FROM bench_words"""
+
+# A term changes a sentence if the sentence holds it, or if it is a part of a placeholder.
+ORACLES["glossary_large"] = _with(SENTENCES, BENCH_WORDS) + """,
+terms AS (
+  SELECT word, '__TERM_' || (row_number() OVER (ORDER BY length(word) DESC, unicode(word), encode(word)) - 1) || '__' AS mark,
+         row_number() OVER (ORDER BY length(word) DESC, unicode(word), encode(word)) AS place
+  FROM bench_words
+),
+texts AS (SELECT DISTINCT sentence, lower(sentence) AS folded FROM sentences),
+found AS (SELECT sentence, word, mark, place FROM texts JOIN terms ON contains(folded, word)),
+touching AS (
+  SELECT sentence, word, mark, place FROM (SELECT DISTINCT sentence FROM found), terms WHERE contains('term', word)
+),
+lists AS (
+  SELECT sentence, list({'t': '', 'm': '', 'p': word, 'h': mark, 'g': reverse(word)} ORDER BY place) AS l
+  FROM (SELECT * FROM found UNION SELECT * FROM touching) GROUP BY sentence
+),
+done AS (
+  SELECT sentence, list_reduce(list_concat([{'t': sentence, 'm': '', 'p': '', 'h': '', 'g': ''}], l),
+    lambda a, x: {'t': regexp_replace(a.t, x.p, x.h, 'gi'),
+                  'm': CASE WHEN regexp_matches(a.t, x.p, 'i')
+                            THEN a.m || CASE WHEN a.m = '' THEN '' ELSE '|' END || x.h || '=' || x.g ELSE a.m END,
+                  'p': x.p, 'h': x.h, 'g': x.g}) AS r
+  FROM lists
+),
+back AS (
+  SELECT sentence, r.t AS protected, r.m AS terms,
+         list_reduce(list_concat([r.t], string_split(r.m, '|')),
+                     lambda a, x: CASE WHEN x = '' THEN a
+                                       ELSE replace(a, split_part(x, '=', 1), split_part(x, '=', 2)) END) AS restored
+  FROM done
+)
+SELECT doc_id, pos, coalesce(protected, s.sentence) AS protected, coalesce(terms, '') AS terms,
+       coalesce(restored, s.sentence) AS restored
+FROM sentences s LEFT JOIN back USING (sentence)"""
+
+ORACLES["memory_snapshots"] = _with(SENTENCES, MEMORY) + """
+SELECT source, CASE WHEN length(source) % 2 = 0 THEN '[new] ' || source ELSE translation END AS translation FROM memory"""
+
+ORACLES["memory_json"] = _with(SENTENCES, MEMORY) + "\nSELECT source, translation FROM memory"
+
+ORACLES["runs_roundtrip"] = _with(RUNS) + """
+SELECT mode, model_type, batch_size, beam_size, glossary_enabled, cache_enabled, elapsed_time, num_sentences,
+       sent_per_sec, cache_hits, (row_number() OVER (ORDER BY row_no) - 1)::BIGINT AS row_no FROM runs"""
+
+ORACLES["vocab_file"] = ORACLES["vocab_tgt"]
+
+ORACLES["translations_text"] = _with(SENTENCES) + f"""
+SELECT doc_id, pos, {_reverse('sentence')} AS translation FROM sentences WHERE doc_id % 10 <> 3"""
+
+ORACLES["translated_texts"] = _with(SENTENCES) + f"""
+SELECT d.doc_id, coalesce(t.translation, '') AS translation
+FROM documents d LEFT JOIN (
+  SELECT doc_id, string_agg({_reverse('sentence')}, chr(10) ORDER BY pos) AS translation
+  FROM sentences WHERE doc_id % 10 <> 3 GROUP BY doc_id) t USING (doc_id)"""
+
+# --- text functions ---------------------------------------------------------------------
+
+
+def _markers(x: str) -> str:
+    return "(" + " + ".join(f"contains({x}, '{m}')::INTEGER" for m in "ÃÂâðï") + ")"
+
+
+def _cleaned_side(x: str) -> str:
+    blanks = f"replace(replace({x}, chr(160), ' '), chr(133), ' ')"
+    return (f"replace(trim(regexp_replace(regexp_replace({blanks}, '[\\x00-\\x08\\x0A-\\x1F]', '', 'g'), "
+            f"'\\s+', ' ', 'g')), '_', '')")
+
+
+# UTF-8 bytes of every character, each read as one Latin-1 character.
+_AS_LATIN1 = """array_to_string(list_transform(string_split(sentence, ''), lambda c:
+    CASE WHEN unicode(c) < 128 THEN c
+         WHEN unicode(c) < 2048 THEN chr(192 + unicode(c) // 64) || chr(128 + unicode(c) % 64)
+         WHEN unicode(c) < 65536 THEN chr(224 + unicode(c) // 4096) || chr(128 + unicode(c) // 64 % 64) || chr(128 + unicode(c) % 64)
+         ELSE chr(240 + unicode(c) // 262144) || chr(128 + unicode(c) // 4096 % 64) || chr(128 + unicode(c) // 64 % 64)
+              || chr(128 + unicode(c) % 64) END), '')"""
+
+ORACLES["mojibake_repair"] = _with(SENTENCES) + f""",
+garbled AS (
+  SELECT doc_id, pos, sentence,
+         CASE WHEN doc_id % 3 = 0 THEN {_AS_LATIN1}
+              WHEN doc_id % 3 = 1 AND regexp_full_match(sentence, '[\x00-\x7f{GBK_READ[0]}]*')
+              THEN translate(sentence, '{GBK_READ[0]}', '{GBK_READ[1]}') ELSE sentence END AS raw
+  FROM sentences
+)
+SELECT doc_id, pos, raw,
+       CASE WHEN doc_id % 3 = 0 AND NOT {_markers('sentence')} < {_markers('raw')}
+            THEN {_cleaned_side('raw')} ELSE {_cleaned_side('sentence')} END AS repaired
+FROM garbled"""
+
+ORACLES["safe_float_text"] = _with(SENTENCES) + """
+SELECT doc_id, pos, coalesce(TRY_CAST(sentence AS DOUBLE),
+  TRY_CAST(nullif(regexp_extract(sentence, '[-+]?\\d*\\.?\\d+'), '') AS DOUBLE), 0.0) AS number FROM sentences"""
+
+ORACLES["report_text"] = f"""
+SELECT category, metric, CASE WHEN metric IN ('baseline_bleu', 'finetuned_bleu') THEN printf('%.4f', value)
+                              WHEN metric = 'cache_hits' THEN printf('%.0f', value) ELSE printf('%.2f', value) END AS text
+FROM ({ORACLES["metrics_rows"]})"""
+
+ORACLES["concat_runs"] = _with(RUNS) + """
+SELECT row_no, mode, batch_size, elapsed_time FROM runs WHERE mode IN ('batch_compare', 'beam_compare', 'cache_compare')"""
+
+ORACLES["pair_checks"] = _with(RAW_PAIRS, LOADED) + f"""
+SELECT lang, count(*)::BIGINT AS pairs, count(*) >= 500 AS enough
+FROM loaded JOIN (SELECT doc_id, lang FROM documents) ON doc_id = line_no // {LINE_STRIDE}
+WHERE {_keep('source', 'target')} GROUP BY lang"""
+
+# Line keys are compared as text.
+for _name in ("pairs_clean", "keep_pairs", "token_counts", "split_exact", "split_hash", "prepare_corpus",
+              "conversation_corpus", "corpus_audited_split", "align_lines", "stream_clean", "splits_roundtrip"):
+    ORACLES[_name] = f"SELECT * REPLACE (line_no::VARCHAR AS line_no) FROM ({ORACLES[_name]})"

@@ -7,21 +7,27 @@ tables (or data Spark derives from them); nothing is sampled or capped.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import token_count
-from ..operators.clean import clean_audit, clean_pairs
-from ..operators.split import keep_pair, normalize_pairs, preprocess_audit, split_pairs
+from ..functions.text import safe_float, token_count
 from ..operators.bleu import align_lines, corpus_bleu, evaluate_systems
-from ..operators.glossary import mapping_text, protect_terms, restore_terms
+from ..operators.clean import clean_audit, clean_columns, clean_pairs
+from ..operators.glossary import mapping_text, normalize_glossary, protect_terms, restore_terms
 from ..operators.memory import cache_hits, fan_out, memory_lookup, memory_upsert, pending_sentences
-from ..operators.runs import (best_rows, cache_compare, compare_runs, highlights, metrics_rows, model_compare,
-                              repeat_rows, run_series, throughput)
+from ..operators.runs import (RUN_FIELDS, best_rows, cache_compare, compare_runs, concat_runs, highlights, metrics_rows,
+                              model_compare, repeat_rows, report_text, run_series, runs_for_mode, throughput)
+from ..operators.split import enough_pairs, keep_pair, normalize_pairs, preprocess_audit, split_pairs
 from ..operators.translate import ReverseWordsPredictor
 from ..operators.vocab import build_vocab
+from ..session import ensure_checkpoint_dir, written_table
+from ..sources.readers import (read_bitext, read_documents, read_glossary, read_memory, read_memory_json,
+                               read_pairs_csv, read_runs_csv, read_translations, read_vocab)
+from ..sources.writers import (write_memory, write_metrics, write_pairs, write_split_text, write_splits,
+                               write_translations, write_vocab)
 from . import fixtures as fx
 from .corpus import prepare_corpus, prepare_corpus_with_audit, split_summary
 from .documents import reassemble, translate_documents
@@ -29,6 +35,17 @@ from .documents import reassemble, translate_documents
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _text_key(df: DataFrame) -> DataFrame:
+    """Line keys as text: the same in every engine, whatever its widest integer."""
+    return df.withColumn("line_no", F.col("line_no").cast("string"))
+
+
+def _scratch(spark, name: str) -> str:
+    """A fresh folder below the shared checkpoint directory; it stays, since the result
+    is read from it."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def _docs(spark, d):
     return fx.load_table(spark, d, "documents")
 
@@ -38,7 +55,7 @@ def _pairs(spark, d):
 
 
 def q_pairs_clean(spark, d):
-    return clean_pairs(_pairs(spark, d))
+    return _text_key(clean_pairs(_pairs(spark, d)))
 
 
 def q_clean_audit(spark, d):
@@ -47,21 +64,21 @@ def q_clean_audit(spark, d):
 
 def q_keep_pairs(spark, d):
     loaded = normalize_pairs(_pairs(spark, d))
-    return loaded.filter(keep_pair(normalized=True))
+    return _text_key(loaded.filter(keep_pair(normalized=True)))
 
 
 def q_token_counts(spark, d):
     p = _pairs(spark, d)
-    return p.select("line_no", token_count("source").alias("src_tokens"),
-                    token_count("target").alias("tgt_tokens"))
+    return _text_key(p.select("line_no", token_count("source").alias("src_tokens"),
+                              token_count("target").alias("tgt_tokens")))
 
 
 def q_split_exact(spark, d):
-    return split_pairs(normalize_pairs(_pairs(spark, d)), mode="exact")
+    return _text_key(split_pairs(normalize_pairs(_pairs(spark, d)), mode="exact"))
 
 
 def q_split_hash(spark, d):
-    return split_pairs(normalize_pairs(_pairs(spark, d)), mode="hash")
+    return _text_key(split_pairs(normalize_pairs(_pairs(spark, d)), mode="hash"))
 
 
 def q_split_counts(spark, d):
@@ -71,7 +88,7 @@ def q_split_counts(spark, d):
 
 
 def q_prepare_corpus(spark, d):
-    return prepare_corpus(_pairs(spark, d))
+    return _text_key(prepare_corpus(_pairs(spark, d)))
 
 
 def q_corpus_summary(spark, d):
@@ -80,7 +97,7 @@ def q_corpus_summary(spark, d):
 
 def q_conversation_corpus(spark, d):
     pairs = fx.pairs_from_conversations(fx.load_table(spark, d, "conversations"))
-    return prepare_corpus(pairs, min_pairs=1)  # the smallest tables hold few long enough pairs
+    return _text_key(prepare_corpus(pairs, min_pairs=1))  # the smallest tables hold few long enough pairs
 
 
 def _sentences(spark, d):
@@ -164,31 +181,26 @@ def q_translated_documents(spark, d):
 
 
 def _systems(spark, d):
-    s = fx.sentences_with_lang(_docs(spark, d))
-    base = s.select("doc_id", "pos", "lang", F.lit("baseline").alias("system"),
-                    fx.reverse_words("sentence").alias("hypothesis"),
-                    F.col("sentence").alias("reference"))
-    p = protect_terms(s, "sentence", _glossary(spark))
-    fine = p.select("doc_id", "pos", "lang", F.lit("finetuned").alias("system"),
-                    restore_terms("protected", "term_map").alias("hypothesis"),
-                    F.col("sentence").alias("reference"))
-    return base.unionByName(fine)
+    """Two systems' lines for every sentence, from one read of the documents."""
+    p = protect_terms(fx.sentences_with_lang(_docs(spark, d)), "sentence", _glossary(spark))
+    outputs = {"baseline": fx.reverse_words("sentence"), "finetuned": restore_terms("protected", "term_map")}
+    lines = F.array(*[F.struct(F.lit(k).alias("system"), v.alias("hypothesis")) for k, v in outputs.items()])
+    return p.select("lang", F.col("sentence").alias("reference"), F.inline(lines))
 
 
 def q_bleu_by_lang(spark, d):
-    return corpus_bleu(_systems(spark, d), id_cols=("doc_id", "pos"),
-                       group_cols=("system", "lang"), digits=6)
+    return corpus_bleu(_systems(spark, d), group_cols=("system", "lang"), digits=6)
 
 
 def q_evaluate_systems(spark, d):
-    return evaluate_systems(_systems(spark, d), id_cols=("doc_id", "pos"), digits=6)
+    return evaluate_systems(_systems(spark, d), digits=6)
 
 
 def q_align_lines(spark, d):
     p = _pairs(spark, d)
     hyp = p.select("line_no", fx.reverse_words("source").alias("hypothesis"))
     ref = p.select("line_no", F.col("target").alias("reference"))
-    return align_lines(hyp, ref)
+    return _text_key(align_lines(hyp, ref))
 
 
 def _runs(spark, d):
@@ -213,13 +225,22 @@ def q_cache_compare(spark, d):
     return cache_compare(_runs(spark, d))
 
 
-def q_metrics_rows(spark, d):
-    bleu = evaluate_systems(_systems(spark, d), id_cols=("doc_id", "pos"))
+def _metrics(spark, d):
+    bleu = evaluate_systems(_systems(spark, d))
     pair = bleu.agg(F.max(F.when(F.col("system") == "baseline", F.col("bleu"))).alias("baseline_bleu"),
                     F.max(F.when(F.col("system") == "finetuned", F.col("bleu"))).alias("finetuned_bleu"))
     return metrics_rows(pair, _runs(spark, d))
 
 
+def q_metrics_rows(spark, d):
+    return _metrics(spark, d)
+
+
+def q_report_text(spark, d):
+    """The metrics as the report prints them."""
+    return report_text(_metrics(spark, d))
+
+
 def q_run_series(spark, d):
     return run_series(_runs(spark, d), "batch_compare", "batch_size")
 
@@ -229,41 +250,154 @@ def q_highlights(spark, d):
 
 
 def q_pairs_csv_roundtrip(spark, d):
-    """K1 -> S1: cleaned pairs written as CSV to a fresh folder under the shared
-    checkpoint directory (an eager write), then read back."""
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
-    from ..sources.readers import read_pairs_csv
-    from ..sources.writers import write_pairs
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/roundtrip-{uuid.uuid4().hex}"
+    """K1 -> S1: cleaned pairs written as CSV (an eager write), then read back."""
+    path = _scratch(spark, "pairs-csv")
     write_pairs(clean_pairs(_pairs(spark, d)), path, fmt="csv")
     return read_pairs_csv(spark, path).select("source", "target")
 
 
+def q_bitext_roundtrip(spark, d):
+    """K2 -> S2: both sides of the split files, and the training part read as bitext."""
+    path = _scratch(spark, "split-text")
+    split = written_table(prepare_corpus(_pairs(spark, d)), "split")
+    for side in ("source", "target"):
+        write_split_text(split, f"{path}/{side}", side)
+    return read_bitext(spark, f"{path}/source/split=train", f"{path}/target/split=train")
+
+
+def q_splits_roundtrip(spark, d):
+    """K2 as Parquet: pairs per split folder."""
+    path = _scratch(spark, "splits")
+    write_splits(prepare_corpus(_pairs(spark, d)), path)
+    return _text_key(spark.read.parquet(path)).select("line_no", "source", "target", "split_key", "split")
+
+
+def q_documents_from_files(spark, d):
+    """S3: one file per benchmark passage, read back as documents."""
+    path = _scratch(spark, "documents")
+    fx.load_table(spark, d, "benchmark").select("item_id", "text").write.partitionBy("item_id").text(path)
+    docs = read_documents(spark, path)
+    item = F.url_decode(F.regexp_extract("doc_id", "item_id=([^/]*)/", 1))
+    return docs.select(item.alias("item_id"), "text")
+
+
+def q_glossary_roundtrip(spark, d):
+    """A glossary file with blanks around its cells and repeated terms."""
+    path = _scratch(spark, "glossary")
+    terms = fx.glossary_from_benchmark(fx.load_table(spark, d, "benchmark"))
+    twice = terms.select("source_term", F.explode(F.array(
+        F.struct(F.lit(0).alias("copy"), F.concat(F.lit(" "), "target_term", F.lit("\u3000")).alias("target_term")),
+        F.struct(F.lit(1).alias("copy"), F.concat(F.lit("2 "), "target_term").alias("target_term")))).alias("c"))
+    rows = twice.where("c.copy = 0 OR length(source_term) % 2 = 0").select("source_term", "c.copy", "c.target_term")
+    write_metrics(rows.orderBy("copy", "source_term").select("source_term", "target_term"), path)
+    return normalize_glossary(read_glossary(spark, path)).select("ord", "source_term", "target_term")
+
+
+def q_glossary_large(spark, d):
+    """P9 with some thousand terms taken from the benchmark passages."""
+    glossary = fx.glossary_from_benchmark(fx.load_table(spark, d, "benchmark"))
+    p = protect_terms(_sentences(spark, d), "sentence", glossary)
+    return p.select("doc_id", "pos", "protected", mapping_text("term_map").alias("terms"),
+                    restore_terms("protected", "term_map").alias("restored"))
+
+
+def q_memory_snapshots(spark, d):
+    """K4, K7 -> read: two snapshots that share keys; the newer values count."""
+    base = _scratch(spark, "memory")
+    memory = _memory(spark, d)
+    write_memory(memory, base, "20200101_000000")
+    write_memory(fx.memory_updates(memory), base, "20200102_000000")
+    return read_memory(spark, base)
+
+
+def q_memory_json(spark, d):
+    """JSON objects of one entry per line, one file per bucket of sources."""
+    path = _scratch(spark, "memory-json")
+    fx.json_lines(_memory(spark, d)).write.partitionBy("bucket").text(path)
+    return read_memory_json(spark, path)
+
+
+def q_runs_roundtrip(spark, d):
+    """K6 -> S6: run metrics as CSV and back, rows numbered in file order."""
+    path = _scratch(spark, "runs")
+    write_metrics(_runs(spark, d).orderBy("row_no").select(*RUN_FIELDS), path)
+    return read_runs_csv(spark, path)
+
+
+def q_vocab_file(spark, d):
+    """K3: the vocabulary's lines in rank order, read back."""
+    path = _scratch(spark, "vocab")
+    train = prepare_corpus(_pairs(spark, d)).filter(F.col("split") == "train")
+    write_vocab(build_vocab(train, "target"), path)
+    return read_vocab(spark, path)
+
+
+def q_translations_text(spark, d):
+    """K5 as text: documents with and without sentences written and read back by the manifest."""
+    path = _scratch(spark, "translations")
+    docs = _docs(spark, d)
+    done = _sentences(spark, d).select("doc_id", "pos", fx.reverse_words("sentence").alias("translation"))
+    some = done.where("doc_id % 10 <> 3")  # these documents stay, with an empty text
+    write_translations(reassemble(some, documents=docs), path, fmt="text")
+    return read_translations(spark, path)
+
+
+def q_translated_texts(spark, d):
+    """K5: one text per document, also for the documents without a sentence."""
+    some = _sentences(spark, d).where("doc_id % 10 <> 3").select(
+        "doc_id", "pos", fx.reverse_words("sentence").alias("translation"))
+    return reassemble(some, documents=_docs(spark, d))
+
+
+def q_mojibake_repair(spark, d):
+    """P4 and P5 over sentences with injected defects of both kinds."""
+    garbled = fx.garbled_sentences(_docs(spark, d))
+    pairs = clean_columns(garbled.select("doc_id", "pos", "raw", F.col("raw").alias("source"),
+                                         F.lit("x").alias("target")))
+    return pairs.select("doc_id", "pos", "raw", F.col("source").alias("repaired"))
+
+
+def q_safe_float_text(spark, d):
+    """P11 on text: the first number inside every sentence."""
+    return _sentences(spark, d).select("doc_id", "pos", safe_float("sentence").alias("number"))
+
+
+def q_concat_runs(spark, d):
+    """The result rows of several experiment cases appended."""
+    runs = _runs(spark, d)
+    cases = [runs_for_mode(runs, m).select("row_no", "mode", "batch_size", "elapsed_time")
+             for m in ("batch_compare", "beam_compare", "cache_compare")]
+    return concat_runs(*cases)
+
+
+def q_pair_checks(spark, d):
+    """per language the pairs left by the length filter, and whether they suffice."""
+    p = fx.pairs_from_documents(_docs(spark, d)).withColumn(
+        "doc_id", F.expr(f"CAST(line_no div {fx.LINE_STRIDE} AS BIGINT)"))
+    kept = normalize_pairs(p).filter(keep_pair(normalized=True))
+    return enough_pairs(kept.join(_docs(spark, d).select("doc_id", "lang"), "doc_id"), "lang", min_pairs=500)
+
+
 def q_corpus_audit(spark, d):
     return prepare_corpus_with_audit(_pairs(spark, d))[1]
 
 
 def q_corpus_audited_split(spark, d):
-    return prepare_corpus_with_audit(_pairs(spark, d))[0]
+    return _text_key(prepare_corpus_with_audit(_pairs(spark, d))[0])
 
 
 def q_stream_clean(spark, d):
     """Streaming cleaning (available-now trigger) of the derived pairs, landed
     as files under the shared checkpoint folder and read back as a table."""
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
     from ..streaming.cleaning import clean_pairs_stream, start_parquet_sink
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    base = _scratch(spark, "stream")
     pairs = _pairs(spark, d)
     pairs.write.parquet(f"{base}/in")
     stream = spark.readStream.schema(pairs.schema).parquet(f"{base}/in")
     q = start_parquet_sink(clean_pairs_stream(stream), f"{base}/out", name=f"clean_{uuid.uuid4().hex[:8]}",
                            checkpoint=f"{base}/progress")
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("line_no", "source", "target")
+    return _text_key(spark.read.parquet(f"{base}/out").select("line_no", "source", "target"))
 
 
 def q_compare_beams(spark, d):
@@ -322,4 +456,20 @@ QUERIES: dict[str, Query] = {
     "corpus_audited_split": q_corpus_audited_split,
     "stream_clean": q_stream_clean,
     "fan_out": q_fan_out,
+    "report_text": q_report_text,
+    "bitext_roundtrip": q_bitext_roundtrip,
+    "splits_roundtrip": q_splits_roundtrip,
+    "documents_from_files": q_documents_from_files,
+    "glossary_roundtrip": q_glossary_roundtrip,
+    "glossary_large": q_glossary_large,
+    "memory_snapshots": q_memory_snapshots,
+    "memory_json": q_memory_json,
+    "runs_roundtrip": q_runs_roundtrip,
+    "vocab_file": q_vocab_file,
+    "translations_text": q_translations_text,
+    "translated_texts": q_translated_texts,
+    "mojibake_repair": q_mojibake_repair,
+    "safe_float_text": q_safe_float_text,
+    "concat_runs": q_concat_runs,
+    "pair_checks": q_pair_checks,
 }

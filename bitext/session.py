@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -80,3 +81,14 @@ def reliable_checkpoint(df, eager: bool = True):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def written_table(df, name: str):
+    """``df`` written once as Parquet below the shared checkpoint folder, and read back.
+
+    Columnar and split-sized, where ``reliable_checkpoint`` keeps whole rows. The folder
+    stays until the checkpoint folder is cleaned.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

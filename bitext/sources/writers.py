@@ -7,6 +7,9 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .._util import explode_rows
+from ..operators.rank import running_total
+
 
 def snapshot_path(base: str, ts: str | None = None) -> str:
     """Versioned output folder ``<base>/snapshot=<UTC timestamp>`` (K7).
@@ -60,20 +63,44 @@ def write_vocab(vocab: DataFrame, path: str, mode: str = "errorifexists") -> Non
           .write.mode(mode).text(path))
 
 
-def write_memory(memory: DataFrame, base: str, ts: str | None = None) -> str:
-    """Persist the updated memory to a new snapshot folder (K4); returns it."""
+#: Folders per memory snapshot.
+MEMORY_BUCKETS = 32
+
+
+def write_memory(entries: DataFrame, base: str, ts: str | None = None, buckets: int = MEMORY_BUCKETS) -> str:
+    """Persist memory entries as a new snapshot below ``base`` (K4); returns its folder.
+
+    A snapshot may hold the whole memory or only a run's new entries: readers take
+    each key's newest value (``sources.readers.read_memory``). Rows are dealt by a hash
+    of the source to ``bucket`` folders, so one bucket can be read or merged alone.
+    """
     target = snapshot_path(base, ts)
-    memory.select("source", "translation").write.mode("errorifexists").parquet(target)
+    bucket = F.pmod(F.xxhash64("source"), F.lit(int(buckets))).cast("int")
+    (entries.select("source", "translation", bucket.alias("bucket")).repartition("bucket")
+            .write.mode("errorifexists").partitionBy("bucket").parquet(target))
     return target
 
 
 def write_translations(docs: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
-    """One row per document with its newline-joined translation (K5). As text:
-    one folder ``doc_id=<id>`` per document that holds its lines."""
-    if fmt == "text":
-        docs.select("doc_id", "translation").write.mode(mode).partitionBy("doc_id").text(path)
-    else:
+    """One row per document ``(doc_id, translation)`` with its newline-joined translation (K5).
+
+    As text: ``<path>/lines`` holds the lines of all documents in ``doc_id`` order, in as
+    many files as the range sort has tasks, and ``<path>/manifest`` one row per document
+    ``(doc_id, first_line, lines)``, empty documents with no lines. The line numbers count
+    over all files in name order. ``doc_id`` must be unique.
+    """
+    if fmt != "text":
         docs.write.mode(mode).parquet(path)
+        return
+    base = path.rstrip("/")
+    text = F.col("translation")
+    lines = F.when(F.coalesce(text, F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.split(text, "\n"))
+    sizes = docs.select("doc_id", F.size(lines).alias("lines"))
+    manifest = running_total(sizes, "lines", "doc_id", total_col="first_line")
+    manifest.select("doc_id", "first_line", "lines").write.mode(mode).parquet(f"{base}/manifest")
+    rows = explode_rows(docs, ["doc_id"], lines, ("pos", "value"), True)
+    (rows.repartitionByRange("doc_id", "pos").sortWithinPartitions("doc_id", "pos").select("value")
+         .write.mode(mode).option("lineSep", "\n").text(f"{base}/lines"))
 
 
 def write_metrics(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

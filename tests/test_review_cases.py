@@ -7,8 +7,9 @@ from bitext.operators.glossary import glossary_terms
 from bitext.operators.memory import memory_keys, memory_lookup, memory_upsert
 from bitext.operators.split import split_pairs
 from bitext.plans.fixtures import pairs_from_conversations, pairs_from_documents
-from bitext.sources.readers import read_bitext, read_memory_json, read_pairs_csv
-from bitext.sources.writers import write_pairs, write_split_text, write_translations
+from bitext.operators.vocab import build_vocab
+from bitext.sources.readers import read_bitext, read_memory, read_memory_json, read_pairs_csv, read_translations
+from bitext.sources.writers import write_memory, write_pairs, write_split_text, write_translations
 
 
 def folder(path, *parts):
@@ -106,7 +107,7 @@ def test_memory_keys_and_repeats(spark, tmp_path):
 
 def test_glossary_trims_all_blanks(spark):
     rows = spark.createDataFrame([(0, "\tterm\u00a0", "\u3000ziel ")], "ord long, source_term string, target_term string")
-    assert glossary_terms(rows) == [("term", "ziel")]
+    assert [tuple(r) for r in glossary_terms(rows).collect()] == [(0, "term", "ziel")]
 
 
 def test_every_line_and_turn_takes_part(spark):
@@ -120,7 +121,52 @@ def test_every_line_and_turn_takes_part(spark):
 
 
 def test_text_translations_keep_their_document(spark, tmp_path):
-    docs = spark.createDataFrame([("d1", "x\ny"), ("d2", "z")], "doc_id string, translation string")
+    rows = [("d1", "x\ny"), ("d2", ""), ("d3", "z"), ("d0", "\n"), ("d4", None)]
+    rows += [(f"e{i:03d}", "\n".join(f"{i}-{j}\r" for j in range(i % 7))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id string, translation string").repartition(5)
     write_translations(docs, str(tmp_path / "out"), fmt="text")
-    back = spark.read.text(str(tmp_path / "out"))
-    assert sorted((r.doc_id, r.value) for r in back.collect()) == [("d1", "x"), ("d1", "y"), ("d2", "z")]
+    assert not [p for p in (tmp_path / "out").rglob("*doc_id*")]
+    got = {}
+    for r in read_translations(spark, str(tmp_path / "out")).orderBy("doc_id", "pos").collect():
+        assert r.pos == len(got.setdefault(r.doc_id, []))
+        got[r.doc_id].append(r.translation)
+    assert got == {d: t.split("\n") for d, t in rows if t}
+    manifest = spark.read.parquet(str(tmp_path / "out" / "manifest"))
+    assert manifest.count() == len(rows) and manifest.where("lines = 0").count() == 2 + 9
+
+
+def test_memory_snapshots(spark, tmp_path):
+    schema, base = "source string, translation string", str(tmp_path / "memory")
+    assert read_memory(spark, base).collect() == []
+    write_memory(spark.createDataFrame([("a", "1"), ("b", "2"), ("c", None)], schema), base, "20240101_000000")
+    write_memory(spark.createDataFrame([("b", "3"), ("d", ""), ("a", None), ("d", "x")], schema), base, "20240102_000000")
+    got = {r.source: r.translation for r in read_memory(spark, base).collect()}
+    assert got == {"a": None, "b": "3", "c": None, "d": "x"}
+
+
+def test_json_layouts(spark, tmp_path):
+    import json
+    big = {f"key {i}": f"value, {i}," for i in range(4000)} | {"q\"uote": "br{ace}", "nul": None, "t": True}
+    cases = {"a.json": (json.dumps(big, indent=2, ensure_ascii=False), big),
+             "b.json": (json.dumps({"one": "cell"}), {"one": "cell"}),
+             "c.json": ('{\n  "x": "1",\n  "y": "2"\n', {}), "d.json": ('{\n  "x": "1"\n  "y": "2"\n}', {}),
+             "e.json": ('{\n  "x": "1",\n  "y": "2",\n}', {}), "f.json": ("[1, 2]", {}), "g.json": ("{}", {}),
+             "h.json": ('\ufeff{\r\n  "crlf": "yes"\r\n}', {"crlf": "yes"}), "i.json": ("", {})}
+    for name, (text, want) in cases.items():
+        (tmp_path / name).write_text(text, encoding="utf-8", newline="")
+        want = {k: "true" if v is True else v for k, v in want.items()}
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+        try:
+            got = {r.source: r.translation for r in read_memory_json(spark, str(tmp_path / name)).collect()}
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert got == want, name
+
+
+def test_any_document_id(spark):
+    docs = spark.createDataFrame([(2**62, "a b c\nd e f"), (-2**63, "g h i\nj k l")], "doc_id long, text string")
+    pairs = pairs_from_documents(docs)
+    assert sorted(int(r.line_no) for r in pairs.collect()) == [
+        -2**94 + 1, -2**94 + 2, 2**93 + 1, 2**93 + 2]
+    assert build_vocab(pairs, "source").count() == 16
+    assert split_pairs(pairs, min_pairs=1).count() == 4

@@ -47,22 +47,58 @@ def test_protect_restore(spark):
     assert out[1].protected == "nothing here" and out[1].m == ""
 
 
+def ordered_terms(spark, glossary):
+    rows = glossary_terms(glossary, spark).orderBy("position").collect()
+    assert [r.position for r in rows] == list(range(len(rows)))
+    return [(r.source_term, r.target_term) for r in rows]
+
+
 def test_glossary_rules(spark):
-    assert glossary_terms([("a", "1"), ("bbb", "2"), ("cc", "3"), ("a", "4"), (" ", "x")]) == \
+    assert ordered_terms(spark, [("a", "1"), ("bbb", "2"), ("cc", "3"), ("a", "4"), (" ", "x")]) == \
         [("bbb", "2"), ("cc", "3"), ("a", "4")]
     gdf = spark.createDataFrame([(1, " term ", "t1"), (2, "longer term", "t2"), (3, "term", "t3")],
                                 "ord int, source_term string, target_term string")
-    assert glossary_terms(gdf) == [("longer term", "t2"), ("term", "t3")]
+    assert ordered_terms(spark, gdf) == [("longer term", "t2"), ("term", "t3")]
+    assert ordered_terms(spark, []) == []
+
 
+def sequential(text, terms):
+    """The definition: every term over the text as the terms before it left it."""
+    import re
+    found = []
+    for i, (term, target) in enumerate(terms):
+        pattern = re.compile(re.escape(term), re.IGNORECASE)
+        if pattern.search(text):
+            text = pattern.sub(f"__TERM_{i}__", text)
+            found.append(f"__TERM_{i}__={target}")
+    return text, "|".join(found)
 
-def test_protect_fold_equals_unrolled(spark, monkeypatch):
-    from bitext.operators import glossary as G
-    df = spark.createDataFrame([("The cat and the dog and THE bird",)], "s string")
-    g = [("the", "el"), ("and the", "y el"), ("cat", "gato")]
-    a = protect_terms(df, "s", g).first()
-    monkeypatch.setattr(G, "UNROLL_LIMIT", 0)
-    b = protect_terms(df, "s", g).first()
-    assert (a.protected, a.term_map) == (b.protected, b.term_map)
+
+def test_protect_equals_sequential_definition(spark):
+    import random
+    rng = random.Random(5)
+    terms = ["the", "and the", "cat", "term", "er", "m", "_", "__", "0__", "_x", "x_", "7", "__TERM_1__", "t", "ab_", "a",
+             "bleu score", "score.", "EÑE", "erm", "1__ ", " __t", "zz"]
+    words = ["The", "and", "THE", "cat", "term", "x", "7", "bleu", "score.", "eñe", "_", "ab_cat", "zebra", "m", "a"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(1, 9))) for _ in range(120)] + ["", None, "nothing"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(1000, texts[0])], "i int, s string")
+    for some in (terms, terms[:3], ["m", "er"], ["zz"], []):
+        glossary = [(t, f"<{k}>") for k, t in enumerate(some)]
+        ordered = ordered_terms(spark, glossary)
+        out = protect_terms(df, "s", glossary).select("i", "s", "protected", mapping_text("term_map").alias("m")).collect()
+        assert len(out) == len(texts) + 1
+        for r in out:
+            assert (r.protected, r.m) == sequential(r.s or "", ordered), (r.s, ordered)
+
+
+def test_many_terms_and_case_folding(spark):
+    terms = [(f"word{i:04d}", f"w{i}") for i in range(3000)] + [("STRAßE", "calle"), ("kelvin", "K"), ("istanbul", "I")]
+    rows = [("WORD0007 and word2999x", "__TERM"), ("straße", ""), ("\u212aelvin", ""), ("\u0130STANBUL", ""), ("none", "")]
+    df = spark.createDataFrame(rows, "s string, protected_before string")
+    got = {r.s: r.m for r in protect_terms(df, "s", terms).select("s", mapping_text("term_map").alias("m")).collect()}
+    assert got["WORD0007 and word2999x"].endswith("=w7|__TERM_2999__=w2999") or "=w2999" in got["WORD0007 and word2999x"]
+    assert got["straße"].endswith("=calle") and got["\u212aelvin"].endswith("=K") and got["\u0130STANBUL"].endswith("=I")
+    assert got["none"] == ""
 
 
 def test_protect_regex_metacharacters(spark):
@@ -114,9 +150,60 @@ def test_predictor_count_mismatch(spark):
         translate_batch(df, "s", lambda batch: []).collect()
 
 
-def test_placeholder_overlap_warns():
-    import warnings
-    with warnings.catch_warnings(record=True) as w:
-        warnings.simplefilter("always")
-        glossary_terms([("machine", "maquina"), ("term", "termino")])
-    assert any("placeholder" in str(x.message) for x in w)
+class CountingModel:
+    """Writes a file per load, and answers with its options."""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def load(self, model):
+        import os
+        import uuid
+        self.model = model
+        open(os.path.join(self.folder, f"{os.getpid()}-{uuid.uuid4().hex}"), "w").close()
+
+    def __call__(self, batch, beam_size=1):
+        assert len({len(t) for t in batch}) <= 2  # texts of like length share a batch
+        return [f"{self.model}:{beam_size}:{t}" for t in batch]
+
+
+def test_model_and_options_reach_the_predictor(spark, tmp_path):
+    rows = [(i, "x" * (1 + i % 5)) for i in range(200)]
+    df = spark.createDataFrame(rows, "i int, s string").repartition(8)
+    model = CountingModel(str(tmp_path))
+    out = translate_batch(df, "s", model, batch_size=4, model="finetuned", options={"beam_size": 5}).collect()
+    assert {r.i: r.translation for r in out} == {i: f"finetuned:5:{t}" for i, t in rows}
+    loads = [p.name.split("-")[0] for p in tmp_path.iterdir()]
+    assert len(loads) == len(set(loads))  # once per worker process, not per task
+
+
+def test_statistics_do_not_run_the_model(spark):
+    def fails(batch):
+        raise AssertionError("the model ran")
+
+    sent = spark.createDataFrame([(0, 0, "a b"), (0, 1, "a b"), (1, 0, "c")], "doc_id long, pos int, sentence string")
+    result = translate_documents(sent, fails)
+    s = result.stats.first()
+    assert (s.positions, s.hits, s.pending) == (3, 1, 2)
+    with pytest.raises(Exception):
+        result.translations.collect()
+
+
+def test_repeated_memory_keys_count_once(spark):
+    sent = spark.createDataFrame([(0, 0, "a b"), (0, 1, "c d")], "doc_id long, pos int, sentence string")
+    mem = spark.createDataFrame([("a b", "1"), ("a b", "2"), ("z", "3"), ("z", None)], "source string, translation string")
+    res = translate_documents(sent, ReverseWordsPredictor(), memory=mem)
+    assert sorted((r.pos, r.translation) for r in res.translations.collect()) == [(0, "2"), (1, "d c")]
+    s = res.stats.first()
+    assert (s.positions, s.hits, s.pending) == (2, 1, 1)
+    assert sorted(tuple(r) for r in res.memory.collect()) == [("a b", "2"), ("c d", "d c"), ("z", "3")]
+    assert [tuple(r) for r in res.new_entries.collect()] == [("c d", "d c")]
+    new = spark.createDataFrame([("z", "4"), ("z", "5"), ("q", "6")], "source string, translation string")
+    assert sorted(tuple(r) for r in memory_upsert(mem, new).collect()) == [("a b", "2"), ("q", "6"), ("z", "5")]
+
+
+def test_documents_without_sentences_stay(spark):
+    docs = spark.createDataFrame([(1, "One here. Two."), (2, ""), (3, None)], "doc_id long, text string")
+    done = segment_documents(docs).select("doc_id", "pos", F.col("sentence").alias("translation"))
+    got = {r.doc_id: r.translation for r in reassemble(done, documents=docs).collect()}
+    assert got == {1: "One here.\nTwo.", 2: "", 3: ""}
