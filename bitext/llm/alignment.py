@@ -21,7 +21,7 @@ Defined results
 * Special tokens' strings inside a text are plain text.
 * Rows are told apart by a number of their own: repeated, equal and NULL doc_ids each
   give their own row. An empty table gives no rows. Extra columns are not read.
-* Very long texts are one slice each; a slice otherwise has ``SLICE_CHARS`` characters.
+* Very long texts are one slice each; a slice otherwise has ``SLICE_CHARS`` characters at most.
 
 Scale: texts are not shuffled. A task holds one slice and at most ``FLUSH_PAIRS``
 partial counts. The largest count per A id is broadcast (at most one row per id).
@@ -44,8 +44,8 @@ from bitext.session import ensure_checkpoint_dir, reliable_checkpoint
 from ._common import load_table, to_arrow_schema, worker_cache
 
 RANKS, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
-#: Characters (or tokens) of a slice.
-SLICE_CHARS = 1_000_000
+#: Characters (or links) of a slice.
+SLICE_CHARS = 200_000
 #: Partial counts that a task gathers before it hands them on.
 FLUSH_PAIRS = 1_000_000
 #: Id pairs whose counts are broadcast: at most this many rows of 17 bytes.
