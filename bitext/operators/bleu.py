@@ -59,63 +59,71 @@ def _extra(ordered: str) -> Column:
 
 
 def bleu_stats(df: DataFrame, hyp_col: str = "hypothesis", ref_col: str = "reference",
-               group_cols=()) -> DataFrame:
+               group_cols=(), systems: dict[str, str] | None = None) -> DataFrame:
     """Sufficient statistics per group: ``correct_n``, ``total_n``, ``sys_len``, ``ref_len``.
 
-    Every row is a sentence. The clipped matches of one order are ``sum_g
-    min(h(g), r(g))``, that is the number of different n-grams that both sides have, plus
-    ``sum_g min(h(g) - 1, r(g) - 1)`` over those that both sides *repeat*. The first part
-    is a set intersection on the row. Only for the second are n-grams exploded, keyed by
-    (row, n, gram); most sentences have none. All other numbers of a row travel
-    on one carrier without a row key, so that each task sends one row per group: token
-    arrays are never shuffled and the input is read once. A side without
-    repeated n-grams has no longer repeated ones, so longer orders are then not looked at.
+    Every row is a sentence; with ``systems`` (name -> hypothesis column) it has several
+    hypotheses, whose reference is cut up once, and ``system`` is one more group column.
+
+    The clipped matches of one order are ``sum_g min(h(g), r(g))``, that is the number of
+    different n-grams that both sides have, plus ``sum_g min(h(g) - 1, r(g) - 1)`` over
+    those that both sides *repeat*. The first part is a set intersection on the row. Only
+    for the second are n-grams exploded, keyed by (row, n, gram); most sentences have
+    none. All other numbers of a row travel on one carrier without a row key, so that
+    each task sends one row per group: token arrays are never shuffled and the input is
+    read once. A side without repeated n-grams has no longer repeated ones, so longer
+    orders are then not looked at.
     """
-    group_cols = list(group_cols)
-    require_columns(df, hyp_col, ref_col, *group_cols)
+    group_cols, hyps = list(group_cols), systems or {"": hyp_col}
+    require_columns(df, *hyps.values(), ref_col, *group_cols)
+    sides = {"r": ref_col} | {f"h{k}_": c for k, c in enumerate(hyps.values())}
+    orders = range(1, MAX_ORDER + 1)
     # Staged projections: each 13a chain and each order is evaluated once per side.
-    lines = df.select(*group_cols, normalize_13a(hyp_col).alias("_hl"), normalize_13a(ref_col).alias("_rl"))
-    toks = lines.select(*group_cols, split_ws("_hl").alias("_h1"), split_ws("_rl").alias("_r1"))
-    for n in range(2, MAX_ORDER + 1):
-        toks = toks.withColumns({f"_{s}{n}": _longer(f"_{s}{n - 1}", f"_{s}1", n) for s in "hr"})
-    for n in range(1, MAX_ORDER + 1):
+    lines = df.select(*group_cols, *[normalize_13a(c).alias(f"_{s}l") for s, c in sides.items()])
+    toks = lines.select(*group_cols, *[split_ws(f"_{s}l").alias(f"_{s}1") for s in sides])
+    for n in orders[1:]:
+        toks = toks.withColumns({f"_{s}{n}": _longer(f"_{s}{n - 1}", f"_{s}1", n) for s in sides})
+    for n in orders:
         repeats = {}
-        for s in "hr":
+        for s in sides:
             here = F.size(F.array_distinct(f"_{s}{n}")) < F.size(f"_{s}{n}")
             repeats[f"_rep_{s}{n}"] = here if n == 1 else F.when(F.col(f"_rep_{s}{n - 1}"), here).otherwise(False)
         toks = toks.withColumns(repeats)
-    # Sorted where both sides repeat; a column of its own, or a lambda would sort per element.
-    both = {n: F.col(f"_rep_h{n}") & F.col(f"_rep_r{n}") for n in range(1, MAX_ORDER + 1)}
-    toks = toks.withColumns({f"_sorted_{s}{n}": F.when(both[n], F.sort_array(f"_{s}{n}"))
-                             for n in both for s in "hr"})
-
-    stats, repeated = {}, []
-    for n in range(1, MAX_ORDER + 1):
-        h, r = f"_h{n}", f"_r{n}"
-        stats[f"_both_{n}"] = F.size(F.array_intersect(h, r))
-        stats[f"_tot_{n}"] = F.size(h)
-        entry = lambda hc, rc: lambda x: F.struct(F.lit(n).alias("n"), x.alias("gram"), F.lit(hc).alias("h"),
-                                                  F.lit(rc).alias("r"))
-        extra = F.concat(F.transform(_extra(f"_sorted_h{n}"), entry(1, 0)),
-                         F.transform(_extra(f"_sorted_r{n}"), entry(0, 1)))
-        repeated.append(F.when(both[n], extra).otherwise(F.array().cast(_REPEATED)))
-    stats["_sys"], stats["_ref"] = F.size("_h1"), F.size("_r1")
-    rows = toks.select(*group_cols, F.monotonically_increasing_id().alias("_row"),
-                       *[v.cast("long").alias(k) for k, v in stats.items()], F.concat(*repeated).alias("_repeated"))
-    gen = rows.select(*group_cols, "_row", *stats, F.inline_outer(F.concat(
-        F.array(F.struct(F.lit(0).alias("n"), F.lit("").alias("gram"), F.lit(0).alias("h"), F.lit(0).alias("r"))),
-        "_repeated")))
+    # Sorted where a side repeats; a column of its own, or a lambda would sort per element.
+    toks = toks.withColumns({f"_sorted_{s}{n}": F.when(F.col(f"_rep_{s}{n}"), F.sort_array(f"_{s}{n}"))
+                             for n in orders for s in sides})
+
+    entry = lambda n, hc, rc: lambda x: F.struct(F.lit(n).alias("n"), x.alias("gram"), F.lit(hc).alias("h"),
+                                                 F.lit(rc).alias("r"))
+    per_system = []
+    for k, name in enumerate(hyps):
+        h, stats, repeated = f"h{k}_", [F.lit(name).alias("system")] if systems else [], []
+        for n in orders:
+            both = F.col(f"_rep_{h}{n}") & F.col(f"_rep_r{n}")
+            extra = F.concat(F.transform(_extra(f"_sorted_{h}{n}"), entry(n, 1, 0)),
+                             F.transform(_extra(f"_sorted_r{n}"), entry(n, 0, 1)))
+            stats += [F.size(F.array_intersect(f"_{h}{n}", f"_r{n}")).cast("long").alias(f"_both_{n}"),
+                      F.size(f"_{h}{n}").cast("long").alias(f"_tot_{n}")]
+            repeated.append(F.when(both, extra).otherwise(F.array().cast(_REPEATED)))
+        stats += [F.size(f"_{h}1").cast("long").alias("_sys"), F.size("_r1").cast("long").alias("_ref")]
+        per_system.append(F.struct(*stats, F.concat(*repeated).alias("_repeated")))
+    numbers = [f"_{c}_{n}" for n in orders for c in ("both", "tot")] + ["_sys", "_ref"]
+    rows = toks.select(*group_cols, F.monotonically_increasing_id().alias("_row"), F.inline(F.array(*per_system)))
+
+    keys = group_cols + (["system"] if systems else [])
+    carrier = F.array(F.struct(F.lit(0).alias("n"), F.lit("").alias("gram"), F.lit(0).alias("h"), F.lit(0).alias("r")))
+    gen = rows.select(*keys, "_row", *numbers, F.inline_outer(F.concat(carrier, "_repeated")))
     is_carrier = F.col("n") == 0
-    gen = gen.select(*group_cols, F.when(~is_carrier, F.col("_row")).alias("_row"), "n", "gram", "h", "r",
-                     *[F.when(is_carrier, F.col(k)).otherwise(0).alias(k) for k in stats])
-    per_gram = gen.groupBy(*group_cols, "_row", "n", "gram").agg(
-        F.sum("h").alias("h"), F.sum("r").alias("r"), *[F.sum(k).alias(k) for k in stats])
+    gen = gen.select(*keys, F.when(~is_carrier, F.col("_row")).alias("_row"), "n", "gram", "h", "r",
+                     *[F.when(is_carrier, F.col(c)).otherwise(0).alias(c) for c in numbers])
+    per_gram = gen.groupBy(*keys, "_row", "n", "gram").agg(
+        F.sum("h").alias("h"), F.sum("r").alias("r"), *[F.sum(c).alias(c) for c in numbers])
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
     aggs = [total(F.when(F.col("n") == n, F.least("h", "r")).otherwise(0) + F.col(f"_both_{n}")).alias(f"correct_{n}")
-            for n in range(1, MAX_ORDER + 1)]
-    aggs += [total(f"_tot_{n}").alias(f"total_{n}") for n in range(1, MAX_ORDER + 1)]
+            for n in orders]
+    aggs += [total(f"_tot_{n}").alias(f"total_{n}") for n in orders]
     aggs += [total("_sys").alias("sys_len"), total("_ref").alias("ref_len")]
-    return per_gram.groupBy(*group_cols).agg(*aggs)
+    return per_gram.groupBy(*keys).agg(*aggs)
 
 
 def bleu_score(stats_prefix: str = "") -> Column:
@@ -138,17 +146,19 @@ def bleu_score(stats_prefix: str = "") -> Column:
 
 
 def corpus_bleu(df: DataFrame, hyp_col: str = "hypothesis", ref_col: str = "reference",
-                group_cols=(), digits: int | None = None) -> DataFrame:
+                group_cols=(), digits: int | None = None, systems: dict[str, str] | None = None) -> DataFrame:
     """Statistics plus ``bleu`` per group (rounded to ``digits`` if given)."""
-    stats = bleu_stats(df, hyp_col, ref_col, group_cols)
+    stats = bleu_stats(df, hyp_col, ref_col, group_cols, systems)
     score = bleu_score()
     if digits is not None:
         score = F.round(score, digits)
     return stats.withColumn("bleu", score)
 
 
-def evaluate_systems(df: DataFrame, system_col: str = "system", hyp_col: str = "hypothesis",
-                     ref_col: str = "reference", digits: int | None = None) -> DataFrame:
-    """BLEU of several systems on the same references (U4): rows stacked with
-    a ``system`` column, one grouped aggregate."""
+def evaluate_systems(df: DataFrame, systems: dict[str, str] | None = None, ref_col: str = "reference",
+                     system_col: str = "system", hyp_col: str = "hypothesis", digits: int | None = None) -> DataFrame:
+    """BLEU of several systems on the same references (U4): ``systems`` maps names to
+    hypothesis columns; without it the rows are stacked and ``system_col`` names the system."""
+    if systems:
+        return corpus_bleu(df, ref_col=ref_col, digits=digits, systems=systems)
     return corpus_bleu(df, hyp_col, ref_col, [system_col], digits)

@@ -25,6 +25,8 @@ from .rank import global_rank
 
 #: Characters of an index key (fewer for shorter terms).
 SHINGLE = 4
+#: Different characters that a shingle's pattern may list.
+ALPHABET = 200
 #: Copies of the placeholder-touching terms that texts are spread over.
 SALTS = 32
 MAPPING_TYPE = "array<struct<placeholder:string,target:string>>"
@@ -87,8 +89,9 @@ def candidates(texts: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
     terms = terms.withColumn("folded", fold_case("source_term"))
     size = F.least(F.length("folded"), F.lit(SHINGLE))
     touches = F.col("folded").rlike(TOUCHES)
-    # One small job: at most SHINGLE lengths and one number.
-    lengths, touching = terms.agg(F.collect_set(size), F.count_if(touches)).first()
+    # One small job: at most SHINGLE lengths, one number, and the keys' letters.
+    letters = [F.collect_set(F.substring("folded", at, 1)) for at in (1, 2)]
+    lengths, touching, *starts = terms.agg(F.collect_set(size), F.count_if(touches), *letters).first()
     entry = F.struct("position", quoted_pattern("source_term").alias("pattern"), F.col("target_term").alias("target"))
     index = terms.select(F.substring("folded", 1, SHINGLE).alias("key"), "folded", entry.alias("term"))
 
@@ -96,7 +99,7 @@ def candidates(texts: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
     # already dealt by text (with its own generated code, small enough to be compiled).
     texts = texts.select(as_col(text_col).alias("text")).distinct()
     folded = texts.select("text", fold_case("text").alias("_folded"))
-    parts = [F.regexp_extract_all("_folded", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in sorted(lengths)]
+    parts = [F.regexp_extract_all("_folded", F.lit(_shingle_pattern(n, *starts)), F.lit(1)) for n in sorted(lengths)]
     shingles = F.concat(*parts) if parts else F.array().cast("array<string>")
     keyed = explode_rows(folded, ["text", "_folded"], shingles, ("key",))
     found = keyed.join(index, "key").where(F.contains("_folded", "folded"))
@@ -109,6 +112,18 @@ def candidates(texts: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
     return per_text.select("text", F.array_sort("terms").alias("terms"))
 
 
+def _shingle_pattern(n: int, first: list[str], second: list[str]) -> str:
+    """Regex of all (overlapping) shingles of ``n`` characters that start like a key: its
+    first two characters are first and second ones of keys. This only saves rows; alphabets
+    of more than ``ALPHABET`` characters are not listed."""
+    def one_of(chars):
+        chars = sorted(set(chars) - {""})
+        return "[" + "".join(f"\\x{{{ord(c):x}}}" for c in chars) + "]" if 0 < len(chars) <= ALPHABET else "."
+
+    heads = [one_of(first), one_of(second)][:n]
+    return f"(?s)(?=({''.join(heads)}.{{{n - len(heads)}}}))"
+
+
 def protect_terms(df: DataFrame, text_col: str, glossary, out_col: str = "protected",
                   mapping_col: str = "term_map") -> DataFrame:
     """Replace glossary terms by ``__TERM_i__`` placeholders.

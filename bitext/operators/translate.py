@@ -10,10 +10,11 @@ weights exist in this repo.
 
 from __future__ import annotations
 
-import pickle
+import hashlib
 import sys
 from collections.abc import Callable, Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -39,17 +40,17 @@ class PhraseTablePredictor:
         return [" ".join(self.table.get(w, w) for w in s.split(" ")) for s in batch]
 
 
-def loaded_predictor(predictor: Predictor, model) -> Predictor:
-    """The worker process's loaded copy of ``predictor``. One is kept at a time; the
-    interpreter outlives a task, the modules pickled into a task may not."""
+def loaded_predictor(predictor: Predictor, model, key: str) -> Predictor:
+    """The worker process's loaded copy of ``predictor``. One is kept at a time, under the
+    ``key`` of its pickled form; the interpreter outlives a task, the modules pickled
+    into a task may not."""
     if not hasattr(predictor, "load"):
         return predictor
-    key = (pickle.dumps(predictor), model)
     kept = sys.__dict__.setdefault("_bitext_model", {})
-    if kept.get("key") != key:
+    if kept.get("key") != (key, model):
         kept.clear()
         predictor.load(model)
-        kept.update(key=key, predictor=predictor)
+        kept.update(key=(key, model), predictor=predictor)
     return kept["predictor"]
 
 
@@ -83,7 +84,7 @@ def translate_batch(df: DataFrame, text_col: str, predictor: Predictor, batch_si
     require_columns(df, text_col)
     if batch_size < 1:
         raise ValueError("batch_size must be >= 1")
-    options = dict(options or {})
+    options, key = dict(options or {}), hashlib.sha256(cloudpickle.dumps(predictor)).hexdigest()
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.StringType())])
 
     def run(batches: Iterator):
@@ -91,6 +92,7 @@ def translate_batch(df: DataFrame, text_col: str, predictor: Predictor, batch_si
             if pdf.empty:
                 continue
             texts = [t if isinstance(t, str) else "" for t in pdf[text_col]]
-            yield pdf.assign(**{out_col: predict(texts, loaded_predictor(predictor, model), batch_size, options)})
+            loaded = loaded_predictor(predictor, model, key)
+            yield pdf.assign(**{out_col: predict(texts, loaded, batch_size, options)})
 
     return df.mapInPandas(run, schema)

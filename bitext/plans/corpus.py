@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .._util import require_columns
 from ..functions.text import normalize_space
 from ..operators.clean import clean_columns
-from ..operators.split import check_ratios, filter_and_split, keep_pair, split_pairs
+from ..operators.split import check_ratios, filter_and_split, keep_pair, split_key, split_pairs
 from ..session import written_table
 
 
@@ -48,13 +48,14 @@ def prepare_corpus(pairs: DataFrame, seed: int = 42, train_ratio: float = 0.7,
                    .filter("_valid AND _keep")
                    .select(order_col, normalize_space(source).alias(source),
                            normalize_space(target).alias(target)))
-    if mode == "exact" and materialize:
-        # The exact split reads its input twice (keys, then labels):
+    written = mode == "exact" and materialize
+    if written:
+        # The exact split reads the keys, then the rows for their labels:
         # write the de-duplicated pairs once instead of re-running scan,
         # cleaning and the de-duplication shuffle for each pass.
-        kept = written_table(kept, "pairs")
+        kept = written_table(kept.withColumn("split_key", split_key(seed, source, target, order_col)), "pairs")
     return split_pairs(kept, seed, train_ratio, valid_ratio, mode, source, target,
-                       order_col, min_pairs)
+                       order_col, min_pairs, keyed=written)
 
 
 def prepare_corpus_with_audit(pairs: DataFrame, seed: int = 42, train_ratio: float = 0.7,

@@ -150,24 +150,24 @@ def test_predictor_count_mismatch(spark):
         translate_batch(df, "s", lambda batch: []).collect()
 
 
-class CountingModel:
-    """Writes a file per load, and answers with its options."""
-
-    def __init__(self, folder):
-        self.folder = folder
+def test_model_and_options_reach_the_predictor(spark, tmp_path):
+    class CountingModel:
+        """Writes a file per load, and answers with its options."""
 
-    def load(self, model):
-        import os
-        import uuid
-        self.model = model
-        open(os.path.join(self.folder, f"{os.getpid()}-{uuid.uuid4().hex}"), "w").close()
+        def __init__(self, folder):
+            self.folder = folder
 
-    def __call__(self, batch, beam_size=1):
-        assert len({len(t) for t in batch}) <= 2  # texts of like length share a batch
-        return [f"{self.model}:{beam_size}:{t}" for t in batch]
+        def load(self, model):
+            import os
+            import uuid
+            self.model = model
+            open(os.path.join(self.folder, f"{os.getpid()}-{uuid.uuid4().hex}"), "w").close()
 
+        def __call__(self, batch, beam_size=1):
+            lengths = [len(t) for t in batch]
+            assert max(lengths) - min(lengths) <= 2  # texts of like length share a batch
+            return [f"{self.model}:{beam_size}:{t}" for t in batch]
 
-def test_model_and_options_reach_the_predictor(spark, tmp_path):
     rows = [(i, "x" * (1 + i % 5)) for i in range(200)]
     df = spark.createDataFrame(rows, "i int, s string").repartition(8)
     model = CountingModel(str(tmp_path))
