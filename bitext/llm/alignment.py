@@ -45,7 +45,7 @@ from ._common import load_table, to_arrow_schema, worker_cache
 
 RANKS, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 #: Characters (or links) of a slice.
-SLICE_CHARS = 200_000
+SLICE_CHARS = 100_000
 #: Partial counts that a task gathers before it hands them on.
 FLUSH_PAIRS = 1_000_000
 #: Id pairs whose counts are broadcast: at most this many rows of 17 bytes.
@@ -242,6 +242,7 @@ def _align_batches(batches, codec: TokenPair, schema: pa.Schema):
                 "n_a": pc.list_value_length(a), "n_b": pc.list_value_length(b),
                 "n_groups": np.bincount(doc[steps == 3], minlength=len(a)), "n_links": n,
                 "groups_sha256": group_digests(a, b, steps, codec)})
+        pa.default_memory_pool().release_unused()
     if parts:
         yield from _count_rows(added(parts), schema)
 
@@ -312,6 +313,7 @@ def _scored(aligned: DataFrame, hot) -> DataFrame:
             lengths = pc.binary_length(batch.column(9)).to_numpy(zero_copy_only=False)
             for lo, hi in slices(lengths, SLICE_CHARS):
                 yield _score_slice(batch.slice(lo, hi - lo), names, pairs, counts, best, out)
+            pa.default_memory_pool().release_unused()
 
     return kept.mapInArrow(run, schema)
 
