@@ -47,7 +47,7 @@ RANKS, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 #: Characters (or links) of a slice.
 SLICE_CHARS = 100_000
 #: Partial counts that a task gathers before it hands them on.
-FLUSH_PAIRS = 1_000_000
+FLUSH_PAIRS = 250_000
 #: Id pairs whose counts are broadcast: at most this many rows of 17 bytes.
 HOT_PAIRS = 1 << 20
 LIST_PAIRS = 16_384
@@ -308,6 +308,7 @@ def _scored(aligned: DataFrame, hot) -> DataFrame:
     out = to_arrow_schema(schema)
 
     def run(batches):
+        worker_cache().clear()  # the tokenizers of the first pass are not needed any more
         pairs, counts, best = hot.value
         for batch in batches:
             lengths = pc.binary_length(batch.column(9)).to_numpy(zero_copy_only=False)
