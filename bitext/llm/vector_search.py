@@ -10,13 +10,19 @@ inner products are then the smallest Euclidean distances.
   there; from then on lists grow and are dealt to tasks in parts.
 * Every centroid search, of vectors and of queries, is a best-first walk over an in-memory
   graph of neighbouring centroids (broadcast; ``MAX_LISTS`` rows bound it).
-* Boundary vectors are replicated: a vector goes to its nearest list and to further ones
-  no more than ``CLOSURE`` times as far, leaving out those that lie nearer to a
-  list already chosen than to the vector.
-* A query reads the lists no more than ``PROBE_RATIO`` times as far as its nearest one.
-* Lists are compared with their queries in cogrouped tasks: a list is dealt in parts of
-  ``PART_ROWS`` vectors, its queries in parts of ``PART_ROWS`` queries. Scores are exact inner
-  products of the original vectors in double precision.
+* Boundary vectors are replicated: a vector goes to its nearest list and to the next
+  ``REPLICAS - 1`` that are no more than ``CLOSURE`` times as far.
+* A query reads, of the lists its walk has kept, those no more than ``PROBE_RATIO`` times as far
+  as its nearest one.
+* Neighbouring lists (``BLOCK_LISTS`` leaves that were halved last) are compared with their
+  queries in one cogrouped task, to which a vector and a query are sent once, and which
+  hands on the best of a query over all its lists there. A block is dealt in parts of
+  ``PART_ROWS`` vectors and ``PART_ROWS`` queries. Scores are exact inner products of the
+  original vectors in double precision.
+
+Vectors without any structure (the test tables' are near to that) have their neighbours
+in many lists; the replicas and a walk of ``WALK_QUERIES`` lists or a ``WALK_SHARE`` of all
+are chosen for such data.
 
 Equal vectors are one class, searched and compared once. A class keeps its smallest
 ``k + 1`` ids: no query can have more of them among its ``k`` nearest, since
@@ -52,11 +58,11 @@ from ._common import load_table, to_arrow_schema
 K = 20
 QUERY_EVERY = 20
 SAMPLE, MAX_LISTS, LIST_SIZE = 65_536, 16_384, 64
-PART_ROWS = 4_096
-CLOSURE, REPLICAS = 1.1, 4
-PROBE_RATIO = 1.25
+PART_ROWS, BLOCK_LISTS = 4_096, 32
+CLOSURE, REPLICAS = 1.2, 6
+PROBE_RATIO = 1.3
 #: Centroids kept while walking the graph (for vectors, for queries) and edges per centroid.
-WALK_VECTORS, WALK_QUERIES, DEGREE = 16, 128, 24
+WALK_VECTORS, WALK_QUERIES, WALK_SHARE, DEGREE = 24, 128, 0.15, 24
 #: Query classes are joined to their queries under this many salted copies.
 SALTS = 16
 BATCH = 1_024
@@ -152,22 +158,15 @@ class Index:
         for lo in range(0, len(points), BATCH):
             ids, dist = self.walk(points[lo:lo + BATCH], WALK_VECTORS)
             close = (ids >= 0) & (dist <= CLOSURE * dist[:, :1])
-            for row, d, ok in zip(ids, dist, close):
-                chosen = [int(row[0])]
-                for j in np.flatnonzero(ok)[1:]:
-                    if len(chosen) == REPLICAS:
-                        break
-                    apart = np.sqrt(((self.centroids[chosen] - self.centroids[row[j]]) ** 2).sum(axis=1))
-                    if (apart > d[j]).all():
-                        chosen.append(int(row[j]))
-                out.append(chosen)
+            close[:, 0], close[:, REPLICAS:] = True, False
+            out += [row[keep].tolist() for row, keep in zip(ids, close)]
         return out
 
     def probes_of(self, points: np.ndarray) -> list[list[int]]:
         """Lists that each query reads."""
         out = []
         for lo in range(0, len(points), BATCH):
-            ids, dist = self.walk(points[lo:lo + BATCH], WALK_QUERIES)
+            ids, dist = self.walk(points[lo:lo + BATCH], max(WALK_QUERIES, int(WALK_SHARE * len(self.centroids))))
             ok = (ids >= 0) & (dist <= PROBE_RATIO * dist[:, :1])
             out += [row[keep].tolist() for row, keep in zip(ids, ok)]
         return out
@@ -225,11 +224,11 @@ def fit_index(classes: DataFrame, sample: int = SAMPLE, list_size: int = LIST_SI
 
 # --- search ---------------------------------------------------------------------------
 
-def _placed(classes: DataFrame, shared) -> DataFrame:
-    """``cls, v (binary), ids, asked, lists, probes`` of every class."""
+def _placed(classes: DataFrame, shared, kind: str) -> DataFrame:
+    """``cls, v (binary), ids, asked, lists, probes`` of every class; ``v`` has components
+    of numpy type ``kind``."""
     ids_type = classes.schema["ids"].dataType.simpleString()
     schema = f"cls long, v binary, ids {ids_type}, asked boolean, lists array<int>, probes array<int>"
-
     out = to_arrow_schema(schema)
 
     def run(batches):
@@ -242,38 +241,48 @@ def _placed(classes: DataFrame, shared) -> DataFrame:
                 probes: list = [None] * len(v)
                 for at, found in zip(np.flatnonzero(asked), index.probes_of(index.queries(v[asked]))):
                     probes[at] = found
+                raw = [row.tobytes() for row in v.astype(kind)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([row.tobytes() for row in v], pa.binary()), part.column(2), part.column(3),
+                    [part.column(0), pa.array(raw, pa.binary()), part.column(2), part.column(3),
                      pa.array(index.lists_of(index.points(v)), out.field("lists").type),
                      pa.array(probes, out.field("probes").type)], schema=out)
 
     return classes.select("cls", "v", "ids", "asked").mapInArrow(run, schema)
 
 
-def _compare(keep: int, id_type):
-    """Cogrouped task: the ``keep`` best classes of a list's part for each query."""
+def _in_block(lists: pa.ChunkedArray) -> np.ndarray:
+    """Boolean matrix: which of a block's lists each row names."""
+    lists = lists.combine_chunks()
+    out = np.zeros((len(lists), BLOCK_LISTS), np.float32)
+    rows = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    out[rows, lists.flatten().to_numpy() % BLOCK_LISTS] = 1
+    return out
+
+
+def _compare(keep: int, id_type, kind: str):
+    """Cogrouped task: each query's ``keep`` best classes in the lists it reads here."""
     schema = pa.schema([("asker", pa.int64()), ("score", pa.float64()), ("ids", id_type)])
 
     def run(queries: pa.Table, members: pa.Table) -> pa.Table:
-        empty = schema.empty_table()
         if not queries.num_rows or not members.num_rows:
-            return empty
-        q, v = (np.stack([np.frombuffer(x, np.float64) for x in column.to_pylist()])
+            return schema.empty_table()
+        q, v = (np.stack([np.frombuffer(x, kind) for x in column.to_pylist()]).astype(np.float64)
                 for column in (queries["query"], members["vector"]))
+        reads, held = _in_block(queries["lists"]), _in_block(members["lists"])
         ids = members["ids"].combine_chunks()
         lowest = np.array([x[0] for x in ids.to_pylist()])
         out = []
         with np.errstate(all="ignore"):
             for lo in range(0, len(q), 256):
+                shared = reads[lo:lo + 256] @ held.T > 0
                 rough = q[lo:lo + 256] @ v.T
-                rough = np.where(np.isnan(rough), -np.inf, rough)
+                rough = np.where(shared & ~np.isnan(rough), rough, -np.inf)
                 for i, row in enumerate(rough, lo):
-                    if len(row) > keep:
+                    pick = np.flatnonzero(shared[i - lo])
+                    if len(pick) > keep:
                         # All that may be among the best, ties and rounding included.
                         bound = np.partition(row, len(row) - keep)[len(row) - keep]
-                        pick = np.flatnonzero(row >= bound - 1e-9 * np.abs(bound))
-                    else:
-                        pick = np.arange(len(row))
+                        pick = pick[row[pick] >= bound - 1e-9 * np.abs(bound)]
                     score = (v[pick] * q[i]).sum(axis=1)
                     best = np.lexsort((lowest[pick], -score))[:keep]
                     out.append((i, pick[best], score[best]))
@@ -286,25 +295,31 @@ def _compare(keep: int, id_type):
     return run
 
 
-def _search(placed: DataFrame, classes_probes: DataFrame, keep: int) -> DataFrame:
+def _blocks(rows: DataFrame, lists: str) -> DataFrame:
+    """``rows`` once per block of their lists, with ``lists`` of that block only."""
+    number = lambda x: F.floor(x / BLOCK_LISTS).cast("int")
+    blocks = rows.withColumn("_block", F.explode(F.array_distinct(F.transform(lists, number))))
+    return blocks.withColumn(lists, F.filter(lists, lambda x: number(x) == F.col("_block")))
+
+
+def _search(placed: DataFrame, asking: DataFrame, keep: int, kind: str) -> DataFrame:
     """``asker, score, ids``: for each asking class its best classes of each part read."""
-    members = placed.select("cls", "v", "ids", F.explode("lists").alias("list"))
-    queries = classes_probes.select("cls", "v", F.explode("probes").alias("list"))
-    # One row per list: MAX_LISTS rows at most.
-    sizes = members.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("parts"))
-    asked = queries.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("shares"))
-    sizes = F.broadcast(sizes.join(asked, "list"))
+    members = _blocks(placed.select("cls", "v", "ids", "lists"), "lists")
+    queries = _blocks(asking.select("cls", "v", F.col("probes").alias("lists")), "lists")
+    # One row per block: MAX_LISTS / BLOCK_LISTS rows at most.
+    sizes = members.groupBy("_block").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("parts"))
+    asked = queries.groupBy("_block").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("shares"))
+    sizes = F.broadcast(sizes.join(asked, "_block"))
     deal = lambda n: F.pmod(F.xxhash64("cls"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    members = members.join(sizes, "list").withColumn("part", deal("parts")).select(
-        "list", "part", every("shares").alias("share"), F.col("v").alias("vector"), "ids")
-    queries = queries.join(sizes, "list").withColumn("share", deal("shares")).select(
-        "list", every("parts").alias("part"), "share", F.col("cls").alias("asker"), F.col("v").alias("query"))
-    key = ["list", "part", "share"]
-    ids_type = placed.schema["ids"].dataType
+    members = members.join(sizes, "_block").withColumn("part", deal("parts")).select(
+        "_block", "part", every("shares").alias("share"), F.col("v").alias("vector"), "ids", "lists")
+    queries = queries.join(sizes, "_block").withColumn("share", deal("shares")).select(
+        "_block", every("parts").alias("part"), "share", F.col("cls").alias("asker"), F.col("v").alias("query"), "lists")
+    key = ["_block", "part", "share"]
+    ids_type = placed.schema["ids"].dataType.simpleString()
     return queries.groupBy(*key).cogroup(members.groupBy(*key)).applyInArrow(
-        _compare(keep, to_arrow_schema(f"ids {ids_type.simpleString()}").field(0).type),
-        f"asker long, score double, ids {ids_type.simpleString()}")
+        _compare(keep, to_arrow_schema(f"ids {ids_type}").field(0).type, kind), f"asker long, score double, ids {ids_type}")
 
 
 def nearest(table: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -320,17 +335,19 @@ def nearest(table: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vect
     id_type = table.schema[id_col].dataType.simpleString()
     if index is None:
         return spark.createDataFrame([], f"query_id {id_type}, rank int, vec_id {id_type}, score double")
-    _placed(classes, spark.sparkContext.broadcast(index)).write.parquet(f"{folder}/placed")
+    # Single-precision input is kept as it is, four bytes a component.
+    kind = "<f4" if table.schema[vector_col].dataType.elementType.typeName() == "float" else "<f8"
+    _placed(classes, spark.sparkContext.broadcast(index), kind).write.parquet(f"{folder}/placed")
     placed = spark.read.parquet(f"{folder}/placed")
     asking = placed.where("asked")
-    _search(placed, asking, k + 1).write.parquet(f"{folder}/found")
+    _search(placed, asking, k + 1, kind).write.parquet(f"{folder}/found")
     found = spark.read.parquet(f"{folder}/found")
     # Queries whose lists hold too few others read all lists.
     reached = found.select("asker", F.explode("ids").alias("id")).distinct().groupBy("asker").count().where(
         F.col("count") > k)
     short = asking.join(reached.select(F.col("asker").alias("cls")), "cls", "left_anti").drop("probes").withColumn(
         "probes", F.sequence(F.lit(0), F.lit(len(index.centroids) - 1)))
-    _search(placed, short, k + 1).write.parquet(f"{folder}/more")
+    _search(placed, short, k + 1, kind).write.parquet(f"{folder}/more")
     found = found.unionByName(spark.read.parquet(f"{folder}/more"))
     best = found.select("asker", "score", F.explode("ids").alias("vec_id")).distinct()
     order = Window.partitionBy("asker").orderBy(F.desc("score"), "vec_id")
