@@ -322,6 +322,13 @@ def _search(placed: DataFrame, asking: DataFrame, keep: int, kind: str) -> DataF
         _compare(keep, to_arrow_schema(f"ids {ids_type}").field(0).type, kind), f"asker long, score double, ids {ids_type}")
 
 
+def _best_classes(found: DataFrame, keep: int) -> DataFrame:
+    """The ``keep`` best classes of each query (ties by smallest id), before any of their ids
+    is listed: no other class can have an id among its ``keep`` nearest."""
+    order = Window.partitionBy("asker").orderBy(F.desc("score"), F.element_at("ids", 1))
+    return found.distinct().withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= keep).drop("_place")
+
+
 def nearest(table: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding",
             index_options: dict | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` nearest rows found for each row for
@@ -341,14 +348,13 @@ def nearest(table: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vect
     placed = spark.read.parquet(f"{folder}/placed")
     asking = placed.where("asked")
     _search(placed, asking, k + 1, kind).write.parquet(f"{folder}/found")
-    found = spark.read.parquet(f"{folder}/found")
+    found = _best_classes(spark.read.parquet(f"{folder}/found"), k + 1)
     # Queries whose lists hold too few others read all lists.
-    reached = found.select("asker", F.explode("ids").alias("id")).distinct().groupBy("asker").count().where(
-        F.col("count") > k)
+    reached = found.groupBy("asker").agg(F.sum(F.size("ids")).alias("n")).where(F.col("n") > k)
     short = asking.join(reached.select(F.col("asker").alias("cls")), "cls", "left_anti").drop("probes").withColumn(
         "probes", F.sequence(F.lit(0), F.lit(len(index.centroids) - 1)))
     _search(placed, short, k + 1, kind).write.parquet(f"{folder}/more")
-    found = found.unionByName(spark.read.parquet(f"{folder}/more"))
+    found = _best_classes(found.unionByName(spark.read.parquet(f"{folder}/more")), k + 1)
     best = found.select("asker", "score", F.explode("ids").alias("vec_id")).distinct()
     order = Window.partitionBy("asker").orderBy(F.desc("score"), "vec_id")
     best = best.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= k + 1)
