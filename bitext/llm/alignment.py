@@ -30,6 +30,7 @@ partial counts. The largest count per A id is broadcast (at most one row per id)
 from __future__ import annotations
 
 import base64
+import contextlib
 import hashlib
 import uuid
 
@@ -46,6 +47,8 @@ from ._common import load_table, to_arrow_schema, worker_cache
 RANKS, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 #: Characters (or links) of a slice.
 SLICE_CHARS = 100_000
+#: Rows of an Arrow batch: some thousand documents with all their tokens are too many.
+BATCH_ROWS = 1_000
 #: Partial counts that a task gathers before it hands them on.
 FLUSH_PAIRS = 250_000
 #: Id pairs whose counts are broadcast: at most this many rows of 17 bytes.
@@ -352,16 +355,30 @@ def _score_slice(rows: pa.RecordBatch, names, hot_pairs, hot_n, hot_best, schema
                                             "rest": rest})
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS):
+    """Arrow batches of ``rows`` rows for the jobs run inside (the session's size after)."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def alignment_statistics(documents: DataFrame, paths: tuple[str, str] | None = None,
                          hot_pairs: int = HOT_PAIRS) -> DataFrame:
     """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` per row."""
     spark: SparkSession = documents.sparkSession
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/alignment-{uuid.uuid4().hex}"
-    aligned_documents(documents, paths).write.option("compression", "zstd").parquet(f"{folder}/aligned")
+    with small_batches(spark):
+        aligned_documents(documents, paths).write.option("compression", "zstd").parquet(f"{folder}/aligned")
     aligned = spark.read.parquet(f"{folder}/aligned")
     counts = reliable_checkpoint(corpus_counts(aligned))
     hot = spark.sparkContext.broadcast(hot_counts(counts, hot_pairs))
-    _scored(aligned, hot).write.parquet(f"{folder}/scored")
+    with small_batches(spark):
+        _scored(aligned, hot).write.parquet(f"{folder}/scored")
     scored = spark.read.parquet(f"{folder}/scored")
     rest = scored.where(F.size("rest") > 0).select("row", F.inline("rest")).join(counts, "pair").groupBy("row").agg(
         F.sum(F.when(F.col("best"), F.col("links")).otherwise(0)).alias("_best"),
