@@ -63,3 +63,56 @@ def test_rows(spark):
     got = hx.extract_main_text(table).collect()
     assert sorted((r.page_id is None, bool(r.text)) for r in got) == [(False, False), (True, True), (True, True)]
     assert hx.extract_main_text(table.limit(0)).count() == 0
+
+
+def learned(spark):
+    return hx.page_weights(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+
+
+def test_label_tags_do_not_decide(spark):
+    """Pages without their <article> tags give the same text, all of them."""
+    weights = learned(spark)
+    assert not {"article", "/article", "main", "/main"} & set(weights)
+    for p in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        bare = re.sub("</?article>", "", p.html)
+        assert hx.main_text(bare, weights) == hx.main_text(p.html, weights) != ""
+
+
+ADVERT, COMMENTS = '<div class="ad">Buy this very nice thing right now</div>', '<ul class="comments"><li>I disagree</li></ul>'
+FRAME = "<html><body><nav><ul><li><a href=x>Menu</a></li></ul></nav>%s<footer>&copy; us</footer></body></html>"
+FIRST, SECOND = "one two three four five six seven eight nine ten", "eleven twelve thirteen fourteen fifteen sixteen"
+
+
+def test_never_elements_around_and_inside_the_text(spark):
+    for weights in (learned(spark), W):
+        for own in (ADVERT, COMMENTS, "<form>Your name <input></form>", "<aside><p>More of this</p></aside>"):
+            body = f"{own}<h1>Title</h1><p>{FIRST}</p>{own}<p>{SECOND}{own}"
+            for opened, closed in (("", ""), ("<article>", "</article>"), ("<div class=x>", "</div>")):
+                got = hx.main_text(FRAME % (opened + body + closed), weights)
+                assert got == f"Title\n{FIRST}\n{SECOND}"
+
+
+def test_scan_alone_leaves_out_frames_with_neutral_names(spark):
+    weights = learned(spark)
+    short = '<div class="q7"><p>Buy this now</p></div>'
+    page = f"<html><body>{short}<h1>Title</h1><p>{FIRST}</p><p>{SECOND}</p>{short}</body></html>"
+    assert hx.main_text(page, weights) == f"Title\n{FIRST}\n{SECOND}"
+    assert "Buy" in hx.region_text(hx.tokens(page))
+
+
+def test_whole_class_names_only():
+    for name in ("section-header", "entry-header", "social-history", "price-notice", "download", "thread-ad-free"):
+        assert hx.main_text(f'<div class="{name}">{FIRST}</div>', W) == FIRST
+        assert hx.main_text(f'<p data-id="ad" title="hidden menu" class="{name}">{FIRST}</p>', W) == FIRST
+    for attributes in ('class="x ad y"', "id=sidebar", "hidden", "role=navigation", 'aria-hidden="true"'):
+        assert hx.main_text(f"<p>{FIRST}</p><div {attributes}>gone</div>", W) == FIRST
+
+
+def test_ends_of_never_elements():
+    assert hx.main_text(f"<div><form>gone <b>too</div><p>{FIRST}", W) == FIRST  # ends with its parent
+    assert hx.main_text(f'<p class="ad">gone<p>{FIRST}', W) == FIRST
+    listed = hx.tokens(f'<ul><li class="ad">gone<li>{SECOND}</ul>')  # the next item ends it
+    assert hx.region_text(listed) == SECOND and hx.never_elements(listed) == [0, 1, 2, 0, 0, 0]
+    assert hx.main_text(f"<head><title>t</title><p>{FIRST}", W) == FIRST
+    assert hx.main_text(f"<nav>gone</b></nav></nav></i><p>{FIRST}</section>", W) == FIRST
+    assert hx.main_text("<div>" * 20_000 + "<p>" + FIRST, W) == FIRST
