@@ -1,23 +1,26 @@
 """Language identification with a blended-spectrum presence kernel.
 
-A text is the set of its character n-grams of one to three symbols (letters,
-lower case; a run of other characters is one separator). The kernel of two texts
-is the size of the sets' intersection over the root of the product of their
-sizes. ``LANDMARKS`` training texts span the Nyström feature space; a ridge
-regression per language (one against the rest, targets +1 and -1) is solved in
-it. Scoring a batch is two matrix products: gram presence x landmarks, then
-kernel rows x weights.
+A text is the set of its character n-grams of one to three symbols (letters as
+code points, lower case; a run of other characters is one separator). An n-gram is
+one 64-bit number that holds its code points, 21 bits each, so different n-grams of
+any script differ. The kernel of two texts is the size of the sets' intersection over
+the root of the product of their sizes. ``LANDMARKS`` training texts span the Nyström
+feature space; a ridge regression per language (one against the rest, targets +1 and
+-1) is solved in it. Scoring a batch is two matrix products: gram presence x
+landmarks, then kernel rows x weights.
 
 Training rows: at most about ``PER_LANGUAGE`` texts of each language, chosen by a
 hash of the id, from rows whose crc32(doc_id as text) mod 4 is not 2 and whose
-lang is known (``PER_LANGUAGE`` is the documented bound of the sample).
+lang is known (``PER_LANGUAGE`` is the documented bound of the sample). Landmarks are
+each language's first texts by another hash, of those with at most ``LANDMARK_GRAMS``
+n-grams (or its smallest one), so the model's size is bounded in any script.
 
 Defined results
 * NULL text, or text without a letter: ``und``, score 0.
 * No training rows at all: every text is ``und``. One language: always that one.
 * Ties go to the language that sorts first.
 * NULL doc_id: not held out, never a training row.
-* Extra columns are not read.
+* Extra columns are not read. Empty tables give no rows; repeated rows are scored alike.
 
 Scale: one scan for the language counts, one for the sample, one for scoring;
 nothing is shuffled but counts. The model has a fixed number of landmarks.
@@ -34,50 +37,39 @@ from pyspark.sql import functions as F
 from ._common import crc_mod, load_table, map_rows, worker_cache
 
 ORDER = 3
-SYMBOL_BITS = 7
+SYMBOL_BITS = 21
 PER_LANGUAGE = 500
 LANDMARKS = 192
 RIDGE = 1e-2
+LANDMARK_GRAMS = 2_000
 BATCH = 256
+#: Cells of a batch's presence matrix.
+BATCH_CELLS = 1 << 24
 
-_OFFSETS = (0, 1 << SYMBOL_BITS, (1 << SYMBOL_BITS) + (1 << 2 * SYMBOL_BITS))
-SPACE = _OFFSETS[2] + (1 << 3 * SYMBOL_BITS)
 
-
-def symbol_table() -> np.ndarray:
-    """Code point -> symbol: 0 for non-letters, 1 to 26 for a-z, else one of 101."""
-    table = worker_cache().get("symbols")
+def letter_table() -> np.ndarray:
+    """Is a code point a letter?"""
+    table = worker_cache().get("letters")
     if table is None:
-        points = np.arange(0x110000)
-        table = (27 + points * 7919 % 101).astype(np.int64)
-        letter = np.fromiter((unicodedata.category(chr(p))[0] == "L" if not 0xD800 <= p < 0xE000 else False
-                              for p in range(0x110000)), bool, 0x110000)
-        table[~letter] = 0
-        table[97:123] = np.arange(1, 27)
-        worker_cache()["symbols"] = table
+        table = worker_cache()["letters"] = np.fromiter(
+            (unicodedata.category(chr(p))[0] == "L" for p in range(0x110000)), bool, 0x110000)
     return table
 
 
 def grams(text: str) -> np.ndarray:
-    """Distinct gram numbers of ``text``, sorted; empty without a letter."""
+    """Distinct n-grams of ``text`` as numbers, sorted; empty without a letter.
+
+    A letter is its code point plus 2, a separator 1; 0 stands before shorter n-grams.
+    """
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    s = symbol_table()[points]
-    if not s.any():
+    letters = letter_table()[points]
+    if not letters.any():
         return np.empty(0, np.int64)
-    s = np.r_[0, s, 0]
-    s = s[np.r_[True, (s[1:] != 0) | (s[:-1] != 0)]]
+    s = np.r_[1, np.where(letters, points.astype(np.int64) + 2, 1), 1]
+    s = s[np.r_[True, (s[1:] != 1) | (s[:-1] != 1)]]
     two = (s[:-1] << SYMBOL_BITS) + s[1:]
     three = (two[:-1] << SYMBOL_BITS) + s[2:]
-    seen = worker_cache().get("gram_flags")
-    if seen is None:
-        seen = worker_cache()["gram_flags"] = np.zeros(SPACE, bool)
-    found = np.concatenate([s, two + _OFFSETS[1], three + _OFFSETS[2]])
-    if len(found) < 20_000:
-        return np.unique(found)
-    seen[found] = True
-    found = np.flatnonzero(seen)
-    seen[found] = False
-    return found
+    return np.unique(np.concatenate([s, two, three]))
 
 
 class KernelModel:
@@ -86,6 +78,9 @@ class KernelModel:
     def __init__(self, langs, columns, landmarks, weights):
         self.langs, self.columns, self.landmarks, self.weights = langs, columns, landmarks, weights
 
+    def batch(self) -> int:
+        return max(1, min(BATCH, BATCH_CELLS // max(1, len(self.columns))))
+
     def kernel(self, sets: list[np.ndarray]) -> np.ndarray:
         presence = np.zeros((len(sets), len(self.columns)), np.float32)
         for row, own in zip(presence, sets):
@@ -96,8 +91,9 @@ class KernelModel:
 
     def predict(self, texts: list) -> list[tuple[str, float]]:
         out = []
-        for lo in range(0, len(texts), BATCH):
-            sets = [grams(t) if t else np.empty(0, np.int64) for t in texts[lo:lo + BATCH]]
+        step = self.batch()
+        for lo in range(0, len(texts), step):
+            sets = [grams(t) if t else np.empty(0, np.int64) for t in texts[lo:lo + step]]
             scores = self.kernel(sets) @ self.weights
             best = scores.argmax(axis=1)
             sure = np.clip((scores[np.arange(len(sets)), best] + 1) / 2, 0, 1)
@@ -113,15 +109,20 @@ def fit(rows: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS, ridge: f
     langs = sorted({r[0] for r in rows})
     by_lang = {lang: [s for name, s in rows if name == lang] for lang in langs}
     share = max(1, landmarks // len(langs))
-    chosen = [s for lang in langs for s in by_lang[lang][:share]]
+    chosen = [s for lang in langs
+              for s in [s for s in by_lang[lang] if len(s) <= LANDMARK_GRAMS][:share] or [min(by_lang[lang], key=len)]]
     columns = np.unique(np.concatenate(chosen))
     matrix = np.zeros((len(columns), len(chosen)), np.float32)
     for j, s in enumerate(chosen):
         matrix[np.searchsorted(columns, s), j] = 1 / np.sqrt(len(s))
     model = KernelModel(langs, columns, matrix, None)
-    sets = [s for _, s in rows]
-    k = np.concatenate([model.kernel(sets[i:i + BATCH]) for i in range(0, len(sets), BATCH)]).astype(np.float64)
-    value, vector = np.linalg.eigh(model.kernel(chosen).astype(np.float64))
+    sets, step = [s for _, s in rows], model.batch()
+
+    def against_landmarks(sets):
+        return np.concatenate([model.kernel(sets[i:i + step]) for i in range(0, len(sets), step)]).astype(np.float64)
+
+    k = against_landmarks(sets)
+    value, vector = np.linalg.eigh(against_landmarks(chosen))
     kept = value > 1e-6 * value[-1]
     root = vector[:, kept] / np.sqrt(value[kept])
     z = k @ root
@@ -133,6 +134,7 @@ def fit(rows: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS, ridge: f
 
 
 def training_rows(documents: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, np.ndarray]]:
+    """``(lang, grams)`` of the sample, by language and a hash of doc_id."""
     known = documents.select("doc_id", "text", "lang").where("text IS NOT NULL AND lang IS NOT NULL").where(
         crc_mod("doc_id", 4) != 2)
     counts = known.groupBy("lang").count().collect()
@@ -143,15 +145,14 @@ def training_rows(documents: DataFrame, per_language: int = PER_LANGUAGE) -> lis
     picked = known.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(units)) < share[F.col("lang")])
 
     def make():
-        def work(doc_ids, texts, langs):
-            yield {"doc_id": [str(d) for d in doc_ids], "lang": langs,
-                   "grams": [grams(t).astype(np.int32).tobytes() for t in texts]}
+        def work(places, texts, langs):
+            yield {"place": places, "lang": langs, "grams": [grams(t).tobytes() for t in texts]}
 
         return work
 
-    found = map_rows(picked, ["doc_id", "text", "lang"], "doc_id string, lang string, grams binary", make).collect()
-    return [(r.lang, np.frombuffer(r.grams, np.int32).astype(np.int64))
-            for r in sorted(found, key=lambda r: (r.lang, r.doc_id))]
+    found = map_rows(picked, [F.xxhash64("doc_id", F.lit(11)).alias("place"), "text", "lang"],
+                     "place long, lang string, grams binary", make).collect()
+    return [(r.lang, np.frombuffer(r.grams, np.int64)) for r in sorted(found, key=lambda r: (r.lang, r.place, r.grams))]
 
 
 def identify_languages(documents: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:

@@ -73,6 +73,43 @@ def test_long_text_grams_equal_short_path():
     assert set(lang_id.grams("hello wörld " * 3000)) == set(lang_id.grams("hello wörld " * 3))
 
 
+def test_scripts_stay_apart(spark):
+    assert not np.intersect1d(lang_id.grams("абвгд"), lang_id.grams("აბგდე")).tolist()[1:]  # but for the separator
+    plain = [*"аб", " а", "аб", "б ", " аб", "аб ", " "]
+    assert len(lang_id.grams("аб")) == len(plain)
+    samples = {"ru": "собака и кошка спят дома", "ka": "ძაღლი და კატა სახლში სძინავთ", "zh": "狗和猫在家里睡觉",
+               "ja": "犬と猫は家で寝ています"}
+    rows = [(10 * k + i, text + " " + text[i % 5:], lang) for k, (lang, text) in enumerate(samples.items()) for i in range(10)]
+    asked = [(5000, "кошка дома", None), (5001, "კატა სახლში", None), (5002, "猫在家里", None), (5003, "猫は家で", None)]
+    got = {r.doc_id: r.lang_pred for r in lang_id.identify_languages(docs(spark, rows + asked)).collect()}
+    assert [got[i] for i in (5000, 5001, 5002, 5003)] == ["ru", "ka", "zh", "ja"]
+
+
+def test_predictions_equal_a_dense_kernel_ridge():
+    """Every training text a landmark: Nyström's solution is that of the whole kernel matrix."""
+    words = {"en": "the cat sat on a mat and dog".split(), "de": "der hund und die katze auf einem".split(),
+             "fr": "le chat est sur la table avec".split()}
+    rng = np.random.default_rng(3)
+    texts = [(lang, " ".join(rng.choice(words[lang], 4, replace=False))) for lang in ("de", "en", "fr") for _ in range(8)]
+
+    def sets(text):  # from the definition, with strings
+        s = " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
+        return {s[i:i + n] for n in (1, 2, 3) for i in range(len(s) - n + 1)}
+
+    def kernel(a, b):
+        return len(sets(a) & sets(b)) / np.sqrt(len(sets(a)) * len(sets(b)))
+
+    k = np.array([[kernel(a, b) for _, b in texts] for _, a in texts])
+    y = np.array([[1.0 if lang == name else -1.0 for name in ("de", "en", "fr")] for lang, _ in texts])
+    alpha = np.linalg.solve(k @ k / 8 + lang_id.RIDGE * k + 1e-12 * np.eye(len(k)), k @ y / 8)
+    model = lang_id.fit([(lang, lang_id.grams(t)) for lang, t in texts], landmarks=len(texts))
+    asked = ["the dog and cat", "die katze und hund", "la table est", "cat sur mat"]
+    expected = np.array([[kernel(a, b) for _, b in texts] for a in asked]) @ alpha
+    for text, (lang, score), row in zip(asked, model.predict(asked), expected):
+        assert lang == ("de", "en", "fr")[row.argmax()]
+        assert score == pytest.approx(np.clip((row.max() + 1) / 2, 0, 1), abs=2e-3)
+
+
 def labels(spark, marks):
     return spark.createDataFrame(marks, "doc_id long, quality int, toxic int, text string")
 
