@@ -416,13 +416,17 @@ def _verified(documents: DataFrame, pairs: DataFrame, classes: DataFrame) -> Dat
 
 
 def _mixed_members(groups: DataFrame, classes: DataFrame, components: DataFrame) -> DataFrame:
-    """``(key, d1, component)`` of the keys that join different components."""
+    """``(key, d1, component)`` of the keys that join different components; of keys
+    with the same members (by two 64-bit digests and their number) the smallest stays."""
     component = classes.join(components, "node", "left").select(
         "d1", F.coalesce("component", "node").alias("component")).groupBy("d1").agg(
         F.min("component").alias("component"))
     members = groups.select("key", "d1").join(component, "d1")
-    mixed = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    return reliable_checkpoint(members.join(mixed.select("key"), "key", "left_semi"))
+    mixed = members.groupBy("key").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"),
+        *[F.bit_xor(F.xxhash64("d1", F.lit(k))).alias(f"members_{k}") for k in (1, 2)]).where("lo < hi")
+    kept = mixed.groupBy("size", "members_1", "members_2").agg(F.min("key").alias("key"))
+    return reliable_checkpoint(members.join(kept.select("key"), "key", "left_semi"))
 
 
 def _star_pairs(mixed: DataFrame, turn: int) -> DataFrame:
@@ -468,25 +472,38 @@ def _block_pairs(mixed: DataFrame, classes: DataFrame) -> DataFrame:
 
 def cross_pairs(component: np.ndarray, sizes: np.ndarray, sketches: list[bytes], side: np.ndarray | None) -> np.ndarray:
     """Index pairs of different components (and different sides, if given) whose
-    sizes and sketches allow a link."""
+    sizes and sketches allow a link. Sets are in order of size, so that each meets a
+    window of sizes; the sketches' distance is summed in pieces while it is small enough."""
     out = []
     lengths = np.array([len(k) for k in sketches])
     for length in np.unique(lengths):
-        own = np.flatnonzero(lengths == length)
         others = np.flatnonzero((lengths == length) | (lengths == 2 * length))
-        folded = np.stack([np.bitwise_xor.reduce(np.frombuffer(sketches[i], np.uint64).reshape(-1, length // 8), axis=0)
+        others = others[np.argsort(sizes[others], kind="stable")]
+        width = length // 8
+        folded = np.stack([np.bitwise_xor.reduce(np.frombuffer(sketches[i], np.uint64).reshape(-1, width), axis=0)
                            for i in others])
-        for a in own:
-            fits = (component[others] != component[a]) & ((lengths[others] > length) | (others > a))
-            fits &= (100 * np.minimum(sizes[others], sizes[a]) >= 80 * np.maximum(sizes[others], sizes[a]))
-            if side is not None:
-                fits &= side[others] != side[a]
-            fits = np.flatnonzero(fits)
+        size, group, same = sizes[others], component[others], lengths[others] == length
+        sides = None if side is None else side[others]
+        ends = np.searchsorted(100 * size, 125 * size, "right")  # 80 % of the larger size at least
+        starts = np.searchsorted(100 * size, 80 * size, "left")
+        place = np.arange(len(others))
+        for a in np.flatnonzero(same):
+            window = slice(starts[a], ends[a])
+            fits = (group[window] != group[a]) & (~same[window] | (place[window] > a))
+            if sides is not None:
+                fits &= sides[window] != sides[a]
+            fits = np.flatnonzero(fits) + starts[a]
+            far = np.zeros(len(fits), np.int64)
+            step = max(8, width // 4)
+            for lo in range(0, width, step):
+                if not len(fits):
+                    break
+                piece = folded[fits, lo:lo + step] ^ folded[a, lo:lo + step]
+                far += np.bitwise_count(piece).sum(axis=1, dtype=np.int64)
+                near = 9 * far <= size[fits] + size[a]
+                fits, far = fits[near], far[near]
             if len(fits):
-                mine = folded[np.searchsorted(others, a)]
-                near = np.bitwise_count(folded[fits] ^ mine).sum(axis=1, dtype=np.int64)
-                found = others[fits[9 * near <= sizes[others[fits]] + sizes[a]]]
-                out.append(np.stack([np.full(len(found), a), found], axis=1))
+                out.append(np.stack([np.full(len(fits), others[a]), others[fits]], axis=1))
     return np.concatenate(out) if out else np.empty((0, 2), np.int64)
 
 
