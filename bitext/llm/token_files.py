@@ -56,7 +56,7 @@ END_ID = 2
 SEGMENT_TOKENS = 1 << 20
 BLOCK_TOKENS = 1 << 16
 LANES = 64
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 800_000
 
 _HEADER = "<4sBBHIIQII"
 _LOW = np.uint64(1 << 31)
@@ -66,13 +66,16 @@ _MAGIC = b"tANS"
 # --- encoding with the tokenizer ---------------------------------------------
 class WordEncoder:
     """``Tokenizer.encode(text, add_special_tokens=False).ids`` through a bounded
-    memo of blank-separated pieces (this tokenizer never joins across blanks)."""
+    memo of blank-separated pieces (this tokenizer never joins across blanks).
+
+    A memo has two generations: a full one becomes the old one, and what is looked up
+    in the old one moves to the new one, so frequent pieces stay."""
 
     #: Letters whose lower case and composed form are themselves or one letter.
     _SIMPLE = re.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
     _PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
     #: Separators to str.split but not to the tokenizer.
-    _ODD = re.compile("[\x1c-\x1f]")
+    _ODD = "\x1c\x1d\x1e\x1f"
 
     def __init__(self, path: str, memo_entries: int = MEMO_ENTRIES):
         from tokenizers import Tokenizer
@@ -82,15 +85,14 @@ class WordEncoder:
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.letters = dict(enumerate(byte_alphabet()))
         self.memo_entries = memo_entries
-        self.pieces: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.pieces, self.parts = Memo(memo_entries), Memo(memo_entries)
         self.type = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
 
     def encode(self, text: str) -> bytes:
-        if any(s in text for s in self.special) or self._ODD.search(text):
+        if any(s in text for s in self.special) or any(c in text for c in self._ODD):
             return self._library(text)
         pieces = text.split()
-        ids = list(map(self.pieces.get, pieces))
+        ids = list(map(self.pieces.young.get, pieces))
         if None in ids:
             ids = [self._piece(p) if x is None else x for p, x in zip(pieces, ids)]
         return b"".join(ids)
@@ -99,29 +101,45 @@ class WordEncoder:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.type).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is not None:
-            return ids
-        if self._SIMPLE.fullmatch(piece):
-            ids = b"".join(map(self._part, self._PARTS.findall(piece.lower())))
-        else:
-            ids = self._library(piece)
-        return self._keep(self.pieces, piece, ids)
+        ids = self.pieces.find(piece)
+        if ids is None:
+            if self._SIMPLE.fullmatch(piece):
+                ids = b"".join(map(self._part, self._PARTS.findall(piece.lower())))
+            else:
+                ids = self._library(piece)
+            self.pieces.keep(piece, ids)
+        return ids
 
     def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
+        ids = self.parts.find(part)
         if ids is None:
             symbols = part.encode().decode("latin-1").translate(self.letters)
-            ids = self._keep(self.parts, part, np.array(
-                [t.id for t in self.merge.tokenize(symbols)], self.type).tobytes())
+            ids = np.array([t.id for t in self.merge.tokenize(symbols)], self.type).tobytes()
+            self.parts.keep(part, ids)
         return ids
 
-    def _keep(self, memo: dict, key: str, ids: bytes) -> bytes:
+
+class Memo:
+    """Two generations of at most half of ``entries`` short keys each."""
+
+    def __init__(self, entries: int):
+        self.half = max(1, entries // 2)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def find(self, key: str) -> bytes | None:
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.keep(key, found)
+        return found
+
+    def keep(self, key: str, value: bytes) -> None:
         if len(key) <= 64:
-            if len(memo) >= self.memo_entries:
-                memo.clear()
-            memo[key] = ids
-        return ids
+            if len(self.young) >= self.half:
+                self.old, self.young = self.young, {}
+            self.young[key] = value
 
 
 def encoder(path: str) -> WordEncoder:
@@ -152,7 +170,14 @@ def pack_segment(ids: np.ndarray, doc_lengths: np.ndarray, block_tokens: int = B
                  lanes: int = LANES) -> bytes:
     """Image of a segment of at least one id."""
     n = len(ids)
-    symbols, codes, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    if ids.itemsize == 2:  # counted in a table of all ids, no sort
+        counts = np.bincount(ids)
+        symbols = np.flatnonzero(counts)
+        counts, place = counts[symbols], np.zeros(len(counts), np.int64)
+        place[symbols] = np.arange(len(symbols))
+        codes = place[ids]
+    else:
+        symbols, codes, counts = np.unique(ids, return_inverse=True, return_counts=True)
     bits = min(22, max(12, int(len(symbols) - 1).bit_length() + 3))
     freq = scaled_frequencies(counts, bits)
     start = np.r_[0, np.cumsum(freq)[:-1]]
