@@ -26,6 +26,22 @@ def worker_cache() -> dict:
     return sys.__dict__.setdefault("_bitext_llm_cache", {})
 
 
+def claim_worker(owner: str) -> None:
+    """Drop what another operator keeps in this worker and give its memory back."""
+    import ctypes
+    import gc
+
+    cache = worker_cache()
+    if cache.get("owner") != owner:
+        cache.clear()
+        cache["owner"] = owner
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+        if trim is not None:
+            trim(0)
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -48,11 +64,13 @@ def map_rows(df: DataFrame, columns: list, schema: str, make: Callable) -> DataF
 
     ``make()`` runs once per task and returns ``f(lists) -> iterator of dicts of
     lists``; ``lists`` holds one Python list per input column, of at most
-    ``SLICE_ROWS`` rows, so the Python objects alive at a time are bounded.
+    ``SLICE_ROWS`` rows, so the Python objects alive at a time are bounded. A worker's
+    cache belongs to the module of ``make`` (``claim_worker``).
     """
-    out = to_arrow_schema(schema)
+    out, owner = to_arrow_schema(schema), make.__module__
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim_worker(owner)
         work = make()
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE_ROWS):
