@@ -186,7 +186,8 @@ def read_translations(spark: SparkSession, path: str, col: str = "translation")
     manifest = spark.read.parquet(f"{path.rstrip('/')}/manifest")
     last = F.col("first_line") + F.col("lines") - 1
     owners = manifest.where("lines > 0").select("doc_id", F.posexplode(F.sequence("first_line", last)).alias("pos", "line_no"))
-    return owners.join(read_lines(spark, f"{path.rstrip('/')}/lines", "\n"), "line_no").select(
+    # One row per line: sized by its small files, the planner would send it whole through the driver.
+    return owners.hint("merge").join(read_lines(spark, f"{path.rstrip('/')}/lines", "\n"), "line_no").select(
         "doc_id", "pos", F.col("line").alias(col))
 
 

@@ -37,3 +37,26 @@ def test_a_text_is_split_once_for_all_its_lines(spark):
     rows = sorted((int(r.line_no) >> 31, int(r.line_no) % (1 << 31), r.source, r.target) for r in pairs.collect())
     assert rows == [(1, 1, "a", "b"), (1, 2, "b", ""), (1, 3, "", "c"), (1, 4, "c", ""), (7, 1, "_", ""),
                     (10, 1, "x", "y\r"), (10, 2, "y", "\r")]
+
+
+def test_lines_of_translations_are_not_broadcast(spark, tmp_path):
+    from bitext.sources.readers import read_translations
+    from bitext.sources.writers import write_translations
+    docs = spark.createDataFrame([(1, "a\nb"), (2, ""), (3, "c")], "doc_id long, translation string")
+    write_translations(docs, str(tmp_path / "t"), fmt="text")
+    back = read_translations(spark, str(tmp_path / "t"))
+    assert "BroadcastHashJoin [line_no" not in back._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, back.collect())) == [(1, 0, "a"), (1, 1, "b"), (3, 0, "c")]
+
+
+def test_fan_out_is_the_only_join_after_the_model(spark):
+    from bitext.operators.translate import ReverseWordsPredictor
+    from bitext.plans.documents import translate_documents
+    rows = [(1, 0, "a b"), (1, 1, "c d"), (2, 0, "a b"), (2, 1, ""), (2, 2, None)]
+    sentences = spark.createDataFrame(rows, "doc_id long, pos int, sentence string")
+    memory = spark.createDataFrame([("c d", None)], "source string, translation string")
+    done = translate_documents(sentences, ReverseWordsPredictor(), memory=memory).translations
+    assert optimized(done).count("Join") == 1
+    assert {(r.doc_id, r.pos): (r.translation, r.hit) for r in done.collect()} == {
+        (1, 0): ("b a", False), (1, 1): (None, True), (2, 0): ("b a", False), (2, 1): ("", False),
+        (2, 2): (None, None)}
