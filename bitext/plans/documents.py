@@ -15,6 +15,10 @@ from ..operators.translate import translate_batch
 from ..session import written_table
 
 
+#: Sentences per model task up to which they are dealt out for the model alone.
+DEALT_ROWS = 10_000
+
+
 class TranslationResult:
     """What a translation run gives. The model runs when ``translations``, ``memory`` or
     ``new_entries`` is first asked for, once for all of them; ``stats`` never needs it."""
@@ -31,8 +35,9 @@ class TranslationResult:
     @cached_property
     def translations(self) -> DataFrame:
         """``(doc_id, pos, sentence, translation, hit)``: every position filled."""
-        found = self._distinct.join(self._fresh.withColumnRenamed("translation", "_new"), "sentence", "left").select(
-            "sentence", "hit", F.when(F.col("hit"), F.col("_old")).otherwise(F.col("_new")).alias("translation"))
+        # A distinct sentence is a hit or has a prediction: no join to put the two together.
+        hits = self._distinct.where("hit").select("sentence", "hit", F.col("_old").alias("translation"))
+        found = hits.unionByName(self._fresh.withColumn("hit", F.lit(False)))
         return self._sentences.join(found, "sentence", "left").select(
             "doc_id", "pos", "sentence", "translation", "hit")
 
@@ -102,12 +107,15 @@ def translate_documents(sentences: DataFrame, predictor, glossary=None,
         # bytes (AQE would pack the small distinct set into a few tasks).
         parts = model_partitions or 4 * _parallelism(sentences)
         pending = d.filter(~F.col("hit")).select("sentence")
-        if glossary_enabled and glossary is not None:
+        joined = glossary_enabled and glossary is not None
+        if joined:
             pending = protect_terms(pending, "sentence", glossary, "_in", "_map")
         else:
             pending = pending.withColumns({"_in": F.col("sentence"), "_map": F.array().cast(MAPPING_TYPE)})
-        predicted = translate_batch(pending.repartition(parts, "sentence"), "_in", predictor, batch_size, "_raw",
-                                    model, options)
+        # Many sentences leave the glossary join in a task per core or more: they are not dealt again.
+        if model_partitions or not joined or d.count() < DEALT_ROWS * parts:
+            pending = pending.repartition(parts, "sentence")
+        predicted = translate_batch(pending, "_in", predictor, batch_size, "_raw", model, options)
         return written_table(predicted.select("sentence", restore_terms("_raw", "_map").alias("translation")),
                              "predictions")
 
