@@ -60,3 +60,22 @@ def test_fan_out_is_the_only_join_after_the_model(spark):
     assert {(r.doc_id, r.pos): (r.translation, r.hit) for r in done.collect()} == {
         (1, 0): ("b a", False), (1, 1): (None, True), (2, 0): ("b a", False), (2, 1): ("", False),
         (2, 2): (None, None)}
+
+
+def test_cleaned_sides_are_normalized_as_any_text(spark):
+    from bitext.functions.text import clean_text, normalize_cleaned, normalize_space
+    texts = ["_ a", "a _ b", "a _", "a__b", "\u00a0a \u2003 _\u3000b\x85", "a\tb", "a\x1cb", "", None, "_", " _ _ ", "a  b_"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(clean_text("t").alias("t"))
+    rows = df.select(normalize_space("t"), normalize_cleaned("t")).collect()
+    assert all(a == b for a, b in rows) and ("a b", "a b") in [tuple(r) for r in rows]
+
+
+def test_the_latin1_guard_looks_for_all_markers_at_once(spark):
+    from bitext.functions.text import MOJIBAKE_MARKERS, latin1_candidate
+    texts = [m + "\u00a9" for m in MOJIBAKE_MARKERS] + ["Espa\u00c3\u00b1a", "plain", "\u00e9", "\u00c3\u00b1\u4e00", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plan = optimized(df.select(latin1_candidate("t")))
+    assert "instr(" not in plan
+    found = {r.t: r.c for r in df.select("t", latin1_candidate("t").alias("c")).collect()}
+    assert found["Espa\u00c3\u00b1a"] == "Espa\u00f1a" and found["\u00c3\u00a9"] == "\u00e9"
+    assert found["plain"] is found["\u00e9"] is found["\u00c3\u00b1\u4e00"] is found[None] is None
