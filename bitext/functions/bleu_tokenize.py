@@ -1,7 +1,9 @@
-"""BLEU tokenisation (mteval-v13a rules) as columns."""
+"""BLEU tokenisation (mteval-v13a rules), as columns and for one line in a task."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ MAX_ORDER = 4
 # The white space of text.WS_RUN within ASCII.
 ASCII_WS_RUN = r"[ \x{09}-\x{0d}\x{1c}-\x{1f}]+"
 # ---------------------------------------------------------------------------
+#: Pieces of lines that a task remembers the tokens of, and their longest.
+MEMO_PIECES, MEMO_CHARS = 100_000, 64
 
 
 def normalize_13a(c) -> Column:
@@ -63,3 +67,46 @@ def split_ws(line) -> Column:
 def tokenize_13a(c) -> Column:
     """Array of BLEU tokens for one line."""
     return split_ws(normalize_13a(c))
+
+
+_RULES = [(re.compile(pattern), repl.replace("$", "\\")) for pattern, repl in RULES_13A]
+
+
+class Tokens13a:
+    """``tokenize_13a`` of single lines inside a task.
+
+    No rule sees more than one character before and after a mark, and to all of them a
+    line's ends, blanks and other white space are the same: the tokens of a line are those
+    of its pieces between white space, of which ``MEMO_PIECES`` at most are remembered.
+    """
+
+    def __init__(self):
+        self.memo: dict[str, list[str]] = {}
+
+    def of(self, line: str) -> list[str]:
+        line = line.rstrip().replace("<skipped>", "")
+        if "\n" in line:
+            line = line.replace("-\n", "").replace("\n", " ")
+        if "&" in line:
+            for src, dst in UNESCAPES:
+                line = line.replace(src, dst)
+        tokens, memo = [], self.memo
+        for piece in line.split():
+            if piece.isalnum():
+                tokens.append(piece)
+            elif piece[-1] in ".," and piece[:-1].isalnum():
+                tokens += piece[:-1], piece[-1]
+            else:
+                tokens += memo.get(piece) or self._piece(piece)
+        return tokens
+
+    def _piece(self, piece: str) -> list[str]:
+        padded = f" {piece} "
+        for pattern, repl in _RULES:
+            padded = pattern.sub(repl, padded)
+        tokens = padded.split()
+        if len(piece) <= MEMO_CHARS:
+            if len(self.memo) >= MEMO_PIECES:
+                self.memo.clear()
+            self.memo[piece] = tokens
+        return tokens

@@ -7,13 +7,17 @@ zero-match orders (Chen & Cherry, 2014), brevity penalty.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .._util import require_columns
-from ..functions.bleu_tokenize import MAX_ORDER, normalize_13a, split_ws
+from ..functions.bleu_tokenize import MAX_ORDER, Tokens13a
 
-_REPEATED = "array<struct<n:int,gram:string,h:int,r:int>>"
 # Output columns of ``bleu_stats``.
 STAT_COLS = ([f"correct_{n}" for n in range(1, MAX_ORDER + 1)]
              + [f"total_{n}" for n in range(1, MAX_ORDER + 1)] + ["sys_len", "ref_len"])
@@ -40,22 +44,36 @@ def zip_lines(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return joined.filter(F.when(alone, complaint.cast("boolean")).otherwise(F.lit(True))).drop("_left", "_right")
 
 
-def _no_words() -> Column:
-    return F.array().cast("array<string>")
+def _grams(words: list[str], n: int) -> tuple[list, set]:
+    """The n-grams of a line and the different ones among them."""
+    grams = words if n == 1 else list(zip(*[words[k:] for k in range(n)]))
+    return grams, set(grams)
 
 
-def _longer(grams: str, words: str, n: int) -> Column:
-    """N-grams of order ``n`` from those of order n-1 and the words (columns)."""
-    count = F.size(words) - (n - 1)
-    pairs = F.zip_with(F.slice(grams, F.lit(1), count), F.slice(words, F.lit(n), count),
-                       lambda gram, word: F.concat(gram, F.lit(" "), word))
-    return F.when(count > 0, pairs).otherwise(_no_words())
+def _clipped(h: list, h_set: set, r: list, r_set: set) -> int:
+    """``sum_g min(h(g), r(g))``; n-grams are only counted where both sides repeat some."""
+    both = h_set & r_set
+    if both and len(h_set) < len(h) and len(r_set) < len(r):
+        h_count, r_count = Counter(h), Counter(r)
+        return sum(min(h_count[g], r_count[g]) for g in both)
+    return len(both)
 
 
-def _extra(ordered: str) -> Column:
-    """Every n-gram of a sorted column once less often than it occurs: those equal to
-    the one before them."""
-    return F.filter(ordered, lambda x, i: (i > 0) & (x == F.get(ordered, i - 1)))
+def _line_stats(ref: list[str], hyps: list[list[str]]) -> list[list[int]]:
+    """The ``STAT_COLS`` of one sentence's words, per hypothesis. Without a match of an order
+    there is none of a longer one."""
+    orders, stats, ref_grams = range(1, MAX_ORDER + 1), [], []
+    for words in hyps:
+        total = [max(0, len(words) - n + 1) for n in orders]
+        correct = total if words == ref else [0] * MAX_ORDER
+        for n in orders if words != ref else ():
+            if len(ref_grams) < n:
+                ref_grams.append(_grams(ref, n))
+            correct[n - 1] = _clipped(*_grams(words, n), *ref_grams[n - 1])
+            if not correct[n - 1]:
+                break
+        stats.append([*correct, *total, len(words), len(ref)])
+    return stats
 
 
 def bleu_stats(df: DataFrame, hyp_col: str = "hypothesis", ref_col: str = "reference",
@@ -65,65 +83,31 @@ def bleu_stats(df: DataFrame, hyp_col: str = "hypothesis", ref_col: str = "refer
     Every row is a sentence; with ``systems`` (name -> hypothesis column) it has several
     hypotheses, whose reference is cut up once, and ``system`` is one more group column.
 
-    The clipped matches of one order are ``sum_g min(h(g), r(g))``, that is the number of
-    different n-grams that both sides have, plus ``sum_g min(h(g) - 1, r(g) - 1)`` over
-    those that both sides *repeat*. The first part is a set intersection on the row. Only
-    for the second are n-grams exploded, keyed by (row, n, gram); most sentences have
-    none. All other numbers of a row travel on one carrier without a row key, so that
-    each task sends one row per group: token arrays are never shuffled and the input is
-    read once. A side without repeated n-grams has no longer repeated ones, so longer
-    orders are then not looked at.
+    The lines of a sentence are cut up and matched where they are read, in Arrow batches; what
+    leaves a row is one number per statistic, summed by group with map-side combine: no text is
+    shuffled, and no row meets another one.
     """
     group_cols, hyps = list(group_cols), systems or {"": hyp_col}
     require_columns(df, *hyps.values(), ref_col, *group_cols)
-    sides = {"r": ref_col} | {f"h{k}_": c for k, c in enumerate(hyps.values())}
-    orders = range(1, MAX_ORDER + 1)
-    # Staged projections: each 13a chain and each order is evaluated once per side.
-    lines = df.select(*group_cols, *[normalize_13a(c).alias(f"_{s}l") for s, c in sides.items()])
-    toks = lines.select(*group_cols, *[split_ws(f"_{s}l").alias(f"_{s}1") for s in sides])
-    for n in orders[1:]:
-        toks = toks.withColumns({f"_{s}{n}": _longer(f"_{s}{n - 1}", f"_{s}1", n) for s in sides})
-    for n in orders:
-        repeats = {}
-        for s in sides:
-            here = F.size(F.array_distinct(f"_{s}{n}")) < F.size(f"_{s}{n}")
-            repeats[f"_rep_{s}{n}"] = here if n == 1 else F.when(F.col(f"_rep_{s}{n - 1}"), here).otherwise(False)
-        toks = toks.withColumns(repeats)
-    # Sorted where a side repeats; a column of its own, or a lambda would sort per element.
-    toks = toks.withColumns({f"_sorted_{s}{n}": F.when(F.col(f"_rep_{s}{n}"), F.sort_array(f"_{s}{n}"))
-                             for n in orders for s in sides})
-
-    entry = lambda n, hc, rc: lambda x: F.struct(F.lit(n).alias("n"), x.alias("gram"), F.lit(hc).alias("h"),
-                                                 F.lit(rc).alias("r"))
-    per_system = []
-    for k, name in enumerate(hyps):
-        h, stats, repeated = f"h{k}_", [F.lit(name).alias("system")] if systems else [], []
-        for n in orders:
-            both = F.col(f"_rep_{h}{n}") & F.col(f"_rep_r{n}")
-            extra = F.concat(F.transform(_extra(f"_sorted_{h}{n}"), entry(n, 1, 0)),
-                             F.transform(_extra(f"_sorted_r{n}"), entry(n, 0, 1)))
-            stats += [F.size(F.array_intersect(f"_{h}{n}", f"_r{n}")).cast("long").alias(f"_both_{n}"),
-                      F.size(f"_{h}{n}").cast("long").alias(f"_tot_{n}")]
-            repeated.append(F.when(both, extra).otherwise(F.array().cast(_REPEATED)))
-        stats += [F.size(f"_{h}1").cast("long").alias("_sys"), F.size("_r1").cast("long").alias("_ref")]
-        per_system.append(F.struct(*stats, F.concat(*repeated).alias("_repeated")))
-    numbers = [f"_{c}_{n}" for n in orders for c in ("both", "tot")] + ["_sys", "_ref"]
-    rows = toks.select(*group_cols, F.monotonically_increasing_id().alias("_row"), F.inline(F.array(*per_system)))
-
-    keys = group_cols + (["system"] if systems else [])
-    carrier = F.array(F.struct(F.lit(0).alias("n"), F.lit("").alias("gram"), F.lit(0).alias("h"), F.lit(0).alias("r")))
-    gen = rows.select(*keys, "_row", *numbers, F.inline_outer(F.concat(carrier, "_repeated")))
-    is_carrier = F.col("n") == 0
-    gen = gen.select(*keys, F.when(~is_carrier, F.col("_row")).alias("_row"), "n", "gram", "h", "r",
-                     *[F.when(is_carrier, F.col(c)).otherwise(0).alias(c) for c in numbers])
-    per_gram = gen.groupBy(*keys, "_row", "n", "gram").agg(
-        F.sum("h").alias("h"), F.sum("r").alias("r"), *[F.sum(c).alias(c) for c in numbers])
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
-    aggs = [total(F.when(F.col("n") == n, F.least("h", "r")).otherwise(0) + F.col(f"_both_{n}")).alias(f"correct_{n}")
-            for n in orders]
-    aggs += [total(f"_tot_{n}").alias(f"total_{n}") for n in orders]
-    aggs += [total("_sys").alias("sys_len"), total("_ref").alias("ref_len")]
-    return per_gram.groupBy(*keys).agg(*aggs)
+    names, width = list(hyps), len(group_cols)
+    keys = [df.schema[c] for c in group_cols] + ([T.StructField("system", T.StringType())] if systems else [])
+    schema = T.StructType(keys + [T.StructField(c, T.LongType()) for c in STAT_COLS])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = Tokens13a()
+        for batch in batches:
+            ref, *lines = [[tokens.of(t) if t else [] for t in c.to_pylist()] for c in batch.columns[width:]]
+            found = [_line_stats(r, own) for r, own in zip(ref, zip(*lines))]
+            for k, name in enumerate(names):
+                stats = zip(*[row[k] for row in found]) if found else [()] * len(STAT_COLS)
+                system = [pa.array([name] * batch.num_rows, pa.string())] if systems else []
+                yield pa.RecordBatch.from_arrays(
+                    batch.columns[:width] + system + [pa.array(c, pa.int64()) for c in stats], schema.names)
+
+    lines = df.select(*group_cols, F.col(ref_col).alias("_r"), *[F.col(c).alias(f"_h{k}") for k, c in enumerate(hyps.values())])
+    rows = lines.mapInArrow(run, schema)
+    return rows.groupBy(*[k.name for k in keys]).agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c)
+                                                      for c in STAT_COLS])
 
 
 def bleu_score(stats_prefix: str = "") -> Column:

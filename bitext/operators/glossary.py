@@ -1,9 +1,12 @@
 """Glossary term protection and restoration.
 
-The glossary stays a table, whatever its size. Terms are literals without word
-boundaries, compared without case, and each is applied to the text as the terms
-before it left it. A term can change a text only if the text contains it, or if
-it meets a placeholder that an earlier term put there:
+Terms are literals without word boundaries, compared without case, and each is applied
+to the text as the terms before it left it. A term can change a text only if the text
+contains it, or if it meets a placeholder that an earlier term put there.
+
+A glossary of at most ``HELD_TERMS`` terms goes to the tasks, which look a text's shingles
+up in it and apply the terms found where the text is read (``HeldGlossary``): no join and no
+shuffle. A larger one stays a table, whatever its size:
 
 * every term has one key, the first ``SHINGLE`` characters of its folded form; a
   text's shingles of the lengths in use are equi-joined with the keys, and a
@@ -16,6 +19,10 @@ A text's candidates are applied in rank order in one fold over that text's own l
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +32,9 @@ from .rank import global_rank
 
 #: Characters of an index key (fewer for shorter terms).
 SHINGLE = 4
+#: Terms, and characters of terms and targets, of a glossary that tasks hold.
+HELD_TERMS = 100_000
+HELD_CHARS = 4_000_000
 #: Different characters that a shingle's pattern may list.
 ALPHABET = 200
 #: Copies of the placeholder-touching terms that texts are spread over.
@@ -35,6 +45,8 @@ MAPPING_TYPE = "array<struct<placeholder:string,target:string>>"
 # angstrom signs.
 SPECIAL_FOLDS = {"İ": "I", "ẞ": "ß", "ϴ": "Θ", "Ω": "Ω", "K": "K",
                  "Å": "Å"}
+# Letters with a case in Python's Unicode, but none in the JVM's (17: Unicode 13).
+NEWER_LETTERS = ((0x2C2F, 0x2C2F), (0x2C5F, 0x2C5F), (0xA7C0, 0xA7C1), (0xA7D0, 0xA7D1), (0xA7D6, 0xA7D9), (0x10570, 0x105BF))
 # Folded terms that can overlap ``__TERM_<n>__``: one of their ends is an end of it, they
 # contain it, or they are a part of it.
 TOUCHES = (r"^_|_$|__T(E(RM?)?)?$|__TERM_\d+|^(\d+|((T?E)?R)?M_\d+)__"
@@ -124,6 +136,98 @@ def _shingle_pattern(n: int, first: list[str], second: list[str]) -> str:
     return f"(?s)(?=({''.join(heads)}.{{{n - len(heads)}}}))"
 
 
+class CaseFolds(dict):
+    """Code point -> the letter that stands for all letters which ``(?iu)`` finds equal to it:
+    the lower case of its upper case, both of one letter."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        if any(lo <= code <= hi for lo, hi in NEWER_LETTERS):
+            self[code] = c
+            return c
+        upper = next((u for u in (c.upper(), c.title()) if len(u) == 1), c)
+        self[code] = upper.lower()[0]
+        return self[code]
+
+
+class HeldGlossary:
+    """A task's copy of a glossary: ``(position, source_term, target_term)`` in order."""
+
+    def __init__(self, terms: list[tuple[int, str, str]]):
+        self.folds = CaseFolds()
+        self.terms = [self.fold(source) for _, source, _ in terms]
+        self.marks = [f"__TERM_{position}__" for position, _, _ in terms]
+        self.targets = [target for _, _, target in terms]
+        self.keys: dict[int, dict[str, list[int]]] = {}
+        for i, term in enumerate(self.terms):
+            key = term[:SHINGLE]
+            self.keys.setdefault(len(key), {}).setdefault(key, []).append(i)
+        self.key_sets = {n: frozenset(keys) for n, keys in self.keys.items()}
+        touches = re.compile(TOUCHES, re.ASCII | re.IGNORECASE)
+        self.touching = [i for i, term in enumerate(self.terms) if touches.search(term)]
+
+    def fold(self, text: str) -> str:
+        """As many characters as ``text``; terms match where their folded forms are equal."""
+        return text.lower() if text.isascii() else text.translate(self.folds)
+
+    def found(self, folded: str) -> set[int]:
+        """The terms that a folded text holds."""
+        here: list[int] = []
+        for n, keys in self.keys.items():
+            if len(keys) <= 16:
+                hits = [k for k in keys if k in folded]
+            else:
+                hits = self.key_sets[n].intersection([folded[i:i + n] for i in range(len(folded) - n + 1)])
+            for k in hits:
+                here += [i for i in keys[k] if self.terms[i] in folded]
+        return set(here)
+
+    def protect(self, text: str) -> tuple[str, list[int]]:
+        """The text with placeholders, and the terms they stand for in order."""
+        folded, used = self.fold(text), []
+        here = self.found(folded)
+        for i in sorted(here.union(self.touching)) if here else ():
+            term = self.terms[i]
+            if term in folded:
+                parts, kept, at = folded.split(term), [], 0
+                for part in parts:
+                    kept.append(text[at:at + len(part)])
+                    at += len(part) + len(term)
+                text, folded = self.marks[i].join(kept), self.marks[i].lower().join(parts)
+                used.append(i)
+        return text, used
+
+
+def held_terms(terms: DataFrame) -> list[tuple[int, str, str]] | None:
+    """The ranked terms in order, or None if they are too many for a task to hold. The
+    pattern of a lone sharp s, unlike that of longer terms, does not find the capital one."""
+    chars = F.sum((F.length("source_term") + F.length("target_term")).cast("long"))
+    count, size, odd = terms.agg(F.count(F.lit(1)), F.coalesce(chars, F.lit(0)),
+                                 F.count_if(F.col("source_term") == "ß")).first()
+    if count > HELD_TERMS or size > HELD_CHARS or odd:
+        return None
+    return sorted(tuple(r) for r in terms.select("position", "source_term", "target_term").collect())
+
+
+def _protected(held: list[tuple[int, str, str]]):
+    """``text -> (text, map)`` as a column function over Arrow batches."""
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        glossary = HeldGlossary(held)
+        for batch in batches:
+            done = [glossary.protect(t) for t in batch.to_pylist()]
+            offsets, marks, targets = [0], [], []
+            for _, used in done:
+                marks += [glossary.marks[i] for i in used]
+                targets += [glossary.targets[i] for i in used]
+                offsets.append(len(marks))
+            entries = pa.StructArray.from_arrays([pa.array(marks, pa.string()), pa.array(targets, pa.string())],
+                                                 ["placeholder", "target"])
+            maps = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), entries)
+            yield pa.StructArray.from_arrays([pa.array([t for t, _ in done], pa.string()), maps], ["text", "map"])
+
+    return F.arrow_udf(run, f"text string, map {MAPPING_TYPE}")
+
+
 def protect_terms(df: DataFrame, text_col: str, glossary, out_col: str = "protected",
                   mapping_col: str = "term_map") -> DataFrame:
     """Replace glossary terms by ``__TERM_i__`` placeholders.
@@ -137,6 +241,10 @@ def protect_terms(df: DataFrame, text_col: str, glossary, out_col: str = "protec
     require_columns(df, text_col)
     terms = glossary_terms(glossary, df.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
+    held = held_terms(terms)
+    if held is not None:
+        return df.withColumn("_fold", _protected(held)(text)).withColumns(
+            {out_col: F.col("_fold.text"), mapping_col: F.col("_fold.map")}).drop("_fold")
     per_text = candidates(df.select(text.alias("_text")), "_text", terms)
     start = F.struct(F.col("text").alias("text"), F.array().cast(MAPPING_TYPE).alias("map"))
     folded = F.aggregate("terms", start, _apply)

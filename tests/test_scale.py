@@ -79,3 +79,56 @@ def test_the_latin1_guard_looks_for_all_markers_at_once(spark):
     found = {r.t: r.c for r in df.select("t", latin1_candidate("t").alias("c")).collect()}
     assert found["Espa\u00c3\u00b1a"] == "Espa\u00f1a" and found["\u00c3\u00a9"] == "\u00e9"
     assert found["plain"] is found["\u00e9"] is found["\u00c3\u00b1\u4e00"] is found[None] is None
+
+
+def test_bleu_lines_are_matched_where_they_are_read(spark):
+    from bitext.operators.bleu import bleu_stats
+    rows = [("en", "a b a b a.", "a b a b, a"), ("en", None, "x"), ("de", "a &amp; b", "a & b"), ("de", "c", None)]
+    df = spark.createDataFrame(rows, "lang string, h string, r string")
+    stats = bleu_stats(df, group_cols=("lang",), ref_col="r", systems={"s": "h"})
+    assert stats._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1  # of the sums
+    assert {r.lang: tuple(r)[2:] for r in stats.collect()} == {
+        "en": (5, 3, 2, 1, 6, 5, 4, 3, 6, 7), "de": (3, 2, 1, 0, 4, 2, 1, 0, 4, 3)}
+
+
+def test_tokens_of_pieces_are_those_of_the_line(spark):
+    from bitext.functions.bleu_tokenize import Tokens13a, tokenize_13a
+    texts = ["a. .b ,.c", "1.5 2,x .5 x.5 5. 5, a,", "it's 3-4 -5 5- a-b-\nc", "(x) &lt;&amp;amp; ..., 1..2 ,,", "é.ñ, ②. ², 三.",
+             "a\u00a0. \u3000,b\x1c.\x85c", "<skipped>a <skip", " x-\n", ". ", "", "a_b.c/d{e}", "x" * 70 + ".5-"]
+    tokens = Tokens13a()
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tokenize_13a("t").alias("words"))
+    for row in df.collect() * 2:
+        assert tokens.of(row.t) == row.words, row.t
+
+
+def test_a_held_glossary_gives_what_the_joined_one_gives(spark, monkeypatch):
+    from bitext.operators import glossary as g
+    terms = [("and the", "y el"), ("the", "el"), ("er", "1"), ("te", "2"), ("M_", "3"), ("7", "4"), ("__", "5"), ("aß", "6"),
+             ("\u0130", "7"), ("k", "8"), ("ñandú", "9"), ("\u03c3", "s"), ("x" * 9, "x"), ("\ud801\udc28".encode("utf-16", "surrogatepass").decode("utf-16"), "d")]
+    texts = ["And THE end", "term 7_", "STRASSE Aß aẞ ß", "\u0130i\u0131I \u212a", "ÑANDÚ ñandu", "Σσς", "X" * 20, "\U00010400b", "", None,
+             "nothing"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    answer = lambda: sorted(map(tuple, g.protect_terms(df, "s", terms).select(
+        "s", "protected", g.mapping_text("term_map")).collect()), key=repr)
+    held = g.protect_terms(df, "s", terms)
+    assert "Join" not in optimized(held) and "Exchange" not in held._jdf.queryExecution().executedPlan().toString()
+    first = answer()
+    monkeypatch.setattr(g, "HELD_TERMS", 3)
+    assert "Join" in optimized(g.protect_terms(df, "s", terms))
+    assert answer() == first
+    monkeypatch.undo()
+    assert "Join" in optimized(g.protect_terms(df, "s", [("ß", "ss")]))  # finds no capital one
+
+
+def test_letters_fold_as_the_pattern_compares_them(spark):
+    from pyspark.sql import functions as F
+    from bitext.operators.glossary import CaseFolds
+    folds = CaseFolds()
+    pairs = [(c, d) for c in map(chr, [*range(0x20, 0xd800), *range(0xf900, 0x10000)])
+             for d in {folds[ord(c)], c.lower()[0], c.upper()[0]} if d != c]
+    pairs = [p for p in pairs if p[1] != "ß"] + [(f"-{c}", f"-{d}") for c, d in pairs]
+    df = spark.createDataFrame(pairs, "c string, d string")
+    same = F.regexp_like("c", F.concat(F.lit("(?iu)\\Q"), "d", F.lit("\\E")))
+    wrong = [(r.c, r.d) for r in df.select("c", "d", same.alias("same")).collect()
+             if r.same != (r.c.translate(folds) == r.d.translate(folds))]
+    assert wrong == []
