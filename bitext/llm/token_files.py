@@ -74,6 +74,8 @@ class WordEncoder:
     #: Letters whose lower case and composed form are themselves or one letter.
     _SIMPLE = re.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
     _PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
+    #: Marks that are a part of their own after letters.
+    _ENDS = ".,;:!?"
     #: Separators to str.split but not to the tokenizer.
     _ODD = "\x1c\x1d\x1e\x1f"
 
@@ -85,8 +87,10 @@ class WordEncoder:
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.letters = dict(enumerate(byte_alphabet()))
         self.memo_entries = memo_entries
-        self.pieces, self.parts = Memo(memo_entries), Memo(memo_entries)
+        self.pieces = Memo(memo_entries)  # a part is a piece of one part
         self.type = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
+        width = int(self.type[-1])
+        self.raw = [i.to_bytes(width, "little") for i in range(self.library.get_vocab_size())]
 
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.special) or any(c in text for c in self._ODD):
@@ -103,7 +107,14 @@ class WordEncoder:
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.find(piece)
         if ids is None:
-            if self._SIMPLE.fullmatch(piece):
+            word = piece.lower() if piece.isascii() else ""
+            if word.isalpha():
+                ids = self._part(word)
+                if word == piece:
+                    return ids
+            elif word[-1:] in self._ENDS and word[:-1].isalpha():
+                ids = self._part(word[:-1]) + self._part(word[-1])
+            elif self._SIMPLE.fullmatch(piece):
                 ids = b"".join(map(self._part, self._PARTS.findall(piece.lower())))
             else:
                 ids = self._library(piece)
@@ -111,11 +122,12 @@ class WordEncoder:
         return ids
 
     def _part(self, part: str) -> bytes:
-        ids = self.parts.find(part)
+        ids = self.pieces.find(part)
         if ids is None:
-            symbols = part.encode().decode("latin-1").translate(self.letters)
-            ids = np.array([t.id for t in self.merge.tokenize(symbols)], self.type).tobytes()
-            self.parts.keep(part, ids)
+            # Visible ASCII stands for itself.
+            symbols = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+            ids = b"".join([self.raw[t.id] for t in self.merge.tokenize(symbols)])
+            self.pieces.keep(part, ids)
         return ids
 
 

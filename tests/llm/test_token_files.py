@@ -77,3 +77,12 @@ def test_empty_table(spark, tmp_path):
     table = spark.createDataFrame([], "doc_id long, text string")
     write_token_files(table, str(tmp_path / "none"))
     assert read_token_files(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_word_is_remembered_once_as_piece_and_part():
+    encoder = WordEncoder(PATH)
+    for text in ["words", "words, words'", "Word. A; ., : é. WORDS!", "Words", "it's 42 Straße ¿qué?", "''s -'s"] * 2:
+        ids = encoder.library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), encoder.type).tolist() == ids
+    memos = [m for m in vars(encoder).values() if hasattr(m, "young")]
+    assert sum("words" in m.young for m in memos) == 1
