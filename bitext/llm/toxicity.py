@@ -73,7 +73,7 @@ def pieces_of(text: str | None) -> list[str]:
 
 def words_of(piece: str) -> list[str]:
     """Words (letter runs) of a piece between blanks."""
-    return _LETTERS.findall(piece)
+    return [piece] if piece.isalpha() else _LETTERS.findall(piece)
 
 
 def letter_runs(word: str) -> list[str]:
@@ -254,6 +254,8 @@ class Evidence:
 
     def open_piece(self, piece: str, times: int) -> dict:
         """A piece with words that are not held: its known part and those words."""
+        if piece.isalpha():
+            return {"known": 0.0, "times": times, "words": [piece]}
         words = words_of(piece)
         return {"known": sum((self.table[w] for w in words if w in self.table), 0.0), "times": times,
                 "words": [w for w in words if w not in self.table]}
@@ -262,12 +264,17 @@ class Evidence:
         """Number of pieces; sum and strongest different values of the pieces that
         are known here; the open pieces."""
         pieces = Counter(pieces_of(text))
-        memo, rest = self.memo, []
-        values, times = [memo[w] if w in memo else self.piece(w) for w in pieces], list(pieces.values())
-        if None in values:
-            rest = [self.open_piece(w, n) for (w, n), v in zip(pieces.items(), values) if v is None]
-            known = [(v, n) for v, n in zip(values, times) if v is not None]
-            values, times = [v for v, _ in known], [n for _, n in known]
+        table, memo = self.table, self.memo
+        values, times, rest = [], [], []
+        for piece, n in pieces.items():
+            value = table.get(piece)  # a piece that is a held word is that word alone
+            if value is None and not piece.isalpha():
+                value = memo[piece] if piece in memo else self.piece(piece)
+            if value is None:
+                rest.append(self.open_piece(piece, n))
+            else:
+                values.append(value)
+                times.append(n)
         return pieces.total(), sum(map(operator.mul, values, times), 0.0), heapq.nlargest(STRONGEST, values), rest
 
 

@@ -184,3 +184,13 @@ def test_rare_words_have_their_own_evidence(spark):
         for other in (some[i], none[i]):
             assert (other.evidence, other.peak_evidence, other.score) == pytest.approx(
                 (r.evidence, r.peak_evidence, r.score), abs=1e-9)
+
+
+def test_held_words_are_looked_up_without_a_memo():
+    from bitext.llm.toxicity import Evidence, words_of
+    held = Evidence({"ab": 1.0, "c": -0.5})
+    n, total, strongest, rest = held.text("Ab ab ab-c x x-ab")
+    assert (n, total, strongest) == (5, 2.5, [1.0, 0.5])
+    assert rest == [{"known": 0.0, "times": 1, "words": ["x"]}, {"known": 1.0, "times": 1, "words": ["x"]}]
+    assert set(held.memo) == {"ab-c", "x-ab"}  # only pieces that had to be cut
+    assert [words_of(p) for p in ("é²", "a1b", "ab", "_")] == [["é²"], ["a", "b"], ["ab"], []]
