@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from ._common import load_table, map_rows, worker_cache
 
 VOCABULARY = "byte_bpe_50k.json"
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 100_000
 #: Unsplit runs of more bytes than this are encoded as a tree.
 LEAF_BYTES = 256
 FIRST_WINDOW = 4
