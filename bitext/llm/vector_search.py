@@ -19,6 +19,10 @@ inner products are then the smallest Euclidean distances.
   hands on the best of a query over all its lists there. A block is dealt in parts of
   ``PART_ROWS`` vectors and ``PART_ROWS`` queries. Scores are exact inner products of the
   original vectors in double precision.
+* A query's blocks are read in waves, its nearest block first, each wave ``WAVE_GROWTH``
+  times as many as the one before. From the second wave on a task hands on only what is no
+  worse than the last of the best found so far, so a query's rows grow with the number
+  of waves (the logarithm of its blocks), not with its blocks. No result depends on it.
 
 Vectors without any structure (the test tables' are near to that) have their neighbours
 in many lists; the replicas and a walk of ``WALK_QUERIES`` lists or a ``WALK_SHARE`` of all
@@ -38,8 +42,8 @@ Defined results
   whose lists hold fewer than ``k`` others reads all lists.
 * An empty table gives no rows. Extra columns are not read.
 
-Scale: vectors are shuffled once to find equal ones and once per list that holds
-them. Driver and tasks hold the sample, the centroids and one part of a list.
+Scale: vectors are shuffled once to find equal ones and, in each wave, once per block that
+holds them. Driver and tasks hold the sample, the centroids and one part of a list.
 """
 
 from __future__ import annotations
@@ -58,7 +62,7 @@ from ._common import load_table, to_arrow_schema
 K = 20
 QUERY_EVERY = 20
 SAMPLE, MAX_LISTS, LIST_SIZE = 65_536, 16_384, 64
-PART_ROWS, BLOCK_LISTS = 4_096, 32
+PART_ROWS, BLOCK_LISTS, WAVE_GROWTH = 4_096, 32, 5
 CLOSURE, REPLICAS = 1.2, 6
 PROBE_RATIO = 1.3
 #: Centroids kept while walking the graph (for vectors, for queries) and edges per centroid.
@@ -260,7 +264,8 @@ def _in_block(lists: pa.ChunkedArray) -> np.ndarray:
 
 
 def _compare(keep: int, id_type, kind: str):
-    """Cogrouped task: each query's ``keep`` best classes in the lists it reads here."""
+    """Cogrouped task: each query's ``keep`` best classes in the lists it reads here, those
+    below its ``bound`` left out."""
     schema = pa.schema([("asker", pa.int64()), ("score", pa.float64()), ("ids", id_type)])
 
     def run(queries: pa.Table, members: pa.Table) -> pa.Table:
@@ -271,20 +276,25 @@ def _compare(keep: int, id_type, kind: str):
         reads, held = _in_block(queries["lists"]), _in_block(members["lists"])
         ids = members["ids"].combine_chunks()
         lowest = np.array([x[0] for x in ids.to_pylist()])
+        least = queries["bound"].to_numpy()
         out = []
         with np.errstate(all="ignore"):
+            slack = 1e-9 * (np.abs(least) + np.abs(q).sum(axis=1) * np.abs(v).max())
             for lo in range(0, len(q), 256):
                 shared = reads[lo:lo + 256] @ held.T > 0
                 rough = q[lo:lo + 256] @ v.T
                 rough = np.where(shared & ~np.isnan(rough), rough, -np.inf)
                 for i, row in enumerate(rough, lo):
                     pick = np.flatnonzero(shared[i - lo])
+                    if least[i] > -np.inf:  # rounding and sums that are no number included
+                        pick = pick[(row[pick] >= least[i] - slack[i]) | np.isinf(row[pick])]
                     if len(pick) > keep:
                         # All that may be among the best, ties and rounding included.
                         bound = np.partition(row, len(row) - keep)[len(row) - keep]
                         pick = pick[row[pick] >= bound - 1e-9 * np.abs(bound)]
                     score = (v[pick] * q[i]).sum(axis=1)
                     best = np.lexsort((lowest[pick], -score))[:keep]
+                    best = best[~(score[best] < least[i])]
                     out.append((i, pick[best], score[best]))
         rows = np.concatenate([np.full(len(p), i) for i, p, _ in out])
         picked = np.concatenate([p for _, p, _ in out])
@@ -296,16 +306,44 @@ def _compare(keep: int, id_type, kind: str):
 
 
 def _blocks(rows: DataFrame, lists: str) -> DataFrame:
-    """``rows`` once per block of their lists, with ``lists`` of that block only."""
-    number = lambda x: F.floor(x / BLOCK_LISTS).cast("int")
-    blocks = rows.withColumn("_block", F.explode(F.array_distinct(F.transform(lists, number))))
-    return blocks.withColumn(lists, F.filter(lists, lambda x: number(x) == F.col("_block")))
-
-
-def _search(placed: DataFrame, asking: DataFrame, keep: int, kind: str) -> DataFrame:
-    """``asker, score, ids``: for each asking class its best classes of each part read."""
+    """``rows`` once per block of their lists, with ``lists`` of that block only; ``_at``:
+    how many of its blocks are named before."""
+    blocks = rows.select("*", F.posexplode(_blocks_of(lists)).alias("_at", "_block"))
+    return blocks.withColumn(lists, F.filter(lists, lambda x: _block_of(x) == F.col("_block")))
+
+
+def _block_of(x):
+    return F.floor(x / BLOCK_LISTS).cast("int")
+
+
+def _blocks_of(lists: str):
+    return F.array_distinct(F.transform(lists, _block_of))
+
+
+def _search(placed: DataFrame, asking: DataFrame, keep: int, kind: str, folder: str) -> DataFrame | None:
+    """``asker, score, ids``: the ``keep`` best classes of each asking class, read in waves
+    that are written below ``folder``; None without asking classes."""
+    most = asking.agg(F.max(F.size(_blocks_of("probes")))).first()[0]
+    found, paths, lo, size = None, [], 0, 1
+    while most is not None and lo < most:
+        bounds = asking.select("cls", "v", F.col("probes").alias("lists"))
+        if found is None:
+            bounds = bounds.withColumn("bound", F.lit(float("-inf")))
+        else:
+            last = found.groupBy(F.col("asker").alias("cls")).agg(
+                F.min("score").alias("bound"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= keep).drop("n")
+            bounds = bounds.join(last, "cls", "left").fillna(float("-inf"), "bound")
+        wave = _blocks(bounds, "lists").where(F.col("_at").between(lo, lo + size - 1))
+        paths.append(f"{folder}/{len(paths)}")
+        _compared(placed, wave, keep, kind).write.parquet(paths[-1])
+        found = _best_classes(asking.sparkSession.read.parquet(*paths), keep)
+        lo, size = lo + size, size * WAVE_GROWTH
+    return found
+
+
+def _compared(placed: DataFrame, queries: DataFrame, keep: int, kind: str) -> DataFrame:
+    """``asker, score, ids``: for each query its best classes of each part read."""
     members = _blocks(placed.select("cls", "v", "ids", "lists"), "lists")
-    queries = _blocks(asking.select("cls", "v", F.col("probes").alias("lists")), "lists")
     # One row per block: MAX_LISTS / BLOCK_LISTS rows at most.
     sizes = members.groupBy("_block").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("parts"))
     asked = queries.groupBy("_block").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("shares"))
@@ -315,7 +353,8 @@ def _search(placed: DataFrame, asking: DataFrame, keep: int, kind: str) -> DataF
     members = members.join(sizes, "_block").withColumn("part", deal("parts")).select(
         "_block", "part", every("shares").alias("share"), F.col("v").alias("vector"), "ids", "lists")
     queries = queries.join(sizes, "_block").withColumn("share", deal("shares")).select(
-        "_block", every("parts").alias("part"), "share", F.col("cls").alias("asker"), F.col("v").alias("query"), "lists")
+        "_block", every("parts").alias("part"), "share", F.col("cls").alias("asker"), F.col("v").alias("query"), "lists",
+        "bound")
     key = ["_block", "part", "share"]
     ids_type = placed.schema["ids"].dataType.simpleString()
     return queries.groupBy(*key).cogroup(members.groupBy(*key)).applyInArrow(
@@ -340,21 +379,24 @@ def nearest(table: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vect
     classes = spark.read.parquet(f"{folder}/classes")
     index = fit_index(classes, **(index_options or {}))
     id_type = table.schema[id_col].dataType.simpleString()
+    nothing = spark.createDataFrame([], f"query_id {id_type}, rank int, vec_id {id_type}, score double")
     if index is None:
-        return spark.createDataFrame([], f"query_id {id_type}, rank int, vec_id {id_type}, score double")
+        return nothing
     # Single-precision input is kept as it is, four bytes a component.
     kind = "<f4" if table.schema[vector_col].dataType.elementType.typeName() == "float" else "<f8"
     _placed(classes, spark.sparkContext.broadcast(index), kind).write.parquet(f"{folder}/placed")
     placed = spark.read.parquet(f"{folder}/placed")
     asking = placed.where("asked")
-    _search(placed, asking, k + 1, kind).write.parquet(f"{folder}/found")
-    found = _best_classes(spark.read.parquet(f"{folder}/found"), k + 1)
+    found = _search(placed, asking, k + 1, kind, f"{folder}/found")
+    if found is None:
+        return nothing
     # Queries whose lists hold too few others read all lists.
     reached = found.groupBy("asker").agg(F.sum(F.size("ids")).alias("n")).where(F.col("n") > k)
     short = asking.join(reached.select(F.col("asker").alias("cls")), "cls", "left_anti").drop("probes").withColumn(
         "probes", F.sequence(F.lit(0), F.lit(len(index.centroids) - 1)))
-    _search(placed, short, k + 1, kind).write.parquet(f"{folder}/more")
-    found = _best_classes(found.unionByName(spark.read.parquet(f"{folder}/more")), k + 1)
+    more = _search(placed, short, k + 1, kind, f"{folder}/more")
+    if more is not None:
+        found = _best_classes(found.unionByName(more), k + 1)
     best = found.select("asker", "score", F.explode("ids").alias("vec_id")).distinct()
     order = Window.partitionBy("asker").orderBy(F.desc("score"), "vec_id")
     best = best.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= k + 1)

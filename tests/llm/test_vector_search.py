@@ -109,3 +109,31 @@ def test_walk_finds_the_nearest_centroids():
     true = np.argsort(((p[:, None, :] - c[None]) ** 2).sum(axis=2), axis=1)[:, :8]
     assert (np.diff(dist, axis=1) >= 0).all()
     assert np.mean([len(set(a) & set(b)) / 8 for a, b in zip(ids[:, :8], true)]) > 0.95
+
+
+def test_rows_handed_on_do_not_grow_with_the_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(11)  # without structure: a query reads all lists
+    x = rng.normal(size=(2000, 24))
+    rows = [(i, [float(np.float32(c)) for c in v], 1, "x", 2) for i, v in enumerate(x)]
+    monkeypatch.setattr(V, "BLOCK_LISTS", 4)
+    monkeypatch.setattr(V, "WALK_SHARE", 1.0)
+    monkeypatch.setattr(V, "PROBE_RATIO", 100.0)
+    made, compared = [], V._compared
+    monkeypatch.setattr(V, "_compared", lambda *a: made.append(compared(*a)) or made[-1])
+    got, want = search(spark, rows, list_size=20), full(rows)
+    handed = sum(df.count() for df in made)
+    # 25 blocks, 21 classes of each: 525 rows a query without the waves' bounds.
+    assert len(made) == 3 and handed <= 260 * len(want)
+    for q, answers in want.items():
+        assert [i for i, _ in got[q]] == [i for i, _ in answers]
+
+
+def test_ties_at_the_bound_of_a_wave_keep_the_smallest_ids(spark, monkeypatch):
+    rng = np.random.default_rng(12)  # small integers: many equal inner products, many of them zero
+    x = np.unique(rng.integers(-1, 2, (1200, 8)), axis=0)
+    rng.shuffle(x)
+    rows = [(i, [float(c) for c in v], 1, "x", 2) for i, v in enumerate(x)]
+    monkeypatch.setattr(V, "BLOCK_LISTS", 4096)  # one block, one wave
+    whole = search(spark, rows, list_size=20)
+    monkeypatch.setattr(V, "BLOCK_LISTS", 8)
+    assert search(spark, rows, list_size=20) == whole and len(whole) == -(-len(rows) // 20)
