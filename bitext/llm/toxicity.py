@@ -31,8 +31,10 @@ Scale: words are counted per task before the shuffle. The shared orders are tabl
 of all letter runs, joined to the runs of the words that have a class count; every
 such word has its own evidence, in a table. The evidence of the ``HOT_WORDS`` most
 frequent words at most is broadcast. The other words of a text, each rarer than
-those, are joined to the table by word; no text is shuffled for that. How many words
-are broadcast does not change a result.
+those, are joined to the table by word; no text is shuffled for that. So are the
+letter grams: frequent ones (``held_grams``), ``HOT_GRAMS`` at most, are
+broadcast. How many words and grams are broadcast does not change a result. Word counts,
+evidence and measured texts are written as compressed Parquet.
 """
 
 from __future__ import annotations
@@ -48,7 +50,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bitext.session import reliable_checkpoint
+from bitext.session import reliable_checkpoint, written_table
 
 from ._common import crc_mod, load_table, map_rows, worker_cache
 from .idfilter import split_by_ids
@@ -61,6 +63,8 @@ FIT_ROWS = 8_000
 RELIABLE = 10
 #: Words whose evidence a worker holds; that of all others is joined.
 HOT_WORDS = 200_000
+#: Letter grams whose probability a worker holds; that of all others is joined.
+HOT_GRAMS = 200_000
 COUNT_ENTRIES = 200_000
 MEMO_ENTRIES = 300_000
 
@@ -118,9 +122,9 @@ def count_words(documents: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def letter_grams(words: DataFrame) -> DataFrame:
-    """``gram, p``: the shared letter model (``SharedLetters``, of all runs of all
+    """``gram, p, n``: the shared letter model (``SharedLetters``, of all runs of all
     words): the probability of each gram's last symbol after the others, for every
-    gram of ``ORDER - 1`` symbols."""
+    gram of ``ORDER - 1`` symbols, and the number of different symbols before it."""
     def make():
         def work(words):
             yield {"gram": list({r for w in words for r in letter_runs(w)})}
@@ -142,29 +146,56 @@ def letter_grams(words: DataFrame) -> DataFrame:
             level = level.join(F.broadcast(contexts), "context").withColumn("low", F.lit(1 / (max(1, symbols) + 1)))
         else:
             level = (level.join(contexts, "context").withColumn("shorter", F.substring("gram", 2, size - 1))
-                     .join(found.toDF("shorter", "low"), "shorter"))
+                     .join(found.select(F.col("gram").alias("shorter"), F.col("p").alias("low")), "shorter"))
         found = level.select("gram", (
-            (F.greatest(F.col("n") - d, F.lit(0.0)) + F.lit(d) * F.col("types") * F.col("low")) / F.col("total")).alias("p"))
+            (F.greatest(F.col("n") - d, F.lit(0.0)) + F.lit(d) * F.col("types") * F.col("low")) / F.col("total")).alias("p"), "n")
     return found
 
 
-def word_evidence(counts: DataFrame, totals: list[tuple[int, int, int, int]]) -> DataFrame:
+def held_grams(grams: DataFrame, most: int) -> dict[str, float]:
+    """Log-probability of frequent grams, ``most`` at most: those that begin a word (only
+    blanks precede them), the shortest beginnings first, then those that most different
+    symbols precede; whole classes of that order."""
+    step = F.when(F.col("gram").startswith(" "), F.lit(1 << 40) - F.length(F.ltrim("gram"))).otherwise(F.col("n"))
+    least, left = None, most
+    for r in grams.groupBy(step.alias("step")).agg(F.count("*").alias("grams")).orderBy(F.desc("step")).collect():
+        left -= r.grams
+        if left < 0:
+            break
+        least = r.step
+    if least is None:
+        return {}
+    return {r.gram: math.log(r.p) for r in grams.where(step >= least).select("gram", "p").collect()}
+
+
+def word_evidence(counts: DataFrame, totals: list[tuple[int, int, int, int]], hot_grams: int = HOT_GRAMS) -> DataFrame:
     """``word, toxic, ordinary, whole, value``: the log-likelihood difference (as
     ``evidence_table``) of each word with a class count; the letters' part is summed
-    over a word's runs, joined to ``letter_grams`` of all words."""
+    over a word's runs. The grams a worker does not hold are joined to ``letter_grams``
+    of all words."""
+    grams = reliable_checkpoint(letter_grams(counts))
+    shared = counts.sparkSession.sparkContext.broadcast(held_grams(grams, hot_grams))
+
     def make():
+        held = shared.value
+
         def work(words, *rest):
             runs = [[r[1:] for r in letter_runs(w)] for w in words]
-            yield {"gram": [g for own in runs for g in own]} | {
-                name: [x for x, own in zip(column, runs) for _ in own] for name, column in zip(keys, (words, *rest))}
+            yield {"known": [math.fsum(held[g] for g in own if g in held) for own in runs],
+                   "open": [[g for g in own if g not in held] for own in runs]} | dict(zip(keys, (words, *rest)))
 
         return work
 
     keys = ["word", "toxic", "ordinary", "whole"]
     letters = map_rows(counts.where("toxic > 0 OR ordinary > 0"), keys,
-                       "word string, toxic long, ordinary long, whole long, gram string", make)
-    low = letters.join(letter_grams(counts), "gram").groupBy(*keys).agg(
-        F.exp(F.greatest(F.sum(F.log("p")), F.lit(-700.0))).alias("low"))
+                       "word string, toxic long, ordinary long, whole long, known double, open array<string>", make)
+    letters = written_table(letters, "letters")  # its words are split in two below
+    rest = (letters.where(F.size("open") > 0).select(*keys, "known", F.explode("open").alias("gram"))
+            .join(grams.select("gram", "p"), "gram").groupBy(*keys, "known")
+            .agg((F.col("known") + F.sum(F.log("p"))).alias("logs")))
+    low = letters.where(F.size("open") == 0).select(*keys, F.col("known").alias("logs")).unionByName(
+        rest.select(*keys, "logs")).select(
+        *keys, F.exp(F.greatest("logs", F.lit(-700.0))).alias("low"))
     logs = []
     for name, (n, types, ones, twos) in zip(("toxic", "ordinary"), totals):
         d = discount(ones, twos)
@@ -338,10 +369,10 @@ def measure_texts(documents: DataFrame, columns: list, schema: str, counts: Data
 
         return work
 
-    texts = reliable_checkpoint(map_rows(
+    texts = written_table(map_rows(
         documents, ["text", *columns], "n long, total double, strongest array<double>, "
         f"open array<struct<known: double, times: long, words: array<string>>>, {schema}", make)
-        .withColumn("row", F.monotonically_increasing_id()))
+        .withColumn("row", F.monotonically_increasing_id()), "texts")
     words = (texts.where(F.size("open") > 0).select("row", F.posexplode("open").alias("at", "piece"))
              .select("row", "at", "piece.known", "piece.times", F.explode("piece.words").alias("word")))
     value = F.lit(other)
@@ -365,19 +396,19 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_
     """``doc_id, held_out, score, predicted, evidence, peak_evidence`` per row."""
     trained = labelled_ids(labels, "toxic", 5, 0)
     fold = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(5))
-    counts = reliable_checkpoint(count_words(documents, trained.where(fold != 0)))
+    counts = written_table(count_words(documents, trained.where(fold != 0)), "words")
     totals = counts.agg(*[f(F.col(c)) for c in ("toxic", "ordinary") for f in (
         F.sum, lambda x: F.count_if(x > 0), lambda x: F.count_if(x == 1), lambda x: F.count_if(x == 2))]).first()
     totals = [tuple(x or 0 for x in totals[i:i + 4]) for i in (0, 4)]
     table, other = None, 0.0  # one class only: no evidence
     if all(t[0] for t in totals):
         other, n = other_evidence(totals), F.col("toxic") + F.col("ordinary")
-        table = reliable_checkpoint(word_evidence(counts, totals).select(
-            "word", "whole", (other + (F.col("value") - other) * n / (n + RELIABLE)).alias("value")))
+        table = written_table(word_evidence(counts, totals).select(
+            "word", "whole", (other + (F.col("value") - other) * n / (n + RELIABLE)).alias("value")), "evidence")
     kind = documents.schema["doc_id"].dataType.simpleString()
-    measured = reliable_checkpoint(measure_texts(
+    measured = written_table(measure_texts(
         documents, ["doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out")],
-        f"doc_id {kind}, held_out boolean", counts, table, other, hot_words))
+        f"doc_id {kind}, held_out boolean", counts, table, other, hot_words), "measured")
     chosen = trained.where(fold == 0).orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(fit_rows)
     fitted = measured.join(F.broadcast(chosen), "doc_id").select("mean", "peak", "label").collect()
     fitted = sorted(tuple(r) for r in fitted)

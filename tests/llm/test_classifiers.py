@@ -169,6 +169,19 @@ def test_letter_runs_of_all_words_count(spark):
     assert got == pytest.approx(expected) and toxicity.other_evidence(totals) == pytest.approx(other)
 
 
+def test_held_letter_grams_are_not_joined(spark, monkeypatch):
+    rows = [("vile", 7, 1, 9), ("evil", 0, 6, 6), ("live", 1, 0, 1), ("lililili", 0, 1, 4), ("été", 2, 2, 5)]
+    words = spark.createDataFrame(rows, "word string, toxic long, ordinary long, whole long")
+    totals, joined, write = [(10, 3, 1, 1), (10, 4, 2, 1)], [], toxicity.written_table
+    monkeypatch.setattr(toxicity, "written_table", lambda df, name: joined.append(write(df, name)) or joined[-1])
+    got = [{r.word: r.value for r in toxicity.word_evidence(words, totals, hot_grams=n).collect()}
+           for n in (0, 5, toxicity.HOT_GRAMS)]
+    rest = [sum(len(r.open) for r in df.collect()) for df in joined]
+    assert rest[0] == sum(len(r[0]) + 1 for r in rows) and rest[0] > rest[1] > rest[2] == 0
+    assert set(got[0]) == {r[0] for r in rows}
+    assert got[1] == pytest.approx(got[0]) and got[2] == pytest.approx(got[0])
+
+
 def test_rare_words_have_their_own_evidence(spark):
     texts = [(i, f"all of us said w{chr(97 + i % 26)}x{chr(97 + i // 26)}q " * 2 + "vile" * (i % 2), "en") for i in range(200)]
     marks = [(i, 0, i % 2, "") for i in range(200)]
