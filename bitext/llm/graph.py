@@ -2,9 +2,11 @@
 
 Alternating large-star and small-star steps: each node's neighbours are linked
 to the smallest node it sees, until every component is a star around its
-smallest member. Edges are de-duplicated in every step, so a component of k
-nodes never holds more than its links, and a hub's rows are ordinary join rows
-that adaptive execution may split. Each round is checkpointed to the shared
+smallest member. Before the first step and after each, every task replaces the
+links of a block of at most ``BLOCK_NODES`` nodes by stars with the same components
+(no shuffle), so that few steps are left. Edges are de-duplicated in every step, so a
+component of k nodes never holds more than its links, and a hub's rows are ordinary
+join rows that adaptive execution may split. Each round is written to the shared
 folder, which also cuts the lineage.
 """
 
@@ -13,29 +15,66 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bitext.session import reliable_checkpoint
+from bitext.session import written_table
+
+from ._common import map_rows
+
+#: Nodes whose links a task contracts together; bounds its memory.
+BLOCK_NODES = 100_000
 
 
 def connected_components(links: DataFrame) -> DataFrame:
     """``(node, component)`` of every node in ``links(a, b)``; the component is
     the smallest node reachable. Self-links and NULLs are ignored."""
-    edges = reliable_checkpoint(
-        links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .where("a IS NOT NULL AND b IS NOT NULL AND a <> b").distinct())
-    before = _state(edges)
-    while before[0]:
-        edges = reliable_checkpoint(_small_star(_large_star(edges)))
-        after = _state(edges)
-        if after == before:
-            break
-        before = after
+    edges = written_table(_contracted(
+        links.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+        .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))), "edges")
+    while not _settled(edges):
+        edges = written_table(_contracted(_small_star(_large_star(edges))), "edges")
     leaves = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component"))
     return leaves.unionByName(roots).distinct()
 
 
-def _state(edges: DataFrame):
-    return edges.agg(F.count(F.lit(1)), F.coalesce(F.expr("bit_xor(xxhash64(u, v))"), F.lit(0))).first()
+def _settled(edges: DataFrame) -> bool:
+    """Whether each node has one smaller neighbour and no larger one, or none smaller."""
+    ends = edges.select(F.col("u").alias("node"), F.col("v").alias("up"), F.lit(0).alias("root")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(None).cast(edges.schema["v"].dataType).alias("up"),
+                     F.lit(1).alias("root")))
+    return ends.groupBy("node").agg(F.min("up").alias("lo"), F.max("up").alias("hi"), F.max("root").alias("root")).where(
+        "lo < hi OR (lo IS NOT NULL AND root = 1)").isEmpty()
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
+    """The edges of each block of a task as stars around their smallest nodes."""
+    kind = edges.schema["u"].dataType.simpleString()
+
+    def make():
+        up: dict = {}
+
+        def root(x):
+            up.setdefault(x, x)
+            while up[x] != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        def stars():
+            found = [(x, top) for x, top in ((x, root(x)) for x in up) if x != top]
+            up.clear()
+            return {"u": [x for x, _ in found], "v": [top for _, top in found]}
+
+        def work(us, vs):
+            for u, v in zip(us, vs):
+                a, b = root(u), root(v)
+                if a != b:
+                    up[max(a, b)] = min(a, b)
+            if len(up) >= BLOCK_NODES:
+                yield stars()
+
+        work.flush = lambda: [stars()]
+        return work
+
+    return map_rows(edges, ["u", "v"], f"u {kind}, v {kind}", make)
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -42,6 +42,8 @@ hashes, and kept in two Bloom filters of ``FILTER_BITS`` bits; neither they nor
 the slot filter of candidate ids grow with the data. A shingle wrongly taken for
 a shared one only moves to the end of the order: that costs time, never a link.
 (Past some 2 ** 32 shingles chance makes most hashes shared and the order fades.)
+Steps hand their rows on as Parquet: a small table is then read by few tasks, however
+many partitions made it, which keeps the number of shuffle files down.
 """
 
 from __future__ import annotations
@@ -50,7 +52,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bitext.session import reliable_checkpoint
+from bitext.session import reliable_checkpoint, written_table
 
 from ._common import gram_hashes, load_table, map_rows, mix64, word_hashes
 from .graph import connected_components
@@ -382,36 +384,43 @@ def similar_components(documents: DataFrame) -> DataFrame:
     rows = summary.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "d1", "d2", "sketch")
     common = shared_filters(summary.where("kind = 1"), parts)
 
-    classes = reliable_checkpoint(rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(
-        "n_shingles", "d1", "d2").agg(F.min("doc_id").alias("node"), F.first("sketch").alias("sketch")))
+    classes = written_table(rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(
+        "n_shingles", "d1", "d2").agg(F.min("doc_id").alias("node"), F.first("sketch").alias("sketch")), "classes")
     placed = rows.drop("sketch").join(classes.drop("sketch"), ["n_shingles", "d1", "d2"], "left").drop("d1", "d2")
     # Rows of one doc_id with different sets (none where doc_id is a key).
     twins = placed.where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b")).join(
         classes.select(F.col("node").alias("b")), "b", "left_semi")
 
-    groups = reliable_checkpoint(_candidate_groups(documents, common))
+    groups = written_table(_candidate_groups(documents, common), "groups")
     pairs = groups.where("d1 <> leader").select(F.col("leader").alias("x"), F.col("d1").alias("y"))
-    links = reliable_checkpoint(_verified(documents, pairs, classes).unionByName(twins.distinct()))
+    links = written_table(_verified(documents, pairs, classes).unionByName(twins.distinct()), "links")
     components = connected_components(links)
     mixed = _mixed_members(groups, classes, components)
     for turn in range(STAR_ROUNDS):
-        found = reliable_checkpoint(_verified(documents, _star_pairs(mixed, turn), classes))
+        if mixed.isEmpty():
+            break
+        found = written_table(_verified(documents, _star_pairs(mixed, turn), classes), "links")
         if found.isEmpty():
             break
-        links = links.unionByName(found)
-        components = connected_components(links)
+        components = connected_components(_stars(components).unionByName(found))
         mixed = _mixed_members(mixed.select("key", "d1"), classes, components)
-    found = reliable_checkpoint(_verified(documents, _block_pairs(mixed, classes), classes))
-    if not found.isEmpty():
-        components = connected_components(links.unionByName(found))
+    if not mixed.isEmpty():
+        found = written_table(_verified(documents, _block_pairs(mixed, classes), classes), "links")
+        if not found.isEmpty():
+            components = connected_components(_stars(components).unionByName(found))
     return placed.join(components, "node", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")).alias("component_id"))
 
 
+def _stars(components: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` that have these components."""
+    return components.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
 def _verified(documents: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Links among set pairs ``(x, y)``."""
-    near = reliable_checkpoint(_near(pairs.distinct(), classes))
+    near = written_table(_near(pairs.distinct(), classes), "near")
     return near if near.isEmpty() else verify_pairs(documents, near)
 
 
@@ -426,7 +435,7 @@ def _mixed_members(groups: DataFrame, classes: DataFrame, components: DataFrame)
         F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"),
         *[F.bit_xor(F.xxhash64("d1", F.lit(k))).alias(f"members_{k}") for k in (1, 2)]).where("lo < hi")
     kept = mixed.groupBy("size", "members_1", "members_2").agg(F.min("key").alias("key"))
-    return reliable_checkpoint(members.join(kept.select("key"), "key", "left_semi"))
+    return written_table(members.join(kept.select("key"), "key", "left_semi"), "mixed")
 
 
 def _star_pairs(mixed: DataFrame, turn: int) -> DataFrame:
