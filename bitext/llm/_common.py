@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 
 #: Rows of an Arrow batch that a worker turns into Python objects at a time.
 SLICE_ROWS = 512
+#: Bytes of a batch that Spark hands to a worker; its own 64 MB would hold up to 10,000
+#: whole texts at a time, in the JVM's direct memory and again in the worker.
+BATCH_BYTES = 4 << 20
 
 
 def worker_cache() -> dict:
@@ -59,14 +62,23 @@ def crc_mod_py(value, n: int) -> int:
     return zlib.crc32(str(value).encode()) % n
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``BATCH_BYTES`` where Spark's default still holds."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in ("64MB", "67108864b"):
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def map_rows(df: DataFrame, columns: list, schema: str, make: Callable) -> DataFrame:
     """``mapInArrow`` over the named columns only.
 
     ``make()`` runs once per task and returns ``f(lists) -> iterator of dicts of
     lists``; ``lists`` holds one Python list per input column, of at most
     ``SLICE_ROWS`` rows, so the Python objects alive at a time are bounded. A worker's
-    cache belongs to the module of ``make`` (``claim_worker``).
+    cache belongs to the module of ``make`` (``claim_worker``). The session's batches
+    are held to ``BATCH_BYTES`` from here on.
     """
+    bounded_batches(df.sparkSession)
     out, owner = to_arrow_schema(schema), make.__module__
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

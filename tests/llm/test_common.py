@@ -1,5 +1,8 @@
 """Worker caches and the token memo."""
+import pyarrow as pa
+
 from bitext.llm import _common
+from bitext.llm._common import BATCH_BYTES, map_rows
 from bitext.llm.token_files import Memo
 
 
@@ -27,3 +30,14 @@ def test_memo_is_bounded_and_keeps_what_is_used():
     assert memo.find("used") == b"u" and memo.find("3") is None
     memo.keep("x" * 65, b"")
     assert memo.find("x" * 65) is None
+
+
+def test_batches_of_whole_texts_are_bounded(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"size": pa.array([batch.nbytes], pa.int64())})
+
+    table = spark.range(0, 9_000, 1, 1).selectExpr("id", "repeat('word ', 400) AS text")
+    assert map_rows(table, ["id"], "id long", lambda: lambda ids: iter([{"id": ids}])).count() == 9_000
+    found = [r.size for r in table.mapInArrow(sizes, "size long").collect()]
+    assert max(found) < 2 * BATCH_BYTES < sum(found)
