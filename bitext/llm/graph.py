@@ -2,9 +2,9 @@
 
 Alternating large-star and small-star steps: each node's neighbours are linked
 to the smallest node it sees, until every component is a star around its
-smallest member. Before the first step and after each, every task replaces the
-links of a block of at most ``BLOCK_NODES`` nodes by stars with the same components
-(no shuffle), so that few steps are left. Edges are de-duplicated in every step, so a
+smallest member. Before the first step and after each, every task replaces a block
+of some ``BLOCK_LINKS`` links by stars with the same components (no shuffle), so that
+few steps are left. Edges are de-duplicated in every step, so a
 component of k nodes never holds more than its links, and a hub's rows are ordinary
 join rows that adaptive execution may split. Each round is written to the shared
 folder, which also cuts the lineage.
@@ -19,18 +19,17 @@ from bitext.session import written_table
 
 from ._common import map_rows
 
-#: Nodes whose links a task contracts together; bounds its memory.
-BLOCK_NODES = 100_000
+#: Links that a task contracts together; bounds its memory.
+BLOCK_LINKS = 50_000
 
 
 def connected_components(links: DataFrame) -> DataFrame:
     """``(node, component)`` of every node in ``links(a, b)``; the component is
     the smallest node reachable. Self-links and NULLs are ignored."""
-    edges = written_table(_contracted(
-        links.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-        .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))), "edges")
+    edges = _contracted(links.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(
+        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
     while not _settled(edges):
-        edges = written_table(_contracted(_small_star(_large_star(edges))), "edges")
+        edges = _contracted(_small_star(_large_star(edges)))
     leaves = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component"))
     return leaves.unionByName(roots).distinct()
@@ -46,11 +45,15 @@ def _settled(edges: DataFrame) -> bool:
 
 
 def _contracted(edges: DataFrame) -> DataFrame:
-    """The edges of each block of a task as stars around their smallest nodes."""
+    """The edges of each block of a task as stars around their smallest nodes. Written
+    first, so that the small parts left by a shuffle can be read as whole blocks."""
+    edges = written_table(edges, "edges")
+    tasks = max(1, -(-edges.count() // BLOCK_LINKS))
     kind = edges.schema["u"].dataType.simpleString()
 
     def make():
         up: dict = {}
+        held = 0
 
         def root(x):
             up.setdefault(x, x)
@@ -59,22 +62,26 @@ def _contracted(edges: DataFrame) -> DataFrame:
             return x
 
         def stars():
+            nonlocal held
+            held = 0
             found = [(x, top) for x, top in ((x, root(x)) for x in up) if x != top]
             up.clear()
             return {"u": [x for x, _ in found], "v": [top for _, top in found]}
 
         def work(us, vs):
+            nonlocal held
+            held += len(us)
             for u, v in zip(us, vs):
                 a, b = root(u), root(v)
                 if a != b:
                     up[max(a, b)] = min(a, b)
-            if len(up) >= BLOCK_NODES:
+            if held >= BLOCK_LINKS:
                 yield stars()
 
         work.flush = lambda: [stars()]
         return work
 
-    return map_rows(edges, ["u", "v"], f"u {kind}, v {kind}", make)
+    return written_table(map_rows(edges.coalesce(tasks), ["u", "v"], f"u {kind}, v {kind}", make), "stars")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
