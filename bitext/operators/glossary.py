@@ -4,9 +4,10 @@ Terms are literals without word boundaries, compared without case, and each is a
 to the text as the terms before it left it. A term can change a text only if the text
 contains it, or if it meets a placeholder that an earlier term put there.
 
-A glossary of at most ``HELD_TERMS`` terms goes to the tasks, which look a text's shingles
-up in it and apply the terms found where the text is read (``HeldGlossary``): no join and no
-shuffle. A larger one stays a table, whatever its size:
+A glossary of at most ``HELD_TERMS`` terms goes to the tasks, which find all occurrences in
+many texts at a time by a trie and replace those that are free in order of the terms, where
+the texts are read (``HeldGlossary``): no join and no shuffle. A larger one stays a table,
+whatever its size:
 
 * every term has one key, the first ``SHINGLE`` characters of its folded form; a
   text's shingles of the lengths in use are equi-joined with the keys, and a
@@ -20,9 +21,12 @@ A text's candidates are applied in rank order in one fold over that text's own l
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +39,11 @@ SHINGLE = 4
 #: Terms, and characters of terms and targets, of a glossary that tasks hold.
 HELD_TERMS = 100_000
 HELD_CHARS = 4_000_000
+#: Characters of a term by which a task's trie finds it, and cells of the trie's table.
+TRIE_DEPTH = 16
+TRIE_CELLS = 2_000_000
+#: Bytes of the texts that a task works on at a time.
+SLICE_BYTES = 1 << 18
 #: Different characters that a shingle's pattern may list.
 ALPHABET = 200
 #: Copies of the placeholder-touching terms that texts are spread over.
@@ -150,43 +159,108 @@ class CaseFolds(dict):
         return self[code]
 
 
+class TermTrie:
+    """Finds all occurrences of folded terms in texts written as letter classes.
+
+    A state is a beginning of terms, numbered by length and then by letters, so that the
+    sorted edges ``state * classes + class`` lead to the states in order. Terms longer than
+    ``TRIE_DEPTH`` are compared from there on.
+    """
+
+    def __init__(self, terms: list[str]):
+        self.classes = {c: k for k, c in enumerate(sorted(set().union(*terms)), 1)}
+        self.width = len(self.classes) + 1
+        first: dict[str, int] = {}
+        for i, term in enumerate(terms):
+            first.setdefault(term, i)
+        numbers = np.fromiter(first.values(), np.int64, len(first))
+        heads = [[self.classes[c] for c in term[:TRIE_DEPTH]] for term in first]
+        size = np.array([len(h) for h in heads], np.int64)
+        state, edges, states = np.zeros(len(heads), np.int64), [np.zeros(0, np.int64)], 1
+        for at in range(size.max(initial=0)):
+            some = np.flatnonzero(size > at)
+            keys = state[some] * self.width + np.array([heads[k][at] for k in some.tolist()], np.int64)
+            found, back = np.unique(keys, return_inverse=True)
+            edges.append(found)
+            state[some] = states + back
+            states += len(found)
+        self.edges = np.concatenate(edges)
+        top = min(states, max(1, TRIE_CELLS // self.width))
+        self.dense = np.zeros(top * self.width, np.int64)
+        inside = self.edges[:np.searchsorted(self.edges, len(self.dense))]
+        self.dense[inside] = np.arange(1, len(inside) + 1)
+        self.term = np.full(states, -1, np.int64)
+        self.longer: dict[int, list[tuple[int, np.ndarray]]] = {}
+        for k, term in enumerate(first):
+            if len(term) <= TRIE_DEPTH:
+                self.term[state[k]] = numbers[k]
+            else:
+                rest = np.array([self.classes[c] for c in term[TRIE_DEPTH:]], np.int64)
+                self.longer.setdefault(int(state[k]), []).append((int(numbers[k]), rest))
+
+    def step(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """The next states, 0 where there is none."""
+        key = state * self.width + letter
+        if len(self.dense) == len(self.term) * self.width:
+            return self.dense[key]
+        known = key < len(self.dense)
+        at = np.minimum(np.searchsorted(self.edges, key), len(self.edges) - 1)
+        return np.where(known, self.dense[np.where(known, key, 0)], np.where(self.edges[at] == key, at + 1, 0))
+
+    def occurrences(self, letters: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """Length -> starts in order, and the terms there. Class 0 is in no term; it ends each text."""
+        found, at, depth = {}, np.flatnonzero(letters), 0
+        state = np.zeros(len(at), np.int64)
+        while len(at) and depth < TRIE_DEPTH:
+            state = self.step(state, letters[at + depth])
+            alive = np.flatnonzero(state)
+            at, state, depth = at[alive], state[alive], depth + 1
+            term = self.term[state]
+            ends = np.flatnonzero(term >= 0)
+            if len(ends):
+                found[depth] = at[ends], term[ends]
+        longer: dict[int, list[tuple[int, int]]] = {}
+        for start, here in zip(at.tolist(), state.tolist()) if self.longer else ():
+            for i, rest in self.longer.get(here, ()):
+                if np.array_equal(letters[start + TRIE_DEPTH:start + TRIE_DEPTH + len(rest)], rest):
+                    longer.setdefault(TRIE_DEPTH + len(rest), []).append((start, i))
+        return found | {n: tuple(np.array(x, np.int64) for x in zip(*pairs)) for n, pairs in longer.items()}
+
+
 class HeldGlossary:
-    """A task's copy of a glossary: ``(position, source_term, target_term)`` in order."""
+    """A task's copy of a glossary: ``(position, source_term, target_term)`` in order, longest
+    first. It works on the letters of many texts at a time.
+
+    A term without ``_`` is met in what the terms before it left of the text, or inside a
+    placeholder, never across its border. So the texts' own occurrences are taken in order
+    where they are still free, and what later terms do to a placeholder is the same in every
+    text. Only a glossary with a term that can meet a placeholder's border is applied term
+    by term to each text that holds one of its terms.
+    """
 
     def __init__(self, terms: list[tuple[int, str, str]]):
         self.folds = CaseFolds()
         self.terms = [self.fold(source) for _, source, _ in terms]
         self.marks = [f"__TERM_{position}__" for position, _, _ in terms]
-        self.targets = [target for _, _, target in terms]
-        self.keys: dict[int, dict[str, list[int]]] = {}
-        for i, term in enumerate(self.terms):
-            key = term[:SHINGLE]
-            self.keys.setdefault(len(key), {}).setdefault(key, []).append(i)
-        self.key_sets = {n: frozenset(keys) for n, keys in self.keys.items()}
+        self.entries = pa.StructArray.from_arrays(
+            [pa.array(self.marks, pa.string()), pa.array([target for _, _, target in terms], pa.string())],
+            ["placeholder", "target"])
         touches = re.compile(TOUCHES, re.ASCII | re.IGNORECASE)
         self.touching = [i for i, term in enumerate(self.terms) if touches.search(term)]
+        self.bordering = any("_" in self.terms[i] for i in self.touching)
+        self.trie = TermTrie(self.terms)
+        #: Class of a letter by code point, -1 until it is met.
+        self.letter = np.full(0x110000, -1, np.int32)
+        self.finals: dict[int, tuple[str, tuple[int, ...]]] = {}
 
     def fold(self, text: str) -> str:
         """As many characters as ``text``; terms match where their folded forms are equal."""
         return text.lower() if text.isascii() else text.translate(self.folds)
 
-    def found(self, folded: str) -> set[int]:
-        """The terms that a folded text holds."""
-        here: list[int] = []
-        for n, keys in self.keys.items():
-            if len(keys) <= 16:
-                hits = [k for k in keys if k in folded]
-            else:
-                hits = self.key_sets[n].intersection([folded[i:i + n] for i in range(len(folded) - n + 1)])
-            for k in hits:
-                here += [i for i in keys[k] if self.terms[i] in folded]
-        return set(here)
-
-    def protect(self, text: str) -> tuple[str, list[int]]:
-        """The text with placeholders, and the terms they stand for in order."""
+    def applied(self, text: str, numbers: Iterable[int]) -> tuple[str, tuple[int, ...]]:
+        """The text after these terms, one by one, and those that it held."""
         folded, used = self.fold(text), []
-        here = self.found(folded)
-        for i in sorted(here.union(self.touching)) if here else ():
+        for i in numbers:
             term = self.terms[i]
             if term in folded:
                 parts, kept, at = folded.split(term), [], 0
@@ -195,7 +269,120 @@ class HeldGlossary:
                     at += len(part) + len(term)
                 text, folded = self.marks[i].join(kept), self.marks[i].lower().join(parts)
                 used.append(i)
-        return text, used
+        return text, tuple(used)
+
+    def final(self, i: int) -> tuple[str, tuple[int, ...]]:
+        """A term's placeholder as the terms after it leave it, and those that it held."""
+        if i not in self.finals:
+            self.finals[i] = self.applied(self.marks[i], self.touching[bisect_right(self.touching, i):])
+        return self.finals[i]
+
+    def classes(self, codes: np.ndarray) -> np.ndarray:
+        """The code points' letter classes."""
+        known = self.letter[codes]
+        if known.min(initial=0) < 0:
+            for code in np.unique(codes[known < 0]).tolist():
+                self.letter[code] = self.trie.classes.get(self.fold(chr(code)), 0)
+            known = self.letter[codes]
+        return known
+
+    def protect(self, texts: pa.StringArray) -> tuple[pa.StringArray, pa.ListArray]:
+        """The texts with placeholders, and their maps."""
+        count = len(texts)
+        cuts = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + count + 1].astype(np.int64)
+        data = texts.buffers()[2]
+        data = data.slice(cuts[0], cuts[-1] - cuts[0]) if data is not None else pa.py_buffer(b"")
+        cuts -= cuts[0]
+        # Every text's letters, and a place of class 0 behind them; bytes: where a place begins.
+        starts = (np.frombuffer(data, np.uint8) & 0xC0) != 0x80
+        codes = np.frombuffer(data.to_pybytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+        sizes = np.diff(np.concatenate([[0], np.cumsum(starts)])[cuts])
+        ends = np.cumsum(sizes + 1)
+        places = np.arange(len(codes)) + np.repeat(np.arange(count), sizes)
+        letters, begins = np.zeros(len(codes) + count, np.int64), np.zeros(len(codes) + count, np.int64)
+        letters[places], begins[places] = self.classes(codes), np.flatnonzero(starts)
+        begins[ends - 1] = cuts[1:]
+        found = self.trie.occurrences(letters)
+        if self.bordering:
+            return self.one_by_one(texts, found, ends)
+        at, term, size = self.free(found, len(letters))
+        text = np.searchsorted(ends, at, "right")
+        kinds, kind = np.unique(term, return_inverse=True)
+        finals = [self.final(i) for i in kinds.tolist()]
+        used = self.pairs(text, term)
+        more = np.array([len(u) for _, u in finals], np.int64)
+        if more.any():
+            values = np.array([i for _, u in finals for i in u], np.int64)
+            row, kind_of = np.divmod(used, max(1, len(self.terms)))
+            kind_of = np.searchsorted(kinds, kind_of)
+            n = more[kind_of]
+            first = (np.cumsum(more) - more)[kind_of]
+            index = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            used = self.pairs(np.concatenate([row, np.repeat(row, n)]),
+                              np.concatenate([kinds[kind_of], values[index]]))
+        if len(at):
+            texts = replaced(data, cuts, begins[at], begins[at + size], pa.array([t for t, _ in finals], pa.string()), kind)
+        return texts, self.maps(used, count)
+
+    def free(self, found: dict[int, tuple[np.ndarray, np.ndarray]], places: int):
+        """``(start, term, size)`` of the occurrences that are replaced, in order of starts. Those
+        taken before are as long or longer, so one that is not free has an end in one of them."""
+        taken = bytearray(places)
+        seen, kept = np.frombuffer(taken, np.uint8), []
+        for size in sorted(found, reverse=True):
+            at, term = found[size]
+            free = np.flatnonzero((seen[at] | seen[at + size - 1]) == 0)
+            at, term = at[free], term[free]
+            near = np.diff(at) < size
+            clash = np.concatenate([near, [False]]) | np.concatenate([[False], near])
+            good = ~clash[:len(at)]
+            seen[(at[good][:, None] + np.arange(size)).ravel()] = 1
+            clash = np.flatnonzero(~good)
+            clash = clash[np.lexsort((at[clash], term[clash]))]
+            for k, start in zip(clash.tolist(), at[clash].tolist()):
+                if not (taken[start] or taken[start + size - 1]):
+                    taken[start:start + size] = b"\1" * size
+                    good[k] = True
+            kept.append((at[good], term[good], np.full(int(good.sum()), size, np.int64)))
+        at, term, size = (np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*kept)) if kept else np.zeros((3, 0), np.int64)
+        order = np.argsort(at)
+        return at[order], term[order], size[order]
+
+    def pairs(self, text: np.ndarray, term: np.ndarray) -> np.ndarray:
+        """Different pairs of a text and a term as one number, in order."""
+        pairs = np.sort(text * max(1, len(self.terms)) + term)
+        return pairs[np.diff(pairs, prepend=-1) > 0]
+
+    def maps(self, used: np.ndarray, count: int) -> pa.ListArray:
+        width = max(1, len(self.terms))
+        offsets = np.searchsorted(used, np.arange(count + 1) * width).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), self.entries.take(pa.array(used % width)))
+
+    def one_by_one(self, texts: pa.StringArray, found: dict, ends: np.ndarray) -> tuple[pa.StringArray, pa.ListArray]:
+        """The definition: the terms that a text holds or that touch placeholders, in order."""
+        count, width = len(texts), max(1, len(self.terms))
+        pairs = [self.pairs(np.searchsorted(ends, at, "right"), term) for at, term in found.values()]
+        here: dict[int, list[int]] = {}
+        for pair in np.sort(np.concatenate([np.zeros(0, np.int64), *pairs])).tolist():
+            here.setdefault(pair // width, []).append(pair % width)
+        out, used = texts.to_pylist(), []
+        for row, numbers in here.items():
+            out[row], held = self.applied(out[row], sorted({*numbers, *self.touching}))
+            used += [row * width + i for i in held]
+        return pa.array(out, pa.string()), self.maps(np.array(used, np.int64), count)
+
+
+def replaced(data: pa.Buffer, cuts: np.ndarray, first: np.ndarray, last: np.ndarray, values: pa.StringArray,
+             kind: np.ndarray) -> pa.StringArray:
+    """The texts that lie between ``cuts`` of ``data`` with ``values[kind]`` for the bytes from ``first`` to ``last``."""
+    bounds = np.concatenate([[0], np.stack([first, last], 1).ravel(), [cuts[-1]]]).astype(np.int32)
+    parts = pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), data)
+    inner = pa.array(np.arange(len(parts)) % 2 == 1)
+    parts = pc.replace_with_mask(parts, inner, values.take(pa.array(kind)))
+    # What the parts hold, one behind the other, are the new texts.
+    grown = np.concatenate([[0], np.cumsum(pc.binary_length(values).to_numpy()[kind] - (last - first))])
+    offsets = (cuts + grown[np.searchsorted(first, cuts)]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(offsets), parts.buffers()[2])
 
 
 def held_terms(terms: DataFrame) -> list[tuple[int, str, str]] | None:
@@ -214,20 +401,23 @@ def _protected(held: list[tuple[int, str, str]]):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         glossary = HeldGlossary(held)
         for batch in batches:
-            done = [glossary.protect(t) for t in batch.to_pylist()]
-            offsets, marks, targets = [0], [], []
-            for _, used in done:
-                marks += [glossary.marks[i] for i in used]
-                targets += [glossary.targets[i] for i in used]
-                offsets.append(len(marks))
-            entries = pa.StructArray.from_arrays([pa.array(marks, pa.string()), pa.array(targets, pa.string())],
-                                                 ["placeholder", "target"])
-            maps = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), entries)
-            yield pa.StructArray.from_arrays([pa.array([t for t, _ in done], pa.string()), maps], ["text", "map"])
+            done = [glossary.protect(part) for part in byte_slices(batch.cast(pa.string()))]
+            yield pa.concat_arrays([pa.StructArray.from_arrays(x, ["text", "map"]) for x in done])
 
     return F.arrow_udf(run, f"text string, map {MAPPING_TYPE}")
 
 
+def byte_slices(texts: pa.StringArray) -> Iterator[pa.StringArray]:
+    """Slices of some ``SLICE_BYTES`` at most, or of one text; one empty slice of no text."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at == 0 or at < len(texts):
+        before = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+        yield texts.slice(at, stop - at)
+        at = stop
+
+
 def protect_terms(df: DataFrame, text_col: str, glossary, out_col: str = "protected",
                   mapping_col: str = "term_map") -> DataFrame:
     """Replace glossary terms by ``__TERM_i__`` placeholders.
@@ -265,9 +455,30 @@ def _apply(done, term):
 
 
 def restore_terms(text, mapping) -> Column:
-    """Replace each placeholder by its target term, in mapping order (P10)."""
-    return F.aggregate(as_col(mapping), F.coalesce(as_col(text), F.lit("")),
-                       lambda acc, z: F.replace(acc, z["placeholder"], z["target"]))
+    """Replace each placeholder by its target term, in mapping order (P10).
+
+    One scan of the text finds the placeholders in it, and only these are replaced, unless
+    one of their targets (empty, or with a letter of placeholders) could form another.
+    """
+    text, mapping = F.coalesce(as_col(text), F.lit("")), as_col(mapping)
+    marks, targets = mapping["placeholder"], mapping["target"]
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit("__TERM_[0-9]+(?=__)"), F.lit(0)))
+    here = F.array_intersect(marks, F.transform(found, lambda start: F.concat(start, F.lit("__"))))
+
+    def target(mark):
+        return F.element_at(targets, F.array_position(marks, mark).cast("int"))
+
+    def replaced_here(here):
+        forming = F.exists(here, lambda mark: target(mark).rlike("^$|[_TERM0-9]"))
+        return F.when(forming, in_turn).otherwise(
+            F.aggregate(here, text, lambda acc, mark: F.replace(acc, mark, target(mark))))
+
+    other = F.concat(F.lit("|"), F.array_join(marks, "|", "?")).rlike(r"\|(?!__TERM_[0-9]+__(?:\||$))")
+    other = other | F.exists(targets, F.isnull)
+    in_turn = F.aggregate(mapping, text, lambda acc, z: F.replace(acc, z["placeholder"], z["target"]))
+    # As an element, the placeholders found are computed once.
+    return F.when(F.size(mapping) == 0, text).when(other, in_turn).otherwise(
+        F.transform(F.array(here), replaced_here)[0])
 
 
 def mapping_text(mapping) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from bitext._util import computed
@@ -132,3 +133,77 @@ def test_letters_fold_as_the_pattern_compares_them(spark):
     wrong = [(r.c, r.d) for r in df.select("c", "d", same.alias("same")).collect()
              if r.same != (r.c.translate(folds) == r.d.translate(folds))]
     assert wrong == []
+
+
+GLOSSARIES = {
+    "words": ["the", "then", "hen", "and the", "en", "he", "nth", "x" * 20, "x" * 17, "xx", "ñandú", "The", "İs", "日本", "本"],
+    "inside placeholders": ["the", "term", "te", "er", "TE", "m", "7", "1", "12", "hen", "and", "a_b", "e"],
+    "at their borders": ["the", "er", "_", "__", "m_", "x_", "_t", "and", "7__", "hen", "__TERM_1__"],
+    "none": [],
+}
+
+
+def random_texts(count, seed=3):
+    import random
+    rng = random.Random(seed)
+    words = ["The", "then", "and", "THEN", "hen", "x" * 17, "X" * 39, "x", "term", "7", "12", "a_b", "_t", "m_", "Ñandú", "日本本",
+             "İstanbul", "nth", "__TERM_1__", "ththe", "enenen", "", "\x00", "🙂he"]
+    return ["", "nothing to do", "x" * 64] + [
+        rng.choice([" ", "", "-"]).join(rng.choice(words) for _ in range(rng.randrange(1, 12))) for _ in range(count)]
+
+
+@pytest.mark.parametrize("kind", GLOSSARIES)
+def test_texts_protected_together_equal_the_definition(kind, monkeypatch):
+    import pyarrow as pa
+    from bitext.operators import glossary as g
+    order = sorted(GLOSSARIES[kind], key=lambda t: -len(t))
+    terms = [(i, t, f"<{t}>") for i, t in enumerate(order)]
+    texts = random_texts(400)
+    for cells, depth, size in ((g.TRIE_CELLS, g.TRIE_DEPTH, g.SLICE_BYTES), (1, 2, 30)):
+        for name, value in (("TRIE_CELLS", cells), ("TRIE_DEPTH", depth), ("SLICE_BYTES", size)):
+            monkeypatch.setattr(g, name, value)
+        held = g.HeldGlossary(terms)
+        first = pa.array(["not in the slice", *texts]).slice(1)
+        parts = [held.protect(part) for part in g.byte_slices(first)]
+        assert size > 30 and len(parts) == 1 or len(parts) > 100
+        got = [(t, [x["placeholder"] for x in m]) for a, b in parts for t, m in zip(a.to_pylist(), b.to_pylist())]
+        assert len(got) == len(texts)
+        for text, (protected, marks) in zip(texts, got):
+            want, used = held.applied(text, range(len(terms)))
+            assert (protected, marks) == (want, [held.marks[i] for i in used]), text
+    assert [len(held.protect(part)[0]) for part in g.byte_slices(pa.array([], pa.string()))] == [0]
+
+
+def test_terms_are_not_applied_text_by_text(monkeypatch):
+    import pyarrow as pa
+    from bitext.operators import glossary as g
+    words = [f"{a}{b}{c}" for a in "bdfgk" for b in ("ai", "er", "o") for c in ("nt", "s", "tion")]
+    held = g.HeldGlossary([(i, w, w[::-1]) for i, w in enumerate(sorted([*words, "er", "te"], key=lambda w: -len(w)))])
+    calls, applied = [], g.HeldGlossary.applied
+    monkeypatch.setattr(g.HeldGlossary, "applied", lambda self, *a: calls.append(a) or applied(self, *a))
+    texts = [f"{a} {b}{c}." for a in words for b in words for c in ("", "te", "x")]
+    protected, maps = held.protect(pa.array(texts))
+    assert len(calls) <= len(words) + 2 < len(texts) / 100  # what later terms do to each placeholder
+    assert protected.null_count == 0 and min(map(len, maps.to_pylist())) > 1
+
+
+def test_only_placeholders_in_the_text_are_replaced(spark):
+    from pyspark.sql import functions as F
+    from bitext.operators.glossary import restore_terms
+    kind = "s string, m array<struct<placeholder:string,target:string>>"
+    mark = "__TERM_{}__".format
+    rows = [("a " + mark(1) + mark(2), [(mark(2), "zwei"), (mark(3), "drei"), (mark(1), "eins")]),
+            ("__TERM_1__TERM_2__ __TERM_2__", [(mark(2), "b"), (mark(1), "a")]),  # shared underscores
+            ("__TERM_1__TERM_2__", [(mark(1), "a"), (mark(2), "b")]),
+            ("__TERM____TERM_1____", [(mark(1), "_7"), (mark(7), "c")]),  # a target that forms another
+            ("__TERM_1____TERM_2____TERM_3__", [(mark(2), "7"), (mark(1), ""), (mark(3), "x|y")]),
+            ("__TE" + mark(5) + "RM_4__", [(mark(5), "é"), (mark(4), "d")]),
+            ("__TE" + mark(5) + "RM_4__", [(mark(9), ""), (mark(5), ""), (mark(4), "d")]),  # an empty one does
+            ("<1> " + mark(1), [("<1>", "one"), (mark(1), "a"), (mark(1), "b")]),
+            (mark(1), [(None, "a")]), (mark(1), [(mark(2), None)]), (mark(1), [(mark(1), None)]),
+            (mark(1), []), (None, [(mark(1), "a")]), (mark(1), None), ("", []), ("__TERM_12__", [(mark(1), "a"), (mark(12), "$1\\")])]
+    df = spark.createDataFrame(rows, kind)
+    in_turn = F.aggregate("m", F.coalesce("s", F.lit("")), lambda acc, z: F.replace(acc, z["placeholder"], z["target"]))
+    for r in df.select("s", "m", restore_terms("s", "m").alias("got"), in_turn.alias("want")).collect():
+        assert r.got == r.want, r
+    assert "array_intersect" in optimized(df.select(restore_terms("s", "m")))
