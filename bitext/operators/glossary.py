@@ -457,28 +457,26 @@ def _apply(done, term):
 def restore_terms(text, mapping) -> Column:
     """Replace each placeholder by its target term, in mapping order (P10).
 
-    One scan of the text finds the placeholders in it, and only these are replaced, unless
-    one of their targets (empty, or with a letter of placeholders) could form another.
+    One scan of the text finds the placeholders in it, and only their entries are applied,
+    unless a target could form another placeholder: it has an underscore, or it is empty or
+    has other letters of placeholders and there are underscores outside whole placeholders.
     """
     text, mapping = F.coalesce(as_col(text), F.lit("")), as_col(mapping)
     marks, targets = mapping["placeholder"], mapping["target"]
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit("__TERM_[0-9]+(?=__)"), F.lit(0)))
-    here = F.array_intersect(marks, F.transform(found, lambda start: F.concat(start, F.lit("__"))))
-
-    def target(mark):
-        return F.element_at(targets, F.array_position(marks, mark).cast("int"))
-
-    def replaced_here(here):
-        forming = F.exists(here, lambda mark: target(mark).rlike("^$|[_TERM0-9]"))
-        return F.when(forming, in_turn).otherwise(
-            F.aggregate(here, text, lambda acc, mark: F.replace(acc, mark, target(mark))))
-
-    other = F.concat(F.lit("|"), F.array_join(marks, "|", "?")).rlike(r"\|(?!__TERM_[0-9]+__(?:\||$))")
-    other = other | F.exists(targets, F.isnull)
-    in_turn = F.aggregate(mapping, text, lambda acc, z: F.replace(acc, z["placeholder"], z["target"]))
-    # As an element, the placeholders found are computed once.
-    return F.when(F.size(mapping) == 0, text).when(other, in_turn).otherwise(
-        F.transform(F.array(here), replaced_here)[0])
+    starts = F.array_distinct(F.regexp_extract_all(text, F.lit("__TERM_[0-9]+(?=__)"), F.lit(0)))
+    found = F.transform(starts, lambda start: F.concat(start, F.lit("__")))
+    # As an array's element, the found ones are computed once and not for every entry.
+    here = F.transform(F.array(found), lambda some: F.filter(
+        mapping, lambda z: F.array_contains(some, z["placeholder"])))[0]
+    other_mark = F.concat(F.lit("|"), F.array_join(marks, "|", "?")).rlike(r"\|(?!__TERM_[0-9]+__(?:\||$))")
+    joined = F.array_join(targets, "", "_")
+    broken = F.contains(F.regexp_replace(text, "__TERM_[0-9]+__", ""), F.lit("_"))
+    forming = (joined.rlike("[_TERM0-9]") | F.array_contains(targets, "")) & (F.contains(joined, F.lit("_")) | broken)
+
+    def applied(entries):
+        return F.aggregate(entries, text, lambda acc, z: F.replace(acc, z["placeholder"], z["target"]))
+
+    return F.when(F.size(mapping) == 0, text).when(other_mark | forming, applied(mapping)).otherwise(applied(here))
 
 
 def mapping_text(mapping) -> Column:
